@@ -78,7 +78,7 @@ def calendar_columns(date: str | Column, holidays: Column | None = None) -> list
 
 def parse_date(text: str | Column) -> Column:
     """``%Y-%m-%d`` with unpadded month/day accepted; bad text gives NULL (ANSI-safe)."""
-    return F.try_to_date(F.trim(_c(text)), F.lit("yyyy-M-d"))
+    return F.try_to_date(F.trim(_c(text)), "yyyy-M-d")
 
 
 def as_date(value: str | _dt.date | None) -> _dt.date:

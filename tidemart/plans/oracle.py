@@ -316,3 +316,215 @@ FROM fact JOIN dim_customer USING (customer_sk) JOIN dim_product USING (product_
 WHERE city_category = 'A' AND product_category = 'ECONOMY'
 GROUP BY gender, age_group
 ORDER BY gender, age_group"""
+
+
+# ------------------------------------------------------------------ ETL keys
+RAW = """raw AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, l_linenumber AS line_number,
+         CAST(o_custkey AS VARCHAR) AS customer_id, CAST(l_partkey AS VARCHAR) AS product_id,
+         CAST(l_suppkey AS VARCHAR) AS supplier_id,
+         CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS quantity,
+         strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date, o_orderkey
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
+DIRTY = """dirty AS (
+  SELECT order_id, line_number,
+         CASE WHEN o_orderkey % 83 = 0 THEN 'UNKNOWN' ELSE customer_id END AS customer_id,
+         CASE WHEN o_orderkey % 79 = 0 THEN 'UNKNOWN' ELSE product_id END AS product_id,
+         supplier_id,
+         CASE WHEN o_orderkey % 97 = 0 THEN 'x' ELSE quantity END AS quantity,
+         CASE WHEN o_orderkey % 89 = 0 THEN 'bad' ELSE date END AS date
+  FROM raw)"""
+
+CM = f"""cm AS (
+  SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+    CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+    {_AGE} AS age_group,
+    c_nationkey AS occupation,
+    CASE c_nationkey % 3 WHEN 0 THEN 'A' WHEN 1 THEN 'B' ELSE 'C' END AS city_category,
+    CAST(c_custkey % 5 AS INTEGER) AS stay_in_current_city_years,
+    CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 1 ELSE 0 END AS marital_status,
+    r_regionkey AS store_id, r_name AS store_name
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+PM = """pm AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category,
+         p_retailprice AS price
+  FROM part)"""
+
+CLASSIFIED = """cl AS (
+  SELECT d.*, TRY_CAST(trim(d.quantity) AS INTEGER) AS qty,
+         TRY_CAST(trim(d.date) AS DATE) AS tdate, cm.gender, pm.product_category, pm.price,
+         CASE WHEN TRY_CAST(trim(d.quantity) AS INTEGER) IS NULL THEN 'bad_quantity'
+              WHEN TRY_CAST(trim(d.date) AS DATE) IS NULL THEN 'bad_date'
+              WHEN cm.customer_id IS NULL THEN 'unknown_customer'
+              WHEN pm.product_id IS NULL THEN 'unknown_product'
+              ELSE 'ok' END AS reject_reason
+  FROM dirty d LEFT JOIN cm ON d.customer_id = cm.customer_id
+               LEFT JOIN pm ON d.product_id = pm.product_id)"""
+
+ETL = "WITH " + ",\n".join([RAW, DIRTY, CM, PM, CLASSIFIED]) + "\n"
+
+CAL_COLS = """CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_sk, d AS transaction_date,
+  CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
+  strftime(d, '%B') AS month_name, CAST(quarter(d) AS INTEGER) AS quarter,
+  CAST(day(d) AS INTEGER) AS day, CAST(isodow(d) - 1 AS INTEGER) AS day_of_week,
+  strftime(d, '%A') AS day_name, CAST(weekofyear(d) AS INTEGER) AS week_of_year,
+  CASE WHEN month(d) IN (12, 1, 2) THEN 'Winter' WHEN month(d) IN (3, 4, 5) THEN 'Spring'
+       WHEN month(d) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season,
+  CASE WHEN isodow(d) >= 6 THEN 1 ELSE 0 END AS is_weekend, 0 AS is_holiday"""
+
+
+def members_sql(master_cte: str, key: str, sk: str, key_is_text: bool) -> str:
+    num = f"CAST({key} AS BIGINT)" if key_is_text else key
+    return ETL + f""", m AS ({master_cte}),
+ex AS (SELECT {key}, ROW_NUMBER() OVER (ORDER BY {key}) AS {sk}, false AS is_new
+       FROM m WHERE {num} % 2 = 0),
+arr AS (SELECT DISTINCT {key} FROM arrivals JOIN m USING ({key})),
+nw AS (SELECT {key}, (SELECT COUNT(*) FROM ex) + ROW_NUMBER() OVER (ORDER BY {key}) AS {sk},
+              true AS is_new
+       FROM arr WHERE {key} NOT IN (SELECT {key} FROM ex))
+SELECT * FROM ex UNION ALL SELECT * FROM nw"""
+
+
+ETL_SQL: dict[str, str] = {}
+
+ETL_SQL["src_customer_master"] = ETL + """
+SELECT customer_id, gender, age_group, occupation, city_category, stay_in_current_city_years,
+       marital_status FROM cm"""
+
+ETL_SQL["src_product_master"] = """
+SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS product_category,
+       CAST(p_retailprice AS DECIMAL(10,2)) AS price, r_regionkey AS store_id,
+       r_name AS store_name, CAST(s_suppkey AS INTEGER) AS supplier_id, s_name AS supplier_name
+FROM part JOIN region ON p_partkey % (SELECT COUNT(*) FROM region) = r_regionkey
+     JOIN supplier ON p_partkey % (SELECT COUNT(*) FROM supplier) = s_suppkey"""
+
+ETL_SQL["enrich_sales_batch"] = ETL + """
+SELECT r.order_id, r.customer_id, r.product_id, cm.gender, pm.product_category,
+       CAST(r.quantity AS INTEGER) AS quantity, CAST(pm.price AS DECIMAL(10,2)) AS unit_price,
+       CAST(CAST(r.quantity AS INTEGER) * CAST(pm.price AS DECIMAL(10,2)) AS DECIMAL(12,2))
+         AS total_amount
+FROM raw r JOIN cm ON r.customer_id = cm.customer_id JOIN pm ON r.product_id = pm.product_id"""
+
+ETL_SQL["unmatched_sales"] = ETL + """
+SELECT order_id, line_number, customer_id, product_id FROM raw r
+WHERE NOT EXISTS (SELECT 1 FROM cm WHERE cm.customer_id = r.customer_id
+                                     AND cm.customer_id NOT LIKE '%0')"""
+
+ETL_SQL["quarantine_sales"] = ETL + """
+SELECT reject_reason, COUNT(*) AS row_count FROM cl GROUP BY reject_reason"""
+
+ETL_SQL["surrogate_keys"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS customer_id,
+       ROW_NUMBER() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS customer_sk
+FROM customer"""
+
+ETL_SQL["dim_customer_members"] = members_sql(
+    "SELECT customer_id FROM cm", "customer_id", "customer_sk", True).replace(
+    "FROM arrivals", "FROM raw")
+ETL_SQL["dim_product_members"] = members_sql(
+    "SELECT product_id FROM pm", "product_id", "product_sk", True).replace(
+    "FROM arrivals", "FROM raw")
+ETL_SQL["dim_store_members"] = members_sql(
+    "SELECT r_regionkey AS store_id FROM region", "store_id", "store_sk", False).replace(
+    "FROM arrivals", "FROM (SELECT store_id FROM raw JOIN cm USING (customer_id))")
+ETL_SQL["dim_supplier_members"] = members_sql(
+    "SELECT s_suppkey AS supplier_id FROM supplier", "supplier_id", "supplier_sk", False).replace(
+    "FROM arrivals", "FROM (SELECT CAST(supplier_id AS BIGINT) AS supplier_id FROM raw)")
+
+ETL_SQL["dim_time_from_sales"] = f"""
+SELECT {CAL_COLS}
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"""
+
+ETL_SQL["dim_time_calendar"] = f"""
+WITH b AS (SELECT make_date(CAST(year(MIN(o_orderdate)) AS INTEGER), 1, 1) AS lo,
+                  make_date(CAST(year(MAX(o_orderdate)) AS INTEGER), 12, 31) AS hi FROM orders),
+days AS (SELECT CAST(lo + INTERVAL (i) DAY AS DATE) AS d
+         FROM b, range(0, 100000) t(i) WHERE lo + INTERVAL (i) DAY <= hi)
+SELECT {CAL_COLS} FROM days"""
+
+ETL_SQL["fact_sales"] = ETL + """
+SELECT r.order_id,
+       DENSE_RANK() OVER (ORDER BY r.customer_id) AS customer_sk,
+       DENSE_RANK() OVER (ORDER BY r.product_id) AS product_sk,
+       DENSE_RANK() OVER (ORDER BY cm.store_id) AS store_sk,
+       DENSE_RANK() OVER (ORDER BY CAST(r.supplier_id AS INTEGER)) AS supplier_sk,
+       CAST(strftime(CAST(r.date AS DATE), '%Y%m%d') AS INTEGER) AS date_sk,
+       CAST(r.quantity AS INTEGER) AS quantity, CAST(pm.price AS DECIMAL(10,2)) AS unit_price,
+       CAST(CAST(r.quantity AS INTEGER) * CAST(pm.price AS DECIMAL(10,2)) AS DECIMAL(12,2))
+         AS total_amount
+FROM raw r JOIN cm ON r.customer_id = cm.customer_id JOIN pm ON r.product_id = pm.product_id"""
+
+ETL_SQL["scd2_customer"] = ETL + """
+, d2 AS (SELECT CAST(MAX(o_orderdate) AS DATE) AS d FROM orders),
+chg AS (SELECT customer_id, city_category,
+               CASE WHEN city_category = 'A' THEN 'B' WHEN city_category = 'B' THEN 'C'
+                    ELSE 'A' END AS new_city
+        FROM cm WHERE customer_id LIKE '%0')
+SELECT customer_id, city_category, DATE '1995-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to,
+       true AS is_current FROM cm WHERE customer_id NOT LIKE '%0'
+UNION ALL SELECT customer_id, city_category, DATE '1995-01-01', (SELECT d FROM d2), false FROM chg
+UNION ALL SELECT customer_id, new_city, (SELECT d FROM d2), CAST(NULL AS DATE), true FROM chg"""
+
+ETL_SQL["dq_completeness"] = ETL + """
+SELECT COUNT(*) AS source_rows,
+       COUNT(*) FILTER (WHERE reject_reason = 'ok') AS loaded_rows,
+       COUNT(*) FILTER (WHERE reject_reason <> 'ok') AS rejected_rows,
+       CAST(0 AS BIGINT) AS unaccounted_rows
+FROM cl"""
+
+ETL_SQL["dq_orphans"] = ETL + """
+SELECT fk_column, dimension, orphan_rows FROM (
+  SELECT 1 AS o, 'customer_sk' AS fk_column, 'dim_customer' AS dimension,
+         COUNT(*) FILTER (WHERE customer_id LIKE '%0') AS orphan_rows
+  FROM cl WHERE reject_reason = 'ok'
+  UNION ALL SELECT 2, 'product_sk', 'dim_product', 0
+  UNION ALL SELECT 3, 'store_sk', 'dim_store', 0
+  UNION ALL SELECT 4, 'supplier_sk', 'dim_supplier', 0
+  UNION ALL SELECT 5, 'date_sk', 'dim_time', 0)"""
+
+ETL_SQL["dq_duplicates"] = """
+SELECT 'customer_master' AS table_name, 'customer_id' AS key_column,
+       COUNT(*) AS duplicate_keys, COUNT(*) AS excess_rows
+FROM customer WHERE CAST(c_custkey AS VARCHAR) LIKE '%7'
+UNION ALL SELECT 'product_master', 'product_id', 0, 0"""
+
+ETL_SQL["dq_nulls"] = ETL + """
+UNPIVOT (
+  SELECT 'transactions' AS table_name,
+    COUNT(*) FILTER (WHERE order_id IS NULL) AS order_id,
+    COUNT(*) FILTER (WHERE customer_id IS NULL) AS customer_id,
+    COUNT(*) FILTER (WHERE product_id IS NULL) AS product_id,
+    COUNT(*) FILTER (WHERE qty IS NULL) AS quantity,
+    COUNT(*) FILTER (WHERE tdate IS NULL) AS transaction_date,
+    COUNT(*) FILTER (WHERE gender IS NULL) AS gender,
+    COUNT(*) FILTER (WHERE product_category IS NULL) AS product_category,
+    COUNT(*) FILTER (WHERE price IS NULL) AS price
+  FROM cl)
+ON order_id, customer_id, product_id, quantity, transaction_date, gender, product_category, price
+INTO NAME column_name VALUE null_count"""
+
+ETL_SQL["dq_ranges"] = STAR + """
+SELECT 'sales_fact' AS table_name, column_name, min_value, max_value FROM (
+  SELECT 'unit_price' AS column_name, CAST(MIN(unit_price) AS VARCHAR) AS min_value,
+         CAST(MAX(unit_price) AS VARCHAR) AS max_value FROM fact
+  UNION ALL SELECT 'total_amount', CAST(MIN(total_amount) AS VARCHAR),
+         CAST(MAX(total_amount) AS VARCHAR) FROM fact
+  UNION ALL SELECT 'quantity', CAST(MIN(quantity) AS VARCHAR), CAST(MAX(quantity) AS VARCHAR)
+         FROM fact
+  UNION ALL SELECT 'transaction_date', CAST(MIN(transaction_date) AS VARCHAR),
+         CAST(MAX(transaction_date) AS VARCHAR) FROM fact)"""
+
+ETL_SQL["dq_domains"] = ETL + """
+SELECT 'gender_char1' AS rule,
+       COUNT(*) FILTER (WHERE length(gender) <> 1 OR gender NOT IN ('M', 'F')) AS violations FROM cm
+UNION ALL SELECT 'city_category_char1',
+       COUNT(*) FILTER (WHERE length(city_category) <> 1 OR city_category NOT IN ('A', 'B', 'C'))
+       FROM cm
+UNION ALL SELECT 'occupation_range', COUNT(*) FILTER (WHERE occupation < 0 OR occupation > 20)
+       FROM cm
+UNION ALL SELECT 'age_group_band', COUNT(*) FILTER (WHERE age_group NOT IN
+       ('0-17', '18-25', '26-35', '36-45', '46-50', '51-55', '55+')) FROM cm
+UNION ALL SELECT 'marital_status_flag', COUNT(*) FILTER (WHERE marital_status NOT IN (0, 1))
+       FROM cm"""

@@ -14,6 +14,7 @@ from ..operators import cleanse, keys, quality, scd2
 from ..session import scratch_path
 from ..sources import masters
 from ..sources import testmap as tm
+from ..streaming import loader, preagg
 from . import load
 
 ENRICHED_COLS = ["order_id", "customer_id", "product_id", "gender", "product_category",
@@ -257,3 +258,33 @@ def dq_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dq_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers, _ = _masters(spark, sf_dir)
     return quality.domains(customers)
+
+
+# ------------------------------------------------------------------ streaming
+def stream_sales_enriched(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
+    """The whole transaction table staged as CSV files, loaded by the streaming loader
+    (one file per micro-batch, ``availableNow``); returns the enriched rows it staged."""
+    base = scratch_path(spark, "stream")
+    src = f"{base}/incoming"
+    masters.write_transactions_csv(tm.raw_transactions(spark, sf_dir), src, files=files)
+    schema = masters.transaction_schema(spark, src)
+    sup = lambda: tm.supplier_master(spark, sf_dir).withColumn(
+        "supplier_id", F.col("supplier_id").cast("int"))
+    q = loader.start(spark, src, schema, f"{base}/warehouse", f"{base}/_checkpoint",
+                     customers=lambda: tm.customer_master(spark, sf_dir),
+                     products=lambda: tm.product_master(spark, sf_dir), suppliers=sup)
+    q.awaitTermination()
+    staged = spark.read.parquet(f"{base}/warehouse/_staging").drop("batch_id")
+    return cleanse.accepted(staged).select(*ENRICHED_COLS)
+
+
+def mv_store_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-aggregate maintained batch by batch (one batch per sales year, written in one
+    pass), then read by merging the partial sums."""
+    star = tm.TestTableStar(spark, sf_dir)
+    path = scratch_path(spark, "store-quarterly")
+    sales = star.joined("store").withColumn("sale_year", F.year("transaction_date"))
+    preagg.apply_batches(sales, path, "sale_year")
+    return preagg.read(spark, path).select(
+        "store_id", "store_name", "year", "quarter", "total_sales", "total_quantity",
+        "transaction_count", "avg_sale_value")

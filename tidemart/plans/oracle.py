@@ -528,3 +528,11 @@ UNION ALL SELECT 'age_group_band', COUNT(*) FILTER (WHERE age_group NOT IN
        ('0-17', '18-25', '26-35', '36-45', '46-50', '51-55', '55+')) FROM cm
 UNION ALL SELECT 'marital_status_flag', COUNT(*) FILTER (WHERE marital_status NOT IN (0, 1))
        FROM cm"""
+
+ETL_SQL["stream_sales_enriched"] = ETL_SQL["enrich_sales_batch"]
+
+ETL_SQL["mv_store_quarterly"] = STAR + f"""
+SELECT s.store_id, s.store_name, year, quarter, {MSUM} AS total_sales, {QSUM} AS total_quantity,
+       COUNT(*) AS transaction_count, {AVG} AS avg_sale_value
+FROM dt JOIN dim_store s USING (store_sk)
+GROUP BY s.store_id, s.store_name, year, quarter"""

@@ -21,6 +21,8 @@ REASONS = ("corrupt", "bad_quantity", "bad_date", "unknown_customer", "unknown_p
 OK = "ok"
 
 CORRUPT_COL = "_corrupt_record"
+# a row missing any of these fields (short line) is corrupt
+REQUIRED = ("order_id", "customer_id", "product_id", "quantity", "date")
 
 
 def typed(raw: DataFrame) -> DataFrame:
@@ -48,7 +50,9 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
     p = products.withColumn("_has_product", F.lit(True))
     j = t.join(c, customer_key, "left").join(p, product_key, "left")
     corrupt = (F.col(CORRUPT_COL).isNotNull() if CORRUPT_COL in raw.columns else F.lit(False))
-    reason = (F.when(corrupt | F.col("order_id").isNull(), F.lit(REASONS[0]))
+    for c in REQUIRED:
+        corrupt = corrupt | F.col(c if c not in ("quantity", "date") else f"{c}_text").isNull()
+    reason = (F.when(corrupt, F.lit(REASONS[0]))
               .when(F.col("quantity").isNull(), F.lit(REASONS[1]))
               .when(F.col("transaction_date").isNull(), F.lit(REASONS[2]))
               .when(F.col("_has_customer").isNull(), F.lit(REASONS[3]))

@@ -433,9 +433,9 @@ ETL_SQL["dim_supplier_members"] = members_sql(
     "SELECT s_suppkey AS supplier_id FROM supplier", "supplier_id", "supplier_sk", False).replace(
     "FROM arrivals", "FROM (SELECT CAST(supplier_id AS BIGINT) AS supplier_id FROM raw)")
 
-ETL_SQL["dim_time_from_sales"] = f"""
+ETL_SQL["dim_time_from_sales"] = ETL + f"""
 SELECT {CAL_COLS}
-FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"""
+FROM (SELECT DISTINCT CAST(date AS DATE) AS d FROM raw)"""
 
 ETL_SQL["dim_time_calendar"] = f"""
 WITH b AS (SELECT make_date(CAST(year(MIN(o_orderdate)) AS INTEGER), 1, 1) AS lo,

@@ -42,8 +42,12 @@ TRANSACTION_FIELDS = {
     "date": "date",
 }
 
+# Empty fields are read as '' (not NULL): a NULL in a text column then means the token
+# was missing (short row), which is detectable even when the CSV parser prunes columns
+# and leaves ``_corrupt_record`` unset.
 _CSV_OPTS = {"header": "true", "ignoreLeadingWhiteSpace": "true",
-             "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
+             "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE",
+             "nullValue": "<NULL>", "emptyValue": ""}
 
 
 def header_schema(spark: SparkSession, path: str) -> T.StructType:

@@ -68,6 +68,8 @@ def customer_attributes(c: DataFrame) -> DataFrame:
 
 
 class TestTableStar(Star):
+    __test__ = False  # not a pytest class
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir

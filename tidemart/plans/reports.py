@@ -56,7 +56,7 @@ def q02_customer_demographics(star: Star) -> DataFrame:
     """Eager aggregation: the fact is reduced to one row per customer before the
     customer join, so the join (and its shuffle) is customer-sized, not fact-sized, and
     COUNT(DISTINCT customer) becomes COUNT(*) over per-customer rows."""
-    per_cust = star.fact().groupBy("customer_sk").agg(
+    per_cust = star.joined().groupBy("customer_sk").agg(
         F.sum("total_amount").alias("_s"), F.count(F.lit(1)).alias("_n"))
     cust = star.dim("customer").select("customer_sk", "gender", "age_group", "city_category")
     j = per_cust.join(cust, "customer_sk")
@@ -113,7 +113,7 @@ def q06_city_marital_monthly(star: Star, as_of=None, months: int = 6) -> DataFra
 # ---------------------------------------------------------------- Q7
 def q07_stay_duration_gender(star: Star) -> DataFrame:
     """Same eager aggregation as Q2 (customer-only attributes)."""
-    per_cust = star.fact().groupBy("customer_sk").agg(
+    per_cust = star.joined().groupBy("customer_sk").agg(
         F.sum("total_amount").alias("_s"), F.count(F.lit(1)).alias("_n"))
     cust = star.dim("customer").select(
         "customer_sk", F.col("stay_in_current_city_years").alias("stay_duration_years"), "gender")
@@ -213,7 +213,7 @@ def q15_store_supplier_volatility(star: Star) -> DataFrame:
 def q16_product_affinity(star: Star, k: int = DEFAULT_K) -> DataFrame:
     """Pairs of products bought in one order by one customer. Product attributes are
     looked up only for the k winning pairs (product_id -> category is functional)."""
-    lines = star.fact().select("order_id", "customer_sk", "product_sk", "total_amount")
+    lines = star.joined().select("order_id", "customer_sk", "product_sk", "total_amount")
     pairs = olap.basket_pairs(lines, ["order_id", "customer_sk"], "product_sk", "total_amount",
                               first="p1_sk", second="p2_sk",
                               freq="frequency_purchased_together", revenue="combined_revenue")
@@ -254,7 +254,7 @@ def q18_half_year_sales(star: Star, as_of=None) -> DataFrame:
 
 # ---------------------------------------------------------------- Q19
 def q19_revenue_spikes(star: Star, factor: int = 2) -> DataFrame:
-    daily = (star.fact().groupBy("product_sk", "transaction_date")
+    daily = (star.joined().groupBy("product_sk", "transaction_date")
              .agg(money.money_sum("total_amount").alias("daily_sales")))
     spikes = olap.revenue_spikes(daily, "product_sk", "daily_sales", factor)
     prod = star.dim("product").select("product_sk", "product_id", "product_category")
@@ -288,7 +288,7 @@ def util_table_counts(star: Star) -> DataFrame:
 
 
 def util_revenue_summary(star: Star) -> DataFrame:
-    f = star.fact()
+    f = star.joined()
     return f.agg(
         F.count(F.lit(1)).alias("total_transactions"),
         money.money_sum("total_amount").alias("total_revenue"),

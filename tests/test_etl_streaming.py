@@ -106,3 +106,39 @@ def test_f2_insert_if_absent_and_replay(spark, tmp_dir):
     # replay everything with a fresh checkpoint: nothing changes
     _run_stream(spark, src, root, os.path.join(tmp_dir, "ck2"))
     assert state() == first
+
+
+def test_stream_progress_counters_and_ddl(spark, tmp_dir):
+    from tidemart import schema
+    src = os.path.join(tmp_dir, "in")
+    _write(src, "a.csv", _tx([("O1", "C1", "P1"), ("O2", "C2", "P2")]))
+    root = os.path.join(tmp_dir, "wh")
+    cust = spark.createDataFrame([("C1", "F"), ("C2", "M")], "customer_id string, gender string")
+    prod = spark.createDataFrame([("P1", "x", 1.0, 1, "S", 1, "Sup"),
+                                  ("P2", "y", 2.5, 2, "T", 1, "Sup")],
+                                 "product_id string, product_category string, price double, "
+                                 "store_id int, store_name string, supplier_id int, "
+                                 "supplier_name string")
+    q = loader.start(spark, src, masters.transaction_schema(spark, src), root,
+                     os.path.join(tmp_dir, "ck"), lambda: cust, lambda: prod)
+    q.awaitTermination()
+    metrics = [p["observedMetrics"]["transactions_in"] for p in q.recentProgress
+               if p.get("observedMetrics")]
+    assert sum(m["rows"] for m in metrics) == 2
+    db = "tidemart_ddl_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    made = schema.create_tables(spark, root, db)
+    assert spark.table(f"{db}.sales_fact").count() == 2
+    assert spark.table(f"{db}.dim_store").count() == 2
+    schema.drop_tables(spark, db)
+    assert len(made) == 7
+
+
+def test_time_members_holidays(spark):
+    import datetime as dt
+    from tidemart.plans.load import time_members
+    dates = spark.createDataFrame([(dt.date(2017, 12, 25),), (dt.date(2017, 12, 26),)],
+                                  "transaction_date date")
+    hol = spark.createDataFrame([(dt.date(2017, 12, 25),)], "holiday_date date")
+    got = {r["transaction_date"].day: r["is_holiday"] for r in time_members(dates, hol).collect()}
+    assert got == {25: 1, 26: 0}

@@ -61,8 +61,22 @@ def _with_dim_attrs(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def time_members(dates: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
+    """DIM_TIME rows for a set of dates (column ``transaction_date``). ``holidays`` is an
+    optional table of holiday dates (column ``holiday_date``); it is one row per calendar
+    day at most, so it is broadcast."""
+    if holidays is None:
+        return dates.select(*cal.calendar_columns("transaction_date"))
+    h = F.broadcast(holidays.select(F.col("holiday_date").alias("transaction_date"))
+                    .distinct().withColumn("_hol", F.lit(1)))
+    d = dates.join(h, "transaction_date", "left")
+    return d.select(*cal.calendar_columns(
+        "transaction_date", holidays=F.coalesce(F.col("_hol"), F.lit(0))))
+
+
 def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, products: DataFrame,
-               root: str, batch_id: int, suppliers: DataFrame | None = None) -> dict[str, int]:
+               root: str, batch_id: int, suppliers: DataFrame | None = None,
+               holidays: DataFrame | None = None) -> dict[str, int]:
     """Load one batch of raw transactions into the star at ``root``. Returns counters
     (rows in, facts, quarantined)."""
     root = root.rstrip("/")
@@ -92,7 +106,7 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
     dates = good.select("transaction_date").distinct()
     if existing_t is not None:
         dates = dates.join(existing_t.select("transaction_date"), "transaction_date", "left_anti")
-    _write(dates.select(*cal.calendar_columns("transaction_date")), tpath, batch_id)
+    _write(time_members(dates, holidays), tpath, batch_id)
 
     # facts: business keys -> surrogate keys of members up to this batch
     lookups = []
@@ -100,7 +114,13 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
         if bk in good.columns:
             lookups.append((read_upto(spark, f"{root}/dim_{name}", batch_id, inclusive=True),
                             bk, sk))
-    fact = keys.lookup_keys(good, lookups)
+    if any(d is None for d, _, _ in lookups):
+        # no member was ever written: the batch had no accepted rows
+        fact = good.where(F.lit(False))
+        for _, bk, sk in lookups:
+            fact = fact.withColumn(sk, F.lit(None).cast("long"))
+    else:
+        fact = keys.lookup_keys(good, lookups)
     for _, (bk, sk, _) in DIM_SPECS.items():
         if sk not in fact.columns:
             fact = fact.withColumn(sk, F.lit(None).cast("long"))

@@ -69,7 +69,7 @@ class Star:
 
     def table_counts(self) -> DataFrame:
         """(table_name, record_count) of the fact and the five dimensions."""
-        parts = [self.fact().select(F.lit("SALES_FACT").alias("table_name"))]
+        parts = [self.joined().select(F.lit("SALES_FACT").alias("table_name"))]
         for name, label in (("customer", "DIM_CUSTOMER"), ("product", "DIM_PRODUCT"),
                             ("store", "DIM_STORE"), ("supplier", "DIM_SUPPLIER"),
                             ("time", "DIM_TIME")):

@@ -47,6 +47,10 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
     """Start the streaming load; ``available_now`` drains what is there and stops,
     otherwise the query keeps running on a ``processing_time`` trigger."""
     stream = masters.stream_transactions(spark, source_dir, schema, max_files_per_trigger)
+    # run counters, reported per micro-batch in StreamingQueryProgress.observedMetrics
+    stream = stream.observe("transactions_in",
+                            F.count(F.lit(1)).alias("rows"),
+                            F.count("_corrupt_record").alias("corrupt_rows"))
     writer = (stream.writeStream
               .foreachBatch(warehouse_batch(spark, root, customers, products, suppliers))
               .option("checkpointLocation", checkpoint))

@@ -31,6 +31,41 @@ def _current_year(as_of) -> tuple[_dt.date, _dt.date]:
     return cal.year_range(cal.as_date(as_of).year)
 
 
+def _per_customer(star: Star, other_dims: tuple[str, ...], other_keys: list[str],
+                  cust_attrs: list[str], period=None) -> DataFrame:
+    """Eager aggregation before the customer join: additive partials per
+    (customer_sk, other_keys), then the customer attributes. The join shuffles the
+    pre-aggregated rows instead of fact rows, and because every customer has one set of
+    attributes, COUNT(DISTINCT customer_sk) over the result is an exact COUNT(*)."""
+    s = star.joined(*other_dims, period=period)
+    if "day_type" in other_keys:
+        s = s.withColumn("day_type", _day_type())
+    per = s.groupBy("customer_sk", *other_keys).agg(
+        F.sum("total_amount").alias("_s"), F.sum("quantity").alias("_q"),
+        F.count(F.lit(1)).alias("_n"))
+    cust = star.dim("customer").select("customer_sk", *cust_attrs)
+    return per.join(cust, "customer_sk")
+
+
+def _merge(df: DataFrame, keys: list[str], *, total: str | None = None,
+           qty: str | None = None, count: str | None = None, avg: str | None = None,
+           customers: str | None = None) -> DataFrame:
+    """Final aggregate over ``_per_customer`` partials (same measures as
+    ``olap.standard_measures``; ``customers`` = exact distinct customer count)."""
+    aggs = []
+    if total:
+        aggs.append(F.sum("_s").cast(money.SUM_TYPE).alias(total))
+    if qty:
+        aggs.append(F.sum("_q").cast("long").alias(qty))
+    if count:
+        aggs.append(F.sum("_n").cast("long").alias(count))
+    if avg:
+        aggs.append(money.exact_avg(F.sum("_s"), F.sum("_n")).alias(avg))
+    if customers:
+        aggs.append(F.count(F.lit(1)).alias(customers))
+    return df.groupBy(*keys).agg(*aggs)
+
+
 # ---------------------------------------------------------------- Q1
 def q01_top_products_daytype(star: Star, k: int = DEFAULT_K) -> DataFrame:
     s = star.joined("product", "time").withColumn("day_type", _day_type())
@@ -71,28 +106,27 @@ def q02_customer_demographics(star: Star) -> DataFrame:
 
 # ---------------------------------------------------------------- Q3
 def q03_category_by_occupation(star: Star) -> DataFrame:
-    s = star.joined("customer", "product")
-    out = s.groupBy("occupation", "product_category").agg(
-        *olap.standard_measures(qty="total_quantity", total="total_sales", avg="avg_sale_value",
-                                distinct=("customer_sk", "customer_count")))
+    j = _per_customer(star, ("product",), ["product_category"], ["occupation"])
+    out = _merge(j, ["occupation", "product_category"], qty="total_quantity",
+                 total="total_sales", avg="avg_sale_value", customers="customer_count")
     return out.orderBy(F.col("total_sales").desc(), "occupation", "product_category")
 
 
 # ---------------------------------------------------------------- Q4
 def q04_gender_age_quarterly(star: Star, as_of=None) -> DataFrame:
-    s = star.joined("customer", "time", period=_current_year(as_of))
-    out = s.groupBy("gender", "age_group", "year", "quarter").agg(
-        *olap.standard_measures(qty="total_quantity", total="total_purchase_amount",
-                                avg="avg_purchase_amount", count="transaction_count"))
+    j = _per_customer(star, ("time",), ["year", "quarter"], ["gender", "age_group"],
+                      period=_current_year(as_of))
+    out = _merge(j, ["gender", "age_group", "year", "quarter"], qty="total_quantity",
+                 total="total_purchase_amount", avg="avg_purchase_amount",
+                 count="transaction_count")
     return out.orderBy("year", "quarter", "gender", "age_group")
 
 
 # ---------------------------------------------------------------- Q5
 def q05_top_occupations(star: Star, k: int = DEFAULT_K) -> DataFrame:
-    s = star.joined("customer", "product")
-    g = s.groupBy("occupation", "product_category").agg(
-        *olap.standard_measures(total="total_sales", count="transaction_count",
-                                avg="avg_sale_value"))
+    j = _per_customer(star, ("product",), ["product_category"], ["occupation"])
+    g = _merge(j, ["occupation", "product_category"], total="total_sales",
+               count="transaction_count", avg="avg_sale_value")
     return olap.top_k(g, k, [F.col("total_sales").desc(), F.col("transaction_count").desc(),
                              "occupation", "product_category"])
 
@@ -102,10 +136,11 @@ def q06_city_marital_monthly(star: Star, as_of=None, months: int = 6) -> DataFra
     """``DATEDIFF(MONTH, d, as_of) <= months`` == ``d >= first day of (as_of month - months)``;
     later dates pass too, as in the original predicate."""
     start = cal.months_back_start(cal.as_date(as_of), months)
-    s = star.joined("customer", "time", period=(start, _dt.date(9999, 12, 31)))
-    out = s.groupBy("city_category", "marital_status", "year", "month").agg(
-        *olap.standard_measures(total="total_purchase_amount", count="transaction_count",
-                                avg="avg_purchase_amount"))
+    j = _per_customer(star, ("time",), ["year", "month"], ["city_category", "marital_status"],
+                      period=(start, _dt.date(9999, 12, 31)))
+    out = _merge(j, ["city_category", "marital_status", "year", "month"],
+                 total="total_purchase_amount", count="transaction_count",
+                 avg="avg_purchase_amount")
     return out.orderBy(F.col("year").desc(), F.col("month").desc(),
                        F.col("total_purchase_amount").desc(), "city_category", "marital_status")
 
@@ -127,11 +162,9 @@ def q07_stay_duration_gender(star: Star) -> DataFrame:
 
 # ---------------------------------------------------------------- Q8
 def q08_top_cities_category(star: Star, k: int = DEFAULT_K) -> DataFrame:
-    s = star.joined("customer", "product")
-    g = s.groupBy("city_category", "product_category").agg(
-        *olap.standard_measures(total="total_revenue", qty="total_quantity",
-                                distinct=("customer_sk", "unique_customers"),
-                                avg="avg_sale_value"))
+    j = _per_customer(star, ("product",), ["product_category"], ["city_category"])
+    g = _merge(j, ["city_category", "product_category"], total="total_revenue",
+               qty="total_quantity", customers="unique_customers", avg="avg_sale_value")
     return olap.top_k(g, k, [F.col("total_revenue").desc(), F.col("total_quantity").desc(),
                              "city_category", "product_category"])
 
@@ -148,11 +181,10 @@ def q09_monthly_growth(star: Star, as_of=None) -> DataFrame:
 
 # ---------------------------------------------------------------- Q10
 def q10_weekend_weekday_age(star: Star, as_of=None) -> DataFrame:
-    s = star.joined("customer", "time", period=_current_year(as_of)) \
-        .withColumn("day_type", _day_type())
-    out = s.groupBy("age_group", "day_type").agg(
-        *olap.standard_measures(total="total_sales", count="transaction_count",
-                                avg="avg_sale_value", qty="total_quantity"))
+    j = _per_customer(star, ("time",), ["day_type"], ["age_group"],
+                      period=_current_year(as_of))
+    out = _merge(j, ["age_group", "day_type"], total="total_sales", count="transaction_count",
+                 avg="avg_sale_value", qty="total_quantity")
     return out.orderBy("age_group", "day_type")
 
 
@@ -224,8 +256,9 @@ def q16_product_affinity(star: Star, k: int = DEFAULT_K) -> DataFrame:
                      F.col("product_category").alias("category1"))
     p2 = prod.select(F.col("product_sk").alias("p2_sk"), F.col("product_id").alias("product2"),
                      F.col("product_category").alias("category2"))
-    # k rows on the left: the planner broadcasts them (AQE sees the 5-row side)
-    out = top.join(p1, "p1_sk").join(p2, "p2_sk")
+    # the k winning pairs are broadcast (size bound = k), so the product table is only
+    # scanned, never shuffled, whatever its size
+    out = p2.join(F.broadcast(p1.join(F.broadcast(top), "p1_sk")), "p2_sk")
     return out.select("product1", "category1", "product2", "category2",
                       "frequency_purchased_together", "combined_revenue").orderBy(
         F.col("frequency_purchased_together").desc(), F.col("combined_revenue").desc(),

@@ -142,3 +142,35 @@ def test_time_members_holidays(spark):
     hol = spark.createDataFrame([(dt.date(2017, 12, 25),)], "holiday_date date")
     got = {r["transaction_date"].day: r["is_holiday"] for r in time_members(dates, hol).collect()}
     assert got == {25: 1, 26: 0}
+
+
+SWAPPED = """orderID,Product_ID,Customer_ID,quantity,date
+O9,P1,C1,1,2017-01-02
+"""
+
+
+def test_bad_header_file_is_quarantined_batch(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    _write(src, "a.csv", _tx([("O1", "C1", "P1")]))
+    _write(src, "b.csv", SWAPPED)
+    cust = spark.createDataFrame([("C1", "F")], "customer_id string, gender string")
+    prod = spark.createDataFrame([("P1", "x", 1.0)],
+                                 "product_id string, product_category string, price double")
+    schema = masters.transaction_schema(spark, os.path.join(src, "a.csv"))
+    raw = masters.read_transactions(spark, src, schema)
+    got = {r["order_id"]: r["reject_reason"]
+           for r in cleanse.classify(raw, cust, prod).collect()}
+    assert got == {"O1": "ok", "O9": "bad_header"}
+
+
+def test_bad_header_file_is_quarantined_stream(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    _write(src, "a.csv", _tx([("O1", "C1", "P1")]))
+    os.utime(os.path.join(src, "a.csv"), (1_000_000_000, 1_000_000_000))
+    _write(src, "b.csv", SWAPPED)
+    root = os.path.join(tmp_dir, "wh")
+    _run_stream(spark, src, root, os.path.join(tmp_dir, "ck"))
+    rej = {(r["order_id"], r["reject_reason"])
+           for r in spark.read.parquet(f"{root}/quarantine").collect()}
+    assert rej == {("O9", "bad_header")}
+    assert spark.read.parquet(f"{root}/sales_fact").count() == 1

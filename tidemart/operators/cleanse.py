@@ -3,7 +3,7 @@
 Raw transactions are text (order_id, customer_id, product_id, quantity, date [, more]).
 Every row leaves either as a typed, enriched sale or as a quarantined row with the
 first failing reason, in this fixed order:
-    corrupt -> bad_quantity -> bad_date -> unknown_customer -> unknown_product
+    bad_header -> corrupt -> bad_quantity -> bad_date -> unknown_customer -> unknown_product
 """
 
 from __future__ import annotations
@@ -17,7 +17,8 @@ from ..functions import calendar as cal
 from ..functions import money
 
 # Fixed reject reasons, in evaluation order.
-REASONS = ("corrupt", "bad_quantity", "bad_date", "unknown_customer", "unknown_product")
+REASONS = ("bad_header", "corrupt", "bad_quantity", "bad_date", "unknown_customer",
+           "unknown_product")
 OK = "ok"
 
 CORRUPT_COL = "_corrupt_record"
@@ -52,13 +53,16 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
     corrupt = (F.col(CORRUPT_COL).isNotNull() if CORRUPT_COL in raw.columns else F.lit(False))
     for c in REQUIRED:
         corrupt = corrupt | F.col(c if c not in ("quantity", "date") else f"{c}_text").isNull()
-    reason = (F.when(corrupt, F.lit(REASONS[0]))
-              .when(F.col("quantity").isNull(), F.lit(REASONS[1]))
-              .when(F.col("transaction_date").isNull(), F.lit(REASONS[2]))
-              .when(F.col("_has_customer").isNull(), F.lit(REASONS[3]))
-              .when(F.col("_has_product").isNull(), F.lit(REASONS[4]))
+    bad_header = F.col("_bad_header") if "_bad_header" in raw.columns else F.lit(False)
+    reason = (F.when(bad_header, F.lit(REASONS[0]))
+              .when(corrupt, F.lit(REASONS[1]))
+              .when(F.col("quantity").isNull(), F.lit(REASONS[2]))
+              .when(F.col("transaction_date").isNull(), F.lit(REASONS[3]))
+              .when(F.col("_has_customer").isNull(), F.lit(REASONS[4]))
+              .when(F.col("_has_product").isNull(), F.lit(REASONS[5]))
               .otherwise(F.lit(OK)))
-    return j.withColumn("reject_reason", reason).drop("_has_customer", "_has_product")
+    return j.withColumn("reject_reason", reason).drop("_has_customer", "_has_product",
+                                                      "_bad_header")
 
 
 def accepted(classified: DataFrame) -> DataFrame:

@@ -9,6 +9,8 @@ from the first file's is refused rather than silently mis-assigned.
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,6 +91,40 @@ def transaction_schema(spark: SparkSession, sample_path: str) -> T.StructType:
     return T.StructType(base.fields + [T.StructField("_corrupt_record", T.StringType(), True)])
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of one file (its CSV header), read through the Hadoop file system
+    of the path (decompressing when the extension names a codec). One line per file."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hpath.getFileSystem(conf).open(hpath)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hpath)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        return reader.readLine() or ""
+    finally:
+        reader.close()
+
+
+def header_names(line: str) -> list[str]:
+    """Header tokens as Spark names them: trimmed, a blank first name is ``_c0``."""
+    names = [t.strip() for t in next(csv.reader([line]), [])]
+    return [n if n or i else "_c0" for i, n in enumerate(names)]
+
+
+def expected_header(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if f.name != "_corrupt_record"]
+
+
+def bad_header_files(spark: SparkSession, files: list[str], schema: T.StructType) -> list[str]:
+    """Files whose header differs from the schema (file order): their rows would be
+    mapped to the wrong columns by position, so they are quarantined whole."""
+    want = expected_header(schema)
+    return [f for f in files if header_names(first_line(spark, f)) != want]
+
+
 def _by_name(df: DataFrame) -> DataFrame:
     cols = []
     for src, dst in TRANSACTION_FIELDS.items():
@@ -100,11 +136,26 @@ def _by_name(df: DataFrame) -> DataFrame:
 
 
 def read_transactions(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Batch read of transaction CSV files (text columns, by name)."""
+    """Batch read of transaction CSV files (text columns, by name). Every file's header is
+    compared with the schema first; rows of a file with another header carry
+    ``_bad_header = true`` (quarantined by the cleanser)."""
     schema = schema or transaction_schema(spark, path)
-    raw = (spark.read.options(**_CSV_OPTS).option("columnNameOfCorruptRecord", "_corrupt_record")
-           .schema(schema).csv(path))
-    return _by_name(raw)
+    files = spark.read.text(path).inputFiles()
+    bad = set(bad_header_files(spark, files, schema))
+    reader = (spark.read.options(**_CSV_OPTS)
+              .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema))
+    parts = []
+    good = [f for f in files if f not in bad]
+    if good:
+        parts.append(_by_name(reader.csv(good)).withColumn("_bad_header", F.lit(False)))
+    if bad:
+        parts.append(_by_name(reader.csv(sorted(bad))).withColumn("_bad_header", F.lit(True)))
+    if not parts:
+        return _by_name(reader.csv(path)).withColumn("_bad_header", F.lit(False))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def stream_transactions(spark: SparkSession, path: str, schema: T.StructType,
@@ -115,7 +166,16 @@ def stream_transactions(spark: SparkSession, path: str, schema: T.StructType,
            .option("columnNameOfCorruptRecord", "_corrupt_record")
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .schema(schema).csv(path))
-    return _by_name(raw)
+    return _by_name(raw).withColumn("_source_file", F.col("_metadata.file_path"))
+
+
+def flag_bad_headers(spark: SparkSession, batch: DataFrame, schema: T.StructType) -> DataFrame:
+    """For a micro-batch of ``stream_transactions``: mark rows of files whose header
+    differs from the schema. The batch's files are at most ``maxFilesPerTrigger``."""
+    files = [r[0] for r in batch.select("_source_file").distinct().collect()]
+    bad = bad_header_files(spark, files, schema)
+    return batch.withColumn("_bad_header", F.col("_source_file").isin(*bad) if bad
+                            else F.lit(False)).drop("_source_file")
 
 
 def write_customer_master_csv(df: DataFrame, path: str) -> None:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,12 +26,22 @@ MasterFn = Callable[[], DataFrame]
 
 
 def warehouse_batch(spark: SparkSession, root: str, customers: MasterFn, products: MasterFn,
-                    suppliers: MasterFn | None = None) -> Callable[[DataFrame, int], None]:
+                    suppliers: MasterFn | None = None,
+                    schema: T.StructType | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one micro-batch -> one idempotent warehouse batch."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        load.load_batch(spark, batch, customers(), products(), root, int(batch_id),
-                        suppliers=suppliers() if suppliers else None)
+        # the micro-batch is read by two actions (its file list, the staging write): keep
+        # it for the duration of the batch so the source is read, and counted, once
+        cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = cached
+            if schema is not None and "_source_file" in rows.columns:
+                rows = masters.flag_bad_headers(spark, rows, schema)
+            load.load_batch(spark, rows, customers(), products(), root, int(batch_id),
+                            suppliers=suppliers() if suppliers else None)
+        finally:
+            cached.unpersist()
         fact = spark.read.parquet(f"{root}/sales_fact").where(F.col("batch_id") == batch_id)
         stores = spark.read.parquet(f"{root}/dim_store").select("store_sk", "store_id",
                                                                 "store_name")
@@ -52,7 +63,8 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
                             F.count(F.lit(1)).alias("rows"),
                             F.count("_corrupt_record").alias("corrupt_rows"))
     writer = (stream.writeStream
-              .foreachBatch(warehouse_batch(spark, root, customers, products, suppliers))
+              .foreachBatch(warehouse_batch(spark, root, customers, products, suppliers,
+                                            schema))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

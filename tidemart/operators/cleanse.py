@@ -47,6 +47,11 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
     customer and product master attributes. Masters are joined with left outer
     equi-joins on their business keys (hash/broadcast chosen by the planner)."""
     t = typed(raw)
+    if not raw.isStreaming:
+        # semi-join reduction: only master records this batch references (a stream-static
+        # join keeps the masters static instead)
+        customers = customers.join(t.select(customer_key).distinct(), customer_key, "left_semi")
+        products = products.join(t.select(product_key).distinct(), product_key, "left_semi")
     c = customers.withColumn("_has_customer", F.lit(True))
     p = products.withColumn("_has_product", F.lit(True))
     j = t.join(c, customer_key, "left").join(p, product_key, "left")

@@ -27,9 +27,12 @@ def dense_keys(df: DataFrame, key: str, sk: str, base: int = 0,
     """(key, sk) for the distinct non-null ``key`` values of ``df``; sk = base + rank."""
     spark = df.sparkSession
     checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    tagged = (keys.repartitionByRange(n, key).sortWithinPartitions(key)
+    # without an explicit count the range exchange uses the session's shuffle partitions
+    # and AQE may coalesce small neighbours (ranges stay contiguous and ordered)
+    ranged = (keys.repartitionByRange(num_partitions, key) if num_partitions
+              else keys.repartitionByRange(key))
+    tagged = (ranged.sortWithinPartitions(key)
               .select(key, F.spark_partition_id().alias("_pid"),
                       F.monotonically_increasing_id().alias("_mid")))
     tagged = tagged.checkpoint(eager=True)
@@ -74,7 +77,7 @@ def new_members(arrivals: DataFrame, existing: DataFrame | None, key: str, sk: s
     Output: key, sk, attrs."""
     cand = first_writer(arrivals, key, list(attrs), order)
     if existing is not None:
-        cand = cand.join(existing.select(key), key, "left_anti")
+        cand = cand.join(members_in(existing, cand, key).select(key), key, "left_anti")
     numbered = dense_keys(cand, key, sk, base=max_key(existing, sk))
     return numbered.join(cand, key).select(key, sk, *attrs)
 
@@ -91,12 +94,21 @@ def upsert_dimension(arrivals: DataFrame, existing: DataFrame | None, key: str,
     return old.unionByName(fresh)
 
 
+def members_in(dim: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """Semi-join reduction: the members of a (possibly huge) dimension whose key occurs in
+    ``rows``. The dimension is the streamed side and the batch's distinct keys the build
+    side, so when a batch is small the dimension is scanned, never shuffled (the planner
+    broadcasts the key set only under its size threshold, sort-merge beyond it)."""
+    return dim.join(rows.select(key).distinct(), key, "left_semi")
+
+
 def lookup_keys(rows: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
     """Replace business keys by surrogate keys: for each (dim, key, sk) an inner equi-join
-    on the business key (rows without a member are routed to quarantine beforehand)."""
+    on the business key against only the members this batch references (rows without a
+    member are routed to quarantine beforehand)."""
     out = rows
     for dim, key, sk in dims:
-        out = out.join(dim.select(key, sk), key)
+        out = out.join(members_in(dim.select(key, sk), rows, key), key)
     return out
 
 

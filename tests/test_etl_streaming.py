@@ -174,3 +174,17 @@ def test_bad_header_file_is_quarantined_stream(spark, tmp_dir):
            for r in spark.read.parquet(f"{root}/quarantine").collect()}
     assert rej == {("O9", "bad_header")}
     assert spark.read.parquet(f"{root}/sales_fact").count() == 1
+
+
+def test_absent_column_defaults(spark, tmp_dir):
+    """FN-13: a column missing from the header takes the default (quantity 0), a missing
+    token on a short row does not."""
+    src = os.path.join(tmp_dir, "in")
+    _write(src, "a.csv", "orderID,Customer_ID,Product_ID,date\nO1,C1,P1,2017-01-02\nO2,C1\n")
+    cust = spark.createDataFrame([("C1", "F")], "customer_id string, gender string")
+    prod = spark.createDataFrame([("P1", "x", 1.0)],
+                                 "product_id string, product_category string, price double")
+    raw = masters.read_transactions(spark, src)
+    got = {r["order_id"]: (r["reject_reason"], r["quantity"])
+           for r in cleanse.classify(raw, cust, prod).collect()}
+    assert got == {"O1": ("ok", 0), "O2": ("corrupt", 0)}

@@ -87,3 +87,25 @@ def test_column_pruning(spark):
     plan = _plan(R.q19_revenue_spikes(TestTableStar(spark, SF)))
     # lineitem scan reads only the columns the report needs
     assert "l_returnflag" not in plan and "l_extendedprice" not in plan
+
+
+def test_repeated_lag_is_one_window(spark):
+    from tidemart.plans import reports as R
+    from tidemart.sources.testmap import TestTableStar
+    import datetime as dt
+    plan = _plan(R.q09_monthly_growth(TestTableStar(spark, SF), as_of=dt.date(1998, 12, 31)))
+    assert sum(1 for line in plan.split("\n") if line.strip().lstrip("+-*:() 0123456789")
+               .startswith("Window ")) == 1
+
+
+def test_bounded_dimensions_are_broadcast(spark):
+    from tidemart.plans import reports as R
+    from tidemart.sources.testmap import TestTableStar
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(R.q12_store_quarter_growth(TestTableStar(spark, SF), year=1997))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # nation/region (fixed size) stay broadcast even when size-based broadcasting is off,
+    # the growing tables (orders, part, customer) do not
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan

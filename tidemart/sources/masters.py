@@ -125,11 +125,18 @@ def bad_header_files(spark: SparkSession, files: list[str], schema: T.StructType
     return [f for f in files if header_names(first_line(spark, f)) != want]
 
 
+# Defaults for a transaction column that is absent from the header (the source's
+# ``row.get(name, default)``): '' for text, 0 for the quantity. A column that is present
+# but has no token on a short row stays NULL and marks the row corrupt.
+TRANSACTION_DEFAULTS = {"order_id": "", "customer_id": "", "product_id": "", "quantity": "0",
+                        "date": ""}
+
+
 def _by_name(df: DataFrame) -> DataFrame:
     cols = []
     for src, dst in TRANSACTION_FIELDS.items():
         cols.append(F.col(f"`{src}`").alias(dst) if src in df.columns
-                    else F.lit(None).cast("string").alias(dst))
+                    else F.lit(TRANSACTION_DEFAULTS[dst]).alias(dst))
     extra = [F.col(f"`{c}`") for c in df.columns
              if c not in TRANSACTION_FIELDS and c != "_c0"]
     return df.select(*cols, *extra)

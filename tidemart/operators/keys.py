@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
@@ -110,8 +110,3 @@ def lookup_keys(rows: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) ->
     for dim, key, sk in dims:
         out = out.join(members_in(dim.select(key, sk), rows, key), key)
     return out
-
-
-def col_or_default(df: DataFrame, name: str, default: Column) -> Column:
-    """A column when present, else the default (a present NULL is not defaulted)."""
-    return F.col(name) if name in df.columns else default

@@ -24,7 +24,6 @@ time:          year, month, month_name, quarter, day, day_of_week, day_name,
 from __future__ import annotations
 
 import datetime as _dt
-from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,11 +132,3 @@ class WarehouseStar(Star):
             else:
                 raise ValueError(f"unknown dimension {d!r}")
         return df
-
-
-def require(dims: Iterable[str]) -> tuple[str, ...]:
-    out = tuple(dims)
-    for d in out:
-        if d not in DIMENSIONS:
-            raise ValueError(f"unknown dimension {d!r}")
-    return out

@@ -60,10 +60,6 @@ TABLES = {
     "store_quarterly_sales": (STORE_QUARTERLY_SALES, ("batch_id",)),
 }
 
-# Source file layouts (all text, by header name).
-TRANSACTION_CSV = T.StructType([_f(n, _S) for n in
-                                ("orderID", "Customer_ID", "Product_ID", "quantity", "date")])
-
 
 def ddl(name: str, location: str, database: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS ... USING parquet PARTITIONED BY ... LOCATION ...``."""

@@ -15,10 +15,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import money
-from ..plans.star import (CUSTOMER_ATTRS, FACT_COLS, PRODUCT_ATTRS, STORE_ATTRS,
-                          SUPPLIER_ATTRS, Period, Star, time_attributes)
 from ..functions import calendar as cal
+from ..functions import money
+from ..plans.star import FACT_COLS, Period, Star, time_attributes
 
 # Fixed values of the test mapping (FIXTURES.md section 2): age bands by account balance
 # (upper bound exclusive, last band open), the married market segments, city letters.

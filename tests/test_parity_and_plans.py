@@ -109,3 +109,11 @@ def test_bounded_dimensions_are_broadcast(spark):
     # nation/region (fixed size) stay broadcast even when size-based broadcasting is off,
     # the growing tables (orders, part, customer) do not
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+
+
+def test_sized_conf():
+    from tidemart.session import sized_conf
+    c = sized_conf(100 * 2**40, executor_cores_total=8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
+    small = sized_conf(10 * 2**20, executor_cores_total=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16  # two waves of 8 cores

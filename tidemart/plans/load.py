@@ -48,9 +48,15 @@ def read_upto(spark: SparkSession, path: str, batch_id: int, inclusive: bool) ->
     return df.where(cond).drop("batch_id")
 
 
-def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...] = ()) -> None:
-    (df.withColumn("batch_id", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...] = (),
+           cluster_by: tuple[str, ...] = ()) -> None:
+    """Append batch ``batch_id`` (dynamic overwrite of that partition only). ``cluster_by``
+    sorts rows inside each task after the partition columns - the writer needs that
+    order anyway - so Parquet row groups get tight min/max statistics on those columns."""
+    out = df.withColumn("batch_id", F.lit(batch_id))
+    if cluster_by:
+        out = out.sortWithinPartitions(*extra_parts, "batch_id", *cluster_by)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*extra_parts, "batch_id").parquet(path))
 
 
@@ -76,9 +82,12 @@ def time_members(dates: DataFrame, holidays: DataFrame | None = None) -> DataFra
 
 def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, products: DataFrame,
                root: str, batch_id: int, suppliers: DataFrame | None = None,
-               holidays: DataFrame | None = None) -> dict[str, int]:
+               holidays: DataFrame | None = None,
+               cluster_fact_by_date: bool = False) -> dict[str, int]:
     """Load one batch of raw transactions into the star at ``root``. Returns counters
-    (rows in, facts, quarantined)."""
+    (rows in, facts, quarantined). ``cluster_fact_by_date`` sorts fact rows by date inside
+    each written file (tighter row-group statistics for sub-year date filters; measured
+    about +15 % load time at sf0.1, so off by default - years are pruned by partition)."""
     root = root.rstrip("/")
     classified = cleanse.classify(raw, customers, products)
     staging = f"{root}/_staging"
@@ -127,7 +136,8 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
     fact = (fact.withColumn("date_sk", cal.date_sk("transaction_date"))
             .select(*FACT_COLS)
             .withColumn("sale_year", F.year("transaction_date")))
-    _write(fact, f"{root}/sales_fact", batch_id, extra_parts=("sale_year",))
+    _write(fact, f"{root}/sales_fact", batch_id, extra_parts=("sale_year",),
+           cluster_by=("transaction_date",) if cluster_fact_by_date else ())
 
     _write(cleanse.rejected(staged, raw.columns), f"{root}/quarantine", batch_id)
     counts = staged.groupBy((F.col("reject_reason") == cleanse.OK).alias("ok")).count().collect()

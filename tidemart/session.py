@@ -54,3 +54,20 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     on a cluster). Used for tables that a job writes and reads back."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/tidemart-work/{tag}-{uuid.uuid4().hex[:12]}"
+
+
+def sized_conf(input_bytes: int, executor_cores_total: int,
+               target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan settings sized from the data volume (apply to the session at
+    submit time). Shuffle partitions aim at ``target_partition_bytes`` per task before AQE
+    coalesces small ones; never fewer than two waves of the cluster's cores."""
+    shuffle = max(2 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }

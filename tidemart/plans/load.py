@@ -14,6 +14,8 @@ rows. Dimensions are written before facts, so a fact never references a missing
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,11 @@ def _with_dim_attrs(rows: DataFrame) -> DataFrame:
     return rows
 
 
+def members_in_dates(existing_t: DataFrame, dates: DataFrame) -> DataFrame:
+    """Dates of the batch that the time dimension already has (semi-join reduction)."""
+    return keys.members_in(existing_t.select("transaction_date"), dates, "transaction_date")
+
+
 def time_members(dates: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     """DIM_TIME rows for a set of dates (column ``transaction_date``). ``holidays`` is an
     optional table of holiday dates (column ``holiday_date``); it is one row per calendar
@@ -101,21 +108,28 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
     good = good.withColumn("store_id", F.col("store_id").cast("int")) \
         if "store_id" in good.columns else good
 
-    # dimensions (before facts)
-    for name, (bk, sk, attrs) in DIM_SPECS.items():
-        if bk not in good.columns:
-            continue
+    # dimensions (all written before the facts). The five builds read the same staged
+    # batch and write separate tables, so they are submitted as concurrent Spark jobs.
+    def build_dim(name: str, bk: str, sk: str, attrs: list[str]) -> None:
         path = f"{root}/dim_{name}"
         existing = read_upto(spark, path, batch_id, inclusive=False)
         present = [a for a in attrs if a in good.columns]
-        fresh = keys.new_members(good, existing, bk, sk, present)
-        _write(fresh, path, batch_id)
-    tpath = f"{root}/dim_time"
-    existing_t = read_upto(spark, tpath, batch_id, inclusive=False)
-    dates = good.select("transaction_date").distinct()
-    if existing_t is not None:
-        dates = dates.join(existing_t.select("transaction_date"), "transaction_date", "left_anti")
-    _write(time_members(dates, holidays), tpath, batch_id)
+        _write(keys.new_members(good, existing, bk, sk, present), path, batch_id)
+
+    def build_time() -> None:
+        tpath = f"{root}/dim_time"
+        existing_t = read_upto(spark, tpath, batch_id, inclusive=False)
+        dates = good.select("transaction_date").distinct()
+        if existing_t is not None:
+            dates = dates.join(members_in_dates(existing_t, dates), "transaction_date",
+                               "left_anti")
+        _write(time_members(dates, holidays), tpath, batch_id)
+
+    tasks = [(build_dim, (name, bk, sk, attrs)) for name, (bk, sk, attrs) in DIM_SPECS.items()
+             if bk in good.columns] + [(build_time, ())]
+    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+        for fut in [pool.submit(fn, *args) for fn, args in tasks]:
+            fut.result()
 
     # facts: business keys -> surrogate keys of members up to this batch
     lookups = []

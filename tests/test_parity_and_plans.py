@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from tools.check_oracle import TABLES, digest
+from tools.check_oracle import TABLES, digest, duck_family, spark_family
 
 SF = "/root/testdata/sf0.001"
 
@@ -35,6 +35,9 @@ def test_parity(spark, duck, key):
     from __spark_entry__ import oracle_sql, queries
     df = queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = duck.sql(oracle_sql()[key])
+    assert {f.name: spark_family(f.dataType) for f in df.schema.fields} == \
+        {c: duck_family(t) for c, t in zip(rel.columns, rel.types)}
     res = duck.execute(oracle_sql()[key])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()

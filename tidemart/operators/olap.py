@@ -141,7 +141,8 @@ def rollup_report(df: DataFrame, levels: Sequence[str], aggs: dict[str, tuple[st
             roll_aggs.append(F.sum(name).cast(money.SUM_TYPE).alias(name))
         else:
             roll_aggs.append(F.sum(name).cast("long").alias(name))
-    return fine.rollup(*levels).agg(F.grouping_id().alias(grouping_name), *roll_aggs)
+    return fine.rollup(*levels).agg(F.grouping_id().cast("int").alias(grouping_name),
+                                    *roll_aggs)
 
 
 def half_year_pivot(df: DataFrame, keys: Sequence[str], month: str, amount: str,

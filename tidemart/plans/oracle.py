@@ -93,8 +93,9 @@ REPORT_SQL["q01_top_per_daytype"] = STAR + f"""
   FROM dt JOIN dim_product p USING (product_sk)
   GROUP BY 1, 2, 3, 4, 5)
 SELECT * FROM (
-  SELECT g.*, ROW_NUMBER() OVER (PARTITION BY day_type, year, month
-                ORDER BY total_revenue DESC, transaction_count DESC, product_id) AS rank
+  SELECT g.*, CAST(ROW_NUMBER() OVER (PARTITION BY day_type, year, month
+                ORDER BY total_revenue DESC, transaction_count DESC, product_id) AS INTEGER)
+                AS rank
   FROM g) t
 WHERE rank <= 5"""
 

@@ -188,3 +188,17 @@ def test_absent_column_defaults(spark, tmp_dir):
     got = {r["order_id"]: (r["reject_reason"], r["quantity"])
            for r in cleanse.classify(raw, cust, prod).collect()}
     assert got == {"O1": ("ok", 0), "O2": ("corrupt", 0)}
+
+
+def test_master_reduction_same_result(spark):
+    from tidemart.plans import etl
+    sf = "/root/testdata/sf0.001"
+    raw = etl.dirty_transactions(spark, sf)
+    customers, products = etl._masters(spark, sf)
+    plain = cleanse.classify(raw, customers, products)
+    reduced = cleanse.classify(raw, customers, products, reduce_masters=True)
+    cols = ["order_id", "line_number", "reject_reason", "gender", "product_category"]
+    assert plain.select(cols).exceptAll(reduced.select(cols)).count() == 0
+    assert reduced.count() == plain.count()
+    plan = reduced._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan

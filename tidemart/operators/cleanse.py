@@ -42,12 +42,17 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
-             customer_key: str = "customer_id", product_key: str = "product_id") -> DataFrame:
+             customer_key: str = "customer_id", product_key: str = "product_id",
+             reduce_masters: bool = False) -> DataFrame:
     """All rows with a ``reject_reason`` (``ok`` for good ones) and, for good rows, the
     customer and product master attributes. Masters are joined with left outer
-    equi-joins on their business keys (hash/broadcast chosen by the planner)."""
+    equi-joins on their business keys (hash/broadcast chosen by the planner).
+
+    ``reduce_masters`` (micro-batches): first cut the masters down to the keys the batch
+    references, so a small batch never shuffles a big master. On whole-history batches
+    it only adds work (measured +33 % at sf0.1), hence off by default."""
     t = typed(raw)
-    if not raw.isStreaming:
+    if reduce_masters and not raw.isStreaming:
         # semi-join reduction: only master records this batch references (a stream-static
         # join keeps the masters static instead)
         customers = customers.join(t.select(customer_key).distinct(), customer_key, "left_semi")

@@ -71,13 +71,16 @@ def max_key(existing: DataFrame | None, sk: str) -> int:
 
 
 def new_members(arrivals: DataFrame, existing: DataFrame | None, key: str, sk: str,
-                attrs: Sequence[str] = (), order: str | None = None) -> DataFrame:
+                attrs: Sequence[str] = (), order: str | None = None,
+                reduce: bool = False) -> DataFrame:
     """Insert-if-absent: business keys of ``arrivals`` missing from ``existing``, numbered
     after the largest existing key in ascending key order, with first-writer attributes.
-    Output: key, sk, attrs."""
+    Output: key, sk, attrs. ``reduce``: semi-join reduction of ``existing`` first (for
+    small batches against a big dimension)."""
     cand = first_writer(arrivals, key, list(attrs), order)
     if existing is not None:
-        cand = cand.join(members_in(existing, cand, key).select(key), key, "left_anti")
+        known = members_in(existing, cand, key) if reduce else existing
+        cand = cand.join(known.select(key), key, "left_anti")
     numbered = dense_keys(cand, key, sk, base=max_key(existing, sk))
     return numbered.join(cand, key).select(key, sk, *attrs)
 
@@ -102,11 +105,13 @@ def members_in(dim: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return dim.join(rows.select(key).distinct(), key, "left_semi")
 
 
-def lookup_keys(rows: DataFrame, dims: Sequence[tuple[DataFrame, str, str]]) -> DataFrame:
+def lookup_keys(rows: DataFrame, dims: Sequence[tuple[DataFrame, str, str]],
+                reduce: bool = False) -> DataFrame:
     """Replace business keys by surrogate keys: for each (dim, key, sk) an inner equi-join
-    on the business key against only the members this batch references (rows without a
-    member are routed to quarantine beforehand)."""
+    on the business key (rows without a member are routed to quarantine beforehand).
+    ``reduce``: join only the members this batch references (semi-join reduction)."""
     out = rows
     for dim, key, sk in dims:
-        out = out.join(members_in(dim.select(key, sk), rows, key), key)
+        d = dim.select(key, sk)
+        out = out.join(members_in(d, rows, key) if reduce else d, key)
     return out

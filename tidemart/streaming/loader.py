@@ -39,7 +39,7 @@ def warehouse_batch(spark: SparkSession, root: str, customers: MasterFn, product
             if schema is not None and "_source_file" in rows.columns:
                 rows = masters.flag_bad_headers(spark, rows, schema)
             load.load_batch(spark, rows, customers(), products(), root, int(batch_id),
-                            suppliers=suppliers() if suppliers else None)
+                            suppliers=suppliers() if suppliers else None, micro_batch=True)
         finally:
             cached.unpersist()
         fact = spark.read.parquet(f"{root}/sales_fact").where(F.col("batch_id") == batch_id)

@@ -202,3 +202,23 @@ def test_master_reduction_same_result(spark):
     assert reduced.count() == plain.count()
     plan = reduced._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi" in plan
+
+
+def test_progress_listener(spark, tmp_dir):
+    import time
+    from tidemart.streaming.progress import ProgressLogger
+    src = os.path.join(tmp_dir, "in")
+    _write(src, "a.csv", _tx([("O1", "C1", "P1"), ("O2", "C2", "P2")]))
+    os.utime(os.path.join(src, "a.csv"), (1_000_000_000, 1_000_000_000))
+    _write(src, "b.csv", _tx([("O3", "C0", "P1")]))
+    listener = ProgressLogger(every=2)
+    spark.streams.addListener(listener)
+    try:
+        _run_stream(spark, src, os.path.join(tmp_dir, "wh"), os.path.join(tmp_dir, "ck"))
+        for _ in range(50):  # listener events are delivered asynchronously
+            if listener.total >= 3:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert listener.total == 3 and listener.batches == 2

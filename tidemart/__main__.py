@@ -38,6 +38,11 @@ def cmd_load(a: argparse.Namespace) -> int:
     customers = lambda: masters.read_customer_master(spark, a.customers)
     products = lambda: masters.read_product_master(spark, a.products)
     if a.stream:
+        import logging
+
+        from .streaming.progress import ProgressLogger
+        logging.basicConfig(level=logging.INFO)
+        spark.streams.addListener(ProgressLogger())
         sch = masters.transaction_schema(spark, a.transactions)
         q = loader.start(spark, a.transactions, sch, a.warehouse, a.checkpoint, customers,
                          products, max_files_per_trigger=a.max_files,

@@ -1,0 +1,35 @@
+"""Scan helpers.
+
+A small table can arrive as one file with one Parquet row group: the scan is then a
+single task, and every operator fused into that stage (broadcast joins, partial
+aggregation) runs on one core. ``spread_small_input`` spreads such an input over the
+cluster's default parallelism with one round-robin shuffle, but only when the files
+total less than ``tidemart.smallInputBytes`` (default 256 MiB) - one file-system metadata
+call decides. Large inputs (already split into many tasks by the scan) are returned
+untouched, so no extra shuffle ever happens at scale.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+SMALL_INPUT_CONF = "tidemart.smallInputBytes"
+DEFAULT_SMALL_INPUT = 256 << 20
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (one metadata call, no data read)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(hpath).getLength())
+
+
+def spread_small_input(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    limit = int(spark.conf.get(SMALL_INPUT_CONF, str(DEFAULT_SMALL_INPUT)))
+    cores = spark.sparkContext.defaultParallelism
+    if cores <= 1 or limit <= 0:
+        return df
+    if input_bytes(spark, path) >= limit:
+        return df
+    return df.repartition(cores)

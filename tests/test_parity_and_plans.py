@@ -120,3 +120,17 @@ def test_sized_conf():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
     small = sized_conf(10 * 2**20, executor_cores_total=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16  # two waves of 8 cores
+
+
+def test_small_input_spread_is_size_gated(spark):
+    from tidemart.sources.scan import SMALL_INPUT_CONF, spread_small_input
+    path = f"{SF}/lineitem.parquet"
+    df = spark.read.parquet(path)
+    small = spread_small_input(spark, df, path)
+    assert "RoundRobinPartitioning" in small._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(SMALL_INPUT_CONF, "1")  # everything counts as large
+    try:
+        big = spread_small_input(spark, df, path)
+    finally:
+        spark.conf.unset(SMALL_INPUT_CONF)
+    assert "RoundRobinPartitioning" not in big._jdf.queryExecution().executedPlan().toString()

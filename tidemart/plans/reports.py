@@ -232,9 +232,14 @@ def q14_seasonal_category(star: Star) -> DataFrame:
 
 # ---------------------------------------------------------------- Q15
 def q15_store_supplier_volatility(star: Star) -> DataFrame:
-    s = star.joined("store", "supplier", "time")
-    m = s.groupBy("store_id", "store_name", "supplier_id", "supplier_name", "year", "month").agg(
+    """Eager aggregation before the supplier join: monthly sums per (store, supplier_sk)
+    first, then supplier ids/names for those rows only (supplier_sk -> id, name is 1:1),
+    so the supplier dimension meets monthly rows, not fact lines."""
+    s = star.joined("store", "time")
+    monthly = s.groupBy("store_id", "store_name", "supplier_sk", "year", "month").agg(
         money.money_sum("total_amount").alias("monthly_revenue"))
+    sup = star.dim("supplier").select("supplier_sk", "supplier_id", "supplier_name")
+    m = monthly.join(sup, "supplier_sk").drop("supplier_sk")
     out = olap.period_growth(m, ["store_id", "supplier_id"], ["year", "month"],
                              "monthly_revenue", "previous_month_revenue",
                              "volatility_percentage")

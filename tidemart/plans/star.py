@@ -79,12 +79,6 @@ class Star:
         return out.groupBy("table_name").agg(F.count(F.lit(1)).alias("record_count"))
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """Broadcast hint for dimensions whose size is bounded by construction
-    (stores, calendar days), never for ones that grow with the data."""
-    return F.broadcast(df)
-
-
 class WarehouseStar(Star):
     """Star read from Parquet tables written by ``plans.load``.
 
@@ -124,8 +118,9 @@ class WarehouseStar(Star):
                 df = df.join(self.dim("product").select("product_sk", *PRODUCT_ATTRS),
                              "product_sk")
             elif d == "store":
-                df = df.join(_bounded(self.dim("store").select("store_sk", *STORE_ATTRS)),
-                             "store_sk")
+                # no hint: the planner broadcasts the store table only under its size
+                # threshold (a store count is small in practice, but not bounded)
+                df = df.join(self.dim("store").select("store_sk", *STORE_ATTRS), "store_sk")
             elif d == "supplier":
                 df = df.join(self.dim("supplier").select("supplier_sk", *SUPPLIER_ATTRS),
                              "supplier_sk")

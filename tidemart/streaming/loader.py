@@ -45,7 +45,7 @@ def warehouse_batch(spark: SparkSession, root: str, customers: MasterFn, product
         fact = spark.read.parquet(f"{root}/sales_fact").where(F.col("batch_id") == batch_id)
         stores = spark.read.parquet(f"{root}/dim_store").select("store_sk", "store_id",
                                                                 "store_name")
-        preagg.apply_batch(fact.join(F.broadcast(stores), "store_sk"),
+        preagg.apply_batch(fact.join(stores, "store_sk"),
                            f"{root}/store_quarterly_sales", int(batch_id))
 
     return process

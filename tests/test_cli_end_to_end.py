@@ -51,3 +51,17 @@ def test_cli_load_and_report(spark, tmp_dir, capsys):
     assert main(["report", "q12_store_quarter_growth", "--warehouse", wh, "--year", "2017"]) == 0
     out = capsys.readouterr().out
     assert "North" in out and "South" in out
+
+
+def test_cli_dq_checks(spark, tmp_dir, capsys):
+    _w(tmp_dir, "customers.csv", CUST)
+    _w(tmp_dir, "products.csv", PROD)
+    _w(os.path.join(tmp_dir, "tx"), "t1.csv", TX)
+    wh = os.path.join(tmp_dir, "wh")
+    main(["load", "--customers", os.path.join(tmp_dir, "customers.csv"),
+          "--products", os.path.join(tmp_dir, "products.csv"),
+          "--transactions", os.path.join(tmp_dir, "tx"), "--warehouse", wh])
+    capsys.readouterr()
+    assert main(["dq", "--warehouse", wh]) == 0
+    out = capsys.readouterr().out
+    assert '"unaccounted_rows": 0' in out and '"loaded_rows": 4' in out

@@ -5,6 +5,7 @@
     python -m tidemart report q05_top_occupations --warehouse ROOT [--as-of 2017-12-31]
         [--year 2017] [--k 5] [--show 20] [--out PATH]
     python -m tidemart ddl --warehouse ROOT [--database DB]
+    python -m tidemart dq --warehouse ROOT      # exit code 1 when a check fails
 
 Runs on whatever master the session is given (``spark-submit --master ...``); no local
 folders are implied - every path is passed in.
@@ -74,6 +75,39 @@ def cmd_report(a: argparse.Namespace) -> int:
     return 0
 
 
+def warehouse_checks(spark: SparkSession, root: str) -> dict[str, list[dict]]:
+    """The published warehouse checks over a loaded star (DQ-1..5)."""
+    from .operators import quality
+    from .plans.load import DIM_SPECS
+
+    read = lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    fact = read("sales_fact")
+    dims = {n: read(f"dim_{n}") for n in ("customer", "product", "store", "supplier", "time")}
+    out = {
+        "completeness": quality.completeness(read("_staging"), fact, read("quarantine")),
+        "orphans": quality.orphans(fact, dims),
+        "duplicates": quality.duplicates(
+            {f"dim_{n}": (dims[n], bk) for n, (bk, _, _) in DIM_SPECS.items()}
+            | {"dim_time": (dims["time"], "transaction_date")}),
+        "nulls": quality.null_counts(fact, "sales_fact", ["order_id", "customer_sk",
+                                                          "product_sk", "store_sk",
+                                                          "supplier_sk", "date_sk"]),
+        "ranges": quality.ranges(fact, ["unit_price", "total_amount", "quantity",
+                                        "transaction_date"], "sales_fact"),
+    }
+    return {k: [r.asDict() for r in v.collect()] for k, v in out.items()}
+
+
+def cmd_dq(a: argparse.Namespace) -> int:
+    res = warehouse_checks(_session(), a.warehouse)
+    print(json.dumps(res, default=str, indent=1))
+    bad = (res["completeness"][0]["unaccounted_rows"]
+           + sum(r["orphan_rows"] for r in res["orphans"])
+           + sum(r["duplicate_keys"] for r in res["duplicates"])
+           + sum(r["null_count"] for r in res["nulls"]))
+    return 1 if bad else 0
+
+
 def cmd_ddl(a: argparse.Namespace) -> int:
     spark = _session()
     for t in schema.create_tables(spark, a.warehouse, a.database):
@@ -109,6 +143,9 @@ def main(argv: list[str] | None = None) -> int:
     dp.add_argument("--warehouse", required=True)
     dp.add_argument("--database")
     dp.set_defaults(fn=cmd_ddl)
+    qp = sub.add_parser("dq")
+    qp.add_argument("--warehouse", required=True)
+    qp.set_defaults(fn=cmd_dq)
     a = p.parse_args(argv)
     if a.cmd == "load" and a.stream and not a.checkpoint:
         p.error("--stream needs --checkpoint")

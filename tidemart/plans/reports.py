@@ -220,13 +220,11 @@ def q13_supplier_contribution(star: Star) -> DataFrame:
 
 # ---------------------------------------------------------------- Q14
 def q14_seasonal_category(star: Star) -> DataFrame:
-    # The customer join of the original only feeds COUNT(DISTINCT customer_sk); with
-    # enforced foreign keys (dq_orphans) the fact's customer_sk is the same value.
-    s = star.joined("product", "time")
-    out = s.groupBy("product_category", "season").agg(
-        *olap.standard_measures(qty="total_quantity", total="total_sales", avg="avg_sale_value",
-                                distinct=("customer_sk", "unique_customers"),
-                                count="transaction_count"))
+    """The customer join (inner, as in the original) meets per-customer partials of each
+    (category, season), not fact lines; distinct customers are then a COUNT(*)."""
+    j = _per_customer(star, ("product", "time"), ["product_category", "season"], [])
+    out = _merge(j, ["product_category", "season"], qty="total_quantity", total="total_sales",
+                 avg="avg_sale_value", customers="unique_customers", count="transaction_count")
     return out.orderBy("product_category", "season")
 
 

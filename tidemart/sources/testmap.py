@@ -80,9 +80,18 @@ class TestTableStar(Star):
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def t(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        # DataFrames are immutable plans: one file listing / footer read per table
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
+
+    def lines(self) -> DataFrame:
+        if "_lines" not in self._tables:
+            self._tables["_lines"] = fact_lines(self.spark, self.sf_dir)
+        return self._tables["_lines"]
 
     # -- dimensions ---------------------------------------------------------------
     def _store_by_nation(self) -> DataFrame:
@@ -125,7 +134,7 @@ class TestTableStar(Star):
     def _lines(self, period: Period | None, with_category: bool) -> DataFrame:
         # a period keeps only a slice of the history: the join with the filtered orders
         # then drops most lines in the scan task, so spreading them first would not pay
-        li = (fact_lines(self.spark, self.sf_dir) if period is None
+        li = (self.lines() if period is None
               else self.t("lineitem")).select("l_orderkey", "l_partkey", "l_suppkey",
                                                "l_quantity")
         o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate")

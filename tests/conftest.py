@@ -17,6 +17,7 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidemart-test-wh-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     # tests only: no cluster-wide checkpoint folder is configured here

@@ -222,3 +222,16 @@ def test_progress_listener(spark, tmp_dir):
     finally:
         spark.streams.removeListener(listener)
     assert listener.total == 3 and listener.batches == 2
+
+
+def test_unparsable_price_is_rejected(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "m")
+    _write(d, "products.csv", ",Product_ID,Product_Category,price$\n0,P1,x,abc\n1,P2,y,2.50\n")
+    prod = masters.read_product_master(spark, d)
+    cust = spark.createDataFrame([("C1", "F")], "customer_id string, gender string")
+    raw = spark.createDataFrame([("O1", "C1", "P1", "1", "2017-01-02"),
+                                 ("O2", "C1", "P2", "2", "2017-01-02")],
+                                "order_id string, customer_id string, product_id string, "
+                                "quantity string, date string")
+    got = {r["order_id"]: r["reject_reason"] for r in cleanse.classify(raw, cust, prod).collect()}
+    assert got == {"O1": "bad_price", "O2": "ok"}

@@ -4,6 +4,7 @@ Raw transactions are text (order_id, customer_id, product_id, quantity, date [,
 Every row leaves either as a typed, enriched sale or as a quarantined row with the
 first failing reason, in this fixed order:
     bad_header -> corrupt -> bad_quantity -> bad_date -> unknown_customer -> unknown_product
+    -> bad_price
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from ..functions import money
 
 # Fixed reject reasons, in evaluation order.
 REASONS = ("bad_header", "corrupt", "bad_quantity", "bad_date", "unknown_customer",
-           "unknown_product")
+           "unknown_product", "bad_price")
 OK = "ok"
 
 CORRUPT_COL = "_corrupt_record"
@@ -64,12 +65,16 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
     for c in REQUIRED:
         corrupt = corrupt | F.col(c if c not in ("quantity", "date") else f"{c}_text").isNull()
     bad_header = F.col("_bad_header") if "_bad_header" in raw.columns else F.lit(False)
+    # a product whose price does not parse: the row cannot get an amount (the source
+    # skips it), so accepted rows never carry a NULL amount and COUNT(*) = COUNT(amount)
+    price_missing = F.col("price").isNull() if "price" in j.columns else F.lit(False)
     reason = (F.when(bad_header, F.lit(REASONS[0]))
               .when(corrupt, F.lit(REASONS[1]))
               .when(F.col("quantity").isNull(), F.lit(REASONS[2]))
               .when(F.col("transaction_date").isNull(), F.lit(REASONS[3]))
               .when(F.col("_has_customer").isNull(), F.lit(REASONS[4]))
               .when(F.col("_has_product").isNull(), F.lit(REASONS[5]))
+              .when(price_missing, F.lit(REASONS[6]))
               .otherwise(F.lit(OK)))
     return j.withColumn("reject_reason", reason).drop("_has_customer", "_has_product",
                                                       "_bad_header")

@@ -79,7 +79,7 @@ def revenue_spikes(daily: DataFrame, key: str, value: str, factor: int = 2,
     w = Window.partitionBy(key)
     with_stats = (daily
                   .withColumn("_total", F.sum(value).over(w))
-                  .withColumn("_n", F.count(F.lit(1)).over(w)))
+                  .withColumn("_n", F.count(value).over(w)))  # AVG skips NULLs
     spikes = with_stats.filter(F.col(value) * F.col("_n") > F.lit(factor) * F.col("_total"))
     return (spikes
             .withColumn(avg_name, money.exact_avg("_total", "_n"))

@@ -360,6 +360,7 @@ CLASSIFIED = """cl AS (
               WHEN TRY_CAST(trim(d.date) AS DATE) IS NULL THEN 'bad_date'
               WHEN cm.customer_id IS NULL THEN 'unknown_customer'
               WHEN pm.product_id IS NULL THEN 'unknown_product'
+              WHEN pm.price IS NULL THEN 'bad_price'
               ELSE 'ok' END AS reject_reason
   FROM dirty d LEFT JOIN cm ON d.customer_id = cm.customer_id
                LEFT JOIN pm ON d.product_id = pm.product_id)"""

@@ -111,3 +111,13 @@ def test_first_writer_is_deterministic(spark):
     got2 = {r["key"]: r["attr"] for r in keys.first_writer(df, "key", ["attr"]).collect()}
     assert got2 == {"k": "early", "j": "only"}  # smallest attribute set without an order
     assert keys.first_writer(df.where(F.lit(False)), "key", ["attr"]).count() == 0
+
+
+@SETTINGS
+@given(ids=st.lists(st.text("abc0123", min_size=1, max_size=4), min_size=1, max_size=60),
+       base=st.integers(0, 1000))
+def test_dense_keys_small_path_brute_force(spark, ids, base):
+    df = spark.createDataFrame([(i,) for i in ids], "k string")
+    got = {r["k"]: r["sk"] for r in keys.dense_keys(df, "k", "sk", base).collect()}
+    ordered = sorted(set(ids), key=lambda s: s.encode())
+    assert got == {k: base + i + 1 for i, k in enumerate(ordered)}

@@ -22,12 +22,27 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
+# Up to this many new keys a single ordered window numbers them (one task, bounded by
+# this constant); beyond it the distributed range method below is used.
+SMALL_KEY_SET = 1_000_000
+
+
 def dense_keys(df: DataFrame, key: str, sk: str, base: int = 0,
-               num_partitions: int | None = None) -> DataFrame:
-    """(key, sk) for the distinct non-null ``key`` values of ``df``; sk = base + rank."""
+               num_partitions: int | None = None,
+               small_key_set: int = SMALL_KEY_SET) -> DataFrame:
+    """(key, sk) for the distinct non-null ``key`` values of ``df``; sk = base + rank.
+
+    A micro-batch usually brings few new members: when the distinct keys number at most
+    ``small_key_set`` (one count job decides) they are numbered by ``row_number() over
+    (order by key)`` - deterministic on recompute because keys are unique and totally
+    ordered, so no checkpoint is needed. Larger sets use the distributed method."""
     spark = df.sparkSession
-    checkpoint_dir(spark)
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
+    if num_partitions is None and small_key_set > 0:
+        if keys.limit(small_key_set + 1).count() <= small_key_set:
+            return keys.select(key, (F.lit(base) + F.row_number().over(Window.orderBy(key)))
+                               .cast("long").alias(sk))
+    checkpoint_dir(spark)
     # without an explicit count the range exchange uses the session's shuffle partitions
     # and AQE may coalesce small neighbours (ranges stay contiguous and ordered)
     ranged = (keys.repartitionByRange(num_partitions, key) if num_partitions

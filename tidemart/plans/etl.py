@@ -106,7 +106,9 @@ def quarantine_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = tm.read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("customer_id"))
-    return keys.dense_keys(ids, "customer_id", "customer_sk")
+    # the distributed numbering (range partitions + checkpoint + offsets) on the whole
+    # table, whatever its size
+    return keys.dense_keys(ids, "customer_id", "customer_sk", small_key_set=0)
 
 
 def _members(spark: SparkSession, sf_dir: str, master: DataFrame, arrivals: DataFrame,

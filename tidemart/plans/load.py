@@ -54,8 +54,15 @@ def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...]
            cluster_by: tuple[str, ...] = ()) -> None:
     """Append batch ``batch_id`` (dynamic overwrite of that partition only). ``cluster_by``
     sorts rows inside each task after the partition columns - the writer needs that
-    order anyway - so Parquet row groups get tight min/max statistics on those columns."""
+    order anyway - so Parquet row groups get tight min/max statistics on those columns.
+
+    With extra partition columns (the fact's ``sale_year``) the rows are rebalanced on
+    them first: each task then writes one partition folder instead of every task writing
+    into every year (tasks x years small files), and AQE sizes the output tasks to the
+    advisory partition size, splitting a hot year over several tasks."""
     out = df.withColumn("batch_id", F.lit(batch_id))
+    if extra_parts:
+        out = out.hint("rebalance", *extra_parts)
     if cluster_by:
         out = out.sortWithinPartitions(*extra_parts, "batch_id", *cluster_by)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -235,3 +235,14 @@ def test_unparsable_price_is_rejected(spark, tmp_dir):
                                 "quantity string, date string")
     got = {r["order_id"]: r["reject_reason"] for r in cleanse.classify(raw, cust, prod).collect()}
     assert got == {"O1": "bad_price", "O2": "ok"}
+
+
+def test_duplicate_master_key_does_not_multiply_sales(spark):
+    cust = spark.createDataFrame([("C1", "F"), ("C1", "M")], "customer_id string, gender string")
+    prod = spark.createDataFrame([("P1", "x", 1.0)],
+                                 "product_id string, product_category string, price double")
+    raw = spark.createDataFrame([("O1", "C1", "P1", "1", "2017-01-02")],
+                                "order_id string, customer_id string, product_id string, "
+                                "quantity string, date string")
+    out = cleanse.classify(raw, cust, prod).collect()
+    assert len(out) == 1 and out[0]["gender"] == "F"

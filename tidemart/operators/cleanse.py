@@ -44,7 +44,7 @@ def typed(raw: DataFrame) -> DataFrame:
 
 def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
              customer_key: str = "customer_id", product_key: str = "product_id",
-             reduce_masters: bool = False) -> DataFrame:
+             reduce_masters: bool = False, unique_masters: bool = True) -> DataFrame:
     """All rows with a ``reject_reason`` (``ok`` for good ones) and, for good rows, the
     customer and product master attributes. Masters are joined with left outer
     equi-joins on their business keys (hash/broadcast chosen by the planner).
@@ -58,6 +58,11 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
         # join keeps the masters static instead)
         customers = customers.join(t.select(customer_key).distinct(), customer_key, "left_semi")
         products = products.join(t.select(product_key).distinct(), product_key, "left_semi")
+    if unique_masters:
+        # a master with a repeated key (a DQ defect) must not multiply the sale: one
+        # record per key, chosen deterministically
+        customers = _one_per_key(customers, customer_key)
+        products = _one_per_key(products, product_key)
     c = customers.withColumn("_has_customer", F.lit(True))
     p = products.withColumn("_has_product", F.lit(True))
     j = t.join(c, customer_key, "left").join(p, product_key, "left")
@@ -80,6 +85,12 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
                                                       "_bad_header")
 
 
+def _one_per_key(master: DataFrame, key: str) -> DataFrame:
+    from .keys import first_writer
+    attrs = [c for c in master.columns if c != key]
+    return first_writer(master, key, attrs)
+
+
 def accepted(classified: DataFrame) -> DataFrame:
     """Good rows with the measures: unit_price DECIMAL(10,2) from the product master,
     total_amount = quantity x price at DECIMAL(12,2)."""

@@ -246,3 +246,18 @@ def test_duplicate_master_key_does_not_multiply_sales(spark):
                                 "quantity string, date string")
     out = cleanse.classify(raw, cust, prod).collect()
     assert len(out) == 1 and out[0]["gender"] == "F"
+
+
+def test_repeated_master_key_takes_first_record_in_file(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "m")
+    _write(d, "customers.csv", ",Customer_ID,Gender\n0,C1,M\n1,C2,F\n2,C1,F\n")
+    cust = masters.read_customer_master(spark, d, row_order=True)
+    prod = spark.createDataFrame([("P1", "x", 1.0)],
+                                 "product_id string, product_category string, price double")
+    raw = spark.createDataFrame([("O1", "C1", "P1", "1", "2017-01-02")],
+                                "order_id string, customer_id string, product_id string, "
+                                "quantity string, date string")
+    out = cleanse.classify(raw, cust, prod).collect()
+    # first record of C1 in the file is 'M' although 'F' is the smaller value
+    assert len(out) == 1 and out[0]["gender"] == "M"
+    assert "_row_order" not in cleanse.classify(raw, cust, prod).columns

@@ -36,8 +36,9 @@ def _session() -> SparkSession:
 
 def cmd_load(a: argparse.Namespace) -> int:
     spark = _session()
-    customers = lambda: masters.read_customer_master(spark, a.customers)
-    products = lambda: masters.read_product_master(spark, a.products)
+    # masters keep their file order: a repeated key resolves to its first record
+    customers = lambda: masters.read_customer_master(spark, a.customers, row_order=True)
+    products = lambda: masters.read_product_master(spark, a.products, row_order=True)
     if a.stream:
         import logging
 

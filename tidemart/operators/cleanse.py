@@ -63,6 +63,8 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
         # record per key, chosen deterministically
         customers = _one_per_key(customers, customer_key)
         products = _one_per_key(products, product_key)
+    customers = customers.drop(ROW_ORDER)
+    products = products.drop(ROW_ORDER)
     c = customers.withColumn("_has_customer", F.lit(True))
     p = products.withColumn("_has_product", F.lit(True))
     j = t.join(c, customer_key, "left").join(p, product_key, "left")
@@ -85,10 +87,16 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
                                                       "_bad_header")
 
 
+ROW_ORDER = "_row_order"
+
+
 def _one_per_key(master: DataFrame, key: str) -> DataFrame:
+    """One record per key: the first in file order when the master carries
+    ``_row_order`` (see ``sources.masters``), else the smallest attribute tuple."""
     from .keys import first_writer
-    attrs = [c for c in master.columns if c != key]
-    return first_writer(master, key, attrs)
+    order = ROW_ORDER if ROW_ORDER in master.columns else None
+    attrs = [c for c in master.columns if c not in (key, ROW_ORDER)]
+    return first_writer(master, key, attrs, order)
 
 
 def accepted(classified: DataFrame) -> DataFrame:

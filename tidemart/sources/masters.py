@@ -61,7 +61,7 @@ def header_schema(spark: SparkSession, path: str) -> T.StructType:
 
 
 def _typed_select(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
-    cols = []
+    cols = [F.col(ROW_ORDER)] if ROW_ORDER in df.columns else []
     for src, (dst, typ) in fields.items():
         if src in df.columns:
             c = F.trim(F.col(f"`{src}`"))
@@ -73,16 +73,37 @@ def _typed_select(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFram
     return df.select(*cols)
 
 
-def read_customer_master(spark: SparkSession, path: str) -> DataFrame:
+ROW_ORDER = "_row_order"
+
+
+def file_row_order():
+    """Position of a row in the files of a file-source scan: (file modification time,
+    file, split start, position in the split). Exact line order inside a file and file
+    order by arrival; deterministic on recompute (a scan's splits are fixed)."""
+    m = F.col("_metadata")
+    return F.struct(m["file_modification_time"].alias("mtime"), m["file_path"].alias("file"),
+                    m["file_block_start"].alias("block"),
+                    F.monotonically_increasing_id().alias("pos"))
+
+
+def _typed_master(raw: DataFrame, fields: dict, row_order: bool) -> DataFrame:
+    out = _typed_select(raw.withColumn(ROW_ORDER, file_row_order()) if row_order else raw,
+                        fields)
+    return out
+
+
+def read_customer_master(spark: SparkSession, path: str, row_order: bool = False) -> DataFrame:
+    """Typed customer master. ``row_order`` adds ``_row_order`` so that a repeated key
+    resolves to its first record in file order (as the source system reads it)."""
     schema = header_schema(spark, path)
     raw = spark.read.options(**_CSV_OPTS).schema(schema).csv(path)
-    return _typed_select(raw, CUSTOMER_FIELDS)
+    return _typed_master(raw, CUSTOMER_FIELDS, row_order)
 
 
-def read_product_master(spark: SparkSession, path: str) -> DataFrame:
+def read_product_master(spark: SparkSession, path: str, row_order: bool = False) -> DataFrame:
     schema = header_schema(spark, path)
     raw = spark.read.options(**_CSV_OPTS).schema(schema).csv(path)
-    out = _typed_select(raw, PRODUCT_FIELDS)
+    out = _typed_master(raw, PRODUCT_FIELDS, row_order)
     return out.withColumn("price", money.price("price"))
 
 

@@ -261,3 +261,17 @@ def test_repeated_master_key_takes_first_record_in_file(spark, tmp_dir):
     # first record of C1 in the file is 'M' although 'F' is the smaller value
     assert len(out) == 1 and out[0]["gender"] == "M"
     assert "_row_order" not in cleanse.classify(raw, cust, prod).columns
+
+
+def test_last_key_reads_newest_earlier_batch(spark, tmp_dir):
+    from tidemart.plans.load import batch_ids, last_key
+    path = os.path.join(tmp_dir, "dim")
+    for b, sks in ((0, [1, 2]), (2, [3, 4, 5])):  # batch 1 brought no new member
+        spark.createDataFrame([(k,) for k in sks], "customer_sk long") \
+            .write.parquet(f"{path}/batch_id={b}")
+    assert batch_ids(spark, path) == [0, 2]
+    assert last_key(spark, path, 3, "customer_sk") == 5
+    assert last_key(spark, path, 2, "customer_sk") == 2
+    assert last_key(spark, path, 1, "customer_sk") == 2
+    assert last_key(spark, path, 0, "customer_sk") == 0
+    assert last_key(spark, os.path.join(tmp_dir, "none"), 5, "customer_sk") == 0

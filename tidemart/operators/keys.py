@@ -87,16 +87,17 @@ def max_key(existing: DataFrame | None, sk: str) -> int:
 
 def new_members(arrivals: DataFrame, existing: DataFrame | None, key: str, sk: str,
                 attrs: Sequence[str] = (), order: str | None = None,
-                reduce: bool = False) -> DataFrame:
+                reduce: bool = False, base: int | None = None) -> DataFrame:
     """Insert-if-absent: business keys of ``arrivals`` missing from ``existing``, numbered
     after the largest existing key in ascending key order, with first-writer attributes.
     Output: key, sk, attrs. ``reduce``: semi-join reduction of ``existing`` first (for
-    small batches against a big dimension)."""
+    small batches against a big dimension). ``base``: the largest issued key when the
+    caller knows it cheaply (else it is computed from ``existing``)."""
     cand = first_writer(arrivals, key, list(attrs), order)
     if existing is not None:
         known = members_in(existing, cand, key) if reduce else existing
         cand = cand.join(known.select(key), key, "left_anti")
-    numbered = dense_keys(cand, key, sk, base=max_key(existing, sk))
+    numbered = dense_keys(cand, key, sk, base=max_key(existing, sk) if base is None else base)
     return numbered.join(cand, key).select(key, sk, *attrs)
 
 

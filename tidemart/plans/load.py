@@ -42,6 +42,31 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """``batch_id`` partitions present under a table folder (one directory listing)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return []
+    out = []
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("batch_id="):
+            out.append(int(name.split("=", 1)[1]))
+    return sorted(out)
+
+
+def last_key(spark: SparkSession, path: str, batch_id: int, sk: str) -> int:
+    """Largest surrogate key issued before ``batch_id``. Keys grow with the batch, so only
+    the newest earlier batch partition is read - never the whole dimension."""
+    earlier = [b for b in batch_ids(spark, path) if b < batch_id]
+    if not earlier:
+        return 0
+    row = spark.read.parquet(f"{path}/batch_id={earlier[-1]}").agg(F.max(sk).alias("m")).first()
+    return int(row["m"]) if row and row["m"] is not None else 0
+
+
 def read_upto(spark: SparkSession, path: str, batch_id: int, inclusive: bool) -> DataFrame | None:
     if not _exists(spark, path):
         return None
@@ -124,8 +149,9 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
         path = f"{root}/dim_{name}"
         existing = read_upto(spark, path, batch_id, inclusive=False)
         present = [a for a in attrs if a in good.columns]
-        _write(keys.new_members(good, existing, bk, sk, present, reduce=micro_batch), path,
-               batch_id)
+        base = last_key(spark, path, batch_id, sk)
+        _write(keys.new_members(good, existing, bk, sk, present, reduce=micro_batch,
+                                base=base), path, batch_id)
 
     def build_time() -> None:
         tpath = f"{root}/dim_time"

@@ -29,7 +29,7 @@ SMALL_KEY_SET = 1_000_000
 
 def dense_keys(df: DataFrame, key: str, sk: str, base: int = 0,
                num_partitions: int | None = None,
-               small_key_set: int = SMALL_KEY_SET) -> DataFrame:
+               small_key_set: int = SMALL_KEY_SET, known_small: bool = False) -> DataFrame:
     """(key, sk) for the distinct non-null ``key`` values of ``df``; sk = base + rank.
 
     A micro-batch usually brings few new members: when the distinct keys number at most
@@ -39,7 +39,8 @@ def dense_keys(df: DataFrame, key: str, sk: str, base: int = 0,
     spark = df.sparkSession
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
     if num_partitions is None and small_key_set > 0:
-        if keys.limit(small_key_set + 1).count() <= small_key_set:
+        # ``known_small``: the caller knows the input has at most ``small_key_set`` rows
+        if known_small or keys.limit(small_key_set + 1).count() <= small_key_set:
             return keys.select(key, (F.lit(base) + F.row_number().over(Window.orderBy(key)))
                                .cast("long").alias(sk))
     checkpoint_dir(spark)
@@ -87,7 +88,8 @@ def max_key(existing: DataFrame | None, sk: str) -> int:
 
 def new_members(arrivals: DataFrame, existing: DataFrame | None, key: str, sk: str,
                 attrs: Sequence[str] = (), order: str | None = None,
-                reduce: bool = False, base: int | None = None) -> DataFrame:
+                reduce: bool = False, base: int | None = None,
+                known_small: bool = False) -> DataFrame:
     """Insert-if-absent: business keys of ``arrivals`` missing from ``existing``, numbered
     after the largest existing key in ascending key order, with first-writer attributes.
     Output: key, sk, attrs. ``reduce``: semi-join reduction of ``existing`` first (for
@@ -97,7 +99,8 @@ def new_members(arrivals: DataFrame, existing: DataFrame | None, key: str, sk: s
     if existing is not None:
         known = members_in(existing, cand, key) if reduce else existing
         cand = cand.join(known.select(key), key, "left_anti")
-    numbered = dense_keys(cand, key, sk, base=max_key(existing, sk) if base is None else base)
+    numbered = dense_keys(cand, key, sk, base=max_key(existing, sk) if base is None else base,
+                          known_small=known_small)
     return numbered.join(cand, key).select(key, sk, *attrs)
 
 

@@ -70,11 +70,16 @@ def first_writer(rows: DataFrame, key: str, attrs: Sequence[str],
     if not attrs:
         return rows.select(key).where(F.col(key).isNotNull()).distinct()
     packed = F.struct(*[F.col(a) for a in attrs])
+    rows = rows.where(F.col(key).isNotNull())
     if order:
         agg = F.min_by(packed, F.col(order)).alias("_a")
     else:
+        # hash-based distinct first (partial aggregation on the map side collapses the
+        # fact-sized input to its distinct attribute sets); only that small set meets the
+        # sort-based min over a struct
+        rows = rows.select(key, *attrs).distinct()
         agg = F.min(packed).alias("_a")
-    return (rows.where(F.col(key).isNotNull()).groupBy(key).agg(agg)
+    return (rows.groupBy(key).agg(agg)
             .select(key, *[F.col(f"_a.{a}").alias(a) for a in attrs]))
 
 

@@ -23,6 +23,7 @@ REASONS = ("bad_header", "corrupt", "bad_quantity", "bad_date", "unknown_custome
 OK = "ok"
 
 CORRUPT_COL = "_corrupt_record"
+ROW_ORDER = "_row_order"  # optional file row order of a master (sources.masters)
 # a row missing any of these fields (short line) is corrupt
 REQUIRED = ("order_id", "customer_id", "product_id", "quantity", "date")
 
@@ -69,8 +70,9 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
     p = products.withColumn("_has_product", F.lit(True))
     j = t.join(c, customer_key, "left").join(p, product_key, "left")
     corrupt = (F.col(CORRUPT_COL).isNotNull() if CORRUPT_COL in raw.columns else F.lit(False))
-    for c in REQUIRED:
-        corrupt = corrupt | F.col(c if c not in ("quantity", "date") else f"{c}_text").isNull()
+    for name in REQUIRED:
+        field = f"{name}_text" if name in ("quantity", "date") else name
+        corrupt = corrupt | F.col(field).isNull()
     bad_header = F.col("_bad_header") if "_bad_header" in raw.columns else F.lit(False)
     # a product whose price does not parse: the row cannot get an amount (the source
     # skips it), so accepted rows never carry a NULL amount and COUNT(*) = COUNT(amount)
@@ -87,9 +89,6 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
                                                       "_bad_header")
 
 
-ROW_ORDER = "_row_order"
-
-
 def _one_per_key(master: DataFrame, key: str) -> DataFrame:
     """One record per key: the first in file order when the master carries
     ``_row_order`` (see ``sources.masters``), else the smallest attribute tuple."""

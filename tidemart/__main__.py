@@ -6,6 +6,7 @@
         [--year 2017] [--k 5] [--show 20] [--out PATH]
     python -m tidemart ddl --warehouse ROOT [--database DB]
     python -m tidemart dq --warehouse ROOT      # exit code 1 when a check fails
+    python -m tidemart bucket --warehouse ROOT --database DB [--buckets N]
 
 Runs on whatever master the session is given (``spark-submit --master ...``); no local
 folders are implied - every path is passed in.
@@ -109,6 +110,13 @@ def cmd_dq(a: argparse.Namespace) -> int:
     return 1 if bad else 0
 
 
+def cmd_bucket(a: argparse.Namespace) -> int:
+    from .plans.bucketed import export_bucketed
+    for t in export_bucketed(_session(), a.warehouse, a.database, a.buckets):
+        print(t)
+    return 0
+
+
 def cmd_ddl(a: argparse.Namespace) -> int:
     spark = _session()
     for t in schema.create_tables(spark, a.warehouse, a.database):
@@ -144,6 +152,11 @@ def main(argv: list[str] | None = None) -> int:
     dp.add_argument("--warehouse", required=True)
     dp.add_argument("--database")
     dp.set_defaults(fn=cmd_ddl)
+    bp = sub.add_parser("bucket")
+    bp.add_argument("--warehouse", required=True)
+    bp.add_argument("--database", required=True)
+    bp.add_argument("--buckets", type=int)
+    bp.set_defaults(fn=cmd_bucket)
     qp = sub.add_parser("dq")
     qp.add_argument("--warehouse", required=True)
     qp.set_defaults(fn=cmd_dq)

@@ -275,3 +275,16 @@ def test_last_key_reads_newest_earlier_batch(spark, tmp_dir):
     assert last_key(spark, path, 1, "customer_sk") == 2
     assert last_key(spark, path, 0, "customer_sk") == 0
     assert last_key(spark, os.path.join(tmp_dir, "none"), 5, "customer_sk") == 0
+
+
+def test_header_with_byte_order_mark(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "in")
+    os.makedirs(src, exist_ok=True)
+    with open(os.path.join(src, "a.csv"), "w", encoding="utf-8-sig") as f:
+        f.write(_tx([("O1", "C1", "P1")]))
+    cust = spark.createDataFrame([("C1", "F")], "customer_id string, gender string")
+    prod = spark.createDataFrame([("P1", "x", 1.0)],
+                                 "product_id string, product_category string, price double")
+    raw = masters.read_transactions(spark, src)
+    got = {r["order_id"]: r["reject_reason"] for r in cleanse.classify(raw, cust, prod).collect()}
+    assert got == {"O1": "ok"}

@@ -131,8 +131,9 @@ def first_line(spark: SparkSession, path: str) -> str:
 
 
 def header_names(line: str) -> list[str]:
-    """Header tokens as Spark names them: trimmed, a blank first name is ``_c0``."""
-    names = [t.strip() for t in next(csv.reader([line]), [])]
+    """Header tokens as Spark names them: byte-order mark dropped, trimmed, a blank first
+    name is ``_c0``."""
+    names = [t.strip() for t in next(csv.reader([line.lstrip("\ufeff")]), [])]
     return [n if n or i else "_c0" for i, n in enumerate(names)]
 
 

@@ -65,3 +65,21 @@ def test_cli_dq_checks(spark, tmp_dir, capsys):
     assert main(["dq", "--warehouse", wh]) == 0
     out = capsys.readouterr().out
     assert '"unaccounted_rows": 0' in out and '"loaded_rows": 4' in out
+
+
+def test_cli_bucket_export(spark, tmp_dir, capsys):
+    from tidemart.plans.bucketed import CatalogStar
+    _w(tmp_dir, "customers.csv", CUST)
+    _w(tmp_dir, "products.csv", PROD)
+    _w(os.path.join(tmp_dir, "tx"), "t1.csv", TX)
+    wh = os.path.join(tmp_dir, "wh")
+    main(["load", "--customers", os.path.join(tmp_dir, "customers.csv"),
+          "--products", os.path.join(tmp_dir, "products.csv"),
+          "--transactions", os.path.join(tmp_dir, "tx"), "--warehouse", wh])
+    assert main(["bucket", "--warehouse", wh, "--database", "tidemart_cli_bucket",
+                 "--buckets", "4"]) == 0
+    assert "tidemart_cli_bucket.sales_fact_by_customer" in capsys.readouterr().out
+    a = R.q02_customer_demographics(CatalogStar(spark, wh, "tidemart_cli_bucket"))
+    b = R.q02_customer_demographics(WarehouseStar(spark, wh))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    spark.sql("DROP DATABASE tidemart_cli_bucket CASCADE")

@@ -193,8 +193,12 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
     fact = (fact.withColumn("date_sk", cal.date_sk("transaction_date"))
             .select(*FACT_COLS)
             .withColumn("sale_year", F.year("transaction_date")))
-    _write(fact, f"{root}/sales_fact", batch_id, extra_parts=("sale_year",),
-           cluster_by=("transaction_date",) if cluster_fact_by_date else ())
-
-    _write(cleanse.rejected(staged, raw.columns), f"{root}/quarantine", batch_id)
+    # the fact and the quarantine read only the staged batch: two concurrent jobs
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        jobs = [pool.submit(_write, fact, f"{root}/sales_fact", batch_id, ("sale_year",),
+                            ("transaction_date",) if cluster_fact_by_date else ()),
+                pool.submit(_write, cleanse.rejected(staged, raw.columns),
+                            f"{root}/quarantine", batch_id)]
+        for job in jobs:
+            job.result()
     return {"rows": sum(by.values()), "facts": by.get(True, 0), "rejects": by.get(False, 0)}

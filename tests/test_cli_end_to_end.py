@@ -83,3 +83,14 @@ def test_cli_bucket_export(spark, tmp_dir, capsys):
     b = R.q02_customer_demographics(WarehouseStar(spark, wh))
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     spark.sql("DROP DATABASE tidemart_cli_bucket CASCADE")
+
+
+def test_cli_every_report_runs_on_a_warehouse(spark, capsys):
+    from tidemart.__main__ import REPORTS
+    from tidemart.plans import etl
+    root = etl.load_test_warehouse(spark, "/root/testdata/sf0.001")
+    for name in sorted(REPORTS):
+        assert main(["report", name, "--warehouse", root, "--show", "1",
+                     "--as-of", "1998-12-31", "--year", "1997"]) == 0, name
+    capsys.readouterr()
+    assert len(REPORTS) >= 22

@@ -106,3 +106,9 @@ def test_bucketed_star_colocates_customer_reports(spark, stars):
     assert "SortMergeJoin" in plan
     assert rows == sorted(tuple(r) for r in R.q02_customer_demographics(wh).collect())
     spark.sql("DROP DATABASE tidemart_bucket_test CASCADE")
+
+
+def test_q20_reads_the_preaggregate(stars):
+    wh, _ = stars
+    files = R.q20_store_quarterly_view(wh).inputFiles()
+    assert files and all("/store_quarterly_sales/" in f for f in files)

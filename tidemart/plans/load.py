@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..operators import cleanse, keys
 from ..plans.star import FACT_COLS
+from ..session import path_exists
+from ..streaming import preagg
 
 DIM_SPECS = {
     # name: (business key, surrogate key, attributes)
@@ -35,11 +37,7 @@ DIM_SPECS = {
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder exists (works for any Hadoop file system)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    return path_exists(spark, path)
 
 
 def batch_ids(spark: SparkSession, path: str) -> list[int]:
@@ -201,4 +199,11 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
                             f"{root}/quarantine", batch_id)]
         for job in jobs:
             job.result()
+    # the quarterly pre-aggregate: this batch's partial sums (store attributes attached)
+    batch_fact = spark.read.parquet(f"{root}/sales_fact").where(F.col("batch_id") == batch_id)
+    if _exists(spark, f"{root}/dim_store"):
+        stores = spark.read.parquet(f"{root}/dim_store").select("store_sk", "store_id",
+                                                                "store_name")
+        preagg.apply_batch(batch_fact.join(stores, "store_sk"),
+                           f"{root}/store_quarterly_sales", batch_id)
     return {"rows": sum(by.values()), "facts": by.get(True, 0), "rejects": by.get(False, 0)}

@@ -66,6 +66,10 @@ class Star:
         transaction date, applied so that it reaches the Parquet scan."""
         raise NotImplementedError
 
+    def store_quarterly(self) -> DataFrame | None:
+        """The maintained STORE_QUARTERLY_SALES pre-aggregate, when the star has one."""
+        return None
+
     def table_counts(self) -> DataFrame:
         """(table_name, record_count) of the fact and the five dimensions."""
         parts = [self.joined().select(F.lit("SALES_FACT").alias("table_name"))]
@@ -106,6 +110,13 @@ class WarehouseStar(Star):
     def dim(self, name: str) -> DataFrame:
         return self._read(f"dim_{name}")
 
+    def store_quarterly(self) -> DataFrame | None:
+        """Merged partial sums kept by the loader (one row per store, year, quarter)."""
+        from ..session import path_exists
+        from ..streaming import preagg
+        path = f"{self.root}/store_quarterly_sales"
+        return preagg.read(self.spark, path) if path_exists(self.spark, path) else None
+
     def joined(self, *dims: str, period: Period | None = None) -> DataFrame:
         df = self.fact(period)
         for d in dims:

@@ -71,3 +71,11 @@ def sized_conf(input_bytes: int, executor_cores_total: int,
         "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on its (Hadoop) file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(hpath))

@@ -20,7 +20,6 @@ from pyspark.sql import types as T
 
 from ..plans import load
 from ..sources import masters
-from . import preagg
 
 MasterFn = Callable[[], DataFrame]
 
@@ -42,11 +41,6 @@ def warehouse_batch(spark: SparkSession, root: str, customers: MasterFn, product
                             suppliers=suppliers() if suppliers else None, micro_batch=True)
         finally:
             cached.unpersist()
-        fact = spark.read.parquet(f"{root}/sales_fact").where(F.col("batch_id") == batch_id)
-        stores = spark.read.parquet(f"{root}/dim_store").select("store_sk", "store_id",
-                                                                "store_name")
-        preagg.apply_batch(fact.join(stores, "store_sk"),
-                           f"{root}/store_quarterly_sales", int(batch_id))
 
     return process
 

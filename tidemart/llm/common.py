@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.session import scratch_path
 
@@ -107,3 +108,31 @@ def row_sums(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     total = np.concatenate([np.zeros(1, np.int64), np.cumsum(values, dtype=np.int64)])
     cuts = np.searchsorted(rows, np.arange(n + 1))
     return total[cuts[1:]] - total[cuts[:-1]]
+
+
+def added_fields(ddl: str) -> list[T.StructField]:
+    return T.StructType.fromDDL(ddl).fields if ddl else []
+
+
+def map_batches(df: DataFrame, fn, added: str = "") -> DataFrame:
+    """``mapInArrow`` over all columns of ``df`` plus those that ``fn`` adds, whatever the
+    columns are called (an added name replaces an old one)."""
+    new = added_fields(added)
+    taken = {f.name.lower() for f in new}
+    old = [f for f in df.schema.fields if f.name.lower() not in taken]
+    plain = df.select([df[f"`{f.name}`"].alias(f"c{i}") for i, f in enumerate(old)])
+    fields = [T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate([*old, *new])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = fn(batch)
+            yield pa.RecordBatch.from_arrays(list(out.columns if isinstance(out, pa.RecordBatch) else out),
+                                             [f"c{i}" for i in range(len(fields))])
+
+    return plain.mapInArrow(run, T.StructType(fields)).toDF(*[f.name for f in [*old, *new]])
+
+
+def position(df: DataFrame, name: str, added: str = "") -> int:
+    """Where ``map_batches`` puts column ``name``."""
+    taken = {f.name.lower() for f in added_fields(added)}
+    return [c for c in df.columns if c.lower() not in taken].index(name)

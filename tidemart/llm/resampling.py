@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import mixed, row_sums, table, text_slabs, token_hashes, written
+from tidemart.llm.common import map_batches, mixed, position, row_sums, table, text_slabs, token_hashes, written
 
 BUCKETS = 1 << 16
 FIXED = 1 << 16
@@ -203,14 +203,12 @@ def keep_sampled(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     model = fit(docs, labels, **params)
     least = threshold(written(docs.sparkSession, scored(docs, model).select("above", "gumbel_key"),
                               "resample-weights"))
-    at = {name: docs.columns.index(name) for name in ("doc_id", "text")}
+    ids, texts = position(docs, "doc_id"), position(docs, "text")
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = model.keys(batch.column(at["doc_id"]), model.means(batch.column(at["text"])))
-            yield batch.filter(pa.array(keys >= least))
+    def keep(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(model.keys(batch.column(ids), model.means(batch.column(texts))) >= least))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_batches(docs, keep)
 
 
 def op3_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from tidemart.llm.bpe import op4_bpe_replay
 from tidemart.llm.langid import op9_langid
+from tidemart.llm.linerules import OP1_SQL, op1_line_rules
 from tidemart.llm.packing import op2_packing
 from tidemart.llm.resampling import op3_importance_resampling
 from tidemart.llm.simhash import op6_simhash
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_importance_resampling, op6_simhash, op9_langid)}
+QUERIES = {f.__name__: f for f in (op1_line_rules, op2_packing, op3_importance_resampling, op4_bpe_replay,
+                                 op6_simhash, op9_langid)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op1_line_rules": OP1_SQL}

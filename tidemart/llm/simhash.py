@@ -39,6 +39,8 @@ from tidemart.llm.components import connected
 
 SEED = 42
 FANOUT = 16
+#: Nodes that a search looks at at a time.
+FRONTIER = 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -126,18 +128,14 @@ class GrayIndex:
 
     def links(self, queries: np.ndarray, distance: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(query, place in ``codes``) of all codes within ``distance``, in portions."""
-        step = max(1, (1 << 20) // (FANOUT * FANOUT))
+        top = len(self.levels[0][0])
+        step = max(1, FRONTIER // top)
         for start in range(0, len(queries), step):
             some = queries[start:start + step]
-            top = self.levels[0][0]
-            q, node = np.repeat(np.arange(len(some)), len(top)), np.tile(np.arange(len(top)), len(some))
-            work = [(0, q, node, np.zeros(len(q), np.uint8))]
+            q = np.repeat(np.arange(len(some), dtype=np.int32), top)
+            work = [(0, q, np.tile(np.arange(top, dtype=np.int32), len(some)), np.zeros(len(q), np.uint8))]
             while work:
                 level, q, node, sofar = work.pop()
-                if len(q) > 1 << 21:  # a dense group: the frontier is searched in halves
-                    half = len(q) // 2
-                    work += [(level, q[half:], node[half:], sofar[half:]), (level, q[:half], node[:half], sofar[:half])]
-                    continue
                 pattern, own = self.levels[level]
                 sofar = sofar + np.bitwise_count((some[q] ^ pattern[node]) & own[node])
                 near = sofar <= distance
@@ -145,10 +143,15 @@ class GrayIndex:
                 if level + 1 == len(self.levels):
                     if len(q):
                         yield q + start, node
-                elif len(q):
-                    child = (node[:, None] * FANOUT + np.arange(FANOUT)).ravel()
-                    there = child < len(self.levels[level + 1][0])
-                    work.append((level + 1, np.repeat(q, FANOUT)[there], child[there], np.repeat(sofar, FANOUT)[there]))
+                    continue
+                # children are laid out for FRONTIER nodes at a time, however dense the group
+                below = len(self.levels[level + 1][0])
+                for at in range(0, len(q), FRONTIER // FANOUT):
+                    part = slice(at, at + FRONTIER // FANOUT)
+                    child = (node[part, None] * FANOUT + np.arange(FANOUT, dtype=np.int32)).ravel()
+                    there = child < below
+                    work.append((level + 1, np.repeat(q[part], FANOUT)[there], child[there],
+                                 np.repeat(sofar[part], FANOUT)[there]))
 
 
 def forest(left: np.ndarray, right: np.ndarray | None, distance: int) -> tuple[np.ndarray, np.ndarray]:

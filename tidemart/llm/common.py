@@ -58,14 +58,16 @@ def text_slabs(texts: pa.Array, limit: int = SLAB_BYTES) -> Iterator[tuple[int,
         start = end
 
 
-def token_hashes(data: np.ndarray, marks: np.ndarray, klass: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def token_hashes(data: np.ndarray, marks: np.ndarray, klass: np.ndarray,
+                 heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     """Runs of bytes of one class (0: between runs) that don't cross a text's border.
 
-    Returns start, end and a 64-bit polynomial hash of each run. ``marks``: offsets of the
-    texts; ``klass``: a class for each of the 256 bytes."""
+    Returns start, end and a 64-bit polynomial hash of each run, and for each n in ``heads``
+    the hash of its first n bytes (a shorter run: of all). ``marks``: offsets of the texts;
+    ``klass``: a class for each of the 256 bytes."""
     if not len(data):
         none = np.zeros(0, np.int64)
-        return none, none, none.astype(np.uint64)
+        return none, none, *[none.astype(np.uint64)] * (1 + len(heads))
     kind = klass[data]
     edge = np.empty(len(data), bool)
     edge[0] = True
@@ -79,8 +81,8 @@ def token_hashes(data: np.ndarray, marks: np.ndarray, klass: np.ndarray) -> tupl
     up, down = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=sums[1:])
-    value = (sums[ends] - sums[starts]) * down[starts]
-    return starts, ends, mixed(value)
+    upto = [ends, *(np.minimum(starts + n, ends) for n in heads)]
+    return starts, ends, *(mixed((sums[e] - sums[starts]) * down[starts]) for e in upto)
 
 
 _POWERS: list[np.ndarray] = []

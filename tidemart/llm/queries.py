@@ -10,10 +10,12 @@ from tidemart.llm.packing import op2_packing
 from tidemart.llm.resampling import op3_importance_resampling
 from tidemart.llm.simhash import op6_simhash
 from tidemart.llm.toxicity import op5_toxicity_fm
+from tidemart.llm.urlfilter import OP8_SQL, op8_url_lists
 from tidemart.llm.warc import OP7_SQL, op7_warc
 
 QUERIES = {f.__name__: f for f in (op1_line_rules, op2_packing, op3_importance_resampling, op4_bpe_replay,
-                                 op5_toxicity_fm, op6_simhash, op7_warc, op9_langid)}
+                                 op5_toxicity_fm, op6_simhash, op7_warc, op8_url_lists,
+                                 op9_langid)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-ORACLES = {"op1_line_rules": OP1_SQL, "op7_warc": OP7_SQL}
+ORACLES = {"op1_line_rules": OP1_SQL, "op7_warc": OP7_SQL, "op8_url_lists": OP8_SQL}

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tidemart.session import scratch_path
 
 #: Bytes of text that a Python worker turns into arrays at a time.
-SLAB_BYTES = 2 << 20
+SLAB_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -123,6 +123,11 @@ def replay(words: list[bytes], m: Merges) -> list[bytes]:
             at = at[place % 2 == 0]
         right = following[at]
         after = following[right]
+        beside = np.flatnonzero(after[:-1] == at[1:])
+        if len(beside):  # one by one, the left merge would show this pair before the right one
+            between = m.rank(np.full(len(beside), rank), symbol[at[beside + 1]])
+            if between.min() <= rank:
+                odd.append(at[beside[between <= rank]])
         symbol[at] = rank
         following[at] = after
         before[after] = at

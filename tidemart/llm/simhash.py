@@ -247,7 +247,8 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
     one id stay or go together, rows without an id stay."""
     found = near_duplicates(docs, **params)
     gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(written(docs.sparkSession, gone, "simhash-gone"), "doc_id", "left_anti").select(*docs.columns)
+    gone = written(docs.sparkSession, gone, "simhash-gone")
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

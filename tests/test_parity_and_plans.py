@@ -101,7 +101,7 @@ def test_repeated_lag_is_one_window(spark):
                .startswith("Window ")) == 1
 
 
-def test_bounded_dimensions_are_broadcast(spark):
+def test_no_broadcast_without_a_size_check(spark):
     from tidemart.plans import reports as R
     from tidemart.sources.testmap import TestTableStar
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -109,9 +109,8 @@ def test_bounded_dimensions_are_broadcast(spark):
         plan = _plan(R.q12_store_quarter_growth(TestTableStar(spark, SF), year=1997))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # nation/region (fixed size) stay broadcast even when size-based broadcasting is off,
-    # the growing tables (orders, part, customer) do not
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    # no hint forces a table on every executor: without the size check there is no broadcast
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
 def test_sized_conf():
@@ -120,17 +119,3 @@ def test_sized_conf():
     assert int(c["spark.sql.shuffle.partitions"]) == 409600  # 100 TiB / 256 MiB
     small = sized_conf(10 * 2**20, executor_cores_total=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16  # two waves of 8 cores
-
-
-def test_small_input_spread_is_size_gated(spark):
-    from tidemart.sources.scan import SMALL_INPUT_CONF, spread_small_input
-    path = f"{SF}/lineitem.parquet"
-    df = spark.read.parquet(path)
-    small = spread_small_input(spark, df, path)
-    assert "RoundRobinPartitioning" in small._jdf.queryExecution().executedPlan().toString()
-    spark.conf.set(SMALL_INPUT_CONF, "1")  # everything counts as large
-    try:
-        big = spread_small_input(spark, df, path)
-    finally:
-        spark.conf.unset(SMALL_INPUT_CONF)
-    assert "RoundRobinPartitioning" not in big._jdf.queryExecution().executedPlan().toString()

@@ -47,6 +47,29 @@ def _per_customer(star: Star, other_dims: tuple[str, ...], other_keys: list[str]
     return per.join(cust, "customer_sk")
 
 
+def _per_product(star: Star, keys: list[str], attrs: list[str], period=None) -> DataFrame:
+    """Eager aggregation before the product join: additive partials per (product_sk,
+    keys), then the product attributes, so only partials meet the product table."""
+    s = star.joined("time", period=period)
+    if "day_type" in keys:
+        s = s.withColumn("day_type", _day_type())
+    per = s.groupBy("product_sk", *keys).agg(
+        F.sum("total_amount").alias("_s"), F.sum("quantity").alias("_q"),
+        F.count(F.lit(1)).alias("_n"))
+    return per.join(star.dim("product").select("product_sk", *attrs), "product_sk")
+
+
+def _per_keys(star: Star, keys: list[str]) -> DataFrame:
+    """The fact summed to its surrogate keys (and the sale year if asked for), before any
+    dimension joins it."""
+    fact = star.fact()
+    if "year" in keys:
+        fact = fact.withColumn("year", F.year("transaction_date"))
+    return fact.groupBy(*keys).agg(
+        F.sum("total_amount").alias("_s"), F.sum("quantity").alias("_q"),
+        F.count(F.lit(1)).alias("_n"))
+
+
 def _merge(df: DataFrame, keys: list[str], *, total: str | None = None,
            qty: str | None = None, count: str | None = None, avg: str | None = None,
            customers: str | None = None) -> DataFrame:
@@ -68,9 +91,12 @@ def _merge(df: DataFrame, keys: list[str], *, total: str | None = None,
 
 # ---------------------------------------------------------------- Q1
 def q01_top_products_daytype(star: Star, k: int = DEFAULT_K) -> DataFrame:
-    s = star.joined("product", "time").withColumn("day_type", _day_type())
-    g = s.groupBy("product_category", "product_id", "price", "day_type", "year", "month").agg(
-        *olap.standard_measures(total="total_revenue", count="transaction_count"))
+    attrs = ["product_category", "product_id", "price"]
+    keys = ["day_type", "year", "month"]
+    # one row per product and period already: a product_sk has one product_id
+    g = _per_product(star, keys, attrs).select(
+        *attrs, *keys, F.col("_s").cast(money.SUM_TYPE).alias("total_revenue"),
+        F.col("_n").alias("transaction_count"))
     return olap.top_k(g, k, [F.col("total_revenue").desc(), F.col("transaction_count").desc(),
                              "product_category", "product_id", "price", "day_type", "year",
                              "month"])
@@ -78,12 +104,14 @@ def q01_top_products_daytype(star: Star, k: int = DEFAULT_K) -> DataFrame:
 
 def q01_top_per_daytype(star: Star, k: int = DEFAULT_K) -> DataFrame:
     """Title intent of Q1/Q11: top-k products within each day type and month."""
-    s = star.joined("product", "time").withColumn("day_type", _day_type())
-    g = s.groupBy("day_type", "year", "month", "product_id", "product_category").agg(
-        *olap.standard_measures(total="total_revenue", count="transaction_count"))
+    keys = ["day_type", "year", "month"]
+    g = _per_product(star, keys, ["product_id", "product_category"]).select(
+        *keys, "product_id", "product_category",
+        F.col("_s").cast(money.SUM_TYPE).alias("total_revenue"),
+        F.col("_n").alias("transaction_count"))
     return olap.top_k_per_group(
-        g, ["day_type", "year", "month"], k,
-        [F.col("total_revenue").desc(), F.col("transaction_count").desc(), "product_id"])
+        g, keys, k, [F.col("total_revenue").desc(), F.col("transaction_count").desc(),
+                     "product_id"])
 
 
 # ---------------------------------------------------------------- Q2
@@ -171,9 +199,8 @@ def q08_top_cities_category(star: Star, k: int = DEFAULT_K) -> DataFrame:
 
 # ---------------------------------------------------------------- Q9
 def q09_monthly_growth(star: Star, as_of=None) -> DataFrame:
-    s = star.joined("product", "time", period=_current_year(as_of))
-    monthly = s.groupBy("product_category", "year", "month").agg(
-        money.money_sum("total_amount").alias("monthly_sales"))
+    j = _per_product(star, ["year", "month"], ["product_category"], _current_year(as_of))
+    monthly = _merge(j, ["product_category", "year", "month"], total="monthly_sales")
     out = olap.period_growth(monthly, ["product_category"], ["year", "month"], "monthly_sales",
                              "previous_monthly_sales", "growth_percentage")
     return out.orderBy("year", "month", "product_category")
@@ -190,11 +217,11 @@ def q10_weekend_weekday_age(star: Star, as_of=None) -> DataFrame:
 
 # ---------------------------------------------------------------- Q11
 def q11_top_products_year(star: Star, year: int = 2017, k: int = DEFAULT_K) -> DataFrame:
-    s = star.joined("product", "time", period=cal.year_range(year)) \
-        .withColumn("day_type", _day_type())
-    g = s.groupBy("product_id", "product_category", "day_type", "year", "month").agg(
-        *olap.standard_measures(total="total_revenue", qty="total_quantity",
-                                count="transaction_count"))
+    keys = ["day_type", "year", "month"]
+    g = _per_product(star, keys, ["product_id", "product_category"], cal.year_range(year)).select(
+        "product_id", "product_category", *keys,
+        F.col("_s").cast(money.SUM_TYPE).alias("total_revenue"),
+        F.col("_q").cast("long").alias("total_quantity"), F.col("_n").alias("transaction_count"))
     return olap.top_k(g, k, [F.col("total_revenue").desc(), F.col("total_quantity").desc(),
                              "product_id", "product_category", "day_type", "year", "month"])
 
@@ -211,10 +238,16 @@ def q12_store_quarter_growth(star: Star, year: int = 2017) -> DataFrame:
 
 # ---------------------------------------------------------------- Q13
 def q13_supplier_contribution(star: Star) -> DataFrame:
-    s = star.joined("store", "supplier", "product")
-    out = s.groupBy("store_name", "supplier_name", "product_id", "product_category").agg(
-        *olap.standard_measures(qty="total_quantity", total="total_sales", avg="avg_sale_value",
-                                count="transaction_count"))
+    """Summed by surrogate keys first; names are not unique, so the partials are summed
+    again after the joins."""
+    per = _per_keys(star, ["store_sk", "supplier_sk", "product_sk"])
+    j = (per.join(star.dim("product").select("product_sk", "product_id", "product_category"),
+                  "product_sk")
+         .join(star.dim("supplier").select("supplier_sk", "supplier_name"), "supplier_sk")
+         .join(star.dim("store").select("store_sk", "store_name"), "store_sk"))
+    out = _merge(j, ["store_name", "supplier_name", "product_id", "product_category"],
+                 qty="total_quantity", total="total_sales", avg="avg_sale_value",
+                 count="transaction_count")
     return out.orderBy("store_name", "supplier_name", "product_id", "product_category")
 
 
@@ -259,9 +292,9 @@ def q16_product_affinity(star: Star, k: int = DEFAULT_K) -> DataFrame:
                      F.col("product_category").alias("category1"))
     p2 = prod.select(F.col("product_sk").alias("p2_sk"), F.col("product_id").alias("product2"),
                      F.col("product_category").alias("category2"))
-    # the k winning pairs are broadcast (size bound = k), so the product table is only
-    # scanned, never shuffled, whatever its size
-    out = p2.join(F.broadcast(p1.join(F.broadcast(top), "p1_sk")), "p2_sk")
+    # a limit tells the planner the size of the k winning pairs, so it broadcasts them and
+    # only scans the product table unless k itself is large
+    out = p2.join(p1.join(top, "p1_sk"), "p2_sk")
     return out.select("product1", "category1", "product2", "category2",
                       "frequency_purchased_together", "combined_revenue").orderBy(
         F.col("frequency_purchased_together").desc(), F.col("combined_revenue").desc(),
@@ -270,10 +303,18 @@ def q16_product_affinity(star: Star, k: int = DEFAULT_K) -> DataFrame:
 
 # ---------------------------------------------------------------- Q17
 def q17_revenue_rollup(star: Star) -> DataFrame:
-    s = star.joined("store", "supplier", "product", "time")
-    out = olap.rollup_report(s, ["store_name", "supplier_name", "product_category", "year"],
-                             {"total_revenue": ("total_amount", "sum_money"),
-                              "transaction_count": ("total_amount", "count")})
+    """Summed by (store, supplier, product, year) keys, then by (store, supplier, category,
+    year), so neither the product nor the supplier table meets fact rows."""
+    per = _per_keys(star, ["store_sk", "supplier_sk", "product_sk", "year"])
+    fine = _merge(per.join(star.dim("product").select("product_sk", "product_category"),
+                           "product_sk"),
+                  ["store_sk", "supplier_sk", "product_category", "year"],
+                  total="_s", count="_n", qty="_q")
+    named = (fine.join(star.dim("supplier").select("supplier_sk", "supplier_name"), "supplier_sk")
+             .join(star.dim("store").select("store_sk", "store_name"), "store_sk"))
+    out = olap.rollup_report(named, ["store_name", "supplier_name", "product_category", "year"],
+                             {"total_revenue": ("_s", "sum_money"),
+                              "transaction_count": ("_n", "sum")})
     return out.orderBy(F.col("store_name").asc_nulls_first(),
                        F.col("supplier_name").asc_nulls_first(),
                        F.col("product_category").asc_nulls_first(),
@@ -282,9 +323,10 @@ def q17_revenue_rollup(star: Star) -> DataFrame:
 
 # ---------------------------------------------------------------- Q18
 def q18_half_year_sales(star: Star, as_of=None) -> DataFrame:
-    s = star.joined("product", "time", period=_current_year(as_of))
-    out = olap.half_year_pivot(s, ["product_id", "product_category", "price"], "month",
-                               "total_amount", "quantity")
+    s = star.joined("time", period=_current_year(as_of))
+    per = olap.half_year_pivot(s, ["product_sk"], "month", "total_amount", "quantity")
+    prod = star.dim("product").select("product_sk", "product_id", "product_category", "price")
+    out = prod.join(per, "product_sk").drop("product_sk")
     return out.orderBy(F.col("yearly_revenue").desc(), "product_id")
 
 
@@ -339,5 +381,7 @@ def util_revenue_summary(star: Star) -> DataFrame:
 
 
 def slice_dice(star: Star, filters: dict, keys: list[str], dims: tuple[str, ...]) -> DataFrame:
+    """Filters on a dimension reach its scan (equality predicates are pushed through the
+    inner joins), so the fact meets only the members that pass."""
     s = star.joined(*dims)
     return olap.slice_dice(s, filters, keys).orderBy(*keys)

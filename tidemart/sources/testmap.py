@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import money
 from ..plans.star import FACT_COLS, Period, Star, time_attributes
-from .scan import spread_small_input
 
 # Fixed values of the test mapping (FIXTURES.md section 2): age bands by account balance
 # (upper bound exclusive, last band open), the married market segments, city letters.
@@ -33,13 +32,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def fact_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line table (fact grain), spread over the cores when it is a small input that
-    the scan cannot split (see ``sources.scan``)."""
-    path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
-    return spread_small_input(spark, spark.read.parquet(path), path)
-
-
 def age_group(balance: Column) -> Column:
     expr = None
     for bound, label in AGE_BANDS:
@@ -88,23 +80,16 @@ class TestTableStar(Star):
             self._tables[name] = read_table(self.spark, self.sf_dir, name)
         return self._tables[name]
 
-    def lines(self) -> DataFrame:
-        if "_lines" not in self._tables:
-            self._tables["_lines"] = fact_lines(self.spark, self.sf_dir)
-        return self._tables["_lines"]
-
     # -- dimensions ---------------------------------------------------------------
     def _store_by_nation(self) -> DataFrame:
-        """nation -> (store_sk, store_id, store_name); 25 x 5 rows in TPC-H, a fixed
-        size, so it is broadcast."""
+        """nation -> (store_sk, store_id, store_name)."""
         n = self.t("nation").select("n_nationkey", "n_regionkey")
         r = self.t("region").select("r_regionkey", "r_name")
-        return F.broadcast(
-            n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
-                F.col("n_nationkey"),
-                F.col("r_regionkey").cast("long").alias("store_sk"),
-                F.col("r_regionkey").alias("store_id"),
-                F.col("r_name").alias("store_name")))
+        return n.join(r, n.n_regionkey == r.r_regionkey).select(
+            F.col("n_nationkey"),
+            F.col("r_regionkey").cast("long").alias("store_sk"),
+            F.col("r_regionkey").alias("store_id"),
+            F.col("r_name").alias("store_name"))
 
     def dim(self, name: str) -> DataFrame:
         if name == "customer":
@@ -131,32 +116,42 @@ class TestTableStar(Star):
         raise ValueError(name)
 
     # -- fact ---------------------------------------------------------------------
-    def _lines(self, period: Period | None, with_category: bool) -> DataFrame:
-        # a period keeps only a slice of the history: the join with the filtered orders
-        # then drops most lines in the scan task, so spreading them first would not pay
-        li = (self.lines() if period is None
-              else self.t("lineitem")).select("l_orderkey", "l_partkey", "l_suppkey",
-                                               "l_quantity")
-        o = self.t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    def _orders(self, period: Period | None, customer: str | None, store: bool) -> DataFrame:
+        """Orders of the period with what is asked of their customers (``attrs``: the
+        customer dimension) and stores: both meet orders, not their lines."""
+        o = self.t("orders").select("o_orderkey", F.col("o_custkey").alias("customer_sk"),
+                                    "o_orderdate")
         if period is not None:
             start, end = period
             # compared on the raw column so the range reaches the Parquet scan
             o = o.filter((F.col("o_orderdate") >= F.lit(start)) & (F.col("o_orderdate") < F.lit(end)))
+        if customer is None and not store:
+            return o
+        c = self.t("customer")
+        cust = (customer_attributes(c) if customer == "attrs"
+                else c.select(F.col("c_custkey").alias("customer_sk"), "c_nationkey"))
+        if store:
+            s = self._store_by_nation()
+            cust = cust.join(s, cust.c_nationkey == s.n_nationkey).drop("n_nationkey")
+        return o.join(cust.drop("c_nationkey"), "customer_sk")
+
+    def _lines(self, orders: DataFrame, with_category: bool) -> DataFrame:
+        li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
         p_cols = ["p_partkey", "p_retailprice"] + (["p_type"] if with_category else [])
         p = self.t("part").select(*p_cols)
-        j = (li.join(o, li.l_orderkey == o.o_orderkey)
+        j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
              .join(p, li.l_partkey == p.p_partkey))
         qty = F.col("l_quantity").cast("int")
         unit = money.price("p_retailprice")
         cols = [
             F.col("o_orderkey").cast("string").alias("order_id"),
-            F.col("o_custkey").alias("customer_sk"),
             F.col("l_partkey").alias("product_sk"),
             F.col("l_suppkey").alias("supplier_sk"),
             F.to_date("o_orderdate").alias("transaction_date"),
             qty.alias("quantity"),
             unit.alias("unit_price"),
             money.line_total(qty, unit).alias("total_amount"),
+            *[c for c in orders.columns if c not in ("o_orderkey", "o_orderdate")],
         ]
         if with_category:
             cols += [F.col("l_partkey").alias("product_id"),
@@ -165,31 +160,16 @@ class TestTableStar(Star):
         return j.select(*cols)
 
     def fact(self, period: Period | None = None) -> DataFrame:
-        df = self._lines(period, with_category=False)
-        df = self._attach_customer(df, with_attrs=False, with_store=True)
+        df = self._lines(self._orders(period, None, store=True), with_category=False)
         return df.withColumn("date_sk", cal.date_sk("transaction_date")).select(*FACT_COLS)
 
-    def _attach_customer(self, df: DataFrame, with_attrs: bool, with_store: bool) -> DataFrame:
-        c = self.t("customer")
-        if with_attrs:
-            cust = customer_attributes(c)
-        else:
-            cust = c.select(F.col("c_custkey").alias("customer_sk"), "c_nationkey")
-        df = df.join(cust, "customer_sk")
-        if with_store:
-            df = df.join(self._store_by_nation(), df.c_nationkey == F.col("n_nationkey")) \
-                .drop("n_nationkey")
-        return df.drop("c_nationkey")
-
     def joined(self, *dims: str, period: Period | None = None) -> DataFrame:
         want = set(dims)
         unknown = want - {"customer", "product", "store", "supplier", "time"}
         if unknown:
             raise ValueError(f"unknown dimensions {sorted(unknown)}")
-        df = self._lines(period, with_category="product" in want)
-        if "customer" in want or "store" in want:
-            df = self._attach_customer(df, with_attrs="customer" in want,
-                                       with_store="store" in want)
+        orders = self._orders(period, "attrs" if "customer" in want else None, "store" in want)
+        df = self._lines(orders, with_category="product" in want)
         if "supplier" in want:
             s = self.t("supplier").select(F.col("s_suppkey").alias("supplier_sk"),
                                           F.col("s_suppkey").alias("supplier_id"),
@@ -203,8 +183,8 @@ class TestTableStar(Star):
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales transactions as the source system would send them: text keys, one row per
     line (order_id, customer_id, product_id, supplier_id, quantity, date)."""
-    li = fact_lines(spark, sf_dir).select("l_orderkey", "l_partkey", "l_suppkey",
-                                          "l_linenumber", "l_quantity")
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
+                                                   "l_linenumber", "l_quantity")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.col("o_orderkey").cast("string").alias("order_id"),
@@ -223,8 +203,8 @@ def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = customer_attributes(read_table(spark, sf_dir, "customer"))
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return (c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
-            .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey"))
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
+            .join(r, F.col("n_regionkey") == F.col("r_regionkey"))
             .select("customer_id", "gender", "age_group", "occupation", "city_category",
                     "stay_in_current_city_years", "marital_status",
                     F.col("r_regionkey").alias("store_id"), F.col("r_name").alias("store_name")))

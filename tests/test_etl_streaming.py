@@ -131,7 +131,7 @@ def test_stream_progress_counters_and_ddl(spark, tmp_dir):
     assert spark.table(f"{db}.sales_fact").count() == 2
     assert spark.table(f"{db}.dim_store").count() == 2
     schema.drop_tables(spark, db)
-    assert len(made) == 7
+    assert len(made) == 8  # seven star tables and the quarantine
 
 
 def test_time_members_holidays(spark):
@@ -263,18 +263,20 @@ def test_repeated_master_key_takes_first_record_in_file(spark, tmp_dir):
     assert "_row_order" not in cleanse.classify(raw, cust, prod).columns
 
 
-def test_last_key_reads_newest_earlier_batch(spark, tmp_dir):
-    from tidemart.plans.load import batch_ids, last_key
-    path = os.path.join(tmp_dir, "dim")
-    for b, sks in ((0, [1, 2]), (2, [3, 4, 5])):  # batch 1 brought no new member
-        spark.createDataFrame([(k,) for k in sks], "customer_sk long") \
-            .write.parquet(f"{path}/batch_id={b}")
-    assert batch_ids(spark, path) == [0, 2]
-    assert last_key(spark, path, 3, "customer_sk") == 5
-    assert last_key(spark, path, 2, "customer_sk") == 2
-    assert last_key(spark, path, 1, "customer_sk") == 2
-    assert last_key(spark, path, 0, "customer_sk") == 0
-    assert last_key(spark, os.path.join(tmp_dir, "none"), 5, "customer_sk") == 0
+def test_batch_ids_come_from_the_log(spark, tmp_dir):
+    import pytest
+
+    from tidemart.plans import commits
+    root = os.path.join(tmp_dir, "wh")
+    first = commits.begin(spark, root, "a", "0")
+    assert (first.batch_id, first.replay) == (0, False)
+    assert commits.begin(spark, root, "a", "0").replay
+    assert commits.begin(spark, root, "b", "0").batch_id == 1  # another source, same offset
+    assert commits.begin(spark, root, "c", "x", wanted=7).batch_id == 7
+    for taken in (1, 5, 7):
+        with pytest.raises(ValueError):
+            commits.begin(spark, root, "d", "0", wanted=taken)
+    assert commits.begin(spark, root, "a", "0").batch_id == 0
 
 
 def test_header_with_byte_order_mark(spark, tmp_dir):

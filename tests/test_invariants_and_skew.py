@@ -146,7 +146,7 @@ def test_hot_year_write_is_split(spark, tmp_dir):
         _write(rows, f"{tmp_dir}/t", 0, extra_parts=("sale_year",))
     finally:
         _restore(spark, old)
-    hot = glob.glob(f"{tmp_dir}/t/sale_year=2017/batch_id=0/*.parquet")
-    cold = glob.glob(f"{tmp_dir}/t/sale_year=2016/batch_id=0/*.parquet")
+    hot = glob.glob(f"{tmp_dir}/t/batch_id=0/sale_year=2017/*.parquet")
+    cold = glob.glob(f"{tmp_dir}/t/batch_id=0/sale_year=2016/*.parquet")
     assert len(hot) > 1 and len(cold) >= 1
     assert spark.read.parquet(f"{tmp_dir}/t").count() == 60000

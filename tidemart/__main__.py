@@ -2,9 +2,10 @@
 
     python -m tidemart load --customers C.csv --products P.csv --transactions DIR \\
         --warehouse ROOT [--stream --checkpoint CK --max-files 1] [--batch-id N]
+        (the warehouse's log numbers batches; loading the same files again replays theirs)
     python -m tidemart report q05_top_occupations --warehouse ROOT [--as-of 2017-12-31]
         [--year 2017] [--k 5] [--show 20] [--out PATH]
-    python -m tidemart ddl --warehouse ROOT [--database DB]
+    python -m tidemart ddl --warehouse ROOT [--database DB] [--drop]
     python -m tidemart dq --warehouse ROOT      # exit code 1 when a check fails
     python -m tidemart bucket --warehouse ROOT --database DB [--buckets N]
 
@@ -18,11 +19,13 @@ import argparse
 import inspect
 import json
 import sys
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import schema
-from .plans import load, reports
+from .plans import commits, load, reports
 from .plans.star import WarehouseStar
 from .sources import masters
 from .streaming import loader
@@ -45,18 +48,21 @@ def cmd_load(a: argparse.Namespace) -> int:
 
         from .streaming.progress import ProgressLogger
         logging.basicConfig(level=logging.INFO)
-        spark.streams.addListener(ProgressLogger())
+        progress = ProgressLogger()
+        spark.streams.addListener(progress)
         sch = masters.transaction_schema(spark, a.transactions)
         q = loader.start(spark, a.transactions, sch, a.warehouse, a.checkpoint, customers,
                          products, max_files_per_trigger=a.max_files,
                          available_now=not a.continuous, processing_time=a.trigger)
         q.awaitTermination()
-        print(json.dumps([p["observedMetrics"] for p in q.recentProgress
-                          if p.get("observedMetrics")]))
+        print(json.dumps(progress.totals()))
+        spark.streams.removeListener(progress)
     else:
         raw = masters.read_transactions(spark, a.transactions)
-        print(json.dumps(load.load_batch(spark, raw, customers(), products(), a.warehouse,
-                                         a.batch_id)))
+        print(json.dumps(load.load_batch(
+            spark, raw, customers(), products(), a.warehouse, a.batch_id,
+            source=f"files:{a.transactions.rstrip('/')}",
+            offset=commits.files_offset(spark, a.transactions))))
     return 0
 
 
@@ -73,29 +79,39 @@ def cmd_report(a: argparse.Namespace) -> int:
     if a.out:
         df.write.mode("overwrite").parquet(a.out)
     else:
-        df.show(a.show, truncate=False)
+        rows = df.take(a.show + 1)
+        spark.createDataFrame(rows[:a.show], df.schema).show(a.show, truncate=False)
+        if len(rows) > a.show:
+            print(f"the first {a.show} rows; --show N shows more, --out PATH writes all")
     return 0
 
 
 def warehouse_checks(spark: SparkSession, root: str) -> dict[str, list[dict]]:
-    """The published warehouse checks over a loaded star (DQ-1..5)."""
+    """The published warehouse checks over a loaded star (DQ-1..5, DQ-8)."""
     from .operators import quality
     from .plans.load import DIM_SPECS
 
-    read = lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}")
+    read = lambda name: load.read(spark, root, name)
     fact = read("sales_fact")
     dims = {n: read(f"dim_{n}") for n in ("customer", "product", "store", "supplier", "time")}
+    # rows in, as the log counted the raw input of each batch's last run
+    log = commits.log(spark, root.rstrip("/")).where("state = 'done'")
+    last = log.groupBy("batch_id").agg(F.max_by("rows", "at").alias("rows"))
+    rows_in = int(last.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])
     out = {
-        "completeness": quality.completeness(read("_staging"), fact, read("quarantine")),
+        "completeness": quality.completeness(rows_in, fact, read("quarantine")),
         "orphans": quality.orphans(fact, dims),
         "duplicates": quality.duplicates(
             {f"dim_{n}": (dims[n], bk) for n, (bk, _, _) in DIM_SPECS.items()}
-            | {"dim_time": (dims["time"], "transaction_date")}),
+            | {"dim_time": (dims["time"], "transaction_date"), "sales_fact": (fact, "sales_sk")}),
         "nulls": quality.null_counts(fact, "sales_fact", ["order_id", "customer_sk",
                                                           "product_sk", "store_sk",
                                                           "supplier_sk", "date_sk"]),
         "ranges": quality.ranges(fact, ["unit_price", "total_amount", "quantity",
                                         "transaction_date"], "sales_fact"),
+        "domains": quality.domains(dims["customer"]),
+        "lengths": reduce(DataFrame.unionByName, [
+            quality.lengths(read(t), limits, t) for t, limits in schema.VARCHAR.items()]),
     }
     return {k: [r.asDict() for r in v.collect()] for k, v in out.items()}
 
@@ -103,10 +119,12 @@ def warehouse_checks(spark: SparkSession, root: str) -> dict[str, list[dict]]:
 def cmd_dq(a: argparse.Namespace) -> int:
     res = warehouse_checks(_session(), a.warehouse)
     print(json.dumps(res, default=str, indent=1))
-    bad = (res["completeness"][0]["unaccounted_rows"]
+    # value domains are reported; the keys, counts and lengths decide
+    bad = (abs(res["completeness"][0]["unaccounted_rows"])
            + sum(r["orphan_rows"] for r in res["orphans"])
            + sum(r["duplicate_keys"] for r in res["duplicates"])
-           + sum(r["null_count"] for r in res["nulls"]))
+           + sum(r["null_count"] or 0 for r in res["nulls"])
+           + sum(r["too_long"] for r in res["lengths"]))
     return 1 if bad else 0
 
 
@@ -119,6 +137,9 @@ def cmd_bucket(a: argparse.Namespace) -> int:
 
 def cmd_ddl(a: argparse.Namespace) -> int:
     spark = _session()
+    if a.drop:
+        schema.drop_tables(spark, a.database)
+        return 0
     for t in schema.create_tables(spark, a.warehouse, a.database):
         print(t)
     return 0
@@ -132,7 +153,7 @@ def main(argv: list[str] | None = None) -> int:
     lp.add_argument("--products", required=True)
     lp.add_argument("--transactions", required=True)
     lp.add_argument("--warehouse", required=True)
-    lp.add_argument("--batch-id", type=int, default=0)
+    lp.add_argument("--batch-id", type=int)
     lp.add_argument("--stream", action="store_true")
     lp.add_argument("--continuous", action="store_true")
     lp.add_argument("--trigger", default="30 seconds")
@@ -151,6 +172,7 @@ def main(argv: list[str] | None = None) -> int:
     dp = sub.add_parser("ddl")
     dp.add_argument("--warehouse", required=True)
     dp.add_argument("--database")
+    dp.add_argument("--drop", action="store_true")
     dp.set_defaults(fn=cmd_ddl)
     bp = sub.add_parser("bucket")
     bp.add_argument("--warehouse", required=True)

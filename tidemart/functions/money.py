@@ -17,12 +17,13 @@ def _c(c: str | Column) -> Column:
 
 
 def price(c: str | Column) -> Column:
-    return _c(c).cast(PRICE_TYPE)
+    """DECIMAL(10,2); a value that doesn't fit is NULL, never an error."""
+    return _c(c).try_cast(PRICE_TYPE)
 
 
 def line_total(quantity: str | Column, unit_price: str | Column) -> Column:
-    """TotalAmount = quantity x price, kept at DECIMAL(12,2)."""
-    return (_c(quantity) * _c(unit_price)).cast(AMOUNT_TYPE)
+    """TotalAmount = quantity x price, kept at DECIMAL(12,2); NULL if it doesn't fit."""
+    return (_c(quantity) * _c(unit_price)).try_cast(AMOUNT_TYPE)
 
 
 def money_sum(c: str | Column) -> Column:

@@ -4,7 +4,8 @@ Raw transactions are text (order_id, customer_id, product_id, quantity, date [,
 Every row leaves either as a typed, enriched sale or as a quarantined row with the
 first failing reason, in this fixed order:
     bad_header -> corrupt -> bad_quantity -> bad_date -> unknown_customer -> unknown_product
-    -> bad_price
+    -> bad_price -> bad_amount -> bad_store -> bad_supplier
+A value that doesn't parse or doesn't fit its column rejects its row, never the batch.
 """
 
 from __future__ import annotations
@@ -16,10 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import money
+from ..session import stored
 
 # Fixed reject reasons, in evaluation order.
 REASONS = ("bad_header", "corrupt", "bad_quantity", "bad_date", "unknown_customer",
-           "unknown_product", "bad_price")
+           "unknown_product", "bad_price", "bad_amount", "bad_store", "bad_supplier")
 OK = "ok"
 
 CORRUPT_COL = "_corrupt_record"
@@ -61,9 +63,10 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
         products = products.join(t.select(product_key).distinct(), product_key, "left_semi")
     if unique_masters:
         # a master with a repeated key (a DQ defect) must not multiply the sale: one
-        # record per key, chosen deterministically
-        customers = _one_per_key(customers, customer_key)
-        products = _one_per_key(products, product_key)
+        # record per key, chosen deterministically. It is stored first: an aggregate right
+        # below the join would keep adaptive execution from splitting a hot key
+        customers = stored(raw.sparkSession, _one_per_key(customers, customer_key), "master")
+        products = stored(raw.sparkSession, _one_per_key(products, product_key), "master")
     customers = customers.drop(ROW_ORDER)
     products = products.drop(ROW_ORDER)
     c = customers.withColumn("_has_customer", F.lit(True))
@@ -76,7 +79,12 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
     bad_header = F.col("_bad_header") if "_bad_header" in raw.columns else F.lit(False)
     # a product whose price does not parse: the row cannot get an amount (the source
     # skips it), so accepted rows never carry a NULL amount and COUNT(*) = COUNT(amount)
-    price_missing = F.col("price").isNull() if "price" in j.columns else F.lit(False)
+    priced = "price" in j.columns
+    price_missing = money.price("price").isNull() if priced else F.lit(False)
+    amount_missing = (money.line_total("quantity", money.price("price")).isNull() if priced
+                      else F.lit(False))
+    whole = lambda c: (F.expr(f"try_cast({c} AS INT)").isNull() if c in j.columns
+                       else F.lit(False))
     reason = (F.when(bad_header, F.lit(REASONS[0]))
               .when(corrupt, F.lit(REASONS[1]))
               .when(F.col("quantity").isNull(), F.lit(REASONS[2]))
@@ -84,6 +92,9 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
               .when(F.col("_has_customer").isNull(), F.lit(REASONS[4]))
               .when(F.col("_has_product").isNull(), F.lit(REASONS[5]))
               .when(price_missing, F.lit(REASONS[6]))
+              .when(amount_missing, F.lit(REASONS[7]))
+              .when(whole("store_id"), F.lit(REASONS[8]))
+              .when(whole("supplier_id"), F.lit(REASONS[9]))
               .otherwise(F.lit(OK)))
     return j.withColumn("reject_reason", reason).drop("_has_customer", "_has_product",
                                                       "_bad_header")

@@ -22,27 +22,12 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
-# Up to this many new keys a single ordered window numbers them (one task, bounded by
-# this constant); beyond it the distributed range method below is used.
-SMALL_KEY_SET = 1_000_000
-
-
 def dense_keys(df: DataFrame, key: str, sk: str, base: int = 0,
-               num_partitions: int | None = None,
-               small_key_set: int = SMALL_KEY_SET, known_small: bool = False) -> DataFrame:
-    """(key, sk) for the distinct non-null ``key`` values of ``df``; sk = base + rank.
-
-    A micro-batch usually brings few new members: when the distinct keys number at most
-    ``small_key_set`` (one count job decides) they are numbered by ``row_number() over
-    (order by key)`` - deterministic on recompute because keys are unique and totally
-    ordered, so no checkpoint is needed. Larger sets use the distributed method."""
+               num_partitions: int | None = None) -> DataFrame:
+    """(key, sk) for the distinct non-null ``key`` values of ``df``; sk = base + rank. The
+    same distributed numbering whatever the number of keys."""
     spark = df.sparkSession
     keys = df.select(key).where(F.col(key).isNotNull()).distinct()
-    if num_partitions is None and small_key_set > 0:
-        # ``known_small``: the caller knows the input has at most ``small_key_set`` rows
-        if known_small or keys.limit(small_key_set + 1).count() <= small_key_set:
-            return keys.select(key, (F.lit(base) + F.row_number().over(Window.orderBy(key)))
-                               .cast("long").alias(sk))
     checkpoint_dir(spark)
     # without an explicit count the range exchange uses the session's shuffle partitions
     # and AQE may coalesce small neighbours (ranges stay contiguous and ordered)
@@ -93,8 +78,7 @@ def max_key(existing: DataFrame | None, sk: str) -> int:
 
 def new_members(arrivals: DataFrame, existing: DataFrame | None, key: str, sk: str,
                 attrs: Sequence[str] = (), order: str | None = None,
-                reduce: bool = False, base: int | None = None,
-                known_small: bool = False) -> DataFrame:
+                reduce: bool = False, base: int | None = None) -> DataFrame:
     """Insert-if-absent: business keys of ``arrivals`` missing from ``existing``, numbered
     after the largest existing key in ascending key order, with first-writer attributes.
     Output: key, sk, attrs. ``reduce``: semi-join reduction of ``existing`` first (for
@@ -104,8 +88,7 @@ def new_members(arrivals: DataFrame, existing: DataFrame | None, key: str, sk: s
     if existing is not None:
         known = members_in(existing, cand, key) if reduce else existing
         cand = cand.join(known.select(key), key, "left_anti")
-    numbered = dense_keys(cand, key, sk, base=max_key(existing, sk) if base is None else base,
-                          known_small=known_small)
+    numbered = dense_keys(cand, key, sk, base=max_key(existing, sk) if base is None else base)
     return numbered.join(cand, key).select(key, sk, *attrs)
 
 

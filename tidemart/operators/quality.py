@@ -29,33 +29,48 @@ FK_SPECS = [
 ]
 
 
-def completeness(staged: DataFrame, fact: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """Rows in = facts + quarantined (``unaccounted_rows`` must be 0)."""
-    s = staged.agg(F.count(F.lit(1)).alias("source_rows"))
-    f = fact.agg(F.count(F.lit(1)).alias("loaded_rows"))
-    q = quarantine.agg(F.count(F.lit(1)).alias("rejected_rows"))
-    # three one-row aggregates placed side by side
-    out = s.select(F.lit(1).alias("_k"), "source_rows") \
-        .join(f.select(F.lit(1).alias("_k"), "loaded_rows"), "_k") \
-        .join(q.select(F.lit(1).alias("_k"), "rejected_rows"), "_k").drop("_k")
+def completeness(source: DataFrame | int, fact: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """Rows in = facts + quarantined (``unaccounted_rows`` must be 0). ``source``: the raw
+    input, or the number of its rows where a log has counted it. One union, one aggregate."""
+    counted = isinstance(source, int)
+    flag = lambda df, *f: df.select(*[F.lit(x).cast("long").alias(n)
+                                      for x, n in zip(f, ("s", "f", "q"))])
+    rows = flag(fact, 0, 1, 0).unionByName(flag(quarantine, 0, 0, 1))
+    if not counted:
+        rows = rows.unionByName(flag(source, 1, 0, 0))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    out = rows.agg((F.lit(source).cast("long") if counted else total("s")).alias("source_rows"),
+                   total("f").alias("loaded_rows"), total("q").alias("rejected_rows"))
     return out.withColumn("unaccounted_rows",
                           F.col("source_rows") - F.col("loaded_rows") - F.col("rejected_rows"))
 
 
 def orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Fact rows whose foreign key has no dimension member, per foreign key."""
-    parts = []
-    for col, dim, key in FK_SPECS:
-        if dim not in dims:
-            continue
-        missing = fact.select(F.col(col).alias(key)).join(dims[dim].select(key), key, "left_anti")
-        parts.append(missing.agg(F.count(F.lit(1)).alias("orphan_rows"))
-                     .select(F.lit(col).alias("fk_column"), F.lit(f"dim_{dim}").alias("dimension"),
-                             "orphan_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Fact rows whose foreign key has no dimension member, per foreign key. One scan of the
+    fact: its keys are counted by value before they meet the members of all dimensions."""
+    specs = [(c, d, k) for c, d, k in FK_SPECS if d in dims]
+    pairs = F.array(*[F.struct(F.lit(c).alias("fk_column"), F.col(c).cast("long").alias("value"))
+                      for c, _, _ in specs])
+    used = (fact.select(F.explode(pairs).alias("p")).groupBy("p.fk_column", "p.value")
+            .agg(F.count(F.lit(1)).alias("n")))
+    members = None
+    for c, d, k in specs:
+        part = dims[d].select(F.lit(c).alias("fk_column"), F.col(k).cast("long").alias("value")).distinct()
+        members = part if members is None else members.unionByName(part)
+    missing = used.join(members, ["fk_column", "value"], "left_anti")
+    names = fact.sparkSession.createDataFrame([(c, f"dim_{d}") for c, d, _ in specs],
+                                              "fk_column string, dimension string")
+    per = missing.groupBy("fk_column").agg(F.sum("n").alias("orphan_rows"))
+    return names.join(per, "fk_column", "left").select(
+        "fk_column", "dimension", F.coalesce("orphan_rows", F.lit(0)).cast("long").alias("orphan_rows"))
+
+
+def lengths(df: DataFrame, limits: dict[str, int], table: str) -> DataFrame:
+    """Values longer than their VARCHAR(n), per column, in one pass."""
+    agg = df.agg(*[F.coalesce(F.sum(F.when(F.length(c) > n, 1).otherwise(0)), F.lit(0)).cast("long").alias(c)
+                   for c, n in limits.items()])
+    return agg.unpivot([], list(limits), "column_name", "too_long") \
+        .select(F.lit(table).alias("table_name"), "column_name", "too_long")
 
 
 def duplicates(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -3,8 +3,12 @@
 ``merge`` compares the current version of each key with a new snapshot (null-safe on
 the tracked attributes): changed keys get their current row closed at ``effective``
 and a new current row opened; unseen keys are opened; keys absent from the snapshot
-and unchanged keys are kept as they are. One full outer join on the key - no per-key
-Python, and history rows that are not current pass through untouched.
+and unchanged keys are kept as they are. One full outer join on the key; each of its rows
+is exploded into the versions it yields, and history rows that are not current pass through
+untouched. Attributes that are not tracked travel along: an unchanged key takes them from
+the snapshot (they are overwritten in place), a closed version keeps its own.
+
+``with_version_keys`` adds a dense version key; ``(key, valid_from)`` identifies a version.
 """
 
 from __future__ import annotations
@@ -15,6 +19,10 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .keys import dense_keys
+
+VALIDITY = ("valid_from", "valid_to", "is_current")
+
 
 def initial(snapshot: DataFrame, key: str, valid_from: Column) -> DataFrame:
     return snapshot.select("*", valid_from.alias("valid_from"),
@@ -25,29 +33,42 @@ def initial(snapshot: DataFrame, key: str, valid_from: Column) -> DataFrame:
 def merge(history: DataFrame, snapshot: DataFrame, key: str, tracked: Sequence[str],
           effective: _dt.date) -> DataFrame:
     eff = F.lit(effective).cast("date")
-    attrs = list(tracked)
-    closed_hist = history.where(~F.col("is_current"))
-    cur = history.where(F.col("is_current")).select(
-        key, *[F.col(a).alias(f"_c_{a}") for a in attrs], F.col("valid_from").alias("_c_from"))
-    snap = snapshot.select(key, *[F.col(a).alias(f"_s_{a}") for a in attrs],
-                           F.lit(True).alias("_seen"))
+    attrs = [c for c in history.columns if c not in (key, *VALIDITY)]
+    missing = [c for c in tracked if c not in attrs]
+    if missing:
+        raise ValueError(f"tracked columns {missing} are not in the history")
+    types = {f.name: f.dataType for f in history.schema.fields}
+    cur = history.where("is_current").select(
+        key, F.struct(*attrs, "valid_from").alias("_cur"))
+    # an attribute that the snapshot lacks keeps its current value
+    snap = snapshot.select(key, F.struct(*[F.col(a).cast(types[a]).alias(a) for a in attrs
+                                           if a in snapshot.columns]).alias("_new"))
     j = cur.join(snap, key, "full_outer")
-    has_cur = F.col("_c_from").isNotNull()
+    has_cur, seen = F.col("_cur").isNotNull(), F.col("_new").isNotNull()
     same = F.lit(True)
-    for a in attrs:
-        same = same & F.col(f"_c_{a}").eqNullSafe(F.col(f"_s_{a}"))
-    changed = has_cur & F.col("_seen").isNotNull() & ~same
-    # 1) current rows that stay current (unchanged or not in the snapshot)
-    keep = j.where(has_cur & ~changed).select(
-        key, *[F.col(f"_c_{a}").alias(a) for a in attrs], F.col("_c_from").alias("valid_from"),
-        F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
-    # 2) current rows closed by a change
-    close = j.where(changed).select(
-        key, *[F.col(f"_c_{a}").alias(a) for a in attrs], F.col("_c_from").alias("valid_from"),
-        eff.alias("valid_to"), F.lit(False).alias("is_current"))
-    # 3) new versions: changed keys and keys seen for the first time
-    opened = j.where(changed | ~has_cur).select(
-        key, *[F.col(f"_s_{a}").alias(a) for a in attrs], eff.alias("valid_from"),
-        F.lit(None).cast("date").alias("valid_to"), F.lit(True).alias("is_current"))
-    cols = [key, *attrs, "valid_from", "valid_to", "is_current"]
-    return closed_hist.select(*cols).unionByName(keep).unionByName(close).unionByName(opened)
+    for a in tracked:
+        same = same & F.col(f"_cur.{a}").eqNullSafe(F.col(f"_new.{a}"))
+    changed = has_cur & seen & ~same
+
+    def version(cond: Column, fresh: Column, start: Column, end: Column, current: bool) -> Column:
+        values = [(F.when(fresh, F.col(f"_new.{a}")).otherwise(F.col(f"_cur.{a}"))
+                   if a in snapshot.columns else F.col(f"_cur.{a}")).alias(a) for a in attrs]
+        return F.when(cond, F.struct(*values, start.alias("valid_from"), end.alias("valid_to"),
+                                     F.lit(current).alias("is_current")))
+
+    none = F.lit(None).cast("date")
+    start = F.col("_cur.valid_from")
+    versions = F.array(
+        version(has_cur & ~changed, seen, start, none, True),       # kept
+        version(changed, F.lit(False), start, eff, False),          # closed
+        version(changed | ~has_cur, F.lit(True), eff, none, True))  # opened
+    now = (j.select(key, F.explode(F.filter(versions, lambda v: v.isNotNull())).alias("_v"))
+           .select(key, "_v.*"))
+    cols = [key, *attrs, *VALIDITY]
+    return history.where(~F.col("is_current")).select(*cols).unionByName(now.select(*cols))
+
+
+def with_version_keys(history: DataFrame, key: str, sk: str = "version_sk") -> DataFrame:
+    """``history`` with a dense key per version, by key and start of validity."""
+    named = history.withColumn("_version", F.struct(key, "valid_from"))
+    return named.join(dense_keys(named, "_version", sk), "_version").drop("_version")

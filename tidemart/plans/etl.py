@@ -39,7 +39,7 @@ def product_master_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = part.select("p_partkey", "p_type", "p_retailprice",
                     (F.col("p_partkey") % n_regions).alias("_r"),
                     (F.col("p_partkey") % n_suppliers).alias("_s"))
-    return (p.join(F.broadcast(region), p._r == region.r_regionkey)
+    return (p.join(region, p._r == region.r_regionkey)
             .join(supplier, p._s == supplier.s_suppkey)
             .select(F.col("p_partkey").cast("string").alias("product_id"),
                     F.col("p_type").alias("product_category"),
@@ -106,9 +106,7 @@ def quarantine_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = tm.read_table(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("customer_id"))
-    # the distributed numbering (range partitions + checkpoint + offsets) on the whole
-    # table, whatever its size
-    return keys.dense_keys(ids, "customer_id", "customer_sk", small_key_set=0)
+    return keys.dense_keys(ids, "customer_id", "customer_sk")
 
 
 def _members(spark: SparkSession, sf_dir: str, master: DataFrame, arrivals: DataFrame,
@@ -188,11 +186,66 @@ def load_test_warehouse(spark: SparkSession, sf_dir: str, root: str | None = Non
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = load_test_warehouse(spark, sf_dir)
-    return spark.read.parquet(f"{root}/sales_fact").select(
+    return load.read(spark, root, "sales_fact").select(
         "order_id", "customer_sk", "product_sk", "store_sk", "supplier_sk", "date_sk",
         "quantity", "unit_price", "total_amount")
 
 
+def fact_sales_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact's surrogate key over a clean first batch: 1..n without a gap."""
+    fact = load.read(spark, load_test_warehouse(spark, sf_dir), "sales_fact")
+    return fact.agg(F.count(F.lit(1)).alias("fact_rows"), F.min("sales_sk").alias("first_sk"),
+                    F.max("sales_sk").alias("last_sk"), F.countDistinct("sales_sk").alias("distinct_sk"),
+                    F.count("created_date").alias("dated_rows"))
+
+
+def business_fact(spark: SparkSession, root: str) -> DataFrame:
+    """The written star's fact with business keys in place of surrogate keys."""
+    fact = load.read(spark, root, "sales_fact")
+    for name, (bk, sk, attrs) in load.DIM_SPECS.items():
+        fact = fact.join(load.read(spark, root, f"dim_{name}").select(sk, bk, *attrs), sk)
+    return fact
+
+
+def load_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even orders load while the customer master lacks every key ending in 0, odd orders load
+    with the whole master, then the first batch is replayed with it, and a second source
+    loads the odd orders of customers ending in 7 again. Rows of each table by batch, and
+    members against distinct keys."""
+    root = scratch_path(spark, "two-batches")
+    customers, products = _masters(spark, sf_dir)
+    sup = tm.supplier_master(spark, sf_dir).withColumn("supplier_id", F.col("supplier_id").cast("int"))
+    raw = tm.raw_transactions(spark, sf_dir)
+    order = F.col("order_id").cast("long")
+    even, odd = raw.where(order % 2 == 0), raw.where(order % 2 == 1)
+    some = customers.where(~F.col("customer_id").endswith("0"))
+
+    def run(rows: DataFrame, master: DataFrame, source: str, offset: str) -> None:
+        load.load_batch(spark, rows, master, products, root, suppliers=sup, source=source,
+                        offset=offset)
+
+    run(even, some, "first", "0")
+    run(odd, customers, "first", "1")
+    run(even, customers, "first", "0")
+    run(odd.where(F.col("customer_id").endswith("7")), customers, "second", "0")
+    parts = []
+    for name in ("sales_fact", "quarantine"):
+        parts.append(load.read(spark, root, name).groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+                     .select(F.lit(name).alias("table_name"), "batch_id", "n"))
+    for name, (bk, sk, _) in load.DIM_SPECS.items():
+        dim = load.read(spark, root, f"dim_{name}")
+        parts.append(dim.agg(F.countDistinct(bk).alias("n"))
+                     .select(F.lit(f"dim_{name} members").alias("table_name"),
+                             F.lit(-1).cast("long").alias("batch_id"), "n"))
+        parts.append(dim.agg(F.countDistinct(sk).alias("n"))
+                     .select(F.lit(f"dim_{name} keys").alias("table_name"),
+                             F.lit(-1).cast("long").alias("batch_id"), "n"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 # ------------------------------------------------------------------ SCD2
 def scd2_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot 1 = customer master on 1995-01-01; snapshot 2 on the last order date with
@@ -220,20 +273,20 @@ def _dq_star(spark: SparkSession, sf_dir: str) -> str:
 
 
 def dq_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw input is counted by itself, not as the loader saw it."""
     root = _dq_star(spark, sf_dir)
-    return quality.completeness(spark.read.parquet(f"{root}/_staging"),
-                                spark.read.parquet(f"{root}/sales_fact"),
-                                spark.read.parquet(f"{root}/quarantine"))
+    return quality.completeness(dirty_transactions(spark, sf_dir),
+                                load.read(spark, root, "sales_fact"),
+                                load.read(spark, root, "quarantine"))
 
 
 def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _dq_star(spark, sf_dir)
-    fact = spark.read.parquet(f"{root}/sales_fact")
     # defect: customers whose key ends in 0 are missing from the dimension
-    dims = {n: spark.read.parquet(f"{root}/dim_{n}") for n in
+    dims = {n: load.read(spark, root, f"dim_{n}") for n in
             ("customer", "product", "store", "supplier", "time")}
     dims["customer"] = dims["customer"].where(~F.col("customer_id").endswith("0"))
-    return quality.orphans(fact, dims)
+    return quality.orphans(load.read(spark, root, "sales_fact"), dims)
 
 
 def dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -263,9 +316,9 @@ def dq_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ streaming
-def stream_sales_enriched(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
-    """The whole transaction table staged as CSV files, loaded by the streaming loader
-    (one file per micro-batch, ``availableNow``); returns the enriched rows it staged."""
+def streamed_warehouse(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
+    """The whole transaction table staged as CSV files and loaded by the streaming loader,
+    one file per micro-batch (``availableNow``); the root of the star it wrote."""
     base = scratch_path(spark, "stream")
     src = f"{base}/incoming"
     masters.write_transactions_csv(tm.raw_transactions(spark, sf_dir), src, files=files)
@@ -276,17 +329,33 @@ def stream_sales_enriched(spark: SparkSession, sf_dir: str, files: int = 4) -> D
                      customers=lambda: tm.customer_master(spark, sf_dir),
                      products=lambda: tm.product_master(spark, sf_dir), suppliers=sup)
     q.awaitTermination()
-    staged = spark.read.parquet(f"{base}/warehouse/_staging").drop("batch_id")
-    return cleanse.accepted(staged).select(*ENRICHED_COLS)
+    return f"{base}/warehouse"
+
+
+def stream_sales_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Enriched sales as the star holds them that the stream wrote."""
+    return business_fact(spark, streamed_warehouse(spark, sf_dir)).select(*ENRICHED_COLS)
+
+
+def stream_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact that the stream wrote, by business keys."""
+    return business_fact(spark, streamed_warehouse(spark, sf_dir)).select(
+        "order_id", "customer_id", "product_id", "store_id", "supplier_id", "date_sk", "quantity",
+        "unit_price", "total_amount")
+
+
+MV_BATCHES = 4
 
 
 def mv_store_quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pre-aggregate maintained batch by batch (one batch per sales year, written in one
-    pass), then read by merging the partial sums."""
+    """Pre-aggregate maintained batch by batch (orders dealt by their key, so every store and
+    quarter has partial sums in several batches), then read by merging them."""
     star = tm.TestTableStar(spark, sf_dir)
     path = scratch_path(spark, "store-quarterly")
-    sales = star.joined("store").withColumn("sale_year", F.year("transaction_date"))
-    preagg.apply_batches(sales, path, "sale_year")
+    sales = star.joined("store")
+    for batch in range(MV_BATCHES):
+        part = sales.where(F.col("order_id").cast("long") % MV_BATCHES == batch)
+        preagg.apply_batch(part, path, batch)
     return preagg.read(spark, path).select(
         "store_id", "store_name", "year", "quarter", "total_sales", "total_quantity",
         "transaction_count", "avg_sale_value")

@@ -1,29 +1,38 @@
 """Batch / micro-batch load of the star: cleanse -> dimensions -> fact -> quarantine.
 
-Layout under ``root`` (all Parquet, every table partitioned by ``batch_id``):
-    _staging/            classified rows of the batch (cuts lineage, survives executor loss)
+Layout under ``root`` (all Parquet, every table with a folder per ``batch_id``):
+    _commits/            the batch log (``plans.commits``): source, offset, state, counters
     dim_customer/ dim_product/ dim_store/ dim_supplier/ dim_time/
-    sales_fact/          partitioned by sale_year and batch_id
+    sales_fact/          batch_id, then sale_year
     quarantine/          rejected rows with reason
-
-Idempotence: every write of batch N uses dynamic partition overwrite of ``batch_id=N``,
-dimensions of batch N are derived against members of batches < N only, and facts of
-batch N join members of batches <= N. Replaying batch N therefore rewrites the same
-rows. Dimensions are written before facts, so a fact never references a missing member.
+    store_quarterly_sales/  partial sums of the pre-aggregate
+
+Every table is written in its schema (``schema.TABLES``) and read with it, so an empty
+table, a batch without accepted rows or a first batch of rejects only are ordinary cases.
+
+Replays. The log tells whether (source, offset) was loaded before. Facts, quarantine and
+pre-aggregate of a batch are written as a whole folder, so a replay replaces all of it,
+partitions that become empty included. Dimensions are append-only: a batch adds the members
+that no batch has yet, numbered after the largest key of all, so members keep their keys
+whatever is replayed, and in whatever order. Dimensions are written before facts, and rows
+whose store, supplier, price or amount is no value are quarantined beforehand, so each
+accepted row finds all its members.
 """
 
 from __future__ import annotations
 
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import schema
 from ..functions import calendar as cal
 from ..operators import cleanse, keys
-from ..plans.star import FACT_COLS
-from ..session import path_exists
+from ..session import drop_path, read_or_empty, scratch_path
 from ..streaming import preagg
+from . import commits
 
 DIM_SPECS = {
     # name: (business key, surrogate key, attributes)
@@ -34,62 +43,49 @@ DIM_SPECS = {
     "store": ("store_id", "store_sk", ["store_name"]),
     "supplier": ("supplier_id", "supplier_sk", ["supplier_name"]),
 }
+# Keys of a batch's facts start at batch_id * SALES_SK_SPAN + 1: unique without a look at the
+# facts of earlier batches. A quarantined row leaves a gap, as a failed insert does.
+SALES_SK_SPAN = 1 << 40
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, path)
-
-
-def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """``batch_id`` partitions present under a table folder (one directory listing)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    out = []
-    for st in fs.listStatus(hpath):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("batch_id="):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
-def last_key(spark: SparkSession, path: str, batch_id: int, sk: str) -> int:
-    """Largest surrogate key issued before ``batch_id``. Keys grow with the batch, so only
-    the newest earlier batch partition is read - never the whole dimension."""
-    earlier = [b for b in batch_ids(spark, path) if b < batch_id]
-    if not earlier:
-        return 0
-    row = spark.read.parquet(f"{path}/batch_id={earlier[-1]}").agg(F.max(sk).alias("m")).first()
-    return int(row["m"]) if row and row["m"] is not None else 0
+def read(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the warehouse in its schema, whether it has rows or not."""
+    return read_or_empty(spark, f"{root.rstrip('/')}/{name}", schema.full(name))
 
 
-def read_upto(spark: SparkSession, path: str, batch_id: int, inclusive: bool) -> DataFrame | None:
-    if not _exists(spark, path):
-        return None
-    df = spark.read.parquet(path)
-    cond = F.col("batch_id") <= batch_id if inclusive else F.col("batch_id") < batch_id
-    return df.where(cond).drop("batch_id")
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """``df`` in the column order and types of table ``name``; an absent column is NULL, the
+    audit columns are the time of the write."""
+    cols = []
+    for f in schema.TABLES[name][0].fields:
+        if f.name in ("created_date", "updated_date"):
+            cols.append(F.current_timestamp().alias(f.name))
+        elif f.name in df.columns:
+            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
+        else:
+            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+    extra = [p for p in schema.TABLES[name][1] if p != "batch_id"]
+    return df.select(*cols, *extra)
 
 
 def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...] = (),
-           cluster_by: tuple[str, ...] = ()) -> None:
-    """Append batch ``batch_id`` (dynamic overwrite of that partition only). ``cluster_by``
+           cluster_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
+    """Write the folder of batch ``batch_id``; ``overwrite`` replaces all of it. ``cluster_by``
     sorts rows inside each task after the partition columns - the writer needs that
     order anyway - so Parquet row groups get tight min/max statistics on those columns.
 
-    With extra partition columns (the fact's ``sale_year``) the rows are rebalanced on
-    them first: each task then writes one partition folder instead of every task writing
+    With partition columns (the fact's ``sale_year``) the rows are rebalanced on them
+    first: each task then writes one partition folder instead of every task writing
     into every year (tasks x years small files), and AQE sizes the output tasks to the
     advisory partition size, splitting a hot year over several tasks."""
-    out = df.withColumn("batch_id", F.lit(batch_id))
     if extra_parts:
-        out = out.hint("rebalance", *extra_parts)
+        df = df.hint("rebalance", *extra_parts)
     if cluster_by:
-        out = out.sortWithinPartitions(*extra_parts, "batch_id", *cluster_by)
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*extra_parts, "batch_id").parquet(path))
+        df = df.sortWithinPartitions(*extra_parts, *cluster_by)
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    if extra_parts:
+        writer = writer.partitionBy(*extra_parts)
+    writer.parquet(f"{path}/batch_id={batch_id}")
 
 
 def _with_dim_attrs(rows: DataFrame) -> DataFrame:
@@ -99,72 +95,83 @@ def _with_dim_attrs(rows: DataFrame) -> DataFrame:
     return rows
 
 
-def members_in_dates(existing_t: DataFrame, dates: DataFrame) -> DataFrame:
-    """Dates of the batch that the time dimension already has (semi-join reduction)."""
-    return keys.members_in(existing_t.select("transaction_date"), dates, "transaction_date")
-
-
 def time_members(dates: DataFrame, holidays: DataFrame | None = None) -> DataFrame:
     """DIM_TIME rows for a set of dates (column ``transaction_date``). ``holidays`` is an
-    optional table of holiday dates (column ``holiday_date``); it is one row per calendar
-    day at most, so it is broadcast."""
+    optional table of holiday dates (column ``holiday_date``)."""
     if holidays is None:
         return dates.select(*cal.calendar_columns("transaction_date"))
-    h = F.broadcast(holidays.select(F.col("holiday_date").alias("transaction_date"))
-                    .distinct().withColumn("_hol", F.lit(1)))
+    h = (holidays.select(F.col("holiday_date").alias("transaction_date"))
+         .distinct().withColumn("_hol", F.lit(1)))
     d = dates.join(h, "transaction_date", "left")
     return d.select(*cal.calendar_columns(
         "transaction_date", holidays=F.coalesce(F.col("_hol"), F.lit(0))))
 
 
+def _sales_keys(staged: DataFrame, batch_id: int) -> DataFrame:
+    """(_pid, _first): the key before the first row of each staging task. One row per task;
+    the window over them is bounded by the number of tasks."""
+    per = staged.groupBy(F.shiftright("_row", 33).alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return per.select("_pid", (F.coalesce(F.sum("_n").over(before), F.lit(0))
+                               + F.lit(batch_id * SALES_SK_SPAN)).alias("_first"))
+
+
 def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, products: DataFrame,
-               root: str, batch_id: int, suppliers: DataFrame | None = None,
+               root: str, batch_id: int | None = None, suppliers: DataFrame | None = None,
                holidays: DataFrame | None = None,
                cluster_fact_by_date: bool = False,
-               micro_batch: bool = False) -> dict[str, int]:
-    """Load one batch of raw transactions into the star at ``root``. Returns counters
-    (rows in, facts, quarantined). ``cluster_fact_by_date`` sorts fact rows by date inside
-    each written file (tighter row-group statistics for sub-year date filters; measured
-    about +15 % load time at sf0.1, so off by default - years are pruned by partition).
-    ``micro_batch`` turns on semi-join reductions against masters and dimensions: a small
-    batch then scans, never shuffles, big tables (the streaming loader sets it)."""
+               micro_batch: bool = False, source: str | None = None,
+               offset: str | None = None, replay: bool = False) -> dict[str, int]:
+    """Load one batch of raw transactions into the star at ``root``. Returns counters: rows
+    in, facts and rejects written. ``source`` and ``offset`` identify the batch (see
+    ``plans.commits``); without them it is a new one, or ``batch_id``, which must be new
+    unless ``replay`` says that it is to be replaced.
+
+    ``cluster_fact_by_date`` sorts fact rows by date inside each written file (tighter
+    row-group statistics for sub-year date filters; measured about +15 % load time at sf0.1,
+    so off by default - years are pruned by partition). ``micro_batch`` turns on semi-join
+    reductions against masters and dimensions: a small batch then scans, never shuffles,
+    big tables (the streaming loader sets it)."""
     root = root.rstrip("/")
+    if source is None:
+        source, offset = "manual", str(uuid.uuid4() if batch_id is None else batch_id)
+        if batch_id is not None and not replay and not commits.log(spark, root).where(
+                F.col("batch_id") == batch_id).isEmpty():
+            raise ValueError(f"batch {batch_id} is in the warehouse already")
+    batch = commits.begin(spark, root, source, str(offset), wanted=batch_id)
+    number = batch.batch_id
+
+    seen = Observation()
+    raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
     classified = cleanse.classify(raw, customers, products, reduce_masters=micro_batch)
-    staging = f"{root}/_staging"
-    _write(classified, staging, batch_id)
-    staged = spark.read.parquet(staging).where(F.col("batch_id") == batch_id).drop("batch_id")
-    counts = staged.groupBy((F.col("reject_reason") == cleanse.OK).alias("ok")).count().collect()
-    by = {r["ok"]: r["count"] for r in counts}
-    # a batch cannot bring more new members than rows: small batches number their new
-    # keys with one bounded window and skip the per-dimension size checks
-    small_batch = sum(by.values()) <= keys.SMALL_KEY_SET
+    staging = scratch_path(spark, "staging")
+    # fixes each row's number and cuts lineage: no lost executor changes what was classified
+    classified.withColumn("_row", F.monotonically_increasing_id()).write.parquet(staging)
+    staged = spark.read.parquet(staging)
+    rows = int(seen.get["rows"])
 
     good = _with_dim_attrs(cleanse.accepted(staged))
+    for key in ("store_id", "supplier_id"):
+        if key in good.columns:
+            good = good.withColumn(key, F.expr(f"try_cast({key} AS INT)"))
     if suppliers is not None and "supplier_name" not in good.columns:
-        good = good.withColumn("supplier_id", F.expr("try_cast(supplier_id AS INT)")) \
-            .join(suppliers, "supplier_id", "left")
-    good = good.withColumn("store_id", F.col("store_id").cast("int")) \
-        if "store_id" in good.columns else good
+        good = good.join(suppliers, "supplier_id", "left")
 
     # dimensions (all written before the facts). The five builds read the same staged
     # batch and write separate tables, so they are submitted as concurrent Spark jobs.
     def build_dim(name: str, bk: str, sk: str, attrs: list[str]) -> None:
-        path = f"{root}/dim_{name}"
-        existing = read_upto(spark, path, batch_id, inclusive=False)
+        table = f"dim_{name}"
+        existing = read(spark, root, table)
         present = [a for a in attrs if a in good.columns]
-        base = last_key(spark, path, batch_id, sk)
-        _write(keys.new_members(good, existing, bk, sk, present, reduce=micro_batch,
-                                base=base, known_small=small_batch), path, batch_id)
+        fresh = keys.new_members(good, existing, bk, sk, present, reduce=micro_batch)
+        _write(conform(fresh, table), f"{root}/{table}", number, mode="append")
 
     def build_time() -> None:
-        tpath = f"{root}/dim_time"
-        existing_t = read_upto(spark, tpath, batch_id, inclusive=False)
         dates = good.select("transaction_date").distinct()
-        if existing_t is not None:
-            known = (members_in_dates(existing_t, dates) if micro_batch
-                     else existing_t.select("transaction_date"))
-            dates = dates.join(known, "transaction_date", "left_anti")
-        _write(time_members(dates, holidays), tpath, batch_id)
+        known = keys.members_in(read(spark, root, "dim_time").select("transaction_date"), dates,
+                                "transaction_date")
+        fresh = time_members(dates.join(known, "transaction_date", "left_anti"), holidays)
+        _write(conform(fresh, "dim_time"), f"{root}/dim_time", number, mode="append")
 
     tasks = [(build_dim, (name, bk, sk, attrs)) for name, (bk, sk, attrs) in DIM_SPECS.items()
              if bk in good.columns] + [(build_time, ())]
@@ -172,38 +179,30 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
         for fut in [pool.submit(fn, *args) for fn, args in tasks]:
             fut.result()
 
-    # facts: business keys -> surrogate keys of members up to this batch
-    lookups = []
-    for name, (bk, sk, _) in DIM_SPECS.items():
-        if bk in good.columns:
-            lookups.append((read_upto(spark, f"{root}/dim_{name}", batch_id, inclusive=True),
-                            bk, sk))
-    if any(d is None for d, _, _ in lookups):
-        # no member was ever written: the batch had no accepted rows
-        fact = good.where(F.lit(False))
-        for _, bk, sk in lookups:
-            fact = fact.withColumn(sk, F.lit(None).cast("long"))
-    else:
-        fact = keys.lookup_keys(good, lookups, reduce=micro_batch)
-    for _, (bk, sk, _) in DIM_SPECS.items():
-        if sk not in fact.columns:
-            fact = fact.withColumn(sk, F.lit(None).cast("long"))
-    fact = (fact.withColumn("date_sk", cal.date_sk("transaction_date"))
-            .select(*FACT_COLS)
+    # facts: business keys -> surrogate keys
+    lookups = [(read(spark, root, f"dim_{name}"), bk, sk)
+               for name, (bk, sk, _) in DIM_SPECS.items() if bk in good.columns]
+    fact = keys.lookup_keys(good, lookups, reduce=micro_batch)
+    fact = (fact.withColumn("_pid", F.shiftright("_row", 33))
+            .join(_sales_keys(staged, number), "_pid")
+            .withColumn("sales_sk", F.col("_first") + 1
+                        + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)))
+            .withColumn("date_sk", cal.date_sk("transaction_date"))
             .withColumn("sale_year", F.year("transaction_date")))
     # the fact and the quarantine read only the staged batch: two concurrent jobs
     with ThreadPoolExecutor(max_workers=2) as pool:
-        jobs = [pool.submit(_write, fact, f"{root}/sales_fact", batch_id, ("sale_year",),
-                            ("transaction_date",) if cluster_fact_by_date else ()),
-                pool.submit(_write, cleanse.rejected(staged, raw.columns),
-                            f"{root}/quarantine", batch_id)]
+        jobs = [pool.submit(_write, conform(fact, "sales_fact"), f"{root}/sales_fact", number,
+                            ("sale_year",), ("transaction_date",) if cluster_fact_by_date else ()),
+                pool.submit(_write, conform(cleanse.rejected(staged, raw.columns), "quarantine"),
+                            f"{root}/quarantine", number)]
         for job in jobs:
             job.result()
     # the quarterly pre-aggregate: this batch's partial sums (store attributes attached)
-    batch_fact = spark.read.parquet(f"{root}/sales_fact").where(F.col("batch_id") == batch_id)
-    if _exists(spark, f"{root}/dim_store"):
-        stores = spark.read.parquet(f"{root}/dim_store").select("store_sk", "store_id",
-                                                                "store_name")
-        preagg.apply_batch(batch_fact.join(stores, "store_sk"),
-                           f"{root}/store_quarterly_sales", batch_id)
-    return {"rows": sum(by.values()), "facts": by.get(True, 0), "rejects": by.get(False, 0)}
+    written = read(spark, root, "sales_fact").where(F.col("batch_id") == number)
+    stores = read(spark, root, "dim_store").select("store_sk", "store_id", "store_name")
+    preagg.apply_batch(written.join(stores, "store_sk"), f"{root}/store_quarterly_sales", number)
+    rejects = read(spark, root, "quarantine").where(F.col("batch_id") == number)
+    counts = {"rows": rows, "facts": written.count(), "rejects": rejects.count()}
+    commits.done(spark, root, number, source, str(offset), counts)
+    drop_path(spark, staging)
+    return counts

@@ -470,11 +470,11 @@ UNION ALL SELECT customer_id, city_category, DATE '1995-01-01', (SELECT d FROM d
 UNION ALL SELECT customer_id, new_city, (SELECT d FROM d2), CAST(NULL AS DATE), true FROM chg"""
 
 ETL_SQL["dq_completeness"] = ETL + """
-SELECT COUNT(*) AS source_rows,
-       COUNT(*) FILTER (WHERE reject_reason = 'ok') AS loaded_rows,
-       COUNT(*) FILTER (WHERE reject_reason <> 'ok') AS rejected_rows,
-       CAST(0 AS BIGINT) AS unaccounted_rows
-FROM cl"""
+, n AS (SELECT COUNT(*) FILTER (WHERE reject_reason = 'ok') AS loaded_rows,
+               COUNT(*) FILTER (WHERE reject_reason <> 'ok') AS rejected_rows FROM cl),
+r AS (SELECT COUNT(*) AS source_rows FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT source_rows, loaded_rows, rejected_rows,
+       source_rows - loaded_rows - rejected_rows AS unaccounted_rows FROM n, r"""
 
 ETL_SQL["dq_orphans"] = ETL + """
 SELECT fk_column, dimension, orphan_rows FROM (
@@ -533,6 +533,31 @@ UNION ALL SELECT 'marital_status_flag', COUNT(*) FILTER (WHERE marital_status NO
 
 ETL_SQL["stream_sales_enriched"] = ETL_SQL["enrich_sales_batch"]
 
+ETL_SQL["stream_fact_sales"] = ETL + """
+SELECT r.order_id, r.customer_id, r.product_id, CAST(cm.store_id AS INTEGER) AS store_id,
+       CAST(r.supplier_id AS INTEGER) AS supplier_id,
+       CAST(strftime(CAST(r.date AS DATE), '%Y%m%d') AS INTEGER) AS date_sk,
+       CAST(r.quantity AS INTEGER) AS quantity, CAST(pm.price AS DECIMAL(10,2)) AS unit_price,
+       CAST(CAST(r.quantity AS INTEGER) * CAST(pm.price AS DECIMAL(10,2)) AS DECIMAL(12,2))
+         AS total_amount
+FROM raw r JOIN cm ON r.customer_id = cm.customer_id JOIN pm ON r.product_id = pm.product_id"""
+
+ETL_SQL["fact_sales_keys"] = ETL + """
+SELECT COUNT(*) AS fact_rows, CAST(1 AS BIGINT) AS first_sk, COUNT(*) AS last_sk,
+       COUNT(*) AS distinct_sk, COUNT(*) AS dated_rows FROM raw"""
+
+ETL_SQL["load_two_batches"] = ETL + """
+, used AS (SELECT r.*, cm.store_id, CAST(r.order_id AS BIGINT) % 2 AS batch
+           FROM raw r JOIN cm ON r.customer_id = cm.customer_id JOIN pm ON r.product_id = pm.product_id),
+c AS (SELECT COUNT(DISTINCT customer_id) AS c, COUNT(DISTINCT product_id) AS p,
+             COUNT(DISTINCT store_id) AS s, COUNT(DISTINCT supplier_id) AS u FROM used)
+SELECT 'sales_fact' AS table_name, batch AS batch_id, COUNT(*) AS n FROM used GROUP BY batch
+UNION ALL SELECT 'sales_fact', 2, COUNT(*) FROM used WHERE batch = 1 AND customer_id LIKE '%7'
+UNION ALL SELECT 'dim_customer ' || k, -1, c FROM c, (VALUES ('members'), ('keys')) v(k)
+UNION ALL SELECT 'dim_product ' || k, -1, p FROM c, (VALUES ('members'), ('keys')) v(k)
+UNION ALL SELECT 'dim_store ' || k, -1, s FROM c, (VALUES ('members'), ('keys')) v(k)
+UNION ALL SELECT 'dim_supplier ' || k, -1, u FROM c, (VALUES ('members'), ('keys')) v(k)"""
+
 ETL_SQL["mv_store_quarterly"] = STAR + f"""
 SELECT s.store_id, s.store_name, year, quarter, {MSUM} AS total_sales, {QSUM} AS total_quantity,
        COUNT(*) AS transaction_count, {AVG} AS avg_sale_value

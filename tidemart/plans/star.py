@@ -28,7 +28,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schema
 from ..functions import calendar as cal
+from ..session import read_or_empty
 
 DIMENSIONS = ("customer", "product", "store", "supplier", "time")
 
@@ -95,7 +97,7 @@ class WarehouseStar(Star):
         self.root = root.rstrip("/")
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        return read_or_empty(self.spark, f"{self.root}/{name}", schema.full(name))
 
     def fact(self, period: Period | None = None) -> DataFrame:
         f = self._read("sales_fact")

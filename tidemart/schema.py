@@ -1,8 +1,8 @@
 """Table schemas of the star (DDL of the warehouse) and catalog helpers.
 
 Spark enforces neither primary, foreign nor unique keys; those constraints are checked by
-``operators.quality`` instead. Tables are Parquet; the fact is partitioned by sale year
-and load batch.
+``operators.quality`` instead. Tables are Parquet; the fact is partitioned by
+load batch and year. Every writer casts to these schemas and every reader asks for them.
 """
 
 from __future__ import annotations
@@ -10,28 +10,34 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from .session import path_exists
+
 _L, _I, _S, _D = T.LongType(), T.IntegerType(), T.StringType(), T.DateType()
 _PRICE, _AMOUNT = T.DecimalType(10, 2), T.DecimalType(12, 2)
+_NOW = T.TimestampType()
 
 
 def _f(name, typ, nullable=True):
     return T.StructField(name, typ, nullable)
 
 
+_AUDIT = [_f("created_date", _NOW), _f("updated_date", _NOW)]
+
+
 DIM_CUSTOMER = T.StructType([
     _f("customer_id", _S, False), _f("customer_sk", _L, False), _f("gender", _S),
     _f("age_group", _S), _f("age_numeric", _I), _f("occupation", _I), _f("city_category", _S),
-    _f("stay_in_current_city_years", _I), _f("marital_status", _I)])
+    _f("stay_in_current_city_years", _I), _f("marital_status", _I), *_AUDIT])
 
 DIM_PRODUCT = T.StructType([
     _f("product_id", _S, False), _f("product_sk", _L, False), _f("product_category", _S),
-    _f("price", _PRICE)])
+    _f("price", _PRICE), *_AUDIT])
 
 DIM_STORE = T.StructType([
-    _f("store_id", _I, False), _f("store_sk", _L, False), _f("store_name", _S)])
+    _f("store_id", _I, False), _f("store_sk", _L, False), _f("store_name", _S), *_AUDIT])
 
 DIM_SUPPLIER = T.StructType([
-    _f("supplier_id", _I, False), _f("supplier_sk", _L, False), _f("supplier_name", _S)])
+    _f("supplier_id", _I, False), _f("supplier_sk", _L, False), _f("supplier_name", _S), *_AUDIT])
 
 DIM_TIME = T.StructType([
     _f("date_sk", _I, False), _f("transaction_date", _D, False), _f("year", _I), _f("month", _I),
@@ -40,10 +46,14 @@ DIM_TIME = T.StructType([
     _f("is_holiday", _I)])
 
 SALES_FACT = T.StructType([
-    _f("order_id", _S, False), _f("customer_sk", _L, False), _f("product_sk", _L, False),
+    _f("sales_sk", _L, False), _f("order_id", _S, False), _f("customer_sk", _L, False), _f("product_sk", _L, False),
     _f("store_sk", _L, False), _f("supplier_sk", _L, False), _f("date_sk", _I, False),
     _f("transaction_date", _D, False), _f("quantity", _I), _f("unit_price", _PRICE),
-    _f("total_amount", _AMOUNT)])
+    _f("total_amount", _AMOUNT), _f("created_date", _NOW)])
+
+QUARANTINE = T.StructType([_f(c, _S) for c in (
+    "order_id", "customer_id", "product_id", "quantity", "date", "line_number", "supplier_id",
+    "reject_reason")])
 
 STORE_QUARTERLY_SALES = T.StructType([
     _f("store_sk", _L, False), _f("store_id", _I), _f("store_name", _S), _f("year", _I),
@@ -56,11 +66,29 @@ TABLES = {
     "dim_store": (DIM_STORE, ("batch_id",)),
     "dim_supplier": (DIM_SUPPLIER, ("batch_id",)),
     "dim_time": (DIM_TIME, ("batch_id",)),
-    "sales_fact": (SALES_FACT, ("sale_year", "batch_id")),
+    "sales_fact": (SALES_FACT, ("batch_id", "sale_year")),
+    "quarantine": (QUARANTINE, ("batch_id",)),
     "store_quarterly_sales": (STORE_QUARTERLY_SALES, ("batch_id",)),
 }
 
 
+# Fixed VARCHAR(n) and CHAR(1) lengths of the text columns.
+VARCHAR = {
+    "dim_customer": {"customer_id": 20, "gender": 1, "age_group": 10, "city_category": 1},
+    "dim_product": {"product_id": 20, "product_category": 50},
+    "dim_store": {"store_name": 100},
+    "dim_supplier": {"supplier_name": 100},
+    "dim_time": {"month_name": 20, "day_name": 20, "season": 10},
+    "sales_fact": {"order_id": 20},
+}
+
+
+def full(name: str) -> T.StructType:
+    """Schema of a table with its partition columns, as its folders are read."""
+    fields, parts = TABLES[name]
+    return T.StructType(fields.fields + [_f(p, _I if p == "sale_year" else _L) for p in parts])
+
+
 def ddl(name: str, location: str, database: str | None = None) -> str:
     """``CREATE TABLE IF NOT EXISTS ... USING parquet PARTITIONED BY ... LOCATION ...``."""
     schema, parts = TABLES[name]
@@ -78,14 +106,15 @@ def create_tables(spark: SparkSession, root: str, database: str | None = None) -
     for name in TABLES:
         spark.sql(ddl(name, root, database))
         qual = f"{database}.{name}" if database else name
-        spark.sql(f"MSCK REPAIR TABLE {qual}")
+        if path_exists(spark, f"{root.rstrip('/')}/{name}"):
+            spark.sql(f"MSCK REPAIR TABLE {qual}")
         made.append(qual)
     return made
 
 
 def drop_tables(spark: SparkSession, database: str | None = None) -> None:
     """Drop in foreign-key order (fact and aggregate first, then dimensions)."""
-    order = ["store_quarterly_sales", "sales_fact", "dim_time", "dim_supplier", "dim_store",
+    order = ["store_quarterly_sales", "quarantine", "sales_fact", "dim_time", "dim_supplier", "dim_store",
              "dim_product", "dim_customer"]
     for name in order:
         qual = f"{database}.{name}" if database else name

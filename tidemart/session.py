@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def local_session(cpus: int | None = None, shuffle_partitions: int | None = None,
@@ -34,8 +36,9 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when nothing is configured (local tests) a private
-    folder is created and registered.
+    Read from the session. Where nothing is configured, a session in local mode (one
+    machine, as in tests) gets a private folder; on a cluster that would scatter files over
+    its machines, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -44,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tidemart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -73,9 +78,41 @@ def sized_conf(input_bytes: int, executor_cores_total: int,
     }
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on its (Hadoop) file system."""
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The Parquet table at ``path`` in ``schema``; without rows if nothing was written."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def stored(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written to the shared folder and read again: a join then has a plain exchange
+    on this side, which lets adaptive execution split a skewed key."""
+    path = scratch_path(spark, tag)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that ``scratch_path`` named (nothing else is ever removed)."""
+    if "/tidemart-work/" not in path:
+        raise ValueError(f"not a work folder: {path}")
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on its (Hadoop) file system. A Spark Connect session has no
+    file system of its own to ask: there the answer is yes, and reading tells."""
+    jvm = getattr(getattr(spark, "sparkContext", None), "_jvm", None)
+    if jvm is None:
+        return True
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))

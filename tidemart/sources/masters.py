@@ -161,13 +161,18 @@ TRANSACTION_DEFAULTS = {"order_id": "", "customer_id": "", "product_id": "", "qu
                         "date": ""}
 
 
+# Further columns that are used if a file has them; any other column is ignored, whatever
+# its name (one called as a master's attribute would be ambiguous after the join).
+OPTIONAL_FIELDS = ("line_number", "supplier_id", "_corrupt_record")
+
+
 def _by_name(df: DataFrame) -> DataFrame:
     cols = []
     for src, dst in TRANSACTION_FIELDS.items():
         cols.append(F.col(f"`{src}`").alias(dst) if src in df.columns
                     else F.lit(TRANSACTION_DEFAULTS[dst]).alias(dst))
-    extra = [F.col(f"`{c}`") for c in df.columns
-             if c not in TRANSACTION_FIELDS and c != "_c0"]
+    known = {c.lower(): c for c in df.columns}
+    extra = [F.col(f"`{known[c]}`").alias(c) for c in OPTIONAL_FIELDS if c in known]
     return df.select(*cols, *extra)
 
 
@@ -205,10 +210,10 @@ def stream_transactions(spark: SparkSession, path: str, schema: T.StructType,
     return _by_name(raw).withColumn("_source_file", F.col("_metadata.file_path"))
 
 
-def flag_bad_headers(spark: SparkSession, batch: DataFrame, schema: T.StructType) -> DataFrame:
-    """For a micro-batch of ``stream_transactions``: mark rows of files whose header
-    differs from the schema. The batch's files are at most ``maxFilesPerTrigger``."""
-    files = [r[0] for r in batch.select("_source_file").distinct().collect()]
+def flag_bad_headers(spark: SparkSession, batch: DataFrame, schema: T.StructType,
+                     files: list[str]) -> DataFrame:
+    """For a micro-batch of ``stream_transactions``: mark rows of those of its ``files`` (at
+    most ``maxFilesPerTrigger``) whose header differs from the schema."""
     bad = bad_header_files(spark, files, schema)
     return batch.withColumn("_bad_header", F.col("_source_file").isin(*bad) if bad
                             else F.lit(False)).drop("_source_file")

@@ -3,14 +3,15 @@
 ``readStream`` (file source, ``maxFilesPerTrigger`` as back-pressure) feeds a
 ``foreachBatch`` sink that runs the same batch loader as the offline job for every
 micro-batch: classify + stage, new dimension members, facts, quarantine and the
-quarterly pre-aggregate, each written under ``batch_id`` with dynamic partition
-overwrite. Offsets live in the checkpoint; a restarted query replays the last batch
-and rewrites the same partitions (exactly-once output without a transactional table
+quarterly pre-aggregate, each written under the ``batch_id`` that the warehouse's log gives
+the micro-batch's files. Offsets live in the checkpoint; a restarted query replays the last
+batch and replaces it as a whole (exactly-once output without a transactional table
 format). Master data is re-read for every micro-batch, so new members are seen.
 """
 
 from __future__ import annotations
 
+import hashlib
 from typing import Callable
 
 from pyspark import StorageLevel
@@ -25,20 +26,26 @@ MasterFn = Callable[[], DataFrame]
 
 
 def warehouse_batch(spark: SparkSession, root: str, customers: MasterFn, products: MasterFn,
-                    suppliers: MasterFn | None = None,
-                    schema: T.StructType | None = None) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: one micro-batch -> one idempotent warehouse batch."""
+                    suppliers: MasterFn | None = None, schema: T.StructType | None = None,
+                    source: str = "stream") -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function: one micro-batch -> one idempotent warehouse batch. A
+    micro-batch is known by its files, so a stream that starts anew over the same folder
+    replays its batches, and one over another folder gets new ones."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
         # the micro-batch is read by two actions (its file list, the staging write): keep
         # it for the duration of the batch so the source is read, and counted, once
         cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = cached
+            rows, offset = cached, str(batch_id)
             if schema is not None and "_source_file" in rows.columns:
-                rows = masters.flag_bad_headers(spark, rows, schema)
-            load.load_batch(spark, rows, customers(), products(), root, int(batch_id),
-                            suppliers=suppliers() if suppliers else None, micro_batch=True)
+                # at most maxFilesPerTrigger names
+                files = sorted(r[0] for r in rows.select("_source_file").distinct().collect())
+                offset = hashlib.sha256("\n".join(files).encode()).hexdigest()
+                rows = masters.flag_bad_headers(spark, rows, schema, files)
+            load.load_batch(spark, rows, customers(), products(), root,
+                            suppliers=suppliers() if suppliers else None, micro_batch=True,
+                            source=source, offset=offset)
         finally:
             cached.unpersist()
 
@@ -58,7 +65,7 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
                             F.count("_corrupt_record").alias("corrupt_rows"))
     writer = (stream.writeStream
               .foreachBatch(warehouse_batch(spark, root, customers, products, suppliers,
-                                            schema))
+                                            schema, f"files:{source_dir.rstrip('/')}"))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -1,8 +1,7 @@
 """STORE_QUARTERLY_SALES as an incrementally maintained table.
 
-Each batch appends its partial sums (store, year, quarter) under ``batch_id=N``
-(dynamic partition overwrite, so a replayed batch replaces its own partials); a read
-merges the partials. SUM, SUM and COUNT are additive, the average is derived from the
+Each batch writes its partial sums (store, year, quarter) to the folder ``batch_id=N`` (as a
+whole, so a replayed batch replaces its own partials); a read merges the partials. SUM, SUM and COUNT are additive, the average is derived from the
 merged sum and count - never averaged averages.
 """
 
@@ -11,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schema
 from ..functions import money
+from ..session import read_or_empty
 
 KEYS = ["store_sk", "store_id", "store_name", "year", "quarter"]
 
@@ -27,27 +28,13 @@ def partials(sales: DataFrame) -> DataFrame:
 
 
 def apply_batch(sales: DataFrame, path: str, batch_id: int) -> None:
-    (partials(sales).withColumn("batch_id", F.lit(batch_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
-
-
-def apply_batches(sales: DataFrame, path: str, batch: str) -> None:
-    """Backfill: partials of many batches (column ``batch``) in one aggregation pass and
-    one write, each batch landing in its own ``batch_id`` partition."""
-    (sales.withColumn("batch_id", F.col(batch)).transform(
-        lambda df: df.withColumn("year", F.year("transaction_date"))
-        .withColumn("quarter", F.quarter("transaction_date"))
-        .groupBy("batch_id", *KEYS)
-        .agg(money.money_sum("total_amount").alias("total_sales"),
-             F.sum("quantity").cast("long").alias("total_quantity"),
-             F.count(F.lit(1)).alias("transaction_count")))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(path))
+    """Replace the partials of one batch, as a whole folder."""
+    (partials(sales).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .parquet(f"{path}/batch_id={batch_id}"))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    p = spark.read.parquet(path)
+    p = read_or_empty(spark, path, schema.full("store_quarterly_sales"))
     merged = p.groupBy(*KEYS).agg(
         F.sum("total_sales").cast(money.SUM_TYPE).alias("total_sales"),
         F.sum("total_quantity").cast("long").alias("total_quantity"),

@@ -8,6 +8,7 @@ the batch), so reporting adds no extra job.
 from __future__ import annotations
 
 import logging
+import threading
 
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -24,6 +25,7 @@ class ProgressLogger(StreamingQueryListener):
         self.corrupt = 0
         self.batches = 0
         self._next = every
+        self.ended = threading.Event()
 
     def onQueryStarted(self, event) -> None:  # noqa: N802 (Spark callback name)
         log.info("stream %s started", event.id)
@@ -48,3 +50,9 @@ class ProgressLogger(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:  # noqa: N802
         log.info("stream %s finished: %d rows in %d batches (%d corrupt)", event.id,
                  self.total, self.batches, self.corrupt)
+        self.ended.set()
+
+    def totals(self, wait: float = 30.0) -> dict[str, int]:
+        """The run's totals; events arrive a little after the query has ended."""
+        self.ended.wait(wait)
+        return {"rows": self.total, "corrupt_rows": self.corrupt, "batches": self.batches}

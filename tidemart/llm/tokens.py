@@ -15,11 +15,14 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Chunks that a worker remembers; beyond, it starts anew.
-REMEMBERED = 500_000
+#: Chunks, and words of them, that a worker remembers; beyond, it starts anew.
+REMEMBERED = 1_000_000
+#: Characters of a chunk that is remembered, at most.
+LONGEST = 64
 
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,!?%&$*#|:;]*)")
 _known: dict[str, dict[str, bytes]] = {}
+_words: dict[str, dict[str, bytes]] = {}
 
 
 @lru_cache(maxsize=2)
@@ -43,36 +46,45 @@ def byte_letters() -> dict[int, str]:
 
 def encode(texts: list[str | None], path: str, end: int | None = None) -> list[np.ndarray]:
     """The ids (uint32) of each text, and ``end`` after them; null: no text."""
-    known = _known.setdefault(path, {})
-    chunks = [[] if not t else t.replace("\n", " ").split(" ") for t in texts]
-    distinct = set().union(*chunks)
-    fresh = distinct - known.keys()
-    if len(known) + len(fresh) > REMEMBERED:
-        known.clear()
-        fresh = distinct
-    learn(fresh, known, path)
+    known, out = _known.setdefault(path, {}), []
     tail = b"" if end is None else np.uint32(end).tobytes()
-    get = known.__getitem__
-    return [np.frombuffer(b"".join(map(get, row)) + tail, np.dtype("<u4")) for row in chunks]
+    for text in texts:
+        chunks = text.replace("\n", " ").split(" ") if text else []
+        ids = list(map(known.get, chunks))
+        if None in ids:
+            fresh = learnt({c for c, i in zip(chunks, ids) if i is None}, path)
+            ids = [fresh[c] if i is None else i for c, i in zip(chunks, ids)]
+            if len(known) + len(fresh) > REMEMBERED:
+                known.clear()
+            known.update((c, i) for c, i in fresh.items() if len(c) <= LONGEST)
+        out.append(np.frombuffer(b"".join(ids) + tail, np.dtype("<u4")))
+    return out
 
 
-def learn(fresh: set[str], known: dict[str, bytes], path: str) -> None:
-    """Adds the ids of ``fresh`` chunks to ``known``, as little-endian bytes."""
-    whole, words, model = tokenizer(path), {"": b""}, tokenizer(path).model
-    letters, other = byte_letters(), []
+def learnt(fresh: set[str], path: str) -> dict[str, bytes]:
+    """The ids of ``fresh`` chunks, as little-endian bytes."""
+    whole, model, found, other = tokenizer(path), tokenizer(path).model, {}, []
+    words, letters = _words.setdefault(path, {"": b""}), byte_letters()
     for c in fresh:
-        found = _PLAIN.fullmatch(c)
-        if not found:
+        plain = _PLAIN.fullmatch(c)
+        if not plain:
             other.append(c)
             continue
+        word, tail = plain[1].lower(), plain[2]
         ids = b""
-        for part in (found[1].lower(), found[2]):
-            if part not in words:
+        for part in (word, tail) if tail else (word,):
+            if (known := words.get(part)) is None:
                 spelt = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
-                words[part] = b"".join(t.id.to_bytes(4, "little") for t in model.tokenize(spelt))
-            ids += words[part]
-        known[c] = ids
+                known = np.array([t.id for t in model.tokenize(spelt)], "<u4").tobytes()
+                if len(words) >= REMEMBERED:
+                    words.clear()
+                    words[""] = b""
+                if len(part) <= LONGEST:
+                    words[part] = known
+            ids += known
+        found[c] = ids
     for start in range(0, len(other), 4096):
         some = other[start:start + 4096]
         for c, e in zip(some, whole.encode_batch(some, add_special_tokens=False)):
-            known[c] = np.array(e.ids, "<u4").tobytes()
+            found[c] = np.array(e.ids, "<u4").tobytes()
+    return found

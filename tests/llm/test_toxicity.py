@@ -40,6 +40,12 @@ def test_scores_against_brute_force():
         assert abs(score - 1 / (1 + np.exp(-z))) < 1e-9
 
 
+def test_a_slab_without_a_known_term():
+    machine = toxicity.Machine(np.array([1, 2]), -1.0, np.ones(2), np.ones((2, 3)))
+    score = machine.scores(pa.array(["something else", "", None], pa.string()))
+    assert np.allclose(score, 1 / (1 + np.exp(1)))
+
+
 def test_g_statistic():
     g = toxicity.g_statistic(np.array([10, 5, 0]), np.array([0, 45, 90]), 10, 90)
     assert g[0] > 30 and abs(g[1]) < 1e-9 and g[2] > 30

@@ -69,7 +69,8 @@ class Machine:
             pairs = np.unique(rows[hit] * len(self.buckets) + known[hit])
             rows, at = np.divmod(pairs, len(self.buckets))
             n = z - a
-            total = np.bincount(rows, self.weights[at], n)
+            total = np.zeros(n)
+            total += np.bincount(rows, self.weights[at], n)
             for f in self.factors.T:
                 total += (np.bincount(rows, f[at], n) ** 2 - np.bincount(rows, f[at] ** 2, n)) / 2
             out[a:z] += total

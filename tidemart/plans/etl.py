@@ -332,9 +332,9 @@ def streamed_warehouse(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
     return f"{base}/warehouse"
 
 
-def stream_sales_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_sales_enriched(spark: SparkSession, sf_dir: str, files: int = 4) -> DataFrame:
     """Enriched sales as the star holds them that the stream wrote."""
-    return business_fact(spark, streamed_warehouse(spark, sf_dir)).select(*ENRICHED_COLS)
+    return business_fact(spark, streamed_warehouse(spark, sf_dir, files)).select(*ENRICHED_COLS)
 
 
 def stream_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemart.llm import langid, packing, resampling, simhash
-from tidemart.llm.common import by_crc, table, written
+from tidemart.llm.common import bounded_batches, by_crc, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,16 +22,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose language the calibrated model rejects. It learns from the
     stage's own rows, without those held out by id."""
+    bounded_batches(spark)
     return langid.keep_identified(docs, langid.fit(docs.filter(~by_crc("doc_id", 4, 2))))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops all documents of a near-duplicate component but that with the smallest id."""
+    bounded_batches(spark)
     return simhash.keep_one(docs, shingle=4, distance=4)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in sequences of several context sizes."""
+    bounded_batches(spark)
     return packing.packed(docs)
 
 

@@ -21,7 +21,20 @@ from tidemart.session import scratch_path
 SLAB_BYTES = 1 << 20
 
 
+#: Bytes of an Arrow batch that goes to a Python worker, and the setting for it.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Small Arrow batches for this session, unless its configuration sizes them: the
+    default of 64 MiB is held several times over by the JVM and by each Python worker."""
+    if not spark.sparkContext.getConf().contains(BATCH_SETTING):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

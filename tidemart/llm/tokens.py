@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Chunks, and words of them, that a worker remembers; beyond, it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Characters of a chunk that is remembered, at most.
 LONGEST = 64
 

@@ -45,28 +45,32 @@ def test_other_lengths_take_no_part(spark):
     assert run(spark, rows) == [(0, 1, 1, 3 * 1024 * 1024)]
 
 
-def test_the_tree_covers_and_prunes():
-    rng = np.random.default_rng(2)
-    points = np.concatenate([rng.normal(size=(500, 3)) + c for c in ([0, 0, 0], [50, 0, 0], [0, 50, 0])])
-    pages = mtree.build(points, 16)
-    seen = np.concatenate([p.entries for p in pages if p.leaf])
-    assert sorted(seen.tolist()) == list(range(len(points)))
+def clustered(spread, seed):
+    rng = np.random.default_rng(seed)
+    return np.floor(np.concatenate([rng.normal(size=(300, 4)) * 3 + c for c in rng.normal(size=(10, 4)) * spread])).astype(np.int64)
+
+
+def test_pages_cover_their_rows():
+    rows = clustered(500, 2)
+    top = float((rows * rows).sum(axis=1).max())
+    pages = mtree.build(np.arange(len(rows)), rows, top, 16)
+
     def below(i):
         p = pages[i]
-        return p.entries if p.leaf else np.concatenate([below(c) for c in p.entries])
+        return p.ids if p.children is None else np.concatenate([below(c) for c in p.children])
+
+    points = np.concatenate([rows, np.sqrt(top - (rows * rows).sum(axis=1))[:, None]], axis=1)
+    assert sorted(below(len(pages) - 1).tolist()) == list(range(len(rows)))
     for i, p in enumerate(pages):
         far = np.sqrt(((points[below(i)] - p.route) ** 2).sum(axis=1))
-        assert far.max() <= p.radius + 1e-9 and len(p.entries) <= 16
-    assert len([p for p in pages if not p.leaf]) > 1
+        assert far.max() <= p.radius + 1e-9 and len(p.to_parent) <= 16
+    assert sum(p.children is not None for p in pages) > 1
 
 
-def test_search_opens_few_rows_of_clustered_data(monkeypatch):
-    rng = np.random.default_rng(3)
-    rows = np.floor(np.concatenate([rng.normal(size=(400, 4)) * 3 + c for c in rng.normal(size=(10, 4)) * 500])).astype(np.int64)
-    norms = (rows * rows).sum(axis=1)
-    top = float(norms.max())
-    points = np.concatenate([rows, np.sqrt(top - norms)[:, None]], axis=1)
-    pages = mtree.build(points, 32)
+def test_search_opens_few_rows_of_clustered_data():
+    rows = clustered(500, 3)
+    top = float((rows * rows).sum(axis=1).max())
+    pages = mtree.build(np.arange(len(rows)), rows, top, 32)
     opened = []
 
     class Counting(np.ndarray):
@@ -74,7 +78,10 @@ def test_search_opens_few_rows_of_clustered_data(monkeypatch):
             opened.append(len(item))
             return np.asarray(self)[item]
 
-    best = mtree.search(pages, np.arange(len(rows)), rows.view(Counting), top, rows[7], 7, 5)
+    for p in pages:
+        if p.rows is not None:
+            p.rows = p.rows.view(Counting)
+    best = mtree.search(pages, top, rows[7], 7, 5)
     want = sorted(((int(s), i) for i, s in enumerate(rows @ rows[7]) if i != 7), key=lambda x: (-x[0], x[1]))[:5]
     assert sorted(best, key=lambda x: (-x[0], x[1])) == want
     assert sum(opened) < len(rows) / 2

@@ -25,7 +25,6 @@ never is; k candidates or all if fewer; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
-import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,37 +35,46 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import table, written
 
 SLACK = 1e-6
+#: A page as a row of the index: the root has the highest number of its block; a node has
+#: children, a leaf ids and integer vectors.
+PAGES = ("block int, page int, radius double, route binary, to_parent binary, children binary, ids binary, "
+         "rows binary")
 
 
 @dataclass
 class Page:
-    """``entries``: places of rows (leaf) or of pages (node), with their distance to the
-    routing vector; a node's entries have their own radii there, too."""
+    """A page with its entries' distances to the routing vector. Of a node the entries are
+    pages (by number), of a leaf rows: their ids and integer vectors lie in the page."""
     route: np.ndarray
     radius: float
-    entries: np.ndarray
     to_parent: np.ndarray
-    leaf: bool
+    children: np.ndarray | None
+    ids: np.ndarray | None = None
+    rows: np.ndarray | None = None
 
 
-def build(points: np.ndarray, page: int, seed: int = 1) -> list[Page]:
-    """Pages of a tree over ``points``, the root last. Each level is made of the one below:
-    members are dealt to the nearest of some random ones, crowded ones are dealt again."""
+def build(ids: np.ndarray, rows: np.ndarray, top: float, page: int, seed: int = 1) -> list[Page]:
+    """Pages of a tree over integer vectors, the root last. Each level is made of the one
+    below: members are dealt to the nearest of some random ones, crowded ones again."""
     rng = np.random.default_rng(seed)
     pages: list[Page] = []
-    places, vectors, radii, leaf = np.arange(len(points)), points, np.zeros(len(points)), True
+    rest = np.sqrt(top - (rows * rows).sum(axis=1))
+    vectors, radii = np.concatenate([rows, rest[:, None]], axis=1), np.zeros(len(rows))
+    places = None
     while True:
         made = []
         for group in clusters(vectors, page, rng):
             route = vectors[group].mean(axis=0)
             far = np.sqrt(((vectors[group] - route) ** 2).sum(axis=1))
-            order = np.argsort(far, kind="stable")
-            group, far = group[order], far[order]
-            pages.append(Page(route, float((far + radii[group]).max()), places[group], far, leaf))
+            radius = float((far + radii[group]).max())
+            if places is None:
+                pages.append(Page(route, radius, far, None, ids[group], rows[group]))
+            else:
+                pages.append(Page(route, radius, far, places[group]))
             made.append(len(pages) - 1)
         if len(made) == 1:
             return pages
-        places, leaf = np.array(made), False
+        places = np.array(made)
         vectors = np.stack([pages[i].route for i in made])
         radii = np.array([pages[i].radius for i in made])
 
@@ -105,16 +113,14 @@ def merged_small(groups: list[np.ndarray], page: int) -> list[np.ndarray]:
     return out
 
 
-def search(pages: list[Page], ids: np.ndarray, rows: np.ndarray, top: float, query: np.ndarray, own: int,
-           k: int) -> list[tuple[int, int]]:
-    """The k best (score, id) of a tree. ``rows``: integer vectors; ``top``: M."""
+def search(pages: list[Page], top: float, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+    """The k best (score, id) of a tree for a query vector; ``own``: its id, never found."""
     base = float(query @ query) + top
     wide = np.append(query.astype(np.float64), 0.0)
     best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst first
     limit = np.inf  # the k-th best distance so far
     start = float(np.sqrt(((pages[-1].route - wide) ** 2).sum()))
     queue = [(max(0.0, start - pages[-1].radius), len(pages) - 1, start)]
-    routes = {}
     while queue:
         least, at, distance = heapq.heappop(queue)
         if least > limit:
@@ -122,38 +128,30 @@ def search(pages: list[Page], ids: np.ndarray, rows: np.ndarray, top: float, que
         page = pages[at]
         # |d(q, route) - d(entry, route)| is at most d(q, entry): no distance needed
         gap = np.abs(distance - page.to_parent)
-        if page.leaf:
-            open_ = page.entries[gap <= limit]
-            if not len(open_):
-                continue
-            score = rows[open_] @ query
-            named = ids[open_]
-            keep = named != own
-            score, named = score[keep], named[keep]
-            if len(best) == k:
-                keep = score >= best[0][0]
-                score, named = score[keep], named[keep]
-            elif len(score) > k:
-                keep = np.lexsort((named, -score))[:k]
-                score, named = score[keep], named[keep]
-            for s, i in zip(score.tolist(), named.tolist()):
-                if len(best) < k:
-                    heapq.heappush(best, (s, -i))
-                elif (s, -i) > best[0]:
-                    heapq.heapreplace(best, (s, -i))
-            if len(best) == k:
-                limit = margin(base - 2 * best[0][0])
-        else:
-            if at not in routes:
-                routes[at] = (np.stack([pages[c].route for c in page.entries]),
-                              np.array([pages[c].radius for c in page.entries]))
-            vectors, radii = routes[at]
-            open_ = np.flatnonzero(gap - radii <= limit)
-            far = np.sqrt(((vectors[open_] - wide) ** 2).sum(axis=1))
-            low = np.maximum(0.0, far - radii[open_])
-            for c, d, lo in zip(page.entries[open_].tolist(), far.tolist(), low.tolist()):
-                if lo <= limit:
-                    heapq.heappush(queue, (lo, c, d))
+        if page.children is not None:
+            radii = np.array([pages[c].radius for c in page.children])
+            open_ = page.children[gap - radii <= limit]
+            if len(open_):
+                far = np.sqrt(((np.stack([pages[c].route for c in open_]) - wide) ** 2).sum(axis=1))
+                for c, d in zip(open_.tolist(), far.tolist()):
+                    low = max(0.0, d - pages[c].radius)
+                    if low <= limit:
+                        heapq.heappush(queue, (low, c, d))
+            continue
+        open_ = np.flatnonzero(gap <= limit)
+        score, named = page.rows[open_] @ query, page.ids[open_]
+        keep = named != own
+        if len(best) == k:
+            keep &= score >= best[0][0]
+        score, named = score[keep], named[keep]
+        for i in np.lexsort((named, -score))[:k].tolist():
+            found = (int(score[i]), -int(named[i]))
+            if len(best) < k:
+                heapq.heappush(best, found)
+            elif found > best[0]:
+                heapq.heapreplace(best, found)
+        if len(best) == k:
+            limit = margin(base - 2 * best[0][0])
     return [(s, -i) for s, i in best]
 
 
@@ -184,16 +182,19 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: int = 1024, id_: str =
 
     def index(key: tuple, members: pa.Table) -> pa.Table:
         ids, vectors = matrix(members, "id", "v")
-        order = np.argsort(ids, kind="stable")
-        ids, vectors = ids[order], vectors[order]
-        rest = top - (vectors * vectors).sum(axis=1)
-        points = np.concatenate([vectors, np.sqrt(rest)[:, None]], axis=1)
-        tree = build(points, page)
-        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "ids": [ids.tobytes()], "vectors": [vectors.tobytes()],
-                         "pages": [pickle.dumps(tree)]})
+        order = np.lexsort((*vectors.T[::-1], ids))  # however the rows arrive, the same tree
+        tree = build(ids[order], vectors[order], float(top), page)
+        raw = lambda x, kind: None if x is None else np.ascontiguousarray(x, kind).tobytes()
+        return pa.table({
+            "block": pa.array([key[0].as_py()] * len(tree), pa.int32()), "page": pa.array(range(len(tree)), pa.int32()),
+            "radius": [p.radius for p in tree], "route": [raw(p.route, "<f8") for p in tree],
+            "to_parent": [raw(p.to_parent, "<f8") for p in tree],
+            "children": pa.array([raw(p.children, "<i8") for p in tree], pa.binary()),
+            "ids": pa.array([raw(p.ids, "<i8") for p in tree], pa.binary()),
+            "rows": pa.array([raw(p.rows, "<i8") for p in tree], pa.binary())})
 
     trees = (ready.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).groupBy("block")
-             .applyInArrow(index, "block int, ids binary, vectors binary, pages binary"))
+             .applyInArrow(index, PAGES))
     trees = written(spark, trees, "mtree-pages")
     queries = ready.filter(is_query)
     batches = max(1, -(-queries.count() // query_rows))
@@ -206,15 +207,13 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: int = 1024, id_: str =
     def find(tree: pa.Table, some: pa.Table) -> pa.Table:
         out: list[tuple] = []
         if len(tree) and len(some):
-            ids = np.frombuffer(tree["ids"][0].as_py(), np.int64)
-            stored = np.frombuffer(tree["vectors"][0].as_py(), np.int64).reshape(len(ids), -1)
-            pages = pickle.loads(tree["pages"][0].as_py())
+            pages = opened(tree)
             numbers, vectors = matrix(some, "id", "v")
             seen = {}
             for number, vector_ in zip(numbers.tolist(), vectors):
                 mark = (number, vector_.tobytes())
                 if mark not in seen:
-                    seen[mark] = search(pages, ids, stored, float(top), vector_, number, k)
+                    seen[mark] = search(pages, float(top), vector_, number, k)
                     out += [(number, vector_.tobytes(), i, s) for s, i in seen[mark]]
         columns = list(zip(*out)) if out else [[], [], [], []]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "query": pa.array(columns[1], pa.binary()),
@@ -227,6 +226,17 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: int = 1024, id_: str =
             .select("query_id", "rank", "vec_id", "score"))
 
 
+def opened(table_: pa.Table) -> list[Page]:
+    """The pages of a block, by number."""
+    pages = []
+    for r in table_.sort_by("page").to_pylist():
+        get = lambda name, kind: None if r[name] is None else np.frombuffer(r[name], kind)  # noqa: B023, E731
+        ids = get("ids", "<i8")
+        rows = None if ids is None else get("rows", "<i8").reshape(len(ids), -1)
+        pages.append(Page(get("route", "<f8"), r["radius"], get("to_parent", "<f8"), get("children", "<i8"), ids, rows))
+    return pages
+
+
 def matrix(rows: pa.Table, id_: str, vector: str) -> tuple[np.ndarray, np.ndarray]:
     ids = rows[id_].to_numpy()
     flat = rows[vector].combine_chunks().flatten().to_numpy(zero_copy_only=False)

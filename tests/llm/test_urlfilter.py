@@ -10,7 +10,7 @@ D = [dt.date(2024, 1, d) for d in range(1, 32)]
 
 def judge(spark, urls, changes):
     captures = spark.createDataFrame([(i, u, d) for i, (u, d) in enumerate(urls)], "id long, url string, fetch_date date")
-    captures = captures.withColumn("decision", F.lit(1)).drop("decision").withColumn("rank", F.lit(5))
+    captures = captures.withColumn("decision", F.lit(1)).drop("decision").withColumn("rank", F.lit(5)).withColumn("best", F.lit("x")).withColumn("day", F.lit(0))
     rows = urlfilter.evaluate(captures, spark.createDataFrame(changes, CHANGES)).collect()
     return [(r.decision, r.entry, r.kept) for r in sorted(rows, key=lambda r: r.id)]
 

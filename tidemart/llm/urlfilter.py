@@ -91,16 +91,16 @@ def evaluate(captures: DataFrame, changes: DataFrame) -> DataFrame:
     wanted = kinds.select("*", F.inline(entries_of(F.col("_host"), F.col("_segment"))))
     active = written(spark, as_of(wanted.select("entry", "day").distinct(), changes), "url-active")
     found = (wanted.join(active, ["entry", "day"]).groupBy("_host", "_segment", "day")
-             .agg(F.max(F.struct("rank", "allow", "entry")).alias("best"))
-             .select(F.col("_host").alias("_h"), F.col("_segment").alias("_s"), F.col("day").alias("_d"), "best"))
+             .agg(F.max(F.struct("rank", "allow", "entry")).alias("_best"))
+             .select(F.col("_host").alias("_h"), F.col("_segment").alias("_s"), F.col("day").alias("_d"), "_best"))
     found = written(spark, found, "url-found")
     joined = placed.join(found, (F.col("_host") == F.col("_h")) & (F.col("_segment") == F.col("_s"))
                          & (F.col("fetch_date") == F.col("_d")), "left")
-    decision = (F.when(F.col("_host") == "", "invalid").when(F.col("best").isNull(), "unlisted")
-                .when(F.col("best.allow"), "allowed").otherwise("blocked"))
-    return (joined.withColumn("decision", decision).withColumn("entry", F.col("best.entry"))
+    decision = (F.when(F.col("_host") == "", "invalid").when(F.col("_best").isNull(), "unlisted")
+                .when(F.col("_best.allow"), "allowed").otherwise("blocked"))
+    return (joined.withColumn("decision", decision).withColumn("entry", F.col("_best.entry"))
             .withColumn("kept", F.col("decision").isin("unlisted", "allowed"))
-            .drop("_host", "_segment", "_h", "_s", "_d", "best"))
+            .drop("_host", "_segment", "_h", "_s", "_d", "_best"))
 
 
 DAYS = 730

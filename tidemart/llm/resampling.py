@@ -133,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, temperature: float = 50.0, seed: int
                                              ["good", "mean"])
 
     held = (rows.filter("NOT fits").select("text", "good")
-            .mapInArrow(score, "good int, mean double").toPandas())  # sample rows only
+            .mapInArrow(score, "good int, mean double").limit(4 * sample_rows).toPandas())
     return Resampler(model.ratios, temperature, seed,
                      best_cut(held["mean"].to_numpy(), held["good"].to_numpy(), good_cost))
 

@@ -89,7 +89,7 @@ def g_statistic(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int
 
 
 def train(texts: pa.Array, toxic: np.ndarray, least_g: float = 10.0, max_terms: int = 2048, width: int = 4,
-          epochs: int = 60, rate: float = 0.3, decay: float = 1e-5, batch: int = 256, seed: int = 3) -> Machine:
+          epochs: int = 30, rate: float = 0.3, decay: float = 1e-5, batch: int = 256, seed: int = 3) -> Machine:
     n, none = len(toxic), np.zeros(0)
     share = (toxic.sum() if n else 0) / max(1, n)
     if not 0 < share < 1:
@@ -135,8 +135,8 @@ def train(texts: pa.Array, toxic: np.ndarray, least_g: float = 10.0, max_terms:
     return Machine(chosen, b, w, v)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, clean_ratio: int = 5,
-        sample_bytes: int = 20_000, seed: int = 7, **params) -> Machine:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 1200, clean_ratio: int = 3,
+        sample_bytes: int = 8_000, seed: int = 7, **params) -> Machine:
     """Train on the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) has."""
     def sample(toxic: int, rows: int) -> DataFrame:
         ids = labels.filter(F.col("toxic") == toxic).select("doc_id").distinct()
@@ -144,9 +144,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, clean_ratio
                 .withColumn("toxic", F.lit(toxic)))
 
     chosen = sample(1, sample_rows).unionByName(sample(0, sample_rows * clean_ratio))
-    # at most sample_rows * (1 + clean_ratio) ids: small by its parameters
+    # at most sample_rows * (1 + clean_ratio) ids: small by its parameters; twice as many rows
+    # (an id may repeat) reach the driver at most
     rows = (docs.select("doc_id", "text").filter(F.octet_length("text") <= sample_bytes)
-            .join(F.broadcast(chosen), "doc_id").toPandas())
+            .join(F.broadcast(chosen), "doc_id").limit(2 * sample_rows * (1 + clean_ratio)).toPandas())
     rows = rows.sort_values(["doc_id", "toxic", "text"], ignore_index=True)
     return train(pa.array(rows["text"], pa.string()), rows["toxic"].to_numpy(np.int64), **params)
 

@@ -157,3 +157,37 @@ def test_scd2_keeps_other_columns_and_numbers_versions(spark):
     assert plan.count("Join ") == 1
     rows = sorted((r.id, r.city, r.note, r.is_current, r.version_sk) for r in scd2.with_version_keys(out, "id").collect())
     assert rows == [("C1", "A", "x", False, 1), ("C1", "B", "x2", True, 2), ("C2", "B", "y2", True, 3)]
+
+
+def test_compaction_keeps_answers_and_refuses_old_replays(spark, tmp_dir, capsys):
+    from tidemart.plans import reports as R
+    from tidemart.plans.star import WarehouseStar
+    root = f"{tmp_dir}/wh"
+
+    def run(n, source="s"):
+        rows = raw(spark, (f"o{n}", f"C{n % 3}", "P1", str(n + 1), f"201{6 + n % 3}-02-03"), (f"x{n}", "none", "P1", "1", "2017-01-01"))
+        return load.load_batch(spark, rows, people(spark, "C0", "C1", "C2"), goods(spark), root, source=source, offset=str(n))
+
+    def answers():
+        star = WarehouseStar(spark, root)
+        return [sorted(map(tuple, f(star).collect()), key=str) for f in (R.q02_customer_demographics, R.q17_revenue_rollup,
+                                                                R.q20_store_quarterly_view, R.util_revenue_summary)]
+
+    for n in range(4):
+        run(n)
+    before, checks = answers(), warehouse_checks(spark, root)
+    keys = sorted(r.sales_sk for r in load.read(spark, root, "sales_fact").collect())
+    assert main(["compact", "--warehouse", root]) == 0
+    assert sorted(os.listdir(f"{root}/sales_fact")) == ["batch_id=2", "batch_id=3"]
+    assert answers() == before and warehouse_checks(spark, root) == checks
+    assert sorted(r.sales_sk for r in load.read(spark, root, "sales_fact").collect()) == keys
+    with pytest.raises(ValueError):
+        run(1)
+    assert run(3)["facts"] == 1 and answers() == before  # the newest batch can be replayed
+    run(4)
+    run(5, "other")
+    before = answers()
+    assert main(["compact", "--warehouse", root]) == 0
+    assert sorted(os.listdir(f"{root}/sales_fact")) == ["batch_id=3", "batch_id=4", "batch_id=5"]
+    assert answers() == before and warehouse_checks(spark, root)["completeness"][0]["unaccounted_rows"] == 0
+    capsys.readouterr()

@@ -7,6 +7,7 @@
         [--year 2017] [--k 5] [--show 20] [--out PATH]
     python -m tidemart ddl --warehouse ROOT [--database DB] [--drop]
     python -m tidemart dq --warehouse ROOT      # exit code 1 when a check fails
+    python -m tidemart compact --warehouse ROOT # merge the folders of finished batches
     python -m tidemart bucket --warehouse ROOT --database DB [--buckets N]
 
 Runs on whatever master the session is given (``spark-submit --master ...``); no local
@@ -135,6 +136,12 @@ def cmd_bucket(a: argparse.Namespace) -> int:
     return 0
 
 
+def cmd_compact(a: argparse.Namespace) -> int:
+    from .plans.compact import compact
+    print(json.dumps(compact(_session(), a.warehouse)))
+    return 0
+
+
 def cmd_ddl(a: argparse.Namespace) -> int:
     spark = _session()
     if a.drop:
@@ -179,6 +186,9 @@ def main(argv: list[str] | None = None) -> int:
     bp.add_argument("--database", required=True)
     bp.add_argument("--buckets", type=int)
     bp.set_defaults(fn=cmd_bucket)
+    cp = sub.add_parser("compact")
+    cp.add_argument("--warehouse", required=True)
+    cp.set_defaults(fn=cmd_compact)
     qp = sub.add_parser("dq")
     qp.add_argument("--warehouse", required=True)
     qp.set_defaults(fn=cmd_dq)

@@ -55,6 +55,9 @@ def begin(spark: SparkSession, root: str, source: str, offset: str,
         .agg(F.max("batch_id")).first()[0]
     newest = known.agg(F.max("batch_id")).first()[0]
     if mine is not None:
+        merged = known.where("state IN ('compacting', 'compacted')").agg(F.max("batch_id")).first()[0]
+        if merged is not None and mine <= merged:
+            raise ValueError(f"batch {mine} has been compacted and can't be replayed")
         if wanted is not None and wanted != mine:
             raise ValueError(f"{source} at {offset} is batch {mine}, not {wanted}")
         return Batch(int(mine), True)
@@ -77,6 +80,11 @@ def done(spark: SparkSession, root: str, batch_id: int, source: str, offset: str
     _append(spark, root, batch_id, source, offset, "done", counts)
 
 
+def note(spark: SparkSession, root: str, batch_id: int, state: str, offset: str) -> None:
+    """A row about the log itself (compaction); its source belongs to no load."""
+    _append(spark, root, batch_id, "_compaction", offset, state, {})
+
+
 def files_offset(spark: SparkSession, path: str) -> str:
     """A digest of the names, sizes and times of the files below ``path``; contents stay
     unread and the list isn't collected."""

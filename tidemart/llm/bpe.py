@@ -34,6 +34,8 @@ from tidemart.llm.common import map_batches, position, table, text_slabs
 NONE = np.int32(2**31 - 1)
 #: Encoded words that a worker keeps between slabs; beyond, it starts anew.
 REMEMBERED = 400_000
+#: Characters of a word that is kept, at most.
+LONGEST = 64
 SLAB = 8 << 20
 
 
@@ -168,13 +170,14 @@ def encode(texts: Iterable[str | None], path: str, pattern: str) -> list[bytes]:
     """The ids of each text, as little-endian unsigned 32-bit integers."""
     known, split = _known.setdefault((path, pattern), {}), regex.compile(pattern).findall
     words = [split(t) if t else [] for t in texts]
-    corpus = set().union(*words)
-    fresh = list(corpus - known.keys())
-    if len(known) + len(fresh) > REMEMBERED:
+    found = [list(map(known.get, row)) for row in words]
+    fresh = list({w for row, ids in zip(words, found) if None in ids for w, i in zip(row, ids) if i is None})
+    new = dict(zip(fresh, replay([w.encode() for w in fresh], merges(path))))
+    if len(known) + len(new) > REMEMBERED:
         known.clear()
-        fresh = list(corpus)
-    known.update(zip(fresh, replay([w.encode() for w in fresh], merges(path))))
-    return [b"".join(map(known.__getitem__, row)) for row in words]
+    known.update((w, i) for w, i in new.items() if len(w) <= LONGEST)
+    return [b"".join([new[w] if i is None else i for w, i in zip(row, ids)] if None in ids else ids)
+            for row, ids in zip(words, found)]
 
 
 def decode(ids: bytes, path: str) -> bytes:

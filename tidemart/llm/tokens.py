@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 
@@ -75,7 +76,8 @@ def learnt(fresh: set[str], path: str) -> dict[str, bytes]:
         for part in (word, tail) if tail else (word,):
             if (known := words.get(part)) is None:
                 spelt = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
-                known = np.array([t.id for t in model.tokenize(spelt)], "<u4").tobytes()
+                ids_ = [t.id for t in model.tokenize(spelt)]
+                known = pack(f"<{len(ids_)}I", *ids_)
                 if len(words) >= REMEMBERED:
                     words.clear()
                     words[""] = b""
@@ -86,5 +88,5 @@ def learnt(fresh: set[str], path: str) -> dict[str, bytes]:
     for start in range(0, len(other), 4096):
         some = other[start:start + 4096]
         for c, e in zip(some, whole.encode_batch(some, add_special_tokens=False)):
-            found[c] = np.array(e.ids, "<u4").tobytes()
+            found[c] = pack(f"<{len(e.ids)}I", *e.ids)
     return found

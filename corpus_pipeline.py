@@ -4,6 +4,13 @@ and multi-length packing, each stage on all that its predecessor kept.
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; its rows are written as
 Parquet and read again as the next one's ``docs``. All but the last keep the columns of
 ``documents``; each stage's docstring says which rows it drops.
+
+Defined results: null and empty texts carry no n-gram, so the first stage judges them by
+their weight 0, and the second one rejects them (no letter). Rows of one id are kept or dropped
+together by the first and the third stage; a null id is an id like any other to the first two
+and never dropped by the third. Without labels the first stage keeps all, without languages
+the second one keeps what has a letter. Columns beyond those of ``documents`` travel along,
+whatever their names. Empty tables give an empty result.
 """
 
 from __future__ import annotations

@@ -56,6 +56,15 @@ def test_archives_are_plain_warc(spark):
     assert whole.count(b"WARC-Record-ID: <urn:page:") == len(ROWS)
 
 
+def test_archives_of_other_attempts_are_not_read(spark):
+    """What a lost attempt left in the folder is in no manifest."""
+    manifest = warc.write_archives(pages(spark, ROWS[:4]).coalesce(1))
+    path = manifest.first().path.removeprefix("file://").removeprefix("file:")
+    with open(os.path.join(os.path.dirname(path), "0" * 32 + ".warc.gz"), "wb") as left:
+        left.write(warc.record(77, "u", b"left over", hashlib.sha256(b"left over").hexdigest(), None))
+    assert 77 not in {r.page_id for r in warc.read_archives(manifest).collect()}
+
+
 def test_every_split_size_gives_every_record_once():
     rng = random.Random(3)
     data, starts = io.BytesIO(), []

@@ -90,11 +90,13 @@ def evaluate(captures: DataFrame, changes: DataFrame) -> DataFrame:
              .distinct())
     wanted = kinds.select("*", F.inline(entries_of(F.col("_host"), F.col("_segment"))))
     active = written(spark, as_of(wanted.select("entry", "day").distinct(), changes), "url-active")
-    found = (wanted.join(active, ["entry", "day"]).groupBy("_host", "_segment", "day")
+    # these tables compress to a fraction of their size in memory, so the planner's size check
+    # would broadcast far more than it assumes: sort-merge joins, whose skew Spark splits
+    found = (wanted.join(active.hint("merge"), ["entry", "day"]).groupBy("_host", "_segment", "day")
              .agg(F.max(F.struct("rank", "allow", "entry")).alias("_best"))
              .select(F.col("_host").alias("_h"), F.col("_segment").alias("_s"), F.col("day").alias("_d"), "_best"))
     found = written(spark, found, "url-found")
-    joined = placed.join(found, (F.col("_host") == F.col("_h")) & (F.col("_segment") == F.col("_s"))
+    joined = placed.join(found.hint("merge"), (F.col("_host") == F.col("_h")) & (F.col("_segment") == F.col("_s"))
                          & (F.col("fetch_date") == F.col("_d")), "left")
     decision = (F.when(F.col("_host") == "", "invalid").when(F.col("_best").isNull(), "unlisted")
                 .when(F.col("_best.allow"), "allowed").otherwise("blocked"))

@@ -191,3 +191,15 @@ def test_compaction_keeps_answers_and_refuses_old_replays(spark, tmp_dir, capsys
     assert sorted(os.listdir(f"{root}/sales_fact")) == ["batch_id=3", "batch_id=4", "batch_id=5"]
     assert answers() == before and warehouse_checks(spark, root)["completeness"][0]["unaccounted_rows"] == 0
     capsys.readouterr()
+
+
+def test_lines_without_an_order_id_are_no_basket(spark, tmp_dir):
+    from tidemart.plans import reports as R
+    from tidemart.plans.star import WarehouseStar
+    root = f"{tmp_dir}/wh"
+    products = goods(spark, ("P1", "x", 10.0, "1", "S", "1", "Sup"), ("P2", "x", 5.0, "1", "S", "1", "Sup"))
+    rows = [("", "C1", "P1", "1", "2017-01-01"), ("", "C1", "P2", "1", "2018-01-01"),
+            ("o1", "C1", "P1", "1", "2017-01-01"), ("o1", "C1", "P2", "2", "2017-01-01")]
+    assert load.load_batch(spark, raw(spark, *rows), people(spark, "C1"), products, root)["facts"] == 4
+    pairs = R.q16_product_affinity(WarehouseStar(spark, root)).collect()
+    assert [(r.frequency_purchased_together, r.combined_revenue) for r in pairs] == [(1, 20)]

@@ -280,8 +280,11 @@ def q15_store_supplier_volatility(star: Star) -> DataFrame:
 # ---------------------------------------------------------------- Q16
 def q16_product_affinity(star: Star, k: int = DEFAULT_K) -> DataFrame:
     """Pairs of products bought in one order by one customer. Product attributes are
-    looked up only for the k winning pairs (product_id -> category is functional)."""
-    lines = star.joined().select("order_id", "customer_sk", "product_sk", "total_amount")
+    looked up only for the k winning pairs (product_id -> category is functional). Lines
+    without an order id (a file without that column) are no basket: all history of a
+    customer would be one."""
+    lines = star.joined().where(F.col("order_id") != "") \
+        .select("order_id", "customer_sk", "product_sk", "total_amount")
     pairs = olap.basket_pairs(lines, ["order_id", "customer_sk"], "product_sk", "total_amount",
                               first="p1_sk", second="p2_sk",
                               freq="frequency_purchased_together", revenue="combined_revenue")

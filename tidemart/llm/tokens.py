@@ -21,7 +21,8 @@ REMEMBERED = 300_000
 #: Characters of a chunk that is remembered, at most.
 LONGEST = 64
 
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([.,!?%&$*#|:;]*)")
+_LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_TAIL = ".,!?%&$*#|:;"
 _known: dict[str, dict[str, bytes]] = {}
 _words: dict[str, dict[str, bytes]] = {}
 
@@ -67,13 +68,12 @@ def learnt(fresh: set[str], path: str) -> dict[str, bytes]:
     whole, model, found, other = tokenizer(path), tokenizer(path).model, {}, []
     words, letters = _words.setdefault(path, {"": b""}), byte_letters()
     for c in fresh:
-        plain = _PLAIN.fullmatch(c)
-        if not plain:
+        word = c.rstrip(_TAIL)
+        if word and not (word.isascii() and word.isalpha()) and not _LATIN.fullmatch(word):
             other.append(c)
             continue
-        word, tail = plain[1].lower(), plain[2]
         ids = b""
-        for part in (word, tail) if tail else (word,):
+        for part in (word.lower(), c[len(word):]) if len(word) < len(c) else (word.lower(),):
             if (known := words.get(part)) is None:
                 spelt = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
                 ids_ = [t.id for t in model.tokenize(spelt)]

@@ -65,3 +65,29 @@ def test_rows_labels_and_empty_tables(spark):
     none = toxicity.fit(docs, labels.filter("false"))
     assert {r.predicted for r in toxicity.scored(docs, none).collect()} == {0}
     assert toxicity.scored(empty(spark), machine).count() == 0
+
+
+def labelled(spark, texts, toxic):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return docs, spark.createDataFrame([(i, int(x)) for i, x in enumerate(toxic)], "doc_id long, toxic int")
+
+
+def test_long_texts_are_learned_from(spark):
+    """What only texts far over 20,000 bytes say is learned, too."""
+    texts, toxic = corpus(240)
+    pad = " ".join(f"w{j % 60}" for j in range(8000))
+    texts += [f"{pad} rotter{' dolt' if i % 2 else ''}" for i in range(60)] + [f"{pad} kindly" for _ in range(60)]
+    toxic = np.concatenate([toxic, np.ones(60, int), np.zeros(60, int)])
+    assert all(len(t) > 20_000 for t in texts[240:])
+    machine = toxicity.fit(*labelled(spark, texts, toxic))
+    score = machine.scores(pa.array(["rotter", "kindly", f"{pad} rotter"]))
+    assert score[0] >= 0.7 > 0.3 > score[1] and score[2] >= 0.7
+
+
+def test_terms_from_tasks_train_the_same_machine(spark):
+    texts, toxic = corpus()
+    docs, labels = labelled(spark, texts, toxic)
+    got = toxicity.fit(docs.repartition(5), labels)
+    want = toxicity.train(pa.array(texts), toxic)
+    assert (got.buckets == want.buckets).all() and np.allclose(got.weights, want.weights)
+    assert np.allclose(got.factors, want.factors) and np.isclose(got.bias, want.bias)

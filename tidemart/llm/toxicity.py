@@ -8,8 +8,9 @@ on the label (by the G statistic on the training rows, ``least_g`` at least, the
 of two terms' factors for each pair of terms present, so a pair can mean what neither term
 means alone. It is trained in numpy (AdaGrad on the logistic loss) on a bounded sample of
 labelled rows: the ``sample_rows`` toxic ones and ``clean_ratio`` times as many clean ones with
-the smallest hashes of their ids, texts over ``sample_bytes`` bytes left out of training
-only. Scoring reads whole texts, never labels, lang, source or ids.
+the smallest hashes of their ids, whole texts of any length. Tasks turn the sampled texts into
+terms and count them; the driver gets the chosen terms and which rows have them, no text.
+Scoring reads whole texts, never labels, lang, source or ids.
 
 Defined results: a null or empty text (and one without a known term) scores the bias;
 without labelled rows of both kinds every score is the share of toxic ones (0 if none is
@@ -19,17 +20,21 @@ used as they stand; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm.common import by_crc, map_batches, position, table, text_slabs, token_hashes
+from tidemart.llm.common import by_crc, map_batches, position, table, text_slabs, token_hashes, written
 
 BUCKETS = 1 << 22
 HEADS = (4, 5, 6, 7)
+#: Counts that a task hands on at a time.
+COUNTS = 1 << 16
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -88,28 +93,40 @@ def g_statistic(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int
     return g
 
 
-def train(texts: pa.Array, toxic: np.ndarray, least_g: float = 10.0, max_terms: int = 2048, width: int = 4,
-          epochs: int = 30, rate: float = 0.3, decay: float = 1e-5, batch: int = 256, seed: int = 3) -> Machine:
-    n, none = len(toxic), np.zeros(0)
-    share = (toxic.sum() if n else 0) / max(1, n)
-    if not 0 < share < 1:
-        return Machine(none.astype(np.int64), 30.0 if share else -30.0, none, np.zeros((0, width)))
-    rows, buckets = [], []
-    for a, z, data, offsets in text_slabs(texts):
+def row_terms(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row (ascending) and bucket of each term of a column of texts, repeats within a row once."""
+    rows, buckets = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for a, _, data, offsets in text_slabs(texts):
         r, b = terms(data, offsets)
         pairs = np.unique((r + a) * BUCKETS + b)
         rows.append((pairs // BUCKETS).astype(np.int32))
         buckets.append((pairs % BUCKETS).astype(np.int32))
-    row, bucket = np.concatenate(rows), np.concatenate(buckets)
+    return np.concatenate(rows), np.concatenate(buckets)
+
+
+LEAST_G, MAX_TERMS = 10.0, 2048
+
+
+def train(texts: pa.Array, toxic: np.ndarray, least_g: float = LEAST_G, max_terms: int = MAX_TERMS, **params) -> Machine:
+    row, bucket = row_terms(texts)
     counts = [np.bincount(bucket[toxic[row] == k], minlength=BUCKETS) for k in (1, 0)]
     seen = np.flatnonzero(counts[0] + counts[1])
-    g = g_statistic(counts[0][seen], counts[1][seen], int(toxic.sum()), int(n - toxic.sum()))
+    g = g_statistic(counts[0][seen], counts[1][seen], int(toxic.sum()), int(len(toxic) - toxic.sum()))
     best = np.argsort(-g, kind="stable")[:max_terms]
     chosen = np.sort(seen[best[g[best] >= least_g]])
-    place = np.full(BUCKETS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-    hit = place[bucket] >= 0
-    row, at = row[hit], place[bucket[hit]]
+    known = np.isin(bucket, chosen)
+    return learn(chosen, row[known], bucket[known], toxic, **params)
+
+
+def learn(chosen: np.ndarray, row: np.ndarray, bucket: np.ndarray, toxic: np.ndarray, width: int = 4,
+          epochs: int = 60, rate: float = 0.3, decay: float = 1e-5, batch: int = 256, seed: int = 3) -> Machine:
+    """The machine of the terms ``chosen`` (ascending); ``row`` (ascending) and ``bucket`` tell
+    which rows of ``toxic`` have which of them."""
+    n, none = len(toxic), np.zeros(0)
+    share = (toxic.sum() if n else 0) / max(1, n)
+    if not 0 < share < 1:
+        return Machine(none.astype(np.int64), 30.0 if share else -30.0, none, np.zeros((0, width)))
+    at = np.searchsorted(chosen, bucket)
     cuts = np.searchsorted(row, np.arange(n + 1))
     rng = np.random.default_rng(seed)
     w, v = np.zeros(len(chosen)), rng.normal(0, 0.01, (len(chosen), width))
@@ -135,21 +152,82 @@ def train(texts: pa.Array, toxic: np.ndarray, least_g: float = 10.0, max_terms:
     return Machine(chosen, b, w, v)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 1200, clean_ratio: int = 3,
-        sample_bytes: int = 8_000, seed: int = 7, **params) -> Machine:
-    """Train on the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) has."""
+def sampled_terms(docs: DataFrame, labels: DataFrame, sample_rows: int, clean_ratio: int, seed: int) -> DataFrame:
+    """doc_id, toxic, mark (a hash of the text) and terms (buckets, ascending) of the sample."""
     def sample(toxic: int, rows: int) -> DataFrame:
         ids = labels.filter(F.col("toxic") == toxic).select("doc_id").distinct()
         return (ids.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(rows)
                 .withColumn("toxic", F.lit(toxic)))
 
+    # at most sample_rows * (1 + clean_ratio) ids: small by its parameters
     chosen = sample(1, sample_rows).unionByName(sample(0, sample_rows * clean_ratio))
-    # at most sample_rows * (1 + clean_ratio) ids: small by its parameters; twice as many rows
-    # (an id may repeat) reach the driver at most
-    rows = (docs.select("doc_id", "text").filter(F.octet_length("text") <= sample_bytes)
-            .join(F.broadcast(chosen), "doc_id").limit(2 * sample_rows * (1 + clean_ratio)).toPandas())
-    rows = rows.sort_values(["doc_id", "toxic", "text"], ignore_index=True)
-    return train(pa.array(rows["text"], pa.string()), rows["toxic"].to_numpy(np.int64), **params)
+    rows = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    rows = rows.select("doc_id", "toxic", F.xxhash64("text").alias("mark"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, bucket = row_terms(batch.column(3))
+            cuts = np.searchsorted(row, np.arange(len(batch) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(cuts, bucket)],
+                                             ["doc_id", "toxic", "mark", "terms"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return written(docs.sparkSession, rows.mapInArrow(run, f"doc_id {kind}, toxic int, mark long, terms array<int>"),
+                   "toxicity-terms")
+
+
+def term_counts(rows: DataFrame) -> DataFrame:
+    """bucket, n_toxic, n_clean: how many of the ``rows`` have the term, one vector a task."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, BUCKETS), np.int32)
+        for batch in batches:
+            toxic, lists = batch.column(0).to_numpy(), batch.column(1)
+            bucket = lists.flatten().to_numpy()
+            of = np.repeat(toxic, pc.list_value_length(lists).to_numpy())
+            for k in (0, 1):
+                total[k] += np.bincount(bucket[of == k], minlength=BUCKETS).astype(np.int32)
+        seen = np.flatnonzero(total[0] + total[1])
+        for some in np.array_split(seen, len(seen) // COUNTS + 1):
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[1][some].astype(np.int64)),
+                                              pa.array(total[0][some].astype(np.int64))], ["bucket", "n_toxic", "n_clean"])
+
+    return (rows.select("toxic", "terms").mapInArrow(count, "bucket int, n_toxic long, n_clean long")
+            .groupBy("bucket").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean")))
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 3000, clean_ratio: int = 5, seed: int = 7,
+        least_g: float = LEAST_G, max_terms: int = MAX_TERMS, **params) -> Machine:
+    """Train on the rows of ``docs`` (doc_id, text) that ``labels`` (doc_id, toxic) has."""
+    rows = sampled_terms(docs, labels, sample_rows, clean_ratio, seed)
+    n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+
+    def strong(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            g = g_statistic(batch.column(1).to_numpy(), batch.column(2).to_numpy(), n[1], n[0])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(g)], ["bucket", "g"]).filter(pa.array(g >= least_g))
+
+    chosen = np.zeros(0, np.int64)
+    if len(n) == 2:
+        best = term_counts(rows).mapInArrow(strong, "bucket int, g double").orderBy(F.desc("g"), "bucket").limit(max_terms)
+        chosen = np.sort(np.array([r["bucket"] for r in best.collect()], np.int64))
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(3)
+            row = np.repeat(np.arange(len(batch)), pc.list_value_length(lists).to_numpy())
+            bucket = lists.flatten().to_numpy()
+            hit = np.isin(bucket, chosen)
+            cuts = np.searchsorted(row[hit], np.arange(len(batch) + 1)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.ListArray.from_arrays(cuts, bucket[hit])],
+                                             ["doc_id", "toxic", "mark", "terms"])
+
+    # twice as many rows as sampled ids (an id may repeat) reach the driver at most, each with
+    # its chosen terms only
+    have = (rows.mapInArrow(known, rows.schema).limit(2 * sample_rows * (1 + clean_ratio)).toArrow()
+            .sort_by([("doc_id", "ascending"), ("toxic", "ascending"), ("mark", "ascending")]))
+    lists = have["terms"].combine_chunks()
+    row = np.repeat(np.arange(len(have)), pc.list_value_length(lists).to_numpy())
+    return learn(chosen, row, lists.flatten().to_numpy(), have["toxic"].to_numpy().astype(np.int64), **params)
 
 
 ADDED = "score double, predicted int"

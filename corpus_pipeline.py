@@ -7,8 +7,8 @@ Parquet and read again as the next one's ``docs``. All but the last keep the col
 
 Defined results: null and empty texts carry no n-gram, so the first stage judges them by
 their weight 0, and the second one rejects them (no letter). Rows of one id are kept or dropped
-together by the first and the third stage; a null id is an id like any other to the first two
-and never dropped by the third. Without labels the first stage keeps all, without languages
+together by the first stage; the third keeps one row of each component, whatever the ids (a
+null id is the last choice); a null id is an id like any other to the first two. Without labels the first stage keeps all, without languages
 the second one keeps what has a letter. Columns beyond those of ``documents`` travel along,
 whatever their names. Empty tables give an empty result.
 """
@@ -34,7 +34,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops all documents of a near-duplicate component but that with the smallest id."""
+    """Drops all rows of a near-duplicate component but one with the smallest id."""
     bounded_batches(spark)
     return simhash.keep_one(docs, shingle=4, distance=4)
 

@@ -123,3 +123,15 @@ def test_one_document_of_each_group_stays(spark):
 def test_bands_cover_all_bits():
     for distance in (0, 2, 4, 7):
         assert [b for low, width in simhash.bands(distance) for b in range(low, low + width)] == list(range(64))
+
+
+def test_one_row_stays_where_ids_repeat_or_are_null(spark):
+    rng = random.Random(5)
+    a, b, c, d = (" ".join(rng.choice(["ka", "lo", "mi", "tun", "ver", "os"]) + str(rng.randrange(99)) for _ in range(60))
+                  for _ in range(4))
+    rows = [(1, a)] * 4 + [(2, a)]            # one id many times, the smallest of its component
+    rows += [(None, b)] * 3                   # copies without an id
+    rows += [(5, a), (5, c)]                  # an id with two texts, one of them a copy
+    rows += [(None, d), (9, d), (9, d)]       # a row with an id is preferred
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, a), (None, b), (5, c), (9, d)], key=str)

@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemart.llm.common import map_batches, position, table, text_slabs, written
@@ -225,30 +225,44 @@ def edges(codes: DataFrame, distance: int = 4, block: int = 2048) -> DataFrame:
     return dealt.groupBy("band", "value", "i", "j").applyInArrow(search, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, block: int = 2048) -> DataFrame:
-    """doc_id, fingerprint, simhash, component_id of each row of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
-    marked = written(spark, with_fingerprints(docs.select("doc_id", "text"), shingle).drop("text"), "simhash-codes")
-    codes = marked.groupBy("simhash").agg(F.min("doc_id").alias("least"))
+def least_of_component(marked: DataFrame, value: Column, distance: int, block: int) -> DataFrame:
+    """simhash, least: each fingerprint of ``marked`` with the smallest ``value`` of its component."""
+    spark = marked.sparkSession
+    codes = marked.groupBy("simhash").agg(F.min(value).alias("least"))
     codes = written(spark, codes, "simhash-distinct")
     linked = connected(written(spark, edges(codes, distance, block), "simhash-edges"))
     named = codes.join(linked.withColumnRenamed("node", "simhash"), "simhash", "left")
     named = named.withColumn("root", F.coalesce("root", "simhash"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    # one row per fingerprint, written first: the join below has plain exchanges on both
+    least = named.groupBy("root").agg(F.min("least").alias("least"))
+    # one row per fingerprint, written first: what joins it has plain exchanges on both
     # sides, so a fingerprint that very many documents share is split
-    final = written(spark, named.select("simhash", "root").join(least, "root").drop("root"), "simhash-named")
+    return written(spark, named.select("simhash", "root").join(least, "root").drop("root"), "simhash-named")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, distance: int = 4, block: int = 2048) -> DataFrame:
+    """doc_id, fingerprint, simhash, component_id of each row of ``docs`` (doc_id, text)."""
+    spark = docs.sparkSession
+    marked = written(spark, with_fingerprints(docs.select("doc_id", "text"), shingle).drop("text"), "simhash-codes")
+    final = least_of_component(marked, F.col("doc_id"), distance, block).withColumnRenamed("least", "component_id")
     return (marked.join(final, "simhash", "left")
             .withColumn("fingerprint", F.lower(F.lpad(F.hex("simhash"), 16, "0"))))
 
 
-def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """``docs`` with one document of each component: that with the smallest doc_id. Rows of
-    one id stay or go together, rows without an id stay."""
-    found = near_duplicates(docs, **params)
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    gone = written(docs.sparkSession, gone, "simhash-gone")
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+def keep_one(docs: DataFrame, shingle: int = 4, distance: int = 4, block: int = 2048) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest doc_id (null: the
+    last), of several rows of that id any one. The rows are written first, with a key of
+    their own, as ids may repeat or be null."""
+    spark = docs.sparkSession
+    keyed = docs.select([docs[f"`{name}`"].alias(f"c{i}") for i, name in enumerate(docs.columns)])
+    stored = written(spark, keyed.withColumn("row", F.monotonically_increasing_id()), "simhash-rows")
+    doc_id, text = (f"c{docs.columns.index(name)}" for name in ("doc_id", "text"))
+    texts = stored.select(F.col(doc_id).alias("doc_id"), "row", F.col(text).alias("text"))
+    marked = written(spark, with_fingerprints(texts, shingle).drop("text"), "simhash-codes")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    final = least_of_component(marked, first, distance, block)
+    gone = marked.join(final, "simhash").filter("row <> least.row").select("row")
+    gone = written(spark, gone, "simhash-gone")
+    return stored.join(gone, "row", "left_anti").drop("row").toDF(*docs.columns)
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,12 +2,15 @@
 
     python -m tidemart load --customers C.csv --products P.csv --transactions DIR \\
         --warehouse ROOT [--stream --checkpoint CK --max-files 1] [--batch-id N]
-        (the warehouse's log numbers batches; loading the same files again replays theirs)
+        [--holidays H.csv] [--replay]
+        (the warehouse's log numbers batches; files that are loaded already are left out,
+        --replay loads the files of one batch again, in its place)
     python -m tidemart report q05_top_occupations --warehouse ROOT [--as-of 2017-12-31]
         [--year 2017] [--k 5] [--show 20] [--out PATH]
     python -m tidemart ddl --warehouse ROOT [--database DB] [--drop]
     python -m tidemart dq --warehouse ROOT      # exit code 1 when a check fails
-    python -m tidemart compact --warehouse ROOT # merge the folders of finished batches
+    python -m tidemart compact --warehouse ROOT [--keep-old]  # merge the folders of batches
+    python -m tidemart vacuum --warehouse ROOT  # remove folders that no reader needs any more
     python -m tidemart bucket --warehouse ROOT --database DB [--buckets N]
 
 Runs on whatever master the session is given (``spark-submit --master ...``); no local
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schema
+from .functions import calendar as cal
 from .plans import commits, load, reports
 from .plans.star import WarehouseStar
 from .sources import masters
@@ -60,10 +64,13 @@ def cmd_load(a: argparse.Namespace) -> int:
         spark.streams.removeListener(progress)
     else:
         raw = masters.read_transactions(spark, a.transactions)
+        holidays = None
+        if a.holidays:
+            holidays = spark.read.option("header", "true").csv(a.holidays)
+            holidays = holidays.select(cal.parse_date(holidays.columns[0]).alias("holiday_date")).dropna()
         print(json.dumps(load.load_batch(
             spark, raw, customers(), products(), a.warehouse, a.batch_id,
-            source=f"files:{a.transactions.rstrip('/')}",
-            offset=commits.files_offset(spark, a.transactions))))
+            source=f"files:{a.transactions.rstrip('/')}", replay=a.replay, holidays=holidays)))
     return 0
 
 
@@ -92,12 +99,12 @@ def warehouse_checks(spark: SparkSession, root: str) -> dict[str, list[dict]]:
     from .operators import quality
     from .plans.load import DIM_SPECS
 
-    read = lambda name: load.read(spark, root, name)
+    read = commits.snapshot(spark, root).rows
     fact = read("sales_fact")
     dims = {n: read(f"dim_{n}") for n in ("customer", "product", "store", "supplier", "time")}
     # rows in, as the log counted the raw input of each batch's last run
     log = commits.log(spark, root.rstrip("/")).where("state = 'done'")
-    last = log.groupBy("batch_id").agg(F.max_by("rows", "at").alias("rows"))
+    last = log.groupBy("batch_id").agg(F.max_by("rows", "attempt").alias("rows"))
     rows_in = int(last.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0])
     out = {
         "completeness": quality.completeness(rows_in, fact, read("quarantine")),
@@ -138,7 +145,13 @@ def cmd_bucket(a: argparse.Namespace) -> int:
 
 def cmd_compact(a: argparse.Namespace) -> int:
     from .plans.compact import compact
-    print(json.dumps(compact(_session(), a.warehouse)))
+    print(json.dumps(compact(_session(), a.warehouse, keep_old=a.keep_old)))
+    return 0
+
+
+def cmd_vacuum(a: argparse.Namespace) -> int:
+    from .plans.compact import vacuum
+    print(json.dumps({"removed": vacuum(_session(), a.warehouse)}))
     return 0
 
 
@@ -166,6 +179,8 @@ def main(argv: list[str] | None = None) -> int:
     lp.add_argument("--trigger", default="30 seconds")
     lp.add_argument("--checkpoint")
     lp.add_argument("--max-files", type=int, default=1)
+    lp.add_argument("--replay", action="store_true")
+    lp.add_argument("--holidays")
     lp.set_defaults(fn=cmd_load)
     rp = sub.add_parser("report")
     rp.add_argument("name", choices=sorted(REPORTS))
@@ -188,7 +203,11 @@ def main(argv: list[str] | None = None) -> int:
     bp.set_defaults(fn=cmd_bucket)
     cp = sub.add_parser("compact")
     cp.add_argument("--warehouse", required=True)
+    cp.add_argument("--keep-old", action="store_true")
     cp.set_defaults(fn=cmd_compact)
+    vp = sub.add_parser("vacuum")
+    vp.add_argument("--warehouse", required=True)
+    vp.set_defaults(fn=cmd_vacuum)
     qp = sub.add_parser("dq")
     qp.add_argument("--warehouse", required=True)
     qp.set_defaults(fn=cmd_dq)

@@ -26,10 +26,10 @@ def export_bucketed(spark: SparkSession, root: str, database: str,
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     wh = WarehouseStar(spark, root)
-    fact = spark.read.parquet(f"{root.rstrip('/')}/sales_fact").select(*FACT_COLS, "sale_year")
+    fact = wh._read("sales_fact").select(*FACT_COLS, "sale_year")
     (fact.write.mode("overwrite").partitionBy("sale_year").bucketBy(n, "customer_sk")
      .sortBy("customer_sk").saveAsTable(f"{database}.{FACT_TABLE}"))
-    cust = wh.dim("customer").drop("batch_id")
+    cust = wh.dim("customer").drop("batch_id", "attempt")
     (cust.write.mode("overwrite").bucketBy(n, "customer_sk").sortBy("customer_sk")
      .saveAsTable(f"{database}.{CUSTOMER_TABLE}"))
     return f"{database}.{FACT_TABLE}", f"{database}.{CUSTOMER_TABLE}"

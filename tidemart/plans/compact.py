@@ -1,15 +1,15 @@
 """Compaction: the folders of many small batches become one per table.
 
-A stream leaves a folder per micro-batch and table. ``compact`` rewrites the finished batches
-up to one id, leaving each source's newest batch alone (a restarted stream replays that
-one), as a single folder under the largest id of them. Answers stay equal: rows keep their
-keys, and no report reads the batch id. Compacted batches can't be replayed any more; the log
-refuses that.
+A stream leaves a folder per micro-batch and table. ``compact`` rewrites the published batches
+up to one id, leaving each source's newest batch alone (a restarted stream may replay that
+one), as one attempt under the largest id of them. Rows keep their keys and no report reads the
+batch id; partial sums of the pre-aggregate are added up, so it has one row per store and
+quarter afterwards. Compacted batches can't be replayed any more; the log refuses that.
 
-The merged files are written to a work folder first and logged; only then are the old
-folders removed and the work folder renamed, table by table. A run that breaks off there is
-finished by the next one. Reports should not run meanwhile. Needs the file system of a
-classic Spark session.
+The merged folders are an attempt like any other: readers see them from the moment the log
+says so, all tables at once, and a run that breaks off before changes nothing. ``vacuum`` then
+removes the folders that no snapshot taken from now on refers to; reports that are under
+way still read them, so keep them (``keep_old``) while such reports run.
 """
 
 from __future__ import annotations
@@ -18,71 +18,69 @@ from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..session import path_exists, read_or_empty
+from ..session import children, delete_below
+from ..streaming import preagg
 from . import commits
 
 
 def candidates(spark: SparkSession, root: str) -> tuple[int, int] | None:
-    """(lowest, highest) batch id to merge, or None if there is nothing to merge."""
-    log = commits.log(spark, root).where("state IN ('begun', 'done')")
-    merged = commits.log(spark, root).where("state = 'compacted'").agg(F.max("batch_id")).first()[0]
-    last = log.groupBy("batch_id").agg(F.max_by("source", "at").alias("source"),
-                                       F.max(F.when(F.col("state") == "done", 1).otherwise(0)).alias("done"))
+    """(lowest, highest) batch id to merge, or None if there is nothing to merge. Batches
+    that never ended are in nobody's way."""
+    log = commits.log(spark, root)
+    merged = log.where("state = 'compacted'").agg(F.max("batch_id")).first()[0]
+    loads = log.where(F.col("source") != commits.COMPACTION)
+    if merged is not None:  # what was merged lies under that id
+        loads = loads.where(F.col("batch_id") >= merged)
+    last = loads.groupBy("batch_id").agg(F.max("source").alias("source"),
+                                         F.max((F.col("state") == "done").cast("int")).alias("done"))
     newest = F.col("batch_id") == F.max("batch_id").over(Window.partitionBy("source"))
-    keep = last.withColumn("keep", newest | (F.col("done") == 0))
-    if merged is not None:  # what was merged lies in the folder of that id
-        keep = keep.where(F.col("batch_id") >= merged)
+    keep = last.withColumn("keep", newest).where("done = 1 OR keep")
     first_kept = keep.where("keep").agg(F.min("batch_id")).first()[0]
     row = keep.where(F.col("batch_id") < (first_kept if first_kept is not None else 0)) \
         .agg(F.min("batch_id"), F.max("batch_id")).first()
     return None if row[0] is None or row[0] == row[1] else (int(row[0]), int(row[1]))
 
 
-def compact(spark: SparkSession, root: str) -> dict[str, int]:
+def compact(spark: SparkSession, root: str, keep_old: bool = False) -> dict[str, int]:
     """Merge what can be merged; batches merged per table."""
     root = root.rstrip("/")
-    _finish(spark, root)
     span = candidates(spark, root)
     if span is None:
         return {}
     low, high = span
+    snap = commits.snapshot(spark, root)
+    batch = commits.begin_compaction(spark, root, high, low)
     merged = {}
-    for name, (_, parts) in schema.TABLES.items():
-        rows = read_or_empty(spark, f"{root}/{name}", schema.full(name)) \
-            .where(F.col("batch_id").between(low, high))
+    for name, (_, parts) in (schema.TABLES | schema.INTERNAL).items():
+        rows = snap.rows(name).where(F.col("batch_id").between(low, high))
         merged[name] = rows.select("batch_id").distinct().count()
-        rows = rows.drop("batch_id")
-        extra = [p for p in parts if p != "batch_id"]
+        rows = rows.drop("batch_id", "attempt")
+        if name == "store_quarterly_sales":
+            rows = preagg.merged(rows)
+        extra = [p for p in parts if p not in ("batch_id", "attempt")]
         if extra:
             rows = rows.hint("rebalance", *extra)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*extra) if extra else writer).parquet(_work(root, name, high))
-    commits.note(spark, root, high, "compacting", str(low))
-    _finish(spark, root)
+        (writer.partitionBy(*extra) if extra else writer).parquet(
+            f"{root}/{name}/batch_id={high}/attempt={batch.attempt}")
+    commits.compacted(spark, root, batch, low)
+    if not keep_old:
+        vacuum(spark, root)
     return merged
 
 
-def _work(root: str, name: str, high: int) -> str:
-    return f"{root}/_compact/{name}-{high}"
-
-
-def _finish(spark: SparkSession, root: str) -> None:
-    """Put merged files in the place of the folders they replace, as far as that is due."""
-    marks = commits.log(spark, root).where("state IN ('compacting', 'compacted')")
-    due = marks.groupBy("batch_id").agg(F.max(F.when(F.col("state") == "compacted", 1).otherwise(0)).alias("done"),
-                                        F.max("offset").alias("low")).where("done = 0").collect()
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for mark in due:  # one at most, unless a run broke off
-        low, high = int(mark["low"]), int(mark["batch_id"])
-        for name in schema.TABLES:
-            work = jvm.org.apache.hadoop.fs.Path(_work(root, name, high))
-            files = work.getFileSystem(conf)
-            if not files.exists(work):
-                continue  # in its place already
-            for batch in range(low, high + 1):
-                old = jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/batch_id={batch}")
-                if path_exists(spark, str(old)):
-                    files.delete(old, True)
-            files.mkdirs(jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"))
-            files.rename(work, jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/batch_id={high}"))
-        commits.note(spark, root, high, "compacted", str(low))
+def vacuum(spark: SparkSession, root: str) -> int:
+    """Remove the folders that published attempts have taken the place of; their number.
+    Names of folders are all that the driver lists. Attempts under way are left alone."""
+    root = root.rstrip("/")
+    snap = commits.snapshot(spark, root)
+    removed = 0
+    for name in schema.TABLES | schema.INTERNAL:
+        folders = [(int(b[9:]), int(a[8:])) for b in children(spark, f"{root}/{name}") if b.startswith("batch_id=")
+                   for a in children(spark, f"{root}/{name}/{b}") if a.startswith("attempt=")]
+        for b, a in commits.superseded(snap, name, folders):
+            delete_below(spark, root, f"{name}/batch_id={b}/attempt={a}")
+            if not [x for x in children(spark, f"{root}/{name}/batch_id={b}") if x.startswith("attempt=")]:
+                delete_below(spark, root, f"{name}/batch_id={b}")
+            removed += 1
+    return removed

@@ -15,7 +15,7 @@ from ..session import scratch_path
 from ..sources import masters
 from ..sources import testmap as tm
 from ..streaming import loader, preagg
-from . import load
+from . import commits, load
 
 ENRICHED_COLS = ["order_id", "customer_id", "product_id", "gender", "product_category",
                  "quantity", "unit_price", "total_amount"]
@@ -246,6 +246,39 @@ def load_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def _state(spark: SparkSession, root: str, phase: str) -> DataFrame:
+    """Rows, and the sum of amounts where there is one, of the published tables: (phase,
+    table_name, n, amount)."""
+    snap = commits.snapshot(spark, root)
+    no = F.lit(None).cast("decimal(22,2)")
+    parts = [("sales_fact", F.count(F.lit(1)), F.sum("total_amount").cast("decimal(22,2)")),
+             ("quarantine", F.count(F.lit(1)), no),
+             ("store_quarterly_sales", F.sum("transaction_count"), F.sum("total_sales").cast("decimal(22,2)"))]
+    parts += [(f"dim_{name}", F.countDistinct(sk), no) for name, (_, sk, _) in load.DIM_SPECS.items()]
+    out = None
+    for table, n, amount in parts:
+        row = snap.rows(table).agg(n.alias("n"), amount.alias("amount")).select(
+            F.lit(phase).alias("phase"), F.lit(table).alias("table_name"), "n", "amount")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def load_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even orders are loaded. The load of the odd ones breaks off after all its tables are
+    written, just before it is published; then it runs again. What readers see after either."""
+    root = scratch_path(spark, "failed-batch")
+    customers, products = _masters(spark, sf_dir)
+    sup = tm.supplier_master(spark, sf_dir).withColumn("supplier_id", F.col("supplier_id").cast("int"))
+    raw = tm.raw_transactions(spark, sf_dir)
+    order = F.col("order_id").cast("long")
+    args = dict(customers=customers, products=products, root=root, suppliers=sup, source="s")
+    load.load_batch(spark, raw.where(order % 2 == 0), offset="0", **args)
+    load.write_batch(spark, raw.where(order % 2 == 1), offset="1", **args)  # and no publish
+    failed = _state(spark, root, "failed")
+    load.load_batch(spark, raw.where(order % 2 == 1), offset="1", **args)
+    return failed.unionByName(_state(spark, root, "again"))
+
+
 # ------------------------------------------------------------------ SCD2
 def scd2_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshot 1 = customer master on 1995-01-01; snapshot 2 on the last order date with
@@ -344,6 +377,34 @@ def stream_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         "unit_price", "total_amount")
 
 
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three of four files are streamed one by one; then a stream with a new checkpoint takes
+    three files at a time, the fourth among them; then a batch loads the whole folder. The fact
+    by business keys: each file once."""
+    base = scratch_path(spark, "stream-restart")
+    src, root = f"{base}/incoming", f"{base}/warehouse"
+    raw = tm.raw_transactions(spark, sf_dir)
+    share = F.pmod(F.xxhash64("order_id"), F.lit(4))
+    masters.write_transactions_csv(raw.where(share < 3), src, files=3)
+    schema = masters.transaction_schema(spark, src)
+    sup = lambda: tm.supplier_master(spark, sf_dir).withColumn(
+        "supplier_id", F.col("supplier_id").cast("int"))
+    customers, products = lambda: tm.customer_master(spark, sf_dir), lambda: tm.product_master(spark, sf_dir)
+
+    def stream(checkpoint: str, files: int) -> None:
+        loader.start(spark, src, schema, root, f"{base}/{checkpoint}", customers=customers, products=products,
+                     suppliers=sup, max_files_per_trigger=files).awaitTermination()
+
+    stream("one", 1)
+    masters.write_transactions_csv(raw.where(share == 3), src, files=1, mode="append")
+    stream("two", 3)
+    load.load_batch(spark, masters.read_transactions(spark, src, schema), customers(), products(), root, suppliers=sup(),
+                    source="folder")
+    return business_fact(spark, root).select(
+        "order_id", "customer_id", "product_id", "store_id", "supplier_id", "date_sk", "quantity",
+        "unit_price", "total_amount")
+
+
 MV_BATCHES = 4
 
 

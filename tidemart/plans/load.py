@@ -1,28 +1,38 @@
 """Batch / micro-batch load of the star: cleanse -> dimensions -> fact -> quarantine.
 
-Layout under ``root`` (all Parquet, every table with a folder per ``batch_id``):
-    _commits/            the batch log (``plans.commits``): source, offset, state, counters
+Layout under ``root`` (all Parquet, every table with a folder per ``batch_id`` and ``attempt``):
+    _commits/            the log (``plans.commits``): source, offset, state, counters
     dim_customer/ dim_product/ dim_store/ dim_supplier/ dim_time/
-    sales_fact/          batch_id, then sale_year
+    sales_fact/          batch_id, attempt, then sale_year
     quarantine/          rejected rows with reason
     store_quarterly_sales/  partial sums of the pre-aggregate
+    file_ledger/         the files that the batch has loaded
 
 Every table is written in its schema (``schema.TABLES``) and read with it, so an empty
 table, a batch without accepted rows or a first batch of rejects only are ordinary cases.
 
-Replays. The log tells whether (source, offset) was loaded before. Facts, quarantine and
-pre-aggregate of a batch are written as a whole folder, so a replay replaces all of it,
-partitions that become empty included. Dimensions are append-only: a batch adds the members
-that no batch has yet, numbered after the largest key of all, so members keep their keys
-whatever is replayed, and in whatever order. Dimensions are written before facts, and rows
-whose store, supplier, price or amount is no value are quarantined beforehand, so each
-accepted row finds all its members.
+Publishing. ``write_batch`` writes the folders of an attempt, which no reader sees; ``publish``
+makes them visible in one step. A load that breaks off anywhere leaves all reports as they
+were, and its next run is a new attempt of the same batch.
+
+Exactly once by file. Rows that carry their file (``_file``, as ``sources.masters`` reads them) are
+loaded only if no published batch has that file, by path, size and time, in the ledger:
+however files are grouped into micro-batches, by whatever checkpoint, in a stream or a
+batch. The ledger's rows are part of the attempt, so they are published with its facts.
+
+Replays. The log tells whether (source, offset) was loaded before; the new attempt takes the
+place of the published one, partitions that become empty included. Dimensions are append-only:
+a batch adds the members that no published batch has yet, numbered after the largest key of
+all, so members keep their keys whatever is replayed, and in whatever order. Dimensions are
+written before facts, and rows whose store, supplier, price or amount is no value are
+quarantined beforehand, so each accepted row finds all its members.
 """
 
 from __future__ import annotations
 
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,7 +40,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import calendar as cal
 from ..operators import cleanse, keys
-from ..session import drop_path, read_or_empty, scratch_path
+from ..session import drop_path, read_or_empty, scratch_path, stored
 from ..streaming import preagg
 from . import commits
 
@@ -48,29 +58,39 @@ DIM_SPECS = {
 SALES_SK_SPAN = 1 << 40
 
 
+FILE_KEY = ["path", "size", "modified"]
+
+
+@dataclass(frozen=True)
+class Pending:
+    """A batch that is written but not published; ``batch`` is None if it had nothing to do."""
+    batch: commits.Batch | None
+    counts: dict[str, int]
+
+
 def read(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """A table of the warehouse in its schema, whether it has rows or not."""
-    return read_or_empty(spark, f"{root.rstrip('/')}/{name}", schema.full(name))
+    """The published rows of a table in its schema, whether it has rows or not."""
+    return commits.snapshot(spark, root).rows(name)
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """``df`` in the column order and types of table ``name``; an absent column is NULL, the
     audit columns are the time of the write."""
-    cols = []
+    cols, present = [], set(df.columns)
     for f in schema.TABLES[name][0].fields:
         if f.name in ("created_date", "updated_date"):
             cols.append(F.current_timestamp().alias(f.name))
-        elif f.name in df.columns:
+        elif f.name in present:
             cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    extra = [p for p in schema.TABLES[name][1] if p != "batch_id"]
+    extra = [p for p in schema.TABLES[name][1] if p not in ("batch_id", "attempt")]
     return df.select(*cols, *extra)
 
 
 def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...] = (),
-           cluster_by: tuple[str, ...] = (), mode: str = "overwrite") -> None:
-    """Write the folder of batch ``batch_id``; ``overwrite`` replaces all of it. ``cluster_by``
+           cluster_by: tuple[str, ...] = (), attempt: int | None = None) -> None:
+    """Write the folder of batch ``batch_id``, or of an attempt of it, as a whole. ``cluster_by``
     sorts rows inside each task after the partition columns - the writer needs that
     order anyway - so Parquet row groups get tight min/max statistics on those columns.
 
@@ -82,16 +102,16 @@ def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...]
         df = df.hint("rebalance", *extra_parts)
     if cluster_by:
         df = df.sortWithinPartitions(*extra_parts, *cluster_by)
-    writer = df.write.mode(mode).option("partitionOverwriteMode", "static")
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if extra_parts:
         writer = writer.partitionBy(*extra_parts)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    writer.parquet(f"{path}/batch_id={batch_id}" + ("" if attempt is None else f"/attempt={attempt}"))
 
 
 def _with_dim_attrs(rows: DataFrame) -> DataFrame:
     if "age_group" in rows.columns and "age_numeric" not in rows.columns:
         rows = rows.withColumn("age_numeric",
-                               F.regexp_extract("age_group", r"^(\d+)", 1).cast("int"))
+                               F.regexp_extract("age_group", r"^(\d+)", 1).try_cast("int"))
     return rows
 
 
@@ -116,30 +136,53 @@ def _sales_keys(staged: DataFrame, batch_id: int) -> DataFrame:
                                + F.lit(batch_id * SALES_SK_SPAN)).alias("_first"))
 
 
-def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, products: DataFrame,
-               root: str, batch_id: int | None = None, suppliers: DataFrame | None = None,
-               holidays: DataFrame | None = None,
-               cluster_fact_by_date: bool = False,
-               micro_batch: bool = False, source: str | None = None,
-               offset: str | None = None, replay: bool = False) -> dict[str, int]:
-    """Load one batch of raw transactions into the star at ``root``. Returns counters: rows
-    in, facts and rejects written. ``source`` and ``offset`` identify the batch (see
-    ``plans.commits``); without them it is a new one, or ``batch_id``, which must be new
-    unless ``replay`` says that it is to be replaced.
+def unloaded(spark: SparkSession, raw: DataFrame, snap: commits.Snapshot) -> tuple[DataFrame, DataFrame, int, str]:
+    """(rows of files that no published batch has loaded, those files with their row counts,
+    their number, their digest)."""
+    present = raw.groupBy(*[F.col(f"_file.{c}").alias(c) for c in FILE_KEY]).agg(F.count(F.lit(1)).alias("rows"))
+    ledger = snap.rows("file_ledger").select(*FILE_KEY).distinct().withColumn("_old", F.lit(True))
+    files = stored(spark, present.join(ledger, FILE_KEY, "left"), "files")
+    fresh = files.where("_old IS NULL").drop("_old")
+    n, digest = commits.digest(fresh)
+    if n != files.count():  # else no row needs a join
+        keys_ = F.struct(*[F.col(c) for c in FILE_KEY])
+        raw = raw.join(fresh.select(keys_.alias("_file")), "_file", "left_semi")
+    return raw, fresh, n, digest
 
-    ``cluster_fact_by_date`` sorts fact rows by date inside each written file (tighter
-    row-group statistics for sub-year date filters; measured about +15 % load time at sf0.1,
-    so off by default - years are pruned by partition). ``micro_batch`` turns on semi-join
-    reductions against masters and dimensions: a small batch then scans, never shuffles,
-    big tables (the streaming loader sets it)."""
+
+def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, products: DataFrame,
+                root: str, batch_id: int | None = None, suppliers: DataFrame | None = None,
+                holidays: DataFrame | None = None,
+                cluster_fact_by_date: bool = False,
+                micro_batch: bool = False, source: str | None = None,
+                offset: str | None = None, replay: bool = False) -> Pending:
+    """Write all tables of a batch as a new attempt that no reader sees yet; the parameters
+    are those of ``load_batch``."""
     root = root.rstrip("/")
+    snap = commits.snapshot(spark, root)
+    files = None
+    if "_file" in raw.columns:
+        if replay:
+            files = raw.groupBy(*[F.col(f"_file.{c}").alias(c) for c in FILE_KEY]).agg(F.count(F.lit(1)).alias("rows"))
+            files = stored(spark, files, "files")
+            owners = snap.rows("file_ledger").join(files.select(*FILE_KEY), FILE_KEY, "left_semi") \
+                .select("batch_id").distinct().take(2)
+            n, digest = commits.digest(files)
+            if len(owners) > 1:
+                raise ValueError("these files were loaded by several batches and can't be replayed as one")
+        else:
+            raw, files, n, digest = unloaded(spark, raw, snap)
+        if not n:
+            return Pending(None, {"rows": 0, "facts": 0, "rejects": 0})
+        offset = digest if offset is None else offset
+        raw = raw.drop("_file")
     if source is None:
         source, offset = "manual", str(uuid.uuid4() if batch_id is None else batch_id)
         if batch_id is not None and not replay and not commits.log(spark, root).where(
-                F.col("batch_id") == batch_id).isEmpty():
+                (F.col("batch_id") == batch_id) & (F.col("state") == "done")).isEmpty():
             raise ValueError(f"batch {batch_id} is in the warehouse already")
     batch = commits.begin(spark, root, source, str(offset), wanted=batch_id)
-    number = batch.batch_id
+    number, attempt = batch.batch_id, batch.attempt
 
     seen = Observation()
     raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -161,17 +204,16 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
     # batch and write separate tables, so they are submitted as concurrent Spark jobs.
     def build_dim(name: str, bk: str, sk: str, attrs: list[str]) -> None:
         table = f"dim_{name}"
-        existing = read(spark, root, table)
         present = [a for a in attrs if a in good.columns]
-        fresh = keys.new_members(good, existing, bk, sk, present, reduce=micro_batch)
-        _write(conform(fresh, table), f"{root}/{table}", number, mode="append")
+        fresh = keys.new_members(good, snap.rows(table), bk, sk, present, reduce=micro_batch)
+        _write(conform(fresh, table), f"{root}/{table}", number, attempt=attempt)
 
     def build_time() -> None:
         dates = good.select("transaction_date").distinct()
-        known = keys.members_in(read(spark, root, "dim_time").select("transaction_date"), dates,
+        known = keys.members_in(snap.rows("dim_time").select("transaction_date"), dates,
                                 "transaction_date")
         fresh = time_members(dates.join(known, "transaction_date", "left_anti"), holidays)
-        _write(conform(fresh, "dim_time"), f"{root}/dim_time", number, mode="append")
+        _write(conform(fresh, "dim_time"), f"{root}/dim_time", number, attempt=attempt)
 
     tasks = [(build_dim, (name, bk, sk, attrs)) for name, (bk, sk, attrs) in DIM_SPECS.items()
              if bk in good.columns] + [(build_time, ())]
@@ -179,8 +221,9 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
         for fut in [pool.submit(fn, *args) for fn, args in tasks]:
             fut.result()
 
-    # facts: business keys -> surrogate keys
-    lookups = [(read(spark, root, f"dim_{name}"), bk, sk)
+    # facts: business keys -> surrogate keys, with this attempt's own members
+    own = snap.with_own(batch)
+    lookups = [(own.rows(f"dim_{name}"), bk, sk)
                for name, (bk, sk, _) in DIM_SPECS.items() if bk in good.columns]
     fact = keys.lookup_keys(good, lookups, reduce=micro_batch)
     fact = (fact.withColumn("_pid", F.shiftright("_row", 33))
@@ -192,17 +235,52 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
     # the fact and the quarantine read only the staged batch: two concurrent jobs
     with ThreadPoolExecutor(max_workers=2) as pool:
         jobs = [pool.submit(_write, conform(fact, "sales_fact"), f"{root}/sales_fact", number,
-                            ("sale_year",), ("transaction_date",) if cluster_fact_by_date else ()),
+                            ("sale_year",), ("transaction_date",) if cluster_fact_by_date else (), attempt),
                 pool.submit(_write, conform(cleanse.rejected(staged, raw.columns), "quarantine"),
-                            f"{root}/quarantine", number)]
+                            f"{root}/quarantine", number, (), (), attempt)]
         for job in jobs:
             job.result()
+    if files is not None:
+        _write(files.select(*FILE_KEY, "rows"), f"{root}/file_ledger", number, attempt=attempt)
+
+    def mine(table: str) -> DataFrame:
+        return read_or_empty(spark, f"{root}/{table}", schema.full(table)).where(
+            (F.col("batch_id") == number) & (F.col("attempt") == attempt))
+
     # the quarterly pre-aggregate: this batch's partial sums (store attributes attached)
-    written = read(spark, root, "sales_fact").where(F.col("batch_id") == number)
-    stores = read(spark, root, "dim_store").select("store_sk", "store_id", "store_name")
-    preagg.apply_batch(written.join(stores, "store_sk"), f"{root}/store_quarterly_sales", number)
-    rejects = read(spark, root, "quarantine").where(F.col("batch_id") == number)
-    counts = {"rows": rows, "facts": written.count(), "rejects": rejects.count()}
-    commits.done(spark, root, number, source, str(offset), counts)
+    written = mine("sales_fact")
+    stores = own.rows("dim_store").select("store_sk", "store_id", "store_name")
+    preagg.apply_batch(written.join(stores, "store_sk"), f"{root}/store_quarterly_sales", number, attempt)
+    counts = {"rows": rows, "facts": written.count(), "rejects": mine("quarantine").count()}
     drop_path(spark, staging)
-    return counts
+    return Pending(batch, counts)
+
+
+def publish(spark: SparkSession, root: str, pending: Pending) -> dict[str, int]:
+    """Make a written batch visible to readers, all tables at once; its counters."""
+    if pending.batch is not None:
+        commits.done(spark, root.rstrip("/"), pending.batch, pending.counts)
+    return pending.counts
+
+
+def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, products: DataFrame,
+               root: str, batch_id: int | None = None, suppliers: DataFrame | None = None,
+               holidays: DataFrame | None = None,
+               cluster_fact_by_date: bool = False,
+               micro_batch: bool = False, source: str | None = None,
+               offset: str | None = None, replay: bool = False) -> dict[str, int]:
+    """Load one batch of raw transactions into the star at ``root`` and publish it. Returns
+    counters: rows in, facts and rejects written. ``source`` and ``offset`` identify the batch
+    (see ``plans.commits``); without them it is a new one, or ``batch_id``, which must be new
+    unless ``replay`` says that it is to be replaced. Rows with their file (``_file``) are loaded
+    if no batch has loaded that file; the default offset is then a digest of the files, and
+    ``replay`` loads the files of one batch again, in its place.
+
+    ``cluster_fact_by_date`` sorts fact rows by date inside each written file (tighter
+    row-group statistics for sub-year date filters; measured about +15 % load time at sf0.1,
+    so off by default - years are pruned by partition). ``micro_batch`` turns on semi-join
+    reductions against masters and dimensions: a small batch then scans, never shuffles,
+    big tables (the streaming loader sets it)."""
+    return publish(spark, root, write_batch(
+        spark, raw, customers, products, root, batch_id, suppliers, holidays, cluster_fact_by_date,
+        micro_batch, source, offset, replay))

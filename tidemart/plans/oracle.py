@@ -563,3 +563,21 @@ SELECT s.store_id, s.store_name, year, quarter, {MSUM} AS total_sales, {QSUM} AS
        COUNT(*) AS transaction_count, {AVG} AS avg_sale_value
 FROM dt JOIN dim_store s USING (store_sk)
 GROUP BY s.store_id, s.store_name, year, quarter"""
+
+
+ETL_SQL["load_failed_batch"] = ETL + """
+, used AS (SELECT r.*, cm.store_id, CAST(CAST(r.quantity AS INTEGER) * CAST(pm.price AS DECIMAL(10,2)) AS DECIMAL(12,2)) AS amount
+           FROM raw r JOIN cm ON r.customer_id = cm.customer_id JOIN pm ON r.product_id = pm.product_id),
+s AS (SELECT 'failed' AS phase, * FROM used WHERE CAST(order_id AS BIGINT) % 2 = 0
+      UNION ALL SELECT 'again', * FROM used),
+a AS (SELECT phase, COUNT(*) AS n, CAST(SUM(amount) AS DECIMAL(22,2)) AS amount, COUNT(DISTINCT customer_id) AS c,
+             COUNT(DISTINCT product_id) AS p, COUNT(DISTINCT store_id) AS t, COUNT(DISTINCT supplier_id) AS u FROM s GROUP BY phase)
+SELECT phase, 'sales_fact' AS table_name, n, amount FROM a
+UNION ALL SELECT phase, 'store_quarterly_sales', n, amount FROM a
+UNION ALL SELECT phase, 'quarantine', 0, NULL FROM a
+UNION ALL SELECT phase, 'dim_customer', c, NULL FROM a
+UNION ALL SELECT phase, 'dim_product', p, NULL FROM a
+UNION ALL SELECT phase, 'dim_store', t, NULL FROM a
+UNION ALL SELECT phase, 'dim_supplier', u, NULL FROM a"""
+
+ETL_SQL["stream_restart"] = ETL_SQL["stream_fact_sales"]

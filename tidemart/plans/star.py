@@ -28,9 +28,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema
 from ..functions import calendar as cal
-from ..session import read_or_empty
+from . import commits
 
 DIMENSIONS = ("customer", "product", "store", "supplier", "time")
 
@@ -95,9 +94,17 @@ class WarehouseStar(Star):
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._snapshot: commits.Snapshot | None = None
+
+    def snapshot(self, refresh: bool = False) -> commits.Snapshot:
+        """The published batches, resolved on first use: all tables of all reports of this
+        star show the same state until ``refresh``."""
+        if self._snapshot is None or refresh:
+            self._snapshot = commits.snapshot(self.spark, self.root)
+        return self._snapshot
 
     def _read(self, name: str) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.root}/{name}", schema.full(name))
+        return self.snapshot().rows(name)
 
     def fact(self, period: Period | None = None) -> DataFrame:
         f = self._read("sales_fact")
@@ -117,7 +124,9 @@ class WarehouseStar(Star):
         from ..session import path_exists
         from ..streaming import preagg
         path = f"{self.root}/store_quarterly_sales"
-        return preagg.read(self.spark, path) if path_exists(self.spark, path) else None
+        if not path_exists(self.spark, path):
+            return None
+        return preagg.read(self.spark, path, self.snapshot().live("store_quarterly_sales"))
 
     def joined(self, *dims: str, period: Period | None = None) -> DataFrame:
         df = self.fact(period)

@@ -8,6 +8,7 @@ load batch and year. Every writer casts to these schemas and every reader asks f
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .session import path_exists
@@ -60,16 +61,23 @@ STORE_QUARTERLY_SALES = T.StructType([
     _f("quarter", _I), _f("total_sales", T.DecimalType(22, 2)), _f("total_quantity", _L),
     _f("transaction_count", _L)])
 
+# files that a batch has loaded, so that no later one loads them again
+FILE_LEDGER = T.StructType([_f("path", _S), _f("size", _L), _f("modified", _NOW), _f("rows", _L)])
+
+# every attempt of a batch has a folder of its own in each table (``plans.commits``)
+_RUN = ("batch_id", "attempt")
 TABLES = {
-    "dim_customer": (DIM_CUSTOMER, ("batch_id",)),
-    "dim_product": (DIM_PRODUCT, ("batch_id",)),
-    "dim_store": (DIM_STORE, ("batch_id",)),
-    "dim_supplier": (DIM_SUPPLIER, ("batch_id",)),
-    "dim_time": (DIM_TIME, ("batch_id",)),
-    "sales_fact": (SALES_FACT, ("batch_id", "sale_year")),
-    "quarantine": (QUARANTINE, ("batch_id",)),
-    "store_quarterly_sales": (STORE_QUARTERLY_SALES, ("batch_id",)),
+    "dim_customer": (DIM_CUSTOMER, _RUN),
+    "dim_product": (DIM_PRODUCT, _RUN),
+    "dim_store": (DIM_STORE, _RUN),
+    "dim_supplier": (DIM_SUPPLIER, _RUN),
+    "dim_time": (DIM_TIME, _RUN),
+    "sales_fact": (SALES_FACT, (*_RUN, "sale_year")),
+    "quarantine": (QUARANTINE, _RUN),
+    "store_quarterly_sales": (STORE_QUARTERLY_SALES, _RUN),
 }
+# tables of the loader itself; not registered in a catalog
+INTERNAL = {"file_ledger": (FILE_LEDGER, _RUN)}
 
 
 # Fixed VARCHAR(n) and CHAR(1) lengths of the text columns.
@@ -85,7 +93,7 @@ VARCHAR = {
 
 def full(name: str) -> T.StructType:
     """Schema of a table with its partition columns, as its folders are read."""
-    fields, parts = TABLES[name]
+    fields, parts = (TABLES | INTERNAL)[name]
     return T.StructType(fields.fields + [_f(p, _I if p == "sale_year" else _L) for p in parts])
 
 
@@ -100,14 +108,23 @@ def ddl(name: str, location: str, database: str | None = None) -> str:
 
 
 def create_tables(spark: SparkSession, root: str, database: str | None = None) -> list[str]:
-    """Register every star table over the loader's layout under ``root``; the catalog's
-    partition list is refreshed from the folders (``MSCK REPAIR``)."""
+    """Register every star table over the loader's layout under ``root``. The catalog's
+    partitions are those of the published batches; call it again after a load."""
+    from .plans import commits
+    snap = commits.snapshot(spark, root)
     made = []
     for name in TABLES:
         spark.sql(ddl(name, root, database))
         qual = f"{database}.{name}" if database else name
         if path_exists(spark, f"{root.rstrip('/')}/{name}"):
-            spark.sql(f"MSCK REPAIR TABLE {qual}")
+            spark.sql(f"MSCK REPAIR TABLE {qual} SYNC PARTITIONS")
+            listed = spark.sql(f"SHOW PARTITIONS {qual}")
+            run = listed.select("partition", *[F.regexp_extract("partition", f"{c}=(\\d+)", 1).cast("long").alias(c)
+                                               for c in _RUN])
+            # unpublished attempts only: few
+            for row in run.where(~snap.live(name)).collect():
+                spec = ", ".join("{}={}".format(*part.split("=")) for part in row["partition"].split("/"))
+                spark.sql(f"ALTER TABLE {qual} DROP PARTITION ({spec})")
         made.append(qual)
     return made
 

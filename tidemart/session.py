@@ -107,6 +107,26 @@ def drop_path(spark: SparkSession, path: str) -> None:
     hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder (none if there is no such folder)."""
+    files, hpath = _hadoop(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(hpath)] if files.exists(hpath) else []
+
+
+def delete_below(spark: SparkSession, root: str, name: str) -> None:
+    """Remove a folder of a warehouse, named by its path below ``root``."""
+    if not name.strip("/") or ".." in name:
+        raise ValueError(f"not a folder of the warehouse: {name}")
+    files, hpath = _hadoop(spark, f"{root.rstrip('/')}/{name}")
+    files.delete(hpath, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists on its (Hadoop) file system. A Spark Connect session has no
     file system of its own to ask: there the answer is yes, and reading tells."""

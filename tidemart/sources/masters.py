@@ -3,20 +3,21 @@
 The source system writes CSV with a leading unnamed index column, blanks after the
 commas and (products) a ``price$`` column. Spark maps a user schema onto CSV columns
 *by position*, so the header is read once and an all-text schema is built in file
-order; columns are then selected *by name* and typed. A file whose header differs
-from the first file's is refused rather than silently mis-assigned.
+order; columns are then selected *by name* and typed. A transaction file whose header
+differs from the schema is quarantined rather than silently mis-assigned; headers are
+compared where the files are read, in the tasks of the one scan.
 """
 
 from __future__ import annotations
 
-import csv
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import money
+from ..session import stored
 
 # Fixed source column names (CSV headers of the master and transaction files).
 CUSTOMER_FIELDS = {
@@ -113,47 +114,6 @@ def transaction_schema(spark: SparkSession, sample_path: str) -> T.StructType:
     return T.StructType(base.fields + [T.StructField("_corrupt_record", T.StringType(), True)])
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    """The first line of one file (its CSV header), read through the Hadoop file system
-    of the path (decompressing when the extension names a codec). One line per file."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    stream = hpath.getFileSystem(conf).open(hpath)
-    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hpath)
-    if codec is not None:
-        stream = codec.createInputStream(stream)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        return reader.readLine() or ""
-    finally:
-        reader.close()
-
-
-def header_names(line: str) -> list[str]:
-    """Header tokens as Spark names them: byte-order mark dropped, trimmed, a blank first
-    name is ``_c0``."""
-    names = [t.strip() for t in next(csv.reader([line.lstrip("\ufeff")]), [])]
-    return [n if n or i else "_c0" for i, n in enumerate(names)]
-
-
-def expected_header(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema.fields if f.name != "_corrupt_record"]
-
-
-def bad_header_files(spark: SparkSession, files: list[str], schema: T.StructType,
-                     threads: int = 32) -> list[str]:
-    """Files whose header differs from the schema (file order): their rows would be
-    mapped to the wrong columns by position, so they are quarantined whole. One short
-    read per file; the reads are I/O-bound metadata-sized calls, issued concurrently."""
-    want = expected_header(schema)
-    if len(files) <= 1:
-        return [f for f in files if header_names(first_line(spark, f)) != want]
-    with ThreadPoolExecutor(max_workers=min(threads, len(files))) as pool:
-        heads = list(pool.map(lambda f: header_names(first_line(spark, f)), files))
-    return [f for f, h in zip(files, heads) if h != want]
-
-
 # Defaults for a transaction column that is absent from the header (the source's
 # ``row.get(name, default)``): '' for text, 0 for the quantity. A column that is present
 # but has no token on a short row stays NULL and marks the row corrupt.
@@ -166,57 +126,80 @@ TRANSACTION_DEFAULTS = {"order_id": "", "customer_id": "", "product_id": "", "qu
 OPTIONAL_FIELDS = ("line_number", "supplier_id", "_corrupt_record")
 
 
-def _by_name(df: DataFrame) -> DataFrame:
+def _by_name(df: DataFrame, more: Sequence[str] = ()) -> DataFrame:
     cols = []
     for src, dst in TRANSACTION_FIELDS.items():
         cols.append(F.col(f"`{src}`").alias(dst) if src in df.columns
                     else F.lit(TRANSACTION_DEFAULTS[dst]).alias(dst))
     known = {c.lower(): c for c in df.columns}
     extra = [F.col(f"`{known[c]}`").alias(c) for c in OPTIONAL_FIELDS if c in known]
-    return df.select(*cols, *extra)
+    return df.select(*cols, *extra, *more)
+
+
+# Transaction files are read without the reader's own header handling: the first line of each
+# file arrives as a row like any other and is compared with the schema where it is read.
+_RAW_OPTS = {**_CSV_OPTS, "header": "false", "columnNameOfCorruptRecord": "_corrupt_record"}
+
+
+def _is_header(schema: T.StructType):
+    """Whether a row's fields are the column names of ``schema``, in this order (a blank name is
+    ``_c`` and its place; a byte-order mark may precede the first one)."""
+    names = [f.name for f in schema.fields if f.name != "_corrupt_record"]
+    same = F.col("_corrupt_record").isNull() if "_corrupt_record" in schema.names else F.lit(True)
+    for i, name in enumerate(names):
+        field = F.coalesce(F.col(f"`{name}`"), F.lit(""))
+        if i == 0:
+            field = F.trim(F.regexp_replace(field, "^\ufeff", ""))
+        same = same & field.eqNullSafe(F.lit("" if name == f"_c{i}" else name))
+    return same
+
+
+def _with_file(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns by name, with the row's file and block, and whether it looks like a header."""
+    m = F.col("_metadata")
+    named = raw.select("*", _is_header(schema).alias("_head"), m["file_path"].alias("_path"), m["file_size"].alias("_size"),
+                       m["file_modification_time"].alias("_modified"), m["file_block_start"].alias("_block"))
+    extra = ["_head", "_path", "_size", "_modified", "_block"]
+    return _by_name(named, extra)
+
+
+def numbered(rows: DataFrame) -> DataFrame:
+    """Rows in the order in which their files are read."""
+    return rows.withColumn("_row", F.monotonically_increasing_id())
+
+
+def resolved(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Transactions of files that were read with their headers: rows are written once to the
+    shared folder; each file's first line (the first row of the block that starts at 0) is
+    dropped and tells ``_bad_header`` for all rows of the file; ``_file`` names the file."""
+    staged = stored(spark, rows, "transactions")
+    heads = staged.where("_block = 0").groupBy("_path").agg(F.min("_row").alias("_first"),
+                                                           F.min_by("_head", "_row").alias("_good"))
+    heads = stored(spark, heads, "headers")  # a row per file
+    out = staged.join(heads, "_path", "left").where(F.coalesce(F.col("_row") != F.col("_first"), F.lit(True)))
+    return out.withColumn("_bad_header", ~F.coalesce("_good", F.lit(False))).withColumn(
+        "_file", F.struct(F.col("_path").alias("path"), F.col("_size").alias("size"), F.col("_modified").alias("modified"))) \
+        .drop("_path", "_size", "_modified", "_block", "_row", "_head", "_first", "_good")
 
 
 def read_transactions(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Batch read of transaction CSV files (text columns, by name). Every file's header is
-    compared with the schema first; rows of a file with another header carry
-    ``_bad_header = true`` (quarantined by the cleanser)."""
+    """Batch read of transaction CSV files (text columns, by name), in one scan. Rows of a file
+    whose header differs from the schema carry ``_bad_header = true`` (quarantined by the
+    cleanser): their values would be mapped to the wrong columns by position."""
     schema = schema or transaction_schema(spark, path)
-    files = spark.read.text(path).inputFiles()
-    bad = set(bad_header_files(spark, files, schema))
-    reader = (spark.read.options(**_CSV_OPTS)
-              .option("columnNameOfCorruptRecord", "_corrupt_record").schema(schema))
-    parts = []
-    good = [f for f in files if f not in bad]
-    if good:
-        parts.append(_by_name(reader.csv(good)).withColumn("_bad_header", F.lit(False)))
-    if bad:
-        parts.append(_by_name(reader.csv(sorted(bad))).withColumn("_bad_header", F.lit(True)))
-    if not parts:
-        return _by_name(reader.csv(path)).withColumn("_bad_header", F.lit(False))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    raw = spark.read.options(**_RAW_OPTS).schema(schema).csv(path)
+    return resolved(spark, numbered(_with_file(raw, schema)))
 
 
 def stream_transactions(spark: SparkSession, path: str, schema: T.StructType,
                         max_files_per_trigger: int = 1) -> DataFrame:
     """Unbounded transaction source: the file stream of a folder; ``maxFilesPerTrigger``
-    is the back-pressure (bounded work per micro-batch)."""
-    raw = (spark.readStream.options(**_CSV_OPTS)
-           .option("columnNameOfCorruptRecord", "_corrupt_record")
+    is the back-pressure (bounded work per micro-batch). Headers are among its rows; see
+    ``resolved``."""
+    raw = (spark.readStream.options(**_RAW_OPTS)
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .schema(schema).csv(path))
-    return _by_name(raw).withColumn("_source_file", F.col("_metadata.file_path"))
-
-
-def flag_bad_headers(spark: SparkSession, batch: DataFrame, schema: T.StructType,
-                     files: list[str]) -> DataFrame:
-    """For a micro-batch of ``stream_transactions``: mark rows of those of its ``files`` (at
-    most ``maxFilesPerTrigger``) whose header differs from the schema."""
-    bad = bad_header_files(spark, files, schema)
-    return batch.withColumn("_bad_header", F.col("_source_file").isin(*bad) if bad
-                            else F.lit(False)).drop("_source_file")
+    return _with_file(raw, schema)
 
 
 def write_customer_master_csv(df: DataFrame, path: str) -> None:
@@ -234,8 +217,8 @@ def write_product_master_csv(df: DataFrame, path: str) -> None:
     df.select(*cols).write.mode("overwrite").option("header", "true").csv(path)
 
 
-def write_transactions_csv(df: DataFrame, path: str, files: int) -> None:
+def write_transactions_csv(df: DataFrame, path: str, files: int, mode: str = "overwrite") -> None:
     inv = {v: k for k, v in TRANSACTION_FIELDS.items()}
     cols = [F.col(c).alias(inv.get(c, c)) for c in df.columns]
-    (df.select(*cols).repartition(files).write.mode("overwrite")
+    (df.select(*cols).repartition(files).write.mode(mode)
      .option("header", "true").csv(path))

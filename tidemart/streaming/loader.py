@@ -3,18 +3,17 @@
 ``readStream`` (file source, ``maxFilesPerTrigger`` as back-pressure) feeds a
 ``foreachBatch`` sink that runs the same batch loader as the offline job for every
 micro-batch: classify + stage, new dimension members, facts, quarantine and the
-quarterly pre-aggregate, each written under the ``batch_id`` that the warehouse's log gives
-the micro-batch's files. Offsets live in the checkpoint; a restarted query replays the last
-batch and replaces it as a whole (exactly-once output without a transactional table
-format). Master data is re-read for every micro-batch, so new members are seen.
+quarterly pre-aggregate, written as an attempt and published in one step. A micro-batch is
+written once to the shared folder, where it is read from as often as needed; files that the
+warehouse's ledger knows are left out, so a restarted query, a new checkpoint, another
+grouping into micro-batches or a batch load of the same folder never load a file twice.
+Master data is re-read for every micro-batch, so new members are seen.
 """
 
 from __future__ import annotations
 
-import hashlib
 from typing import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,26 +27,17 @@ MasterFn = Callable[[], DataFrame]
 def warehouse_batch(spark: SparkSession, root: str, customers: MasterFn, products: MasterFn,
                     suppliers: MasterFn | None = None, schema: T.StructType | None = None,
                     source: str = "stream") -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function: one micro-batch -> one idempotent warehouse batch. A
-    micro-batch is known by its files, so a stream that starts anew over the same folder
-    replays its batches, and one over another folder gets new ones."""
+    """The ``foreachBatch`` function: one micro-batch -> one warehouse batch of its files that
+    are not loaded yet (none if all are). Rows that carry no file are known by the number
+    of the micro-batch alone."""
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        # the micro-batch is read by two actions (its file list, the staging write): keep
-        # it for the duration of the batch so the source is read, and counted, once
-        cached = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rows, offset = cached, str(batch_id)
-            if schema is not None and "_source_file" in rows.columns:
-                # at most maxFilesPerTrigger names
-                files = sorted(r[0] for r in rows.select("_source_file").distinct().collect())
-                offset = hashlib.sha256("\n".join(files).encode()).hexdigest()
-                rows = masters.flag_bad_headers(spark, rows, schema, files)
-            load.load_batch(spark, rows, customers(), products(), root,
-                            suppliers=suppliers() if suppliers else None, micro_batch=True,
-                            source=source, offset=offset)
-        finally:
-            cached.unpersist()
+        offset = str(batch_id)
+        if "_path" in batch.columns:
+            batch, offset = masters.resolved(spark, masters.numbered(batch)), None
+        load.load_batch(spark, batch, customers(), products(), root,
+                        suppliers=suppliers() if suppliers else None, micro_batch=True,
+                        source=source, offset=offset)
 
     return process
 
@@ -61,7 +51,7 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
     stream = masters.stream_transactions(spark, source_dir, schema, max_files_per_trigger)
     # run counters, reported per micro-batch in StreamingQueryProgress.observedMetrics
     stream = stream.observe("transactions_in",
-                            F.count(F.lit(1)).alias("rows"),
+                            F.count(F.when(~F.col("_head"), 1)).alias("rows"),
                             F.count("_corrupt_record").alias("corrupt_rows"))
     writer = (stream.writeStream
               .foreachBatch(warehouse_batch(spark, root, customers, products, suppliers,

@@ -20,7 +20,8 @@ likelihood, and a pair goes on unless it rules out the wanted similarity (likeli
 above exp(25)). A bucket is dealt into chunks, and each pair of chunks is a group of its own;
 a component that holds most of a bucket is never compared with itself. All links are
 confirmed on full sets of 64-bit shingle hashes, which are made for classes with a partner
-only and meet in cells of bounded size.
+only: those with a leader in cells of bounded size, the others within their pair of chunks,
+which yields a forest of its links and never its pairs.
 
 Recall: 32 bands of 4 miss a pair at the limit of 0.85 with probability 5e-11, the likelihood
 test with about as much; equal sets are never missed. A bucket whose members all lie just
@@ -129,25 +130,31 @@ def with_sketches(docs: DataFrame, shingle: int = 5, text: str = "text") -> Data
 def ruled_out(more: np.ndarray, less: np.ndarray, nu: np.ndarray, nv: np.ndarray, limit: float) -> np.ndarray:
     """Whether similarities of ``limit`` and above are ruled out by the joint likelihood of the
     numbers of registers that are larger in u, and larger in v, given both sets' sizes."""
-    u = nu / (nu + nv)
-    v = 1 - u
-    equal = REGISTERS - more - less
     step = (BASE - 1) / BASE
     share = lambda x: -np.log1p(-np.maximum(x, 1e-15) * step) / np.log(BASE)
-
-    def likelihood(j: np.ndarray) -> np.ndarray:
-        p, q = share(u - v * j), share(v - u * j)
-        return more * np.log(p) + less * np.log(q) + equal * np.log(np.maximum(1 - p - q, 1e-15))
-
-    # concave in j: the best value lies in a bracket that shrinks; only those below the limit matter
-    low, high = np.zeros(len(u)), np.minimum(limit, np.minimum(u / v, v / u))
-    at_limit = likelihood(high)
-    for _ in range(40):
+    u = nu / (nu + nv)
+    top = np.minimum(limit, np.minimum(u, 1 - u) / np.maximum(u, 1 - u))
+
+    def likelihood(j: np.ndarray, at) -> np.ndarray:
+        p, q = share(u[at] - (1 - u[at]) * j), share(1 - u[at] - u[at] * j)
+        return more[at] * np.log(p) + less[at] * np.log(q) + (REGISTERS - more - less)[at] * np.log(np.maximum(1 - p - q, 1e-15))
+
+    every = slice(None)
+    at_limit = likelihood(top, every)
+    # the share of equal registers is nearly the best value: as likely a one settles most pairs
+    out = 2 * (likelihood(np.minimum(1 - (more + less) / REGISTERS, top), every) - at_limit) > RULED_OUT
+    # no value is likelier than the counts' own shares
+    counts = np.stack([more, less, REGISTERS - more - less]).astype(float)
+    most = (counts * np.log(np.maximum(counts, 1) / REGISTERS)).sum(axis=0)
+    open_ = np.flatnonzero(~out & (2 * (most - at_limit) > RULED_OUT))
+    # concave in j: the bracket of the best value shrinks
+    low, high = np.zeros(len(open_)), top[open_]
+    for _ in range(40 if len(open_) else 0):
         a, b = low + (high - low) / 3, high - (high - low) / 3
-        up = likelihood(a) < likelihood(b)
+        up = likelihood(a, open_) < likelihood(b, open_)
         low, high = np.where(up, a, low), np.where(up, high, b)
-    best = likelihood((low + high) / 2)
-    return 2 * (best - at_limit) > RULED_OUT
+    out[open_] = 2 * (likelihood((low + high) / 2, open_) - at_limit[open_]) > RULED_OUT
+    return out
 
 
 def cross_pairs(left: np.ndarray, right: np.ndarray, roots: np.ndarray, regs: np.ndarray, sizes: np.ndarray,
@@ -196,19 +203,20 @@ def leaders(bands: DataFrame, buckets: DataFrame) -> DataFrame:
     return best.select(F.least("c", "best.y").alias("x"), F.greatest("c", "best.y").alias("y")).distinct()
 
 
-def remaining(bands: DataFrame, roots: DataFrame, sketches: DataFrame, percent: int, block: int) -> DataFrame:
-    """(x, y): pairs in a bucket that belong to different ``roots`` (c, root) and whose
-    registers (``sketches``: c, n, keys) leave the wanted similarity possible."""
+def dealt(bands: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """The members (c, n, root) of buckets that hold several ``roots`` (c, root), dealt to pairs
+    (i, j) of chunks of at most about ``block`` members and CELL_BYTES of sets."""
     spark = bands.sparkSession
     named = bands.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     named = written(spark, named, "setsketch-named")
-    sizes = named.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("k"))
-    open_ = sizes.groupBy("band", "key").agg(F.max(F.struct("k", "root")).alias("big"), F.sum("k").alias("members"),
-                                             F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    sizes = named.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("size"))
+    open_ = sizes.groupBy("band", "key").agg(F.max(F.struct("k", "size", "root")).alias("big"), F.sum("k").alias("k"),
+                                             F.sum("size").alias("size"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    chunks = lambda k, size: F.ceil(F.greatest(k / block, size * 8 / CELL_BYTES)).cast("int")
     open_ = written(spark, open_.select(
         "band", "key", F.col("big.root").alias("big"),
-        F.ceil((F.col("members") - F.col("big.k")) / block).cast("int").alias("small_chunks"),
-        F.ceil(F.col("big.k") / block).cast("int").alias("big_chunks")), "setsketch-open")
+        chunks(F.col("k") - F.col("big.k"), F.col("size") - F.col("big.size")).alias("small_chunks"),
+        chunks(F.col("big.k"), F.col("big.size")).alias("big_chunks")), "setsketch-open")
     # chunks of the largest component are numbered -1, -2, ...; they never meet each other
     deal = F.xxhash64("c", "band")
     own = F.when(F.col("root") == F.col("big"), -1 - F.pmod(deal, F.col("big_chunks"))) \
@@ -216,22 +224,85 @@ def remaining(bands: DataFrame, roots: DataFrame, sketches: DataFrame, percent:
     small = F.sequence(F.lit(0), F.col("small_chunks") - 1)
     big = F.transform(F.sequence(F.lit(1), F.col("big_chunks")), lambda i: -i)
     others = F.when(F.col("root") == F.col("big"), small).otherwise(F.concat(small, big))
-    dealt = (named.join(open_, ["band", "key"]).withColumn("own", own).withColumn("with", F.explode(others))
-             .select("c", "root", "band", "key", "own", F.greatest("own", "with").alias("i"),
-                     F.least("own", "with").alias("j")).join(sketches, "c"))
+    return (named.join(open_, ["band", "key"]).withColumn("own", own).withColumn("with", F.explode(others))
+            .select("c", "n", "root", "band", "key", "own", F.greatest("own", "with").alias("i"),
+                    F.least("own", "with").alias("j")))
+
+
+def members_of(key: tuple, rows: pa.Table, percent: int) -> tuple:
+    """c, root and the pairs of places that ``cross_pairs`` finds in a pair of chunks."""
+    band, _, i, j = (k.as_py() for k in key)
+    c, root, size = (rows[x].to_numpy() for x in ("c", "root", "n"))
+    regs = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(c), -1).view(np.uint16)
+    side = rows["own"].to_numpy()
+    left = np.flatnonzero(side == i)
+    right = left if i == j else np.flatnonzero(side == j)
+    return c, root, *cross_pairs(left, right, root, regs, size, band, percent)
+
+
+def joining(x: np.ndarray, y: np.ndarray, root: np.ndarray, flat: np.ndarray, places: np.ndarray,
+            percent: int) -> list[tuple[int, int]]:
+    """Those confirmed pairs of ``x`` and ``y`` (places) that join roots which no earlier one of
+    them joined. The sets lie in ``flat``, from place to place."""
+    above: dict[int, int] = {}
+
+    def top(r: int) -> int:
+        while r in above:
+            r = above[r]
+        return r
+
+    out, sizes = [], np.diff(places)
+    order = np.argsort(x, kind="stable")
+    x, y = x[order], y[order]
+    cuts = np.flatnonzero(np.diff(x)) + 1
+    for mine, others in zip(np.split(x, cuts), np.split(y, cuts)) if len(x) else ():
+        p = int(mine[0])
+        a = flat[places[p]:places[p + 1]]
+        ahead = np.array([top(r) for r in root[others].tolist()])
+        others = others[ahead != top(int(root[p]))]
+        upto = np.cumsum(sizes[others])
+        start = 0
+        while start < len(others):  # sets of a bounded number of items at a time
+            end = max(start + 1, int(np.searchsorted(upto, upto[start] - sizes[others[start]] + (1 << 20), "right")))
+            some = others[start:end]
+            items = np.concatenate([flat[places[q]:places[q + 1]] for q in some.tolist()])
+            at = np.minimum(np.searchsorted(a, items), len(a) - 1)
+            both = np.add.reduceat(a[at] == items, np.cumsum(sizes[some]) - sizes[some], dtype=np.int64)
+            for q in some[100 * both >= percent * (len(a) + sizes[some] - both)].tolist():
+                r, s = top(int(root[p])), top(int(root[q]))
+                if r != s:
+                    above[r] = s
+                    out.append((p, q))
+            start = end
+    return out
+
+
+def remaining(bands: DataFrame, roots: DataFrame, near: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """(x, y): links that join different ``roots`` in a bucket, as many as join all that any
+    link in the same pair of chunks joins. Registers (``near``: c, keys) tell which members may
+    have a partner at all; only those bring their ``sets`` (c, items)."""
+    spark = bands.sparkSession
+    near = near.select("c", "keys")
+
+    def hopeful(key: tuple, rows: pa.Table) -> pa.Table:
+        _, _, x, y = members_of(key, rows, percent)
+        return rows.drop_columns(["keys"]).take(np.unique(np.concatenate([x, y])))
 
-    def search(key: tuple, rows: pa.Table) -> pa.Table:
-        band, _, i, j = (k.as_py() for k in key)
-        rows = rows.sort_by("c")
-        c, root, size = (rows[x].to_numpy() for x in ("c", "root", "n"))
-        regs = rows["keys"].combine_chunks().flatten().to_numpy().reshape(len(c), -1).view(np.uint16)
-        side = rows["own"].to_numpy()
-        left = np.flatnonzero(side == i)
-        right = left if i == j else np.flatnonzero(side == j)
-        x, y = cross_pairs(left, right, root, regs, size, band, percent)
-        return pa.table({"x": np.minimum(c[x], c[y]), "y": np.maximum(c[x], c[y])})
+    def settle(key: tuple, rows: pa.Table) -> pa.Table:
+        c, root, x, y = members_of(key, rows, percent)
+        items = rows["items"].combine_chunks()
+        places = np.frombuffer(items.buffers()[1], np.int32)[items.offset:items.offset + len(items) + 1].astype(np.int64)
+        flat = np.frombuffer(items.buffers()[2], np.uint8)[places[0]:places[-1]].view(np.uint64)
+        pairs = joining(x, y, root, flat, (places - places[0]) // 8, percent)
+        xs, ys = zip(*pairs) if pairs else ((), ())
+        ends = c[np.array(xs, np.int64)], c[np.array(ys, np.int64)]
+        return pa.table({"x": np.minimum(*ends), "y": np.maximum(*ends)})
 
-    return dealt.groupBy("band", "key", "i", "j").applyInArrow(search, "x long, y long")
+    keys = ["band", "key", "i", "j"]
+    some = dealt(bands, roots, block).join(near, "c").groupBy(*keys).applyInArrow(
+        hopeful, "c long, n long, root long, band int, key long, own int, i int, j int")
+    some = written(spark, some, "setsketch-hopeful")
+    return some.join(near, "c").join(sets.select("c", "items"), "c").groupBy(*keys).applyInArrow(settle, "x long, y long")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -290,7 +361,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, block:
     classes = marked.filter("n > 0").groupBy("cls").agg(F.min("row").alias("c"), F.min("doc_id").alias("least"))
     classes = written(spark, classes, "setsketch-classes")
     sketches = marked.join(classes.select(F.col("c").alias("row")), "row").select(F.col("row").alias("c"), "n", "mark", "keys")
-    bands = written(spark, sketches.select("c", F.posexplode("keys").alias("band", "key")), "setsketch-bands")
+    bands = written(spark, sketches.select("c", "n", F.posexplode("keys").alias("band", "key")), "setsketch-bands")
     buckets = bands.groupBy("band", "key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     buckets = written(spark, buckets, "setsketch-buckets")
     # from here on only classes that share a bucket
@@ -299,9 +370,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 85, block:
     sets = written(spark, full_sets(docs, near.select("c", "mark"), shingle), "setsketch-sets")
     first = written(spark, confirmed(leaders(bands, buckets), sets, percent), "setsketch-links")
     roots = connected(first, "x", "y").withColumnRenamed("node", "c")
-    rest = written(spark, remaining(bands, roots, near.drop("mark"), percent, block), "setsketch-pairs")
-    links = first.unionByName(confirmed(rest, sets, percent))
-    roots = connected(written(spark, links, "setsketch-links"), "x", "y").withColumnRenamed("node", "c")
+    rest = written(spark, remaining(bands, roots, near, sets, percent, block), "setsketch-rest")
+    roots = connected(first.unionByName(rest), "x", "y").withColumnRenamed("node", "c")
     named = classes.join(roots, "c", "left").withColumn("root", F.coalesce("root", "c"))
     lowest = written(spark, named.groupBy("root").agg(F.min("least").alias("component_id")), "setsketch-lowest")
     final = written(spark, named.join(lowest, "root").select("cls", "component_id"), "setsketch-final")

@@ -65,8 +65,8 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
         # a master with a repeated key (a DQ defect) must not multiply the sale: one
         # record per key, chosen deterministically. It is stored first: an aggregate right
         # below the join would keep adaptive execution from splitting a hot key
-        customers = stored(raw.sparkSession, _one_per_key(customers, customer_key), "master")
-        products = stored(raw.sparkSession, _one_per_key(products, product_key), "master")
+        customers = stored(raw.sparkSession, one_per_key(customers, customer_key), "master")
+        products = stored(raw.sparkSession, one_per_key(products, product_key), "master")
     customers = customers.drop(ROW_ORDER)
     products = products.drop(ROW_ORDER)
     c = customers.withColumn("_has_customer", F.lit(True))
@@ -100,7 +100,7 @@ def classify(raw: DataFrame, customers: DataFrame, products: DataFrame,
                                                       "_bad_header")
 
 
-def _one_per_key(master: DataFrame, key: str) -> DataFrame:
+def one_per_key(master: DataFrame, key: str) -> DataFrame:
     """One record per key: the first in file order when the master carries
     ``_row_order`` (see ``sources.masters``), else the smallest attribute tuple."""
     from .keys import first_writer

@@ -121,8 +121,9 @@ def rollup_report(df: DataFrame, levels: Sequence[str], aggs: dict[str, tuple[st
                   grouping_name: str = "grouping_id") -> DataFrame:
     """ROLLUP(levels) with additive measures.
 
-    First aggregated once at the finest grain (partial + final, one shuffle), then the
-    much smaller result is rolled up; ``grouping_id`` (0, 1, 3, 7, ...) separates
+    Aggregated once at the finest grain (partial + final, one shuffle); each coarser level is
+    then added up from the level below it, so no row is expanded into all levels and the
+    finest grain's exchange is shared. ``grouping_id`` (0, 1, 3, 7, ...) separates
     subtotal NULLs from data NULLs. ``aggs`` maps output name -> (input column, kind)
     where kind is ``sum_money``, ``sum`` or ``count``.
     """
@@ -134,15 +135,21 @@ def rollup_report(df: DataFrame, levels: Sequence[str], aggs: dict[str, tuple[st
             fine_aggs.append(money.money_sum(col).alias(name))
         else:
             fine_aggs.append(F.sum(col).alias(name))
-    fine = df.groupBy(*levels).agg(*fine_aggs)
-    roll_aggs = []
-    for name, (_, kind) in aggs.items():
-        if kind == "sum_money":
-            roll_aggs.append(F.sum(name).cast(money.SUM_TYPE).alias(name))
-        else:
-            roll_aggs.append(F.sum(name).cast("long").alias(name))
-    return fine.rollup(*levels).agg(F.grouping_id().cast("int").alias(grouping_name),
-                                    *roll_aggs)
+    level = df.groupBy(*levels).agg(*fine_aggs)
+    names = list(levels)
+    parts = [level.withColumn(grouping_name, F.lit(0))]
+    for depth in range(1, len(names) + 1):
+        # a level is added up from the one below, whose rows are far fewer than the finest
+        up = [(F.sum(name).cast(money.SUM_TYPE) if kind == "sum_money" else F.sum(name).cast("long")).alias(name)
+              for name, (_, kind) in aggs.items()]
+        level = level.groupBy(*names[:len(names) - depth]).agg(*up)
+        parts.append(level.select("*", *[F.lit(None).cast(df.schema[n].dataType).alias(n) for n in names[len(names) - depth:]],
+                                  F.lit((1 << depth) - 1).alias(grouping_name)))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out.select(*names, grouping_name, *[
+        F.col(name).cast(money.SUM_TYPE if kind == "sum_money" else "long").alias(name) for name, (_, kind) in aggs.items()])
 
 
 def half_year_pivot(df: DataFrame, keys: Sequence[str], month: str, amount: str,

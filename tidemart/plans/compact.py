@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema
+from ..operators import scd2
 from ..session import children, delete_below
 from ..streaming import preagg
 from . import commits
@@ -54,6 +55,8 @@ def compact(spark: SparkSession, root: str, keep_old: bool = False) -> dict[str,
     for name, (_, parts) in (schema.TABLES | schema.INTERNAL).items():
         rows = snap.rows(name).where(F.col("batch_id").between(low, high))
         merged[name] = rows.select("batch_id").distinct().count()
+        if name in schema.HISTORIES:  # which load opened a version is told by its folder
+            rows = scd2.latest(rows, schema.HISTORIES[name][0].names[0])
         rows = rows.drop("batch_id", "attempt")
         if name == "store_quarterly_sales":
             rows = preagg.merged(rows)

@@ -6,6 +6,8 @@ warehouse tables) are written below the shared checkpoint folder first.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from ..sources import masters
 from ..sources import testmap as tm
 from ..streaming import loader, preagg
 from . import commits, load
+from .star import WarehouseStar
 
 ENRICHED_COLS = ["order_id", "customer_id", "product_id", "gender", "product_category",
                  "quantity", "unit_price", "total_amount"]
@@ -299,6 +302,30 @@ def scd2_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customer_id", "city_category", "valid_from", "valid_to", "is_current")
 
 
+HISTORY_FROM, HISTORY_CHANGE = _dt.date(1995, 1, 1), _dt.date(1997, 1, 1)
+
+
+def fact_sales_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even orders are loaded with the customer master of 1995; odd ones with that of 1997, in
+    which customers whose key ends in 0 have moved. All sales by the city that the customer
+    lived in on the day of the sale."""
+    customers, products = _masters(spark, sf_dir)
+    root = scratch_path(spark, "history")
+    sup = tm.supplier_master(spark, sf_dir).withColumn("supplier_id", F.col("supplier_id").cast("int"))
+    raw = tm.raw_transactions(spark, sf_dir)
+    order = F.col("order_id").cast("long")
+    city = F.col("city_category")
+    moved = F.when(city == "A", "B").when(city == "B", "C").otherwise("A")
+    later = customers.withColumn("city_category", F.when(F.col("customer_id").endswith("0"), moved).otherwise(city))
+    for n, (master, day) in enumerate(((customers, HISTORY_FROM), (later, HISTORY_CHANGE))):
+        load.load_batch(spark, raw.where(order % 2 == n), master, products, root, suppliers=sup, source="s", offset=str(n),
+                        scd2={"customer": ["city_category"]}, effective=day)
+    sales = WarehouseStar(spark, root).joined_as_of("customer", ["city_category"])
+    return sales.groupBy("city_category", F.year("transaction_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("transaction_count"), F.sum("total_amount").cast("decimal(22,2)").alias("total_sales"),
+        F.countDistinct("customer_id").alias("customers"))
+
+
 # ------------------------------------------------------------------ data quality
 def _dq_star(spark: SparkSession, sf_dir: str) -> str:
     """A loaded warehouse whose fact carries injected orphans (see ``quality``)."""

@@ -581,3 +581,12 @@ UNION ALL SELECT phase, 'dim_store', t, NULL FROM a
 UNION ALL SELECT phase, 'dim_supplier', u, NULL FROM a"""
 
 ETL_SQL["stream_restart"] = ETL_SQL["stream_fact_sales"]
+
+ETL_SQL["fact_sales_scd2"] = ETL + """
+, s AS (SELECT CASE WHEN r.customer_id LIKE '%0' AND CAST(r.date AS DATE) >= DATE '1997-01-01'
+                    THEN CASE cm.city_category WHEN 'A' THEN 'B' WHEN 'B' THEN 'C' ELSE 'A' END
+                    ELSE cm.city_category END AS city_category, CAST(year(CAST(r.date AS DATE)) AS INTEGER) AS year, r.customer_id,
+               CAST(CAST(r.quantity AS INTEGER) * CAST(pm.price AS DECIMAL(10,2)) AS DECIMAL(12,2)) AS amount
+        FROM raw r JOIN cm ON r.customer_id = cm.customer_id JOIN pm ON r.product_id = pm.product_id)
+SELECT city_category, year, COUNT(*) AS transaction_count, CAST(SUM(amount) AS DECIMAL(22,2)) AS total_sales,
+       COUNT(DISTINCT customer_id) AS customers FROM s GROUP BY 1, 2"""

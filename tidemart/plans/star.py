@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from ..operators import scd2
 from . import commits
 
 DIMENSIONS = ("customer", "product", "store", "supplier", "time")
@@ -128,6 +129,14 @@ class WarehouseStar(Star):
             return None
         return preagg.read(self.spark, path, self.snapshot().live("store_quarterly_sales"))
 
+    def joined_as_of(self, name: str, attrs: list[str], period: Period | None = None) -> DataFrame:
+        """Fact rows with ``attrs`` of the customer's or product's version that was valid on
+        the day of the sale (loads with ``scd2`` keep the versions)."""
+        key = f"{name}_id"
+        fact = self.fact(period).join(self.dim(name).select(f"{name}_sk", key), f"{name}_sk")
+        history = self._read(f"dim_{name}_history").select(key, *attrs, "valid_from", *scd2.RUN)
+        return scd2.as_of(fact, history, key, "transaction_date")
+
     def joined(self, *dims: str, period: Period | None = None) -> DataFrame:
         df = self.fact(period)
         for d in dims:

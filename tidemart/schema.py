@@ -76,8 +76,19 @@ TABLES = {
     "quarantine": (QUARANTINE, _RUN),
     "store_quarterly_sales": (STORE_QUARTERLY_SALES, _RUN),
 }
-# tables of the loader itself; not registered in a catalog
-INTERNAL = {"file_ledger": (FILE_LEDGER, _RUN)}
+
+def _history(dim: T.StructType, sk: str) -> T.StructType:
+    attrs = [f for f in dim.fields if f.name not in (sk, "created_date", "updated_date")]
+    return T.StructType([*attrs, _f("valid_from", _D, False)])
+
+
+# versions of members (``operators.scd2``), one row for each that a load has opened
+HISTORIES = {
+    "dim_customer_history": (_history(DIM_CUSTOMER, "customer_sk"), _RUN),
+    "dim_product_history": (_history(DIM_PRODUCT, "product_sk"), _RUN),
+}
+# tables that aren't registered in a catalog
+INTERNAL = {"file_ledger": (FILE_LEDGER, _RUN), **HISTORIES}
 
 
 # Fixed VARCHAR(n) and CHAR(1) lengths of the text columns.

@@ -42,6 +42,48 @@ def test_the_last_change_of_a_day_counts(spark):
     assert [d for d, _, _ in judge(spark, [("http://a.com", D[5]), ("http://b.com", D[5])], changes)] == ["unlisted", "blocked"]
 
 
+def test_entries_of_any_depth(spark):
+    changes = [("block", "a.com/x", D[0], "add", 1), ("allow", "a.com/x/y/z", D[0], "add", 1),
+               ("block", "a.com/x/y/z/1/2/3", D[4], "add", 1), ("block", "a.com/x/y/z/1/2/3", D[9], "remove", 2)]
+    urls = [("http://a.com/", D[5]), ("http://a.com/x/y?z", D[5]), ("http://a.com/x/y/z/", D[5]), ("http://a.com/x/y/zz", D[5]),
+            ("http://a.com/x/y/z/1/2/3/4#f", D[5]), ("http://a.com/x/y/z/1/2/3", D[10]), ("http://a.com//x/y/z", D[5]),
+            ("http://a.com/x//y/z", D[5]), ("http://b.com/x/y/z", D[5]), ("http://a.com/" + "s/" * 20000, D[5])]
+    assert judge(spark, urls, changes) == [
+        ("unlisted", None, True), ("blocked", "a.com/x", False), ("allowed", "a.com/x/y/z", True), ("blocked", "a.com/x", False),
+        ("blocked", "a.com/x/y/z/1/2/3", False), ("allowed", "a.com/x/y/z", True), ("unlisted", None, True),
+        ("blocked", "a.com/x", False), ("unlisted", None, True), ("unlisted", None, True)]
+
+
+def test_random_logs_against_brute_force(spark):
+    """Every capture against the state of each of its entries, replayed change by change."""
+    import random
+    rng = random.Random(11)
+    names = ["com", "a.com", "x.a.com", "a.com/p", "a.com/p/q", "x.a.com/p/q/r", "b.com"]
+    changes = [(rng.choice(["block", "allow"]), rng.choice(names), rng.choice(D), rng.choice(["add", "remove"]), i)
+               for i in range(160)]
+    urls = [(rng.choice(["http://a.com/p/q/r", "http://x.a.com/p/q/r/s", "http://b.com/p", "http://c.org", "http://a.com"]), d)
+            for d in D for _ in range(5)]
+
+    def brute(url, day):
+        place = url[7:].split("/")
+        labels = place[0].split(".")
+        mine = [".".join(labels[-i:]) for i in range(1, len(labels) + 1)]
+        mine += ["/".join(place[:i]) for i in range(2, len(place) + 1)]
+        best = ("unlisted", None, True)
+        for entry in mine:
+            on = {}
+            for name, e, d, action, _ in sorted(changes, key=lambda c: (c[2], c[4])):
+                if e == entry and d <= day:
+                    on[name] = action == "add"
+            if on.get("allow"):
+                best = ("allowed", entry, True)
+            elif on.get("block"):
+                best = ("blocked", entry, False)
+        return best
+
+    assert judge(spark, urls, changes) == [brute(u, d) for u, d in urls]
+
+
 def test_awkward_rows(spark):
     changes = [("block", None, D[0], "add", 1), ("block", "a.com", None, "add", 1), ("grey", "a.com", D[0], "add", 1),
                ("block", "a.com", D[0], None, 1), (None, "a.com", D[0], "add", 1), ("block", "c.com", D[0], "add", None)]

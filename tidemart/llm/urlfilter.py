@@ -1,22 +1,23 @@
 """URL filters as of the fetch date: a log of dated list changes decides each capture.
 
 The log says on which day an entry (a domain with all below it, or a host with the first
-segment of its path) was added to or removed from the block or the allow list; of several
-changes of one entry on a day the last (largest ``seq``) counts. An entry's changes make
-validity intervals, from each addition to the next removal, and a capture is judged by the
+segments of its path, however many) was added to or removed from the block or the allow list;
+of several changes of one entry on a day the last (largest ``seq``) counts. An entry's changes
+make validity intervals, from each addition to the next removal, and a capture is judged by the
 entries whose interval holds its fetch date: the most specific one decides, on a tie the allow
 list, and without any the capture is unlisted and stays.
 
-Plan, DataFrame functions only: captures are first reduced to the distinct (host, segment,
-day), and those to the distinct (entry, day) they could match, so a host with a third of all
-captures counts once a day. Changes are reduced to one row per entry and day, too. The
-as-of join is one window per entry over both, at most two rows a day; its result is joined
-back by (entry, day) and (host, segment, day).
+Plan, DataFrame functions only: captures are first reduced to the distinct (host, path, day),
+the path cut to the depth of the deepest entry, and those to the distinct (entry, day) they
+could match, so a host with a third of all captures counts once a day. Changes are reduced to
+one row per entry and day before they become intervals, so an entry has at most one interval
+in two days, however often it is named. The as-of join is one on the entry with the day between
+the interval's ends; its result is joined back by (entry, day) and (host, path, day).
 
 Defined results: a null url or one without a host is ``invalid`` and not kept; a capture
 without a date matches no entry; repeated rows yield a row each; changes without an entry
 or a day are ignored, and so are unknown lists and actions; empty tables give unlisted
-captures or an empty result.
+captures or an empty result. A path ends at its first empty segment.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from tidemart.llm.common import table, written
 
 HOST = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 SEGMENT = r"^[^/?#]*://[^/?#]*/([^/?#]+)"
+PATH = r"^[^/?#]*://[^/?#]*/([^?#]*)"
+#: The end of an interval that is still valid.
+OPEN_END = "9999-12-31"
 
 
 def host(url: Column) -> Column:
@@ -38,15 +42,28 @@ def segment(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), SEGMENT, 1)
 
 
-def entries_of(host_: Column, segment_: Column) -> Column:
+def path(url: Column, depth: int) -> Column:
+    """The first ``depth`` segments of the path, up to an empty one, joined by slashes."""
+    segments = F.slice(F.split(F.regexp_extract(F.coalesce(url, F.lit("")), PATH, 1), "/", depth + 1), 1, depth)
+    blank = F.array_position(segments, "")
+    return F.array_join(F.when(blank > 0, F.slice(segments, 1, F.greatest(blank - 1, F.lit(0)).cast("int"))).otherwise(segments), "/")
+
+
+def entries_of(host_: Column, path_: Column) -> Column:
     """(rank, entry) of all that could list a capture: its domains, shortest first, and its
-    host with the segment."""
-    labels = F.split(host_, r"\.")
+    host with one segment of the path, two, and so on."""
+    labels, segments = F.split(host_, r"\."), F.split(path_, "/")
     n = F.size(labels)
     domains = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(
         i.alias("rank"), F.array_join(F.slice(labels, n - i + 1, i), ".").alias("entry")))
-    path = F.array(F.struct((n + 1).alias("rank"), F.concat(host_, F.lit("/"), segment_).alias("entry")))
-    return F.when(segment_ != "", F.concat(domains, path)).otherwise(domains)
+    paths = F.transform(F.sequence(F.lit(1), F.size(segments)), lambda i: F.struct(
+        (n + i).alias("rank"), F.concat(host_, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), i), "/")).alias("entry")))
+    return F.when(path_ != "", F.concat(domains, paths)).otherwise(domains)
+
+
+def depth_of(changes: DataFrame) -> int:
+    """Segments of the path of the deepest entry."""
+    return int(changes.agg(F.max(F.size(F.split("entry", "/")) - 1)).first()[0] or 0)
 
 
 def daily(changes: DataFrame) -> DataFrame:
@@ -58,18 +75,6 @@ def daily(changes: DataFrame) -> DataFrame:
     return both.select("entry", "day", F.col("b")["col2"].alias("block"), F.col("a")["col2"].alias("allow"))
 
 
-def as_of(probes: DataFrame, changes: DataFrame) -> DataFrame:
-    """(entry, day, block, allow) of the ``probes`` (entry, day) with a list entry that is
-    valid on the day."""
-    both = (probes.select("entry", "day", F.lit(None).cast("boolean").alias("block"),
-                          F.lit(None).cast("boolean").alias("allow"), F.lit(1).alias("asked"))
-            .unionByName(daily(changes).withColumn("asked", F.lit(0))))
-    until = Window.partitionBy("entry").orderBy("day", "asked").rowsBetween(Window.unboundedPreceding, 0)
-    state = both.select("entry", "day", "asked", *(F.coalesce(F.last(c, ignorenulls=True).over(until), F.lit(False)).alias(c)
-                                                   for c in ("block", "allow")))
-    return state.filter("asked = 1 AND (block OR allow)").drop("asked")
-
-
 def intervals(changes: DataFrame) -> DataFrame:
     """list, entry, valid_from, valid_to (exclusive; null: still valid) of a log of changes."""
     flat = daily(changes).select("entry", "day", F.explode(F.create_map(F.lit("block"), "block", F.lit("allow"), "allow"))
@@ -80,29 +85,42 @@ def intervals(changes: DataFrame) -> DataFrame:
     return spans.select("list", "entry", F.col("day").alias("valid_from"), "valid_to")
 
 
+def as_of(probes: DataFrame, spans: DataFrame) -> DataFrame:
+    """(entry, day, allow) of the ``probes`` (entry, day) that an interval of ``spans`` holds;
+    allow: whether one of the allow list does."""
+    until = F.coalesce("valid_to", F.lit(OPEN_END).cast("date"))
+    spans = spans.select(F.col("entry").alias("_entry"), "valid_from", until.alias("valid_to"),
+                         (F.col("list") == "allow").alias("allow"))
+    held = probes.join(spans.hint("merge"), (F.col("entry") == F.col("_entry"))
+                       & (F.col("day") >= F.col("valid_from")) & (F.col("day") < F.col("valid_to")))
+    return held.groupBy("entry", "day").agg(F.max("allow").alias("allow"))
+
+
 def evaluate(captures: DataFrame, changes: DataFrame) -> DataFrame:
     """``captures`` (url, fetch_date, any id columns) with decision (blocked, allowed,
     unlisted, invalid), the entry that decides, and kept. ``changes``: list, entry, day,
     action, seq."""
     spark = captures.sparkSession
-    placed = captures.withColumns({"_host": host(F.col("url")), "_segment": segment(F.col("url"))})
-    kinds = (placed.filter("_host <> '' AND fetch_date IS NOT NULL").select("_host", "_segment", F.col("fetch_date").alias("day"))
+    deepest = depth_of(changes)
+    placed = captures.withColumns({"_host": host(F.col("url")),
+                                   "_path": path(F.col("url"), deepest) if deepest else F.lit("")})
+    kinds = (placed.filter("_host <> '' AND fetch_date IS NOT NULL").select("_host", "_path", F.col("fetch_date").alias("day"))
              .distinct())
-    wanted = kinds.select("*", F.inline(entries_of(F.col("_host"), F.col("_segment"))))
-    active = written(spark, as_of(wanted.select("entry", "day").distinct(), changes), "url-active")
+    wanted = kinds.select("*", F.inline(entries_of(F.col("_host"), F.col("_path"))))
+    active = written(spark, as_of(wanted.select("entry", "day").distinct(), intervals(changes)), "url-active")
     # these tables compress to a fraction of their size in memory, so the planner's size check
     # would broadcast far more than it assumes: sort-merge joins, whose skew Spark splits
-    found = (wanted.join(active.hint("merge"), ["entry", "day"]).groupBy("_host", "_segment", "day")
+    found = (wanted.join(active.hint("merge"), ["entry", "day"]).groupBy("_host", "_path", "day")
              .agg(F.max(F.struct("rank", "allow", "entry")).alias("_best"))
-             .select(F.col("_host").alias("_h"), F.col("_segment").alias("_s"), F.col("day").alias("_d"), "_best"))
+             .select(F.col("_host").alias("_h"), F.col("_path").alias("_p"), F.col("day").alias("_d"), "_best"))
     found = written(spark, found, "url-found")
-    joined = placed.join(found.hint("merge"), (F.col("_host") == F.col("_h")) & (F.col("_segment") == F.col("_s"))
+    joined = placed.join(found.hint("merge"), (F.col("_host") == F.col("_h")) & (F.col("_path") == F.col("_p"))
                          & (F.col("fetch_date") == F.col("_d")), "left")
     decision = (F.when(F.col("_host") == "", "invalid").when(F.col("_best").isNull(), "unlisted")
                 .when(F.col("_best.allow"), "allowed").otherwise("blocked"))
     return (joined.withColumn("decision", decision).withColumn("entry", F.col("_best.entry"))
             .withColumn("kept", F.col("decision").isin("unlisted", "allowed"))
-            .drop("_host", "_segment", "_h", "_s", "_d", "_best"))
+            .drop("_host", "_path", "_h", "_p", "_d", "_best"))
 
 
 DAYS = 730

@@ -14,7 +14,6 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 
 def library(texts):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -22,6 +21,9 @@ def test_ids_equal_the_library():
     rng = random.Random(4)
     letters = "aAbB éßÄ́.,!%&'ts1İΣ \t\n\x1c你\U0001f600"
     texts = TEXTS + ["".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(400)]
+    special = ["<|startoftext|>", "<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext", "|>", "a", "É", "\u0301", "!", " ", "\n", "12"]
+    texts += ["".join(rng.choice(special) for _ in range(rng.randrange(12))) for _ in range(300)]
+    assert library(["hello <|endoftext|> world."]) == [[3306, 49407, 1002, 269]]
     assert [x.tolist() for x in tokens.encode(texts, PATH)] == library(texts)
 
 
@@ -88,3 +90,27 @@ def test_step_groups_cost_alike():
 
 def test_empty(spark):
     assert packing.packed(empty(spark)).count() == 0
+
+
+def test_the_query(spark):
+    """op2 as it is registered, against the untouched library over the whole table."""
+    got = packing.op2_packing(spark, "/root/testdata/sf0.001")
+    types = dict(got.dtypes)
+    for name in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"):
+        assert types[name] == "bigint", name
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    want = {r.doc_id: ids + [1] for r, ids in zip(docs, library([r.text for r in docs]))}
+    assert len(want) == len(docs)
+    pieces = defaultdict(list)
+    rows = got.collect()
+    check(rows, list(want.values()))
+    for r in rows:
+        pieces[r.doc_id].append(r)
+    assert pieces.keys() == want.keys()
+    for i, some in pieces.items():
+        at = 0
+        for r in sorted(some, key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(want[i])
+            assert r.ids_crc32 == zlib.crc32(np.array(want[i][at:at + r.length], "<u4").tobytes())
+            at += r.length
+        assert at == len(want[i])

@@ -4,7 +4,8 @@ The tokenizer's pre-tokenizer never joins across blanks and line feeds, and drop
 a text's ids are those of its blank-separated chunks in a row. Chunks repeat a lot; each
 distinct one is encoded once per worker. A chunk of Latin letters with a tail of plain
 punctuation is two words to the pre-tokenizer: both go straight to the tokenizer's model,
-which spares the pipeline's bookkeeping. All other chunks take the whole pipeline.
+which spares the pipeline's bookkeeping. All other chunks take the whole pipeline, so the
+strings of the file's added tokens get their ids, as the library gives them by default.
 """
 
 from __future__ import annotations
@@ -32,9 +33,7 @@ def tokenizer(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer
 
-    found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True  # their strings in a text are ordinary text
-    return found
+    return Tokenizer.from_file(path)
 
 
 @lru_cache(maxsize=1)

@@ -145,7 +145,7 @@ def cmd_bucket(a: argparse.Namespace) -> int:
 
 def cmd_compact(a: argparse.Namespace) -> int:
     from .plans.compact import compact
-    print(json.dumps(compact(_session(), a.warehouse, keep_old=a.keep_old)))
+    print(json.dumps(compact(_session(), a.warehouse, keep_old=a.keep_old, point_keys=tuple(a.point_key or ()))))
     return 0
 
 
@@ -204,6 +204,7 @@ def main(argv: list[str] | None = None) -> int:
     cp = sub.add_parser("compact")
     cp.add_argument("--warehouse", required=True)
     cp.add_argument("--keep-old", action="store_true")
+    cp.add_argument("--point-key", action="append", choices=["customer_sk", "product_sk", "store_sk", "supplier_sk"])
     cp.set_defaults(fn=cmd_compact)
     vp = sub.add_parser("vacuum")
     vp.add_argument("--warehouse", required=True)

@@ -21,7 +21,7 @@ from .. import schema
 from ..operators import scd2
 from ..session import children, delete_below
 from ..streaming import preagg
-from . import commits
+from . import commits, load
 
 
 def candidates(spark: SparkSession, root: str) -> tuple[int, int] | None:
@@ -42,8 +42,10 @@ def candidates(spark: SparkSession, root: str) -> tuple[int, int] | None:
     return None if row[0] is None or row[0] == row[1] else (int(row[0]), int(row[1]))
 
 
-def compact(spark: SparkSession, root: str, keep_old: bool = False) -> dict[str, int]:
-    """Merge what can be merged; batches merged per table."""
+def compact(spark: SparkSession, root: str, keep_old: bool = False,
+            point_keys: tuple[str, ...] = ()) -> dict[str, int]:
+    """Merge what can be merged; batches merged per table. ``point_keys``: the fact's merged files
+    are sorted by the first and have Bloom filters on all, as in ``load_batch``."""
     root = root.rstrip("/")
     span = candidates(spark, root)
     if span is None:
@@ -60,12 +62,9 @@ def compact(spark: SparkSession, root: str, keep_old: bool = False) -> dict[str,
         rows = rows.drop("batch_id", "attempt")
         if name == "store_quarterly_sales":
             rows = preagg.merged(rows)
-        extra = [p for p in parts if p not in ("batch_id", "attempt")]
-        if extra:
-            rows = rows.hint("rebalance", *extra)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        (writer.partitionBy(*extra) if extra else writer).parquet(
-            f"{root}/{name}/batch_id={high}/attempt={batch.attempt}")
+        extra = tuple(p for p in parts if p not in ("batch_id", "attempt"))
+        keys = point_keys if name == "sales_fact" else ()
+        load.laid_out(rows, extra, keys[:1], keys).parquet(f"{root}/{name}/batch_id={high}/attempt={batch.attempt}")
     commits.compacted(spark, root, batch, low)
     if not keep_old:
         vacuum(spark, root)

@@ -17,7 +17,7 @@ from ..session import scratch_path
 from ..sources import masters
 from ..sources import testmap as tm
 from ..streaming import loader, preagg
-from . import commits, load
+from . import commits, load, reports
 from .star import WarehouseStar
 
 ENRICHED_COLS = ["order_id", "customer_id", "product_id", "gender", "product_category",
@@ -177,16 +177,26 @@ def dim_time_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ fact load
 def load_test_warehouse(spark: SparkSession, sf_dir: str, root: str | None = None,
-                        raw: DataFrame | None = None) -> str:
+                        raw: DataFrame | None = None, point_keys: tuple[str, ...] = ()) -> str:
     root = root or scratch_path(spark, "warehouse")
     customers, products = _masters(spark, sf_dir)
     raw = raw if raw is not None else tm.raw_transactions(spark, sf_dir)
     load.load_batch(spark, raw, customers, products, root, 0,
                     suppliers=tm.supplier_master(spark, sf_dir).withColumn(
-                        "supplier_id", F.col("supplier_id").cast("int")))
+                        "supplier_id", F.col("supplier_id").cast("int")), point_keys=point_keys)
     return root
 
 
+def slice_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slice and dice of one customer, the one of the smallest id, over a warehouse laid out for
+    such slices."""
+    root = load_test_warehouse(spark, sf_dir, point_keys=("customer_sk", "product_sk"))
+    star = WarehouseStar(spark, root)
+    first = star.dim("customer").agg(F.min(F.col("customer_id").cast("long")).cast("string")).first()[0]
+    return reports.slice_dice(star, {"customer_id": first}, ["gender", "product_category", "year"],
+                              ("customer", "product", "time"))
+
+
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = load_test_warehouse(spark, sf_dir)
     return load.read(spark, root, "sales_fact").select(

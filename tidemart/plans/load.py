@@ -35,7 +35,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schema
@@ -91,7 +91,8 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 
 def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...] = (),
-           cluster_by: tuple[str, ...] = (), attempt: int | None = None) -> None:
+           cluster_by: tuple[str, ...] = (), attempt: int | None = None,
+           bloom: tuple[str, ...] = ()) -> None:
     """Write the folder of batch ``batch_id``, or of an attempt of it, as a whole. ``cluster_by``
     sorts rows inside each task after the partition columns - the writer needs that
     order anyway - so Parquet row groups get tight min/max statistics on those columns.
@@ -100,14 +101,25 @@ def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...]
     first: each task then writes one partition folder instead of every task writing
     into every year (tasks x years small files), and AQE sizes the output tasks to the
     advisory partition size, splitting a hot year over several tasks."""
-    if extra_parts:
-        df = df.hint("rebalance", *extra_parts)
+    laid_out(df, extra_parts, cluster_by, bloom).parquet(
+        f"{path}/batch_id={batch_id}" + ("" if attempt is None else f"/attempt={attempt}"))
+
+
+def laid_out(df: DataFrame, parts: tuple[str, ...] = (), cluster_by: tuple[str, ...] = (),
+             bloom: tuple[str, ...] = ()) -> DataFrameWriter:
+    """A writer of ``df`` in folders of ``parts``, files sorted by ``cluster_by``, with Parquet Bloom
+    filters on ``bloom``. A filter is as large as its row group's distinct values need (the
+    adaptive form keeps the smallest that fits); a row group whose values are all in a
+    dictionary has none, and the dictionary serves the same end."""
+    if parts:
+        df = df.hint("rebalance", *parts)
     if cluster_by:
-        df = df.sortWithinPartitions(*extra_parts, *cluster_by)
+        df = df.sortWithinPartitions(*parts, *cluster_by)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if extra_parts:
-        writer = writer.partitionBy(*extra_parts)
-    writer.parquet(f"{path}/batch_id={batch_id}" + ("" if attempt is None else f"/attempt={attempt}"))
+    for name in bloom:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true") \
+            .option(f"parquet.bloom.filter.adaptive.enabled#{name}", "true")
+    return writer.partitionBy(*parts) if parts else writer
 
 
 def _with_dim_attrs(rows: DataFrame) -> DataFrame:
@@ -158,7 +170,8 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
                 cluster_fact_by_date: bool = False,
                 micro_batch: bool = False, source: str | None = None,
                 offset: str | None = None, replay: bool = False,
-                scd2: dict[str, list[str]] | None = None, effective: _dt.date | None = None) -> Pending:
+                scd2: dict[str, list[str]] | None = None, effective: _dt.date | None = None,
+                point_keys: tuple[str, ...] = ()) -> Pending:
     """Write all tables of a batch as a new attempt that no reader sees yet; the parameters
     are those of ``load_batch``."""
     root = root.rstrip("/")
@@ -252,7 +265,8 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
     # the fact and the quarantine read only the staged batch: two concurrent jobs
     with ThreadPoolExecutor(max_workers=2) as pool:
         jobs = [pool.submit(_write, conform(fact, "sales_fact"), f"{root}/sales_fact", number,
-                            ("sale_year",), ("transaction_date",) if cluster_fact_by_date else (), attempt),
+                            ("sale_year",), ("transaction_date",) if cluster_fact_by_date else point_keys[:1],
+                            attempt, point_keys),
                 pool.submit(_write, conform(cleanse.rejected(staged, raw.columns), "quarantine"),
                             f"{root}/quarantine", number, (), (), attempt)]
         for job in jobs:
@@ -286,7 +300,8 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
                cluster_fact_by_date: bool = False,
                micro_batch: bool = False, source: str | None = None,
                offset: str | None = None, replay: bool = False,
-               scd2: dict[str, list[str]] | None = None, effective: _dt.date | None = None) -> dict[str, int]:
+               scd2: dict[str, list[str]] | None = None, effective: _dt.date | None = None,
+               point_keys: tuple[str, ...] = ()) -> dict[str, int]:
     """Load one batch of raw transactions into the star at ``root`` and publish it. Returns
     counters: rows in, facts and rejects written. ``source`` and ``offset`` identify the batch
     (see ``plans.commits``); without them it is a new one, or ``batch_id``, which must be new
@@ -303,7 +318,11 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
     ``scd2`` keeps history: for "customer" or "product" the attributes to track. The load's
     master is then the state of its members from the day ``effective`` on, and every member
     that is new or differs opens a version, published with the batch
-    (``WarehouseStar.joined_as_of`` reads facts with the version of their day)."""
+    (``WarehouseStar.joined_as_of`` reads facts with the version of their day).
+
+    ``point_keys``: surrogate keys by which single members' facts are asked for. Fact files are
+    sorted by the first (unless by date) and have Bloom filters on all, so a slice of a few
+    members (``WarehouseStar.of_members``) skips the row groups that lack them."""
     return publish(spark, root, write_batch(
         spark, raw, customers, products, root, batch_id, suppliers, holidays, cluster_fact_by_date,
-        micro_batch, source, offset, replay, scd2, effective))
+        micro_batch, source, offset, replay, scd2, effective, point_keys))

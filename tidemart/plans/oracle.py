@@ -318,6 +318,12 @@ WHERE city_category = 'A' AND product_category = 'ECONOMY'
 GROUP BY gender, age_group
 ORDER BY gender, age_group"""
 
+POINT_SQL = STAR + f"""
+SELECT gender, product_category, year(transaction_date) AS year, {MSUM} AS total_revenue, COUNT(*) AS transaction_count
+FROM fact JOIN dim_customer USING (customer_sk) JOIN dim_product USING (product_sk)
+WHERE customer_sk = (SELECT MIN(customer_sk) FROM fact)
+GROUP BY gender, product_category, year(transaction_date)"""
+
 
 # ------------------------------------------------------------------ ETL keys
 RAW = """raw AS (
@@ -389,7 +395,7 @@ nw AS (SELECT {key}, (SELECT COUNT(*) FROM ex) + ROW_NUMBER() OVER (ORDER BY {ke
 SELECT * FROM ex UNION ALL SELECT * FROM nw"""
 
 
-ETL_SQL: dict[str, str] = {}
+ETL_SQL: dict[str, str] = {"slice_customer": POINT_SQL}
 
 ETL_SQL["src_customer_master"] = ETL + """
 SELECT customer_id, gender, age_group, occupation, city_category, stay_in_current_city_years,

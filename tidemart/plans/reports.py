@@ -385,6 +385,7 @@ def util_revenue_summary(star: Star) -> DataFrame:
 
 def slice_dice(star: Star, filters: dict, keys: list[str], dims: tuple[str, ...]) -> DataFrame:
     """Filters on a dimension reach its scan (equality predicates are pushed through the
-    inner joins), so the fact meets only the members that pass."""
-    s = star.joined(*dims)
+    inner joins), so the fact meets only the members that pass; filters on business keys
+    also reach the fact's scan, as surrogate keys."""
+    s = star.of_members(filters).joined(*dims)
     return olap.slice_dice(s, filters, keys).orderBy(*keys)

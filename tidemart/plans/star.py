@@ -46,6 +46,9 @@ FACT_COLS = ["order_id", "customer_sk", "product_sk", "store_sk", "supplier_sk",
 
 Period = tuple[_dt.date, _dt.date]
 
+#: Members of one dimension that a point slice looks up, at most.
+MAX_POINTS = 1000
+
 
 def time_attributes(df: DataFrame, date_col: str = "transaction_date") -> DataFrame:
     """Calendar attributes are pure functions of the date: computing them inline
@@ -68,6 +71,11 @@ class Star:
         transaction date, applied so that it reaches the Parquet scan."""
         raise NotImplementedError
 
+    def of_members(self, filters: dict[str, object]) -> "Star":
+        """This star, its fact reduced to the members that filters on business keys name, where
+        that spares reading; other filters are ignored, so they must still be applied."""
+        return self
+
     def store_quarterly(self) -> DataFrame | None:
         """The maintained STORE_QUARTERLY_SALES pre-aggregate, when the star has one."""
         return None
@@ -96,6 +104,7 @@ class WarehouseStar(Star):
         self.spark = spark
         self.root = root.rstrip("/")
         self._snapshot: commits.Snapshot | None = None
+        self._members: dict[str, list[int]] = {}
 
     def snapshot(self, refresh: bool = False) -> commits.Snapshot:
         """The published batches, resolved on first use: all tables of all reports of this
@@ -115,8 +124,31 @@ class WarehouseStar(Star):
             f = f.filter((F.col("sale_year") >= start.year) & (F.col("sale_year") <= end.year)
                          & (F.col("transaction_date") >= F.lit(start))
                          & (F.col("transaction_date") < F.lit(end)))
+        for key, wanted in self._members.items():
+            f = f.filter(F.col(key).isin(wanted) if wanted else F.lit(False))
         return f.select(*FACT_COLS)
 
+    def of_members(self, filters: dict[str, object]) -> "WarehouseStar":
+        """Business keys become surrogate keys by a look at the dimension, and those are literals
+        in the fact's scan: row groups without them are skipped by their statistics,
+        dictionaries and Bloom filters (``load_batch(point_keys=...)``). A member has one row,
+        so no more keys reach the driver than the caller names; lists of over ``MAX_POINTS``
+        would be no point slice and are left to the join."""
+        out = WarehouseStar(self.spark, self.root)
+        out._snapshot, out._members = self.snapshot(), dict(self._members)
+        for name in ("customer", "product", "store", "supplier"):
+            if f"{name}_id" not in filters:
+                continue
+            value = filters[f"{name}_id"]
+            wanted = list(value) if isinstance(value, (list, tuple, set)) else [value]
+            if len(wanted) > MAX_POINTS:
+                continue
+            found = self.dim(name).filter(F.col(f"{name}_id").isin(wanted)).select(f"{name}_sk")
+            keys = {r[0] for r in found.collect()}
+            held = out._members.get(f"{name}_sk")
+            out._members[f"{name}_sk"] = sorted(keys if held is None else keys & set(held))
+        return out
+
     def dim(self, name: str) -> DataFrame:
         return self._read(f"dim_{name}")
 

@@ -51,6 +51,6 @@ def test_empty_tables_pass_through_all_stages(spark, tmp_dir):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op"))
-    assert numbers == list(range(1, 11)) and "pipeline" in queries.QUERIES
+    assert numbers == list(range(1, 14)) and "pipeline" in queries.QUERIES
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_classifier", "language_id", "simhash_near_dedup", "packing"]

@@ -2,7 +2,7 @@
 
     python -m tidemart load --customers C.csv --products P.csv --transactions DIR \\
         --warehouse ROOT [--stream --checkpoint CK --max-files 1] [--batch-id N]
-        [--holidays H.csv] [--replay]
+        [--holidays H.csv] [--replay] [--distincts]
         (the warehouse's log numbers batches; files that are loaded already are left out,
         --replay loads the files of one batch again, in its place)
     python -m tidemart report q05_top_occupations --warehouse ROOT [--as-of 2017-12-31]
@@ -58,7 +58,7 @@ def cmd_load(a: argparse.Namespace) -> int:
         sch = masters.transaction_schema(spark, a.transactions)
         q = loader.start(spark, a.transactions, sch, a.warehouse, a.checkpoint, customers,
                          products, max_files_per_trigger=a.max_files,
-                         available_now=not a.continuous, processing_time=a.trigger)
+                         available_now=not a.continuous, processing_time=a.trigger, distincts=a.distincts)
         q.awaitTermination()
         print(json.dumps(progress.totals()))
         spark.streams.removeListener(progress)
@@ -70,7 +70,8 @@ def cmd_load(a: argparse.Namespace) -> int:
             holidays = holidays.select(cal.parse_date(holidays.columns[0]).alias("holiday_date")).dropna()
         print(json.dumps(load.load_batch(
             spark, raw, customers(), products(), a.warehouse, a.batch_id,
-            source=f"files:{a.transactions.rstrip('/')}", replay=a.replay, holidays=holidays)))
+            source=f"files:{a.transactions.rstrip('/')}", replay=a.replay, holidays=holidays,
+            distincts=a.distincts)))
     return 0
 
 
@@ -145,7 +146,8 @@ def cmd_bucket(a: argparse.Namespace) -> int:
 
 def cmd_compact(a: argparse.Namespace) -> int:
     from .plans.compact import compact
-    print(json.dumps(compact(_session(), a.warehouse, keep_old=a.keep_old, point_keys=tuple(a.point_key or ()))))
+    print(json.dumps(compact(_session(), a.warehouse, keep_old=a.keep_old, point_keys=tuple(a.point_key or ()),
+                             distincts=a.distincts)))
     return 0
 
 
@@ -181,6 +183,7 @@ def main(argv: list[str] | None = None) -> int:
     lp.add_argument("--max-files", type=int, default=1)
     lp.add_argument("--replay", action="store_true")
     lp.add_argument("--holidays")
+    lp.add_argument("--distincts", action="store_true")
     lp.set_defaults(fn=cmd_load)
     rp = sub.add_parser("report")
     rp.add_argument("name", choices=sorted(REPORTS))
@@ -205,6 +208,7 @@ def main(argv: list[str] | None = None) -> int:
     cp.add_argument("--warehouse", required=True)
     cp.add_argument("--keep-old", action="store_true")
     cp.add_argument("--point-key", action="append", choices=["customer_sk", "product_sk", "store_sk", "supplier_sk"])
+    cp.add_argument("--distincts", action="store_true")
     cp.set_defaults(fn=cmd_compact)
     vp = sub.add_parser("vacuum")
     vp.add_argument("--warehouse", required=True)

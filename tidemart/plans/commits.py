@@ -158,8 +158,8 @@ def begin_compaction(spark: SparkSession, root: str, high: int, low: int) -> Bat
     return batch
 
 
-def compacted(spark: SparkSession, root: str, batch: Batch, low: int) -> None:
-    _append(spark, root, batch, "compacted", low=low)
+def compacted(spark: SparkSession, root: str, batch: Batch, low: int, facts: int) -> None:
+    _append(spark, root, batch, "compacted", {"facts": facts}, low=low)
     condense(spark, root)
 
 
@@ -202,6 +202,14 @@ def snapshot(spark: SparkSession, root: str) -> Snapshot:
     return Snapshot(spark, root, **spans)
 
 
+def published_facts(snap: Snapshot) -> int | None:
+    """Facts of the published batches by the log, without a look at them; None where a batch
+    didn't count them."""
+    ended = log(snap.spark, snap.root).where("state IN ('done', 'compacted')").where(_within(snap.facts))
+    n, counted, facts = ended.agg(F.count(F.lit(1)), F.count("facts"), F.sum("facts")).first()
+    return int(facts or 0) if n == counted else None
+
+
 def digest(files: DataFrame) -> tuple[int, str]:
     """(number, digest) of the rows of ``files`` (path, size, modified); no name is collected."""
     hashed = files.select(F.xxhash64("path", "size", "modified").cast("decimal(38,0)").alias("h"))

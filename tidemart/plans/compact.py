@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..operators import scd2
 from ..session import children, delete_below
+from ..streaming import distincts as bitmaps
 from ..streaming import preagg
 from . import commits, load
 
@@ -43,9 +44,11 @@ def candidates(spark: SparkSession, root: str) -> tuple[int, int] | None:
 
 
 def compact(spark: SparkSession, root: str, keep_old: bool = False,
-            point_keys: tuple[str, ...] = ()) -> dict[str, int]:
+            point_keys: tuple[str, ...] = (), distincts: bool = False) -> dict[str, int]:
     """Merge what can be merged; batches merged per table. ``point_keys``: the fact's merged files
-    are sorted by the first and have Bloom filters on all, as in ``load_batch``."""
+    are sorted by the first and have Bloom filters on all, as in ``load_batch``. ``distincts``:
+    the customers' bitmaps are made anew from the merged facts, for batches that were
+    loaded without them."""
     root = root.rstrip("/")
     span = candidates(spark, root)
     if span is None:
@@ -62,10 +65,16 @@ def compact(spark: SparkSession, root: str, keep_old: bool = False,
         rows = rows.drop("batch_id", "attempt")
         if name == "store_quarterly_sales":
             rows = preagg.merged(rows)
+        elif name == bitmaps.TABLE:
+            rows = bitmaps.merged(rows) if not distincts else bitmaps.partials(
+                snap.rows("sales_fact").where(F.col("batch_id").between(low, high)),
+                snap.rows("dim_customer"), snap.rows("dim_product"))
         extra = tuple(p for p in parts if p not in ("batch_id", "attempt"))
         keys = point_keys if name == "sales_fact" else ()
-        load.laid_out(rows, extra, keys[:1], keys).parquet(f"{root}/{name}/batch_id={high}/attempt={batch.attempt}")
-    commits.compacted(spark, root, batch, low)
+        order = ("cube",) if name == bitmaps.TABLE else keys[:1]
+        load.laid_out(rows, extra, order, keys).parquet(f"{root}/{name}/batch_id={high}/attempt={batch.attempt}")
+    facts = load.read_attempt(spark, root, "sales_fact", batch).count()
+    commits.compacted(spark, root, batch, low, facts)
     if not keep_old:
         vacuum(spark, root)
     return merged

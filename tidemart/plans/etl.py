@@ -16,7 +16,7 @@ from ..operators import cleanse, keys, quality, scd2
 from ..session import scratch_path
 from ..sources import masters
 from ..sources import testmap as tm
-from ..streaming import loader, preagg
+from ..streaming import distincts, loader, preagg
 from . import commits, load, reports
 from .star import WarehouseStar
 
@@ -442,6 +442,28 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
         "unit_price", "total_amount")
 
 
+def mv_customer_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even orders, then odd ones, then the even ones again (a replay), each load keeping its
+    customers as bitmaps; the cells of Q2, Q3, Q7, Q8 and Q14 from the merged bitmaps."""
+    root = scratch_path(spark, "bitmaps")
+    customers, products = _masters(spark, sf_dir)
+    sup = tm.supplier_master(spark, sf_dir).withColumn("supplier_id", F.col("supplier_id").cast("int"))
+    raw = tm.raw_transactions(spark, sf_dir)
+    for n in (0, 1, 0):
+        load.load_batch(spark, raw.where(F.col("order_id").cast("long") % 2 == n), customers, products, root,
+                        suppliers=sup, source="s", offset=str(n), distincts=True)
+    star = WarehouseStar(spark, root)
+    out = None
+    for cube, keys in distincts.CUBES.items():
+        named = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (3 - len(keys))
+        part = star.customer_cube(cube).select(
+            F.lit(cube).alias("cube"), *[k.alias(f"k{i + 1}") for i, k in enumerate(named)], "customers",
+            F.col("_s").cast("decimal(22,2)").alias("total_sales"), F.col("_q").cast("long").alias("total_quantity"),
+            F.col("_n").cast("long").alias("transaction_count"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 MV_BATCHES = 4
 
 

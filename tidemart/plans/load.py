@@ -6,6 +6,7 @@ Layout under ``root`` (all Parquet, every table with a folder per ``batch_id`` a
     sales_fact/          batch_id, attempt, then sale_year
     quarantine/          rejected rows with reason
     store_quarterly_sales/  partial sums of the pre-aggregate
+    customer_bitmaps/    customers of report cells, if the load keeps them
     file_ledger/         the files that the batch has loaded
 
 Every table is written in its schema (``schema.TABLES``) and read with it, so an empty
@@ -43,6 +44,7 @@ from ..functions import calendar as cal
 from ..operators import cleanse, keys
 from ..operators import scd2 as history
 from ..session import drop_path, read_or_empty, scratch_path, stored
+from ..streaming import distincts as bitmaps
 from ..streaming import preagg
 from . import commits
 
@@ -75,6 +77,12 @@ def read(spark: SparkSession, root: str, name: str) -> DataFrame:
     return commits.snapshot(spark, root).rows(name)
 
 
+def read_attempt(spark: SparkSession, root: str, name: str, batch: commits.Batch) -> DataFrame:
+    """What one attempt has written to a table, published or not."""
+    return read_or_empty(spark, f"{root}/{name}", schema.full(name)).where(
+        (F.col("batch_id") == batch.batch_id) & (F.col("attempt") == batch.attempt))
+
+
 def conform(df: DataFrame, name: str) -> DataFrame:
     """``df`` in the column order and types of table ``name``; an absent column is NULL, the
     audit columns are the time of the write."""
@@ -171,7 +179,7 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
                 micro_batch: bool = False, source: str | None = None,
                 offset: str | None = None, replay: bool = False,
                 scd2: dict[str, list[str]] | None = None, effective: _dt.date | None = None,
-                point_keys: tuple[str, ...] = ()) -> Pending:
+                point_keys: tuple[str, ...] = (), distincts: bool = False) -> Pending:
     """Write all tables of a batch as a new attempt that no reader sees yet; the parameters
     are those of ``load_batch``."""
     root = root.rstrip("/")
@@ -274,15 +282,15 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
     if files is not None:
         _write(files.select(*FILE_KEY, "rows"), f"{root}/file_ledger", number, attempt=attempt)
 
-    def mine(table: str) -> DataFrame:
-        return read_or_empty(spark, f"{root}/{table}", schema.full(table)).where(
-            (F.col("batch_id") == number) & (F.col("attempt") == attempt))
-
     # the quarterly pre-aggregate: this batch's partial sums (store attributes attached)
-    written = mine("sales_fact")
+    written = read_attempt(spark, root, "sales_fact", batch)
     stores = own.rows("dim_store").select("store_sk", "store_id", "store_name")
     preagg.apply_batch(written.join(stores, "store_sk"), f"{root}/store_quarterly_sales", number, attempt)
-    counts = {"rows": rows, "facts": written.count(), "rejects": mine("quarantine").count()}
+    if distincts:
+        _write(bitmaps.partials(written, own.rows("dim_customer"), own.rows("dim_product")),
+               f"{root}/{bitmaps.TABLE}", number, cluster_by=("cube",), attempt=attempt)
+    counts = {"rows": rows, "facts": written.count(),
+              "rejects": read_attempt(spark, root, "quarantine", batch).count()}
     drop_path(spark, staging)
     return Pending(batch, counts)
 
@@ -301,7 +309,7 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
                micro_batch: bool = False, source: str | None = None,
                offset: str | None = None, replay: bool = False,
                scd2: dict[str, list[str]] | None = None, effective: _dt.date | None = None,
-               point_keys: tuple[str, ...] = ()) -> dict[str, int]:
+               point_keys: tuple[str, ...] = (), distincts: bool = False) -> dict[str, int]:
     """Load one batch of raw transactions into the star at ``root`` and publish it. Returns
     counters: rows in, facts and rejects written. ``source`` and ``offset`` identify the batch
     (see ``plans.commits``); without them it is a new one, or ``batch_id``, which must be new
@@ -322,7 +330,11 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
 
     ``point_keys``: surrogate keys by which single members' facts are asked for. Fact files are
     sorted by the first (unless by date) and have Bloom filters on all, so a slice of a few
-    members (``WarehouseStar.of_members``) skips the row groups that lack them."""
+    members (``WarehouseStar.of_members``) skips the row groups that lack them.
+
+    ``distincts`` keeps the customers of the cells of five reports as bitmaps
+    (``streaming.distincts``). Reports read them once every published batch has them
+    (``compact --distincts`` makes those of batches loaded without)."""
     return publish(spark, root, write_batch(
         spark, raw, customers, products, root, batch_id, suppliers, holidays, cluster_fact_by_date,
-        micro_batch, source, offset, replay, scd2, effective, point_keys))
+        micro_batch, source, offset, replay, scd2, effective, point_keys, distincts))

@@ -571,6 +571,21 @@ FROM dt JOIN dim_store s USING (store_sk)
 GROUP BY s.store_id, s.store_name, year, quarter"""
 
 
+_CUBES = {"demographics": ("gender", "age_group", "city_category"), "occupation": ("occupation", "product_category"),
+          "stay": ("stay_in_current_city_years", "gender"), "city": ("city_category", "product_category"),
+          "season": ("product_category", "season")}
+
+
+def _cell_sql(cube: str, keys: tuple[str, ...]) -> str:
+    named = [f"CAST({k} AS VARCHAR)" for k in keys] + ["CAST(NULL AS VARCHAR)"] * (3 - len(keys))
+    cols = ", ".join(f"{k} AS k{i + 1}" for i, k in enumerate(named))
+    return (f"SELECT '{cube}' AS cube, {cols}, COUNT(DISTINCT c.customer_sk) AS customers, {MSUM} AS total_sales, "
+            f"{QSUM} AS total_quantity, COUNT(*) AS transaction_count FROM dt JOIN dim_product USING (product_sk) "
+            f"JOIN dim_customer c USING (customer_sk) GROUP BY {', '.join(keys)}")
+
+
+ETL_SQL["mv_customer_bitmaps"] = STAR + "\nUNION ALL ".join(_cell_sql(c, k) for c, k in _CUBES.items())
+
 ETL_SQL["load_failed_batch"] = ETL + """
 , used AS (SELECT r.*, cm.store_id, CAST(CAST(r.quantity AS INTEGER) * CAST(pm.price AS DECIMAL(10,2)) AS DECIMAL(12,2)) AS amount
            FROM raw r JOIN cm ON r.customer_id = cm.customer_id JOIN pm ON r.product_id = pm.product_id),

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import money
 from ..operators import olap
+from ..streaming import distincts
 from .star import Star
 
 DEFAULT_K = 5
@@ -89,6 +90,22 @@ def _merge(df: DataFrame, keys: list[str], *, total: str | None = None,
     return df.groupBy(*keys).agg(*aggs)
 
 
+def _by_customers(star: Star, cube: str) -> DataFrame:
+    """One row per cell of a cube with ``_s``, ``_q``, ``_n`` and the exact number of customers:
+    from the bitmaps that the loads keep where the star has them, else from the fact,
+    reduced to one row per customer (and category and season) before the customer join, so
+    that COUNT(DISTINCT customer) is a COUNT(*)."""
+    kept = star.customer_cube(cube)
+    if kept is not None:
+        return kept
+    keys = distincts.CUBES[cube]
+    of_sale = [k for k in keys if k in distincts.OF_SALE]
+    dims = tuple({"product_category": "product", "season": "time"}[k] for k in of_sale)
+    per = _per_customer(star, dims, of_sale, [k for k in keys if k not in of_sale])
+    return per.groupBy(*keys).agg(F.sum("_s").alias("_s"), F.sum("_q").alias("_q"), F.sum("_n").alias("_n"),
+                                  F.count(F.lit(1)).alias("customers"))
+
+
 # ---------------------------------------------------------------- Q1
 def q01_top_products_daytype(star: Star, k: int = DEFAULT_K) -> DataFrame:
     attrs = ["product_category", "product_id", "price"]
@@ -116,27 +133,22 @@ def q01_top_per_daytype(star: Star, k: int = DEFAULT_K) -> DataFrame:
 
 # ---------------------------------------------------------------- Q2
 def q02_customer_demographics(star: Star) -> DataFrame:
-    """Eager aggregation: the fact is reduced to one row per customer before the
-    customer join, so the join (and its shuffle) is customer-sized, not fact-sized, and
-    COUNT(DISTINCT customer) becomes COUNT(*) over per-customer rows."""
-    per_cust = star.joined().groupBy("customer_sk").agg(
-        F.sum("total_amount").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    cust = star.dim("customer").select("customer_sk", "gender", "age_group", "city_category")
-    j = per_cust.join(cust, "customer_sk")
-    out = j.groupBy("gender", "age_group", "city_category").agg(
-        F.count(F.lit(1)).alias("customer_count"),
-        F.sum("_s").cast(money.SUM_TYPE).alias("total_purchase_amount"),
-        money.exact_avg(F.sum("_s"), F.sum("_n")).alias("avg_purchase_amount"),
-        F.sum("_n").alias("transaction_count"))
+    """The fact is reduced to one row per customer before the customer join, so the join (and
+    its shuffle) is customer-sized, not fact-sized; or nothing but bitmaps is read."""
+    out = _by_customers(star, "demographics").select(
+        "gender", "age_group", "city_category", F.col("customers").alias("customer_count"),
+        F.col("_s").cast(money.SUM_TYPE).alias("total_purchase_amount"),
+        money.exact_avg("_s", "_n").alias("avg_purchase_amount"), F.col("_n").alias("transaction_count"))
     return out.orderBy(F.col("total_purchase_amount").desc(), "gender", "age_group",
                        "city_category")
 
 
 # ---------------------------------------------------------------- Q3
 def q03_category_by_occupation(star: Star) -> DataFrame:
-    j = _per_customer(star, ("product",), ["product_category"], ["occupation"])
-    out = _merge(j, ["occupation", "product_category"], qty="total_quantity",
-                 total="total_sales", avg="avg_sale_value", customers="customer_count")
+    out = _by_customers(star, "occupation").select(
+        "occupation", "product_category", F.col("_q").cast("long").alias("total_quantity"),
+        F.col("_s").cast(money.SUM_TYPE).alias("total_sales"),
+        money.exact_avg("_s", "_n").alias("avg_sale_value"), F.col("customers").alias("customer_count"))
     return out.orderBy(F.col("total_sales").desc(), "occupation", "product_category")
 
 
@@ -175,24 +187,20 @@ def q06_city_marital_monthly(star: Star, as_of=None, months: int = 6) -> DataFra
 
 # ---------------------------------------------------------------- Q7
 def q07_stay_duration_gender(star: Star) -> DataFrame:
-    """Same eager aggregation as Q2 (customer-only attributes)."""
-    per_cust = star.joined().groupBy("customer_sk").agg(
-        F.sum("total_amount").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    cust = star.dim("customer").select(
-        "customer_sk", F.col("stay_in_current_city_years").alias("stay_duration_years"), "gender")
-    out = per_cust.join(cust, "customer_sk").groupBy("stay_duration_years", "gender").agg(
-        F.count(F.lit(1)).alias("customer_count"),
-        money.exact_avg(F.sum("_s"), F.sum("_n")).alias("avg_purchase_amount"),
-        F.sum("_s").cast(money.SUM_TYPE).alias("total_amount"),
-        F.sum("_n").alias("transaction_count"))
+    """Customer-only attributes, as in Q2."""
+    out = _by_customers(star, "stay").select(
+        F.col("stay_in_current_city_years").alias("stay_duration_years"), "gender",
+        F.col("customers").alias("customer_count"), money.exact_avg("_s", "_n").alias("avg_purchase_amount"),
+        F.col("_s").cast(money.SUM_TYPE).alias("total_amount"), F.col("_n").alias("transaction_count"))
     return out.orderBy("stay_duration_years", "gender")
 
 
 # ---------------------------------------------------------------- Q8
 def q08_top_cities_category(star: Star, k: int = DEFAULT_K) -> DataFrame:
-    j = _per_customer(star, ("product",), ["product_category"], ["city_category"])
-    g = _merge(j, ["city_category", "product_category"], total="total_revenue",
-               qty="total_quantity", customers="unique_customers", avg="avg_sale_value")
+    g = _by_customers(star, "city").select(
+        "city_category", "product_category", F.col("_s").cast(money.SUM_TYPE).alias("total_revenue"),
+        F.col("_q").cast("long").alias("total_quantity"), F.col("customers").alias("unique_customers"),
+        money.exact_avg("_s", "_n").alias("avg_sale_value"))
     return olap.top_k(g, k, [F.col("total_revenue").desc(), F.col("total_quantity").desc(),
                              "city_category", "product_category"])
 
@@ -254,10 +262,11 @@ def q13_supplier_contribution(star: Star) -> DataFrame:
 # ---------------------------------------------------------------- Q14
 def q14_seasonal_category(star: Star) -> DataFrame:
     """The customer join (inner, as in the original) meets per-customer partials of each
-    (category, season), not fact lines; distinct customers are then a COUNT(*)."""
-    j = _per_customer(star, ("product", "time"), ["product_category", "season"], [])
-    out = _merge(j, ["product_category", "season"], qty="total_quantity", total="total_sales",
-                 avg="avg_sale_value", customers="unique_customers", count="transaction_count")
+    (category, season), not fact lines."""
+    out = _by_customers(star, "season").select(
+        "product_category", "season", F.col("_q").cast("long").alias("total_quantity"),
+        F.col("_s").cast(money.SUM_TYPE).alias("total_sales"), money.exact_avg("_s", "_n").alias("avg_sale_value"),
+        F.col("customers").alias("unique_customers"), F.col("_n").alias("transaction_count"))
     return out.orderBy("product_category", "season")
 
 

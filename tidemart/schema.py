@@ -64,6 +64,13 @@ STORE_QUARTERLY_SALES = T.StructType([
 # files that a batch has loaded, so that no later one loads them again
 FILE_LEDGER = T.StructType([_f("path", _S), _f("size", _L), _f("modified", _NOW), _f("rows", _L)])
 
+# cells of the cubes of ``streaming.distincts``: attributes that aren't the cube's are null
+CUSTOMER_BITMAPS = T.StructType([
+    _f("cube", _S, False), _f("gender", _S), _f("age_group", _S), _f("city_category", _S), _f("occupation", _I),
+    _f("stay_in_current_city_years", _I), _f("product_category", _S), _f("season", _S), _f("bucket", _L),
+    _f("bits", T.BinaryType()), _f("total_sales", T.DecimalType(22, 2)), _f("total_quantity", _L),
+    _f("transaction_count", _L)])
+
 # every attempt of a batch has a folder of its own in each table (``plans.commits``)
 _RUN = ("batch_id", "attempt")
 TABLES = {
@@ -88,7 +95,7 @@ HISTORIES = {
     "dim_product_history": (_history(DIM_PRODUCT, "product_sk"), _RUN),
 }
 # tables that aren't registered in a catalog
-INTERNAL = {"file_ledger": (FILE_LEDGER, _RUN), **HISTORIES}
+INTERNAL = {"file_ledger": (FILE_LEDGER, _RUN), "customer_bitmaps": (CUSTOMER_BITMAPS, _RUN), **HISTORIES}
 
 
 # Fixed VARCHAR(n) and CHAR(1) lengths of the text columns.

@@ -26,7 +26,7 @@ MasterFn = Callable[[], DataFrame]
 
 def warehouse_batch(spark: SparkSession, root: str, customers: MasterFn, products: MasterFn,
                     suppliers: MasterFn | None = None, schema: T.StructType | None = None,
-                    source: str = "stream") -> Callable[[DataFrame, int], None]:
+                    source: str = "stream", distincts: bool = False) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function: one micro-batch -> one warehouse batch of its files that
     are not loaded yet (none if all are). Rows that carry no file are known by the number
     of the micro-batch alone."""
@@ -37,7 +37,7 @@ def warehouse_batch(spark: SparkSession, root: str, customers: MasterFn, product
             batch, offset = masters.resolved(spark, masters.numbered(batch)), None
         load.load_batch(spark, batch, customers(), products(), root,
                         suppliers=suppliers() if suppliers else None, micro_batch=True,
-                        source=source, offset=offset)
+                        source=source, offset=offset, distincts=distincts)
 
     return process
 
@@ -45,7 +45,7 @@ def warehouse_batch(spark: SparkSession, root: str, customers: MasterFn, product
 def start(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
           checkpoint: str, customers: MasterFn, products: MasterFn,
           suppliers: MasterFn | None = None, max_files_per_trigger: int = 1,
-          available_now: bool = True, processing_time: str | None = None):
+          available_now: bool = True, processing_time: str | None = None, distincts: bool = False):
     """Start the streaming load; ``available_now`` drains what is there and stops,
     otherwise the query keeps running on a ``processing_time`` trigger."""
     stream = masters.stream_transactions(spark, source_dir, schema, max_files_per_trigger)
@@ -55,7 +55,7 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType, root: str,
                             F.count("_corrupt_record").alias("corrupt_rows"))
     writer = (stream.writeStream
               .foreachBatch(warehouse_batch(spark, root, customers, products, suppliers,
-                                            schema, f"files:{source_dir.rstrip('/')}"))
+                                            schema, f"files:{source_dir.rstrip('/')}", distincts))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

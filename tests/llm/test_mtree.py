@@ -1,10 +1,12 @@
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidemart.llm import mtree
 
-SCHEMA = "vec_id long, embedding array<float>, label int, score long"
+SCHEMA = "vec_id long, embedding array<float>, label int, score long, copies int, v string, exact int"
 
 
 def brute(rows, k=10, scale=1024):
@@ -19,7 +21,7 @@ def brute(rows, k=10, scale=1024):
 
 
 def run(spark, rows, **params):
-    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], SCHEMA)
+    df = spark.createDataFrame([(i, v, 1, 2, 3, 'x', 4) for i, v in rows], SCHEMA)
     return sorted(tuple(r) for r in mtree.top_k(df, F.col("id") % 100 == 0, **params).collect())
 
 
@@ -40,6 +42,50 @@ def test_awkward_rows(spark):
     assert run(spark, [(1, [1.0])]) == []
 
 
+def test_repeated_rows_are_candidates_each_and_indexed_once(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(150)]
+    rows += [(7, [9.0, 9.0, 9.0])] * 4 + [(8, [-9.0, -9.0, -9.0])] * 500
+    rows += [(9, [3.0, 0.0, 0.0]), (9, [0.0, 3.0, 0.0])] * 2  # an id of two vectors
+    assert run(spark, rows, block_rows=40, page=4) == brute(rows)
+    ids, vectors = np.array([1, 2]), np.array([[5, 5], [1, 1]])
+    pages = mtree.build(ids, vectors, 50.0, 4, copies=np.array([1000, 1]))
+    assert mtree.search(pages, 50.0, np.array([1, 1]), 5, 3) == [(10, 1)] * 3
+
+
+def test_large_finite_components(spark):
+    def exact(rows, k=10):
+        clip = lambda x: max(-2 ** 63, min(2 ** 63 - 1, x))
+        good = [(i, [clip(math.floor(1024 * float(np.float32(x)))) for x in v]) for i, v in rows]
+        out = []
+        for q, v in good:
+            if q % 100 == 0:
+                best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q)[:k]
+                out += [(q, r, i, clip(-s)) for r, (s, i) in enumerate(best, 1)]
+        return sorted(out)
+
+    rng = np.random.default_rng(6)
+    for size in (5e6, 3e12, 1e17, 3e38):
+        rows = [(i, (rng.normal(size=4) * size / 4).clip(-3e38, 3e38).tolist()) for i in range(201)]
+        rows += [(300 + i, rng.normal(size=4).tolist()) for i in range(30)]
+        assert run(spark, rows, block_rows=60, page=4) == exact(rows), size
+
+
+def test_limbs_compare_like_the_number():
+    numbers = [-2 ** 132, -2 ** 126 - 1, -2 ** 63 - 1, -2 ** 63, -1, 0, 1, 2 ** 63 - 1, 2 ** 63, 2 ** 126, 2 ** 132]
+    assert sorted(numbers, key=mtree.limbs) == numbers
+    assert all(-2 ** 63 <= x < 2 ** 63 for n in numbers for x in mtree.limbs(n))
+
+
+def test_the_registered_query(spark):
+    sf = "/root/testdata/sf0.001"
+    df = mtree.op10_mtree(spark, sf)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema] == [
+        ("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")]
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()]
+    assert sorted(tuple(r) for r in df.collect()) == brute(rows)
+
+
 def test_other_lengths_take_no_part(spark):
     rows = [(0, [1.0, 2.0]), (1, [1.0, 1.0]), (2, [5.0]), (3, [])]
     assert run(spark, rows) == [(0, 1, 1, 3 * 1024 * 1024)]

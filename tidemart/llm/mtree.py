@@ -16,10 +16,16 @@ without a distance when the stored distance to its parent already proves it too
 Scores of opened rows are exact integers, and pruning keeps a margin above rounding, so ties
 are complete. The k best of each block are merged with one window per query.
 
+Equal rows (id and vector) are counted before they are dealt, and indexed once with their
+number, so no block grows with the copies of a row.
+
 Defined results: vectors that are null or hold a null, NaN or infinite component take no
 part, nor do rows without an id; the number of components is the most common one (of
 ties the largest), others take no part; repeated rows are candidates each, and a query's own id
-never is; k candidates or all if fewer; an empty table gives an empty result.
+never is (rows of a query that are equal ask once); k candidates or all if fewer; an empty
+table gives an empty result. Components beyond 64 bits count as the nearest 64-bit number.
+Scores are exact whatever their size and ranked so; one beyond 64 bits is reported as the nearest
+64-bit number.
 """
 
 from __future__ import annotations
@@ -35,31 +41,38 @@ from pyspark.sql import functions as F
 from tidemart.llm.common import table, written
 
 SLACK = 1e-6
+#: From this squared norm on, scores are summed in whole numbers without a limit.
+WIDE = 2.0 ** 62
+LONG_MAX = (1 << 63) - 1
 #: A page as a row of the index: the root has the highest number of its block; a node has
 #: children, a leaf ids and integer vectors.
 PAGES = ("block int, page int, radius double, route binary, to_parent binary, children binary, ids binary, "
-         "rows binary")
+         "rows binary, copies binary")
 
 
 @dataclass
 class Page:
     """A page with its entries' distances to the routing vector. Of a node the entries are
-    pages (by number), of a leaf rows: their ids and integer vectors lie in the page."""
+    pages (by number), of a leaf rows: ids, integer vectors and copies lie in the page."""
     route: np.ndarray
     radius: float
     to_parent: np.ndarray
     children: np.ndarray | None
     ids: np.ndarray | None = None
     rows: np.ndarray | None = None
+    copies: np.ndarray | None = None
 
 
-def build(ids: np.ndarray, rows: np.ndarray, top: float, page: int, seed: int = 1) -> list[Page]:
+def build(ids: np.ndarray, rows: np.ndarray, top: float, page: int, seed: int = 1,
+          copies: np.ndarray | None = None) -> list[Page]:
     """Pages of a tree over integer vectors, the root last. Each level is made of the one
     below: members are dealt to the nearest of some random ones, crowded ones again."""
+    copies = np.ones(len(ids), np.int64) if copies is None else copies
     rng = np.random.default_rng(seed)
     pages: list[Page] = []
-    rest = np.sqrt(top - (rows * rows).sum(axis=1))
-    vectors, radii = np.concatenate([rows, rest[:, None]], axis=1), np.zeros(len(rows))
+    real = rows.astype(np.float64)
+    rest = np.sqrt(np.maximum(top - (real * real).sum(axis=1), 0.0))
+    vectors, radii = np.concatenate([real, rest[:, None]], axis=1), np.zeros(len(rows))
     places = None
     while True:
         made = []
@@ -68,7 +81,7 @@ def build(ids: np.ndarray, rows: np.ndarray, top: float, page: int, seed: int =
             far = np.sqrt(((vectors[group] - route) ** 2).sum(axis=1))
             radius = float((far + radii[group]).max())
             if places is None:
-                pages.append(Page(route, radius, far, None, ids[group], rows[group]))
+                pages.append(Page(route, radius, far, None, ids[group], rows[group], copies[group]))
             else:
                 pages.append(Page(route, radius, far, places[group]))
             made.append(len(pages) - 1)
@@ -115,8 +128,8 @@ def merged_small(groups: list[np.ndarray], page: int) -> list[np.ndarray]:
 
 def search(pages: list[Page], top: float, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
     """The k best (score, id) of a tree for a query vector; ``own``: its id, never found."""
-    base = float(query @ query) + top
     wide = np.append(query.astype(np.float64), 0.0)
+    base = float(wide @ wide) + top
     best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst first
     limit = np.inf  # the k-th best distance so far
     start = float(np.sqrt(((pages[-1].route - wide) ** 2).sum()))
@@ -139,24 +152,33 @@ def search(pages: list[Page], top: float, query: np.ndarray, own: int, k: int) -
                         heapq.heappush(queue, (low, c, d))
             continue
         open_ = np.flatnonzero(gap <= limit)
-        score, named = page.rows[open_] @ query, page.ids[open_]
+        rows, named, copies = page.rows[open_], page.ids[open_], page.copies[open_]
+        # no score exceeds the largest squared norm
+        score = rows @ query if top < WIDE else rows.astype(object) @ query.astype(object)
         keep = named != own
         if len(best) == k:
-            keep &= score >= best[0][0]
-        score, named = score[keep], named[keep]
-        for i in np.lexsort((named, -score))[:k].tolist():
-            found = (int(score[i]), -int(named[i]))
-            if len(best) < k:
-                heapq.heappush(best, found)
-            elif found > best[0]:
-                heapq.heapreplace(best, found)
+            keep &= (score >= best[0][0]).astype(bool)
+        found = zip(score[keep].tolist(), named[keep].tolist(), copies[keep].tolist())
+        for value, number, n in heapq.nsmallest(k, found, key=lambda f: (-f[0], f[1])):
+            for _ in range(min(n, k)):
+                if len(best) < k:
+                    heapq.heappush(best, (value, -number))
+                elif (value, -number) > best[0]:
+                    heapq.heapreplace(best, (value, -number))
         if len(best) == k:
-            limit = margin(base - 2 * best[0][0])
+            limit = margin(base - 2 * float(best[0][0]), top)
     return [(s, -i) for s, i in best]
 
 
-def margin(squared: float) -> float:
-    return float(np.sqrt(max(squared, 0.0)) * (1 + SLACK) + SLACK)
+def margin(squared: float, top: float) -> float:
+    """A distance with room for rounding, which grows with the vectors' length: the last
+    coordinate is a root of a difference of numbers up to ``top``."""
+    return float(np.sqrt(max(squared, 0.0)) * (1 + SLACK) + SLACK * (1 + np.sqrt(top)))
+
+
+def limbs(score: int) -> list[int]:
+    """A whole number as 64-bit ones that compare like it, the first one signed."""
+    return [score >> 126, score >> 63 & LONG_MAX, score & LONG_MAX]
 
 
 def usable(rows: DataFrame, id_: str, vector: str, scale: int) -> DataFrame:
@@ -175,15 +197,16 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: int = 1024, id_: str =
     """query_id, rank, vec_id, score: the k best of all rows for each row that ``is_query``
     (a condition on ``id``) holds for."""
     spark = rows.sparkSession
-    ready = written(spark, usable(rows, id_, vector, scale), "mtree-rows")
-    norm = F.aggregate("v", F.lit(0).cast("long"), lambda a, c: a + c * c)
+    ready = usable(rows, id_, vector, scale).groupBy("id", "v").agg(F.count(F.lit(1)).alias("copies"))
+    ready = written(spark, ready, "mtree-rows")
+    norm = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
     n, top = ready.agg(F.count(F.lit(1)), F.max(norm)).first()
     blocks = max(1, -(-n // block_rows))
 
     def index(key: tuple, members: pa.Table) -> pa.Table:
         ids, vectors = matrix(members, "id", "v")
         order = np.lexsort((*vectors.T[::-1], ids))  # however the rows arrive, the same tree
-        tree = build(ids[order], vectors[order], float(top), page)
+        tree = build(ids[order], vectors[order], float(top), page, copies=members["copies"].to_numpy()[order])
         raw = lambda x, kind: None if x is None else np.ascontiguousarray(x, kind).tobytes()
         return pa.table({
             "block": pa.array([key[0].as_py()] * len(tree), pa.int32()), "page": pa.array(range(len(tree)), pa.int32()),
@@ -191,7 +214,8 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: int = 1024, id_: str =
             "to_parent": [raw(p.to_parent, "<f8") for p in tree],
             "children": pa.array([raw(p.children, "<i8") for p in tree], pa.binary()),
             "ids": pa.array([raw(p.ids, "<i8") for p in tree], pa.binary()),
-            "rows": pa.array([raw(p.rows, "<i8") for p in tree], pa.binary())})
+            "rows": pa.array([raw(p.rows, "<i8") for p in tree], pa.binary()),
+            "copies": pa.array([raw(p.copies, "<i8") for p in tree], pa.binary())})
 
     trees = (ready.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")).groupBy("block")
              .applyInArrow(index, PAGES))
@@ -209,19 +233,17 @@ def top_k(rows: DataFrame, is_query, k: int = 10, scale: int = 1024, id_: str =
         if len(tree) and len(some):
             pages = opened(tree)
             numbers, vectors = matrix(some, "id", "v")
-            seen = {}
             for number, vector_ in zip(numbers.tolist(), vectors):
-                mark = (number, vector_.tobytes())
-                if mark not in seen:
-                    seen[mark] = search(pages, float(top), vector_, number, k)
-                    out += [(number, vector_.tobytes(), i, s) for s, i in seen[mark]]
+                found_ = search(pages, float(top), vector_, number, k)
+                out += [(number, vector_.tobytes(), i, s) for s, i in found_]
         columns = list(zip(*out)) if out else [[], [], [], []]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "query": pa.array(columns[1], pa.binary()),
-                         "vec_id": pa.array(columns[2], pa.int64()), "score": pa.array(columns[3], pa.int64())})
+                         "vec_id": pa.array(columns[2], pa.int64()), "score": pa.array([max(-LONG_MAX - 1, min(x, LONG_MAX)) for x in columns[3]], pa.int64()),
+                         "exact": pa.array([limbs(x) for x in columns[3]], pa.list_(pa.int64()))})
 
     found = dealt.groupBy("block", "batch").cogroup(asked.groupBy("block", "batch")).applyInArrow(
-        find, "query_id long, query binary, vec_id long, score long")
-    by = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
+        find, "query_id long, query binary, vec_id long, score long, exact array<long>")
+    by = Window.partitionBy("query_id", "query").orderBy(F.desc("exact"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
@@ -233,7 +255,8 @@ def opened(table_: pa.Table) -> list[Page]:
         get = lambda name, kind: None if r[name] is None else np.frombuffer(r[name], kind)  # noqa: B023, E731
         ids = get("ids", "<i8")
         rows = None if ids is None else get("rows", "<i8").reshape(len(ids), -1)
-        pages.append(Page(get("route", "<f8"), r["radius"], get("to_parent", "<f8"), get("children", "<i8"), ids, rows))
+        pages.append(Page(get("route", "<f8"), r["radius"], get("to_parent", "<f8"), get("children", "<i8"), ids, rows,
+                          get("copies", "<i8")))
     return pages
 
 

@@ -22,8 +22,10 @@ from tidemart.llm.common import bounded_batches, by_crc, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that importance resampling toward good ones doesn't draw."""
-    return resampling.keep_sampled(docs, table(spark, sf_dir, "labels"))
+    """Drops the documents that importance resampling toward good ones doesn't draw. A filter
+    should keep clean documents, so the temperature is five times that of the operator, which
+    leaves chance only to documents near the cut."""
+    return resampling.keep_sampled(docs, table(spark, sf_dir, "labels"), temperature=50.0)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

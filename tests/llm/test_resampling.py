@@ -55,6 +55,62 @@ def test_gumbel_top_k_draws_in_proportion():
     assert np.abs(first / 4000 - np.array([8, 4, 2, 1, 1]) / 16).max() < 0.03
 
 
+def test_inclusion_rates_are_those_of_successive_draws():
+    """Top 2 of weight plus noise: the chance of being drawn first or second, by formula."""
+    weights = np.array([8.0, 4.0, 2.0, 1.0, 1.0])
+    p = weights / weights.sum()
+    want = p + np.array([sum(p[j] * p[i] / (1 - p[j]) for j in range(5) if j != i) for i in range(5)])
+    drawn, ids = np.zeros(5), pa.array(range(5))
+    for seed in range(6000):
+        model = R.Resampler(np.zeros(R.BUCKETS, np.int64), 10.0, seed, 0.0)
+        drawn[np.argsort(-model.keys(ids, np.log(weights) / 10.0))[:2]] += 1
+    assert np.abs(drawn / 6000 - want).max() < 0.03
+
+
+def test_effective_size(spark):
+    rows = spark.createDataFrame([(np.log(x).item(),) for x in (4.0, 2.0, 1.0, 1.0)], "log_weight double")
+    assert abs(R.effective_size(rows) - 64 / 22) < 1e-9
+    assert R.effective_size(rows.where("log_weight > 9")) == 0
+
+
+def test_the_registered_query_against_brute_force(spark):
+    """Both models, weights, k and the draw, from plain counts of n-grams."""
+    sf = "/root/testdata/sf0.001"
+    df = R.op3_importance_resampling(spark, sf)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema] == [
+        ("doc_id", "bigint"), ("log_weight", "double"), ("gumbel_key", "bigint"), ("kept", "boolean")]
+    got = {r.doc_id: r for r in df.collect()}
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    half = "pmod(xxhash64(doc_id, 12), 2) = 0 AS fits"
+    marks = {r.doc_id: r for r in spark.read.parquet(f"{sf}/labels.parquet").selectExpr("doc_id", "quality", half).collect()
+             if r.quality is not None and r.doc_id in docs}
+    assert got.keys() == docs.keys()
+
+    def grams(text):
+        raw = (text or "").encode()
+        return R.ngrams(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[1]
+
+    of = {i: grams(t) for i, t in docs.items()}
+    raw, target = np.zeros(R.BUCKETS), np.zeros(R.BUCKETS)
+    for i, g in of.items():
+        np.add.at(raw, g, 1)
+        if i in marks and marks[i].quality == 1 and marks[i].fits:
+            np.add.at(target, g, 1)
+    ratio = [np.log((c + 1) / (c.sum() + R.BUCKETS)) for c in (target, raw)]
+    fixed = np.rint((ratio[0] - ratio[1]) * R.FIXED)
+    mean = {i: fixed[g].sum() / R.FIXED / max(len(g), 1) for i, g in of.items()}
+    held = [(mean[i], m.quality) for i, m in marks.items() if not m.fits]
+    cut = R.best_cut(np.array([m for m, _ in held]), np.array([q for _, q in held]), 20.0)
+    ids = np.array(sorted(docs))
+    keys = np.array([mean[i] for i in ids]) * 10.0 + R.gumbel(ids, 11)
+    k = sum(m >= cut for m in mean.values())
+    want = set(ids[np.argsort(-keys)[:k]].tolist())
+    assert {i for i, r in got.items() if r.kept} == want
+    assert all(abs(got[i].log_weight - 10.0 * mean[i]) < 1e-6 for i in docs)
+    good = [i for i, m in marks.items() if m.quality == 1]
+    assert sum(i in want for i in good) >= 0.97 * len(good)
+
+
 def test_kth_largest_against_sorting(spark):
     rng = np.random.default_rng(2)
     keys = [int(x) for x in np.concatenate([rng.integers(0, 1 << 32, 500), np.full(40, 77)])]

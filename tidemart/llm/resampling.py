@@ -13,6 +13,11 @@ replacement in proportion to their weights (Gumbel top-k).
 * k: how many documents score above the cut that best parts the good from the bad rows of
   the sample's other half (a lost good document weighs ``good_cost`` bad ones). Without
   labelled good rows all documents are kept; without bad ones the cut lies below all good.
+* temperature: a mean of log ratios hardly depends on a text's length, so it is scaled. The higher
+  the temperature, the nearer the draw is to a threshold, and the fewer documents carry the
+  weights. 10 leaves an effective sample size ((sum of weights)^2 / sum of squares) of 7,867 of
+  the 10,000 documents of sf0.1 (20: 5,026; 50: 12), while the median bad document there
+  weighs e^-16 of the median good one.
 * the noise is a function of the document's id, weights are fixed-point sums, so a task
   that runs again draws the same.
 
@@ -106,7 +111,7 @@ class Resampler:
         return np.clip(raw, -KEY_RANGE, KEY_RANGE - 1).astype(np.int64) + KEY_RANGE
 
 
-def fit(docs: DataFrame, labels: DataFrame, temperature: float = 50.0, seed: int = 11,
+def fit(docs: DataFrame, labels: DataFrame, temperature: float = 10.0, seed: int = 11,
         sample_rows: int = 8000, good_cost: float = 20.0, smoothing: float = 1.0) -> Resampler:
     """Both models and the cut. ``docs``: doc_id, text; ``labels``: doc_id, quality 0 or 1."""
     def sample(quality: int) -> DataFrame:
@@ -197,6 +202,16 @@ def resample(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     return (weights.withColumn("kept", F.col("gumbel_key") >= threshold(weights)).drop("above"))
 
 
+def effective_size(weights: DataFrame) -> float:
+    """How many equally weighted rows are worth as much as the rows with these log weights."""
+    top = weights.agg(F.max("log_weight")).first()[0]
+    if top is None:
+        return 0.0
+    w = F.exp(F.col("log_weight") - top)
+    total, squares = weights.agg(F.sum(w), F.sum(w * w)).first()
+    return total * total / squares
+
+
 def keep_sampled(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
     """``docs`` without the rejected rows, all columns as they are. Texts are scored again
     in the last pass rather than shuffled to join the verdicts."""

@@ -180,3 +180,26 @@ def test_the_query(spark):
     assert all(r.held_out == (crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
     out = [r for r in rows if r.held_out and truth[r.doc_id] is not None]
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in out]) > 0.97
+
+
+def test_all_rows_train_and_calibrate(spark):
+    """A sample of a row a language is only the start: the result comes from every row, so words
+    that one row in three has beyond it are learned, and the limits hold for all held-out rows."""
+    rng = np.random.default_rng(8)
+    rows = [(i, noise(rng, ("kalomi", "vwxyz", "kalomi")[i % 3]), ("aa", "aa", "bb")[i % 3], "s", 0) for i in range(600)]
+    rows += [(1000 + i, noise(rng, "schein"), "bb", "s", 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, DOCS)
+    small = langid.fit(docs, sample_rows=1, replica_rows=100)
+    p = small.probabilities(pa.array([noise(rng, x) for x in ("vwxyz", "schein") * 30])).argmax(axis=1)
+    assert np.mean(p == [0, 1] * 30) > 0.97
+    grams = np.concatenate([b[0] for b in langid.bags_of(pa.array([noise(rng, x, 300) for x in ("vwxyz", "schein")]))])
+    assert small.seen[grams].mean() > 0.9
+    again = langid.fit(docs.unionByName(docs).repartition(7), sample_rows=1, replica_rows=200)
+    assert again.seen.sum() <= small.seen.sum() and again.languages == ("aa", "bb")
+
+
+def test_weights_do_not_depend_on_how_rows_arrive(spark):
+    docs = corpus(spark)
+    one, two = (langid.fit(docs.repartition(n, F.rand(n)), sample_rows=20, replica_rows=60) for n in (2, 7))
+    assert (one.scores == two.scores).all() and (one.seen == two.seen).all()
+    assert (one.temperature, one.least, one.least_known) == (two.temperature, two.least, two.least_known)

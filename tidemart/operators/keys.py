@@ -112,6 +112,19 @@ def members_in(dim: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return dim.join(rows.select(key).distinct(), key, "left_semi")
 
 
+def fill_keys(rows: DataFrame, fresh: DataFrame, key: str, sk: str, known: str,
+              some_known: bool = True) -> DataFrame:
+    """``sk`` for every row: the column ``known`` where it has a value, else that of its member in
+    ``fresh`` (key, sk). Only rows of new members are joined; with no new member there is no join,
+    and ``some_known`` false says that all are new."""
+    if fresh.isEmpty():
+        return rows.withColumnRenamed(known, sk)
+    if not some_known:
+        return rows.drop(known).join(fresh, key)
+    old = rows.where(F.col(known).isNotNull()).withColumnRenamed(known, sk)
+    return old.unionByName(rows.where(F.col(known).isNull()).drop(known).join(fresh, key))
+
+
 def lookup_keys(rows: DataFrame, dims: Sequence[tuple[DataFrame, str, str]],
                 reduce: bool = False) -> DataFrame:
     """Replace business keys by surrogate keys: for each (dim, key, sk) an inner equi-join

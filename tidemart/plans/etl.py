@@ -386,18 +386,31 @@ def dq_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ streaming
+#: Transactions of one staged file, about: a task writes it.
+FILE_ROWS = 1_000_000
+
+
+def _parts(spark: SparkSession, sf_dir: str, files: int, rows: int = FILE_ROWS) -> int:
+    """Files that each of ``files`` portions of the transactions takes (a look at the footers)."""
+    return max(1, -(-tm.read_table(spark, sf_dir, "lineitem").count() // (files * rows)))
+
+
 def streamed_warehouse(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
     """The whole transaction table staged as CSV files and loaded by the streaming loader,
-    one file per micro-batch (``availableNow``); the root of the star it wrote."""
+    one file per micro-batch, or several where a file would get too long for a task
+    (``availableNow``); the root of the star it wrote."""
     base = scratch_path(spark, "stream")
     src = f"{base}/incoming"
-    masters.write_transactions_csv(tm.raw_transactions(spark, sf_dir), src, files=files)
+    parts = _parts(spark, sf_dir, files)
+    masters.write_transactions_csv(tm.raw_transactions(spark, sf_dir), src, files=files * parts,
+                                   by=("order_id", "line_number"))
     schema = masters.transaction_schema(spark, src)
     sup = lambda: tm.supplier_master(spark, sf_dir).withColumn(
         "supplier_id", F.col("supplier_id").cast("int"))
     q = loader.start(spark, src, schema, f"{base}/warehouse", f"{base}/_checkpoint",
                      customers=lambda: tm.customer_master(spark, sf_dir),
-                     products=lambda: tm.product_master(spark, sf_dir), suppliers=sup)
+                     products=lambda: tm.product_master(spark, sf_dir), suppliers=sup,
+                     max_files_per_trigger=parts)
     q.awaitTermination()
     return f"{base}/warehouse"
 
@@ -417,12 +430,13 @@ def stream_fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three of four files are streamed one by one; then a stream with a new checkpoint takes
     three files at a time, the fourth among them; then a batch loads the whole folder. The fact
-    by business keys: each file once."""
+    by business keys: each file once. A file too long for a task is several, taken together."""
     base = scratch_path(spark, "stream-restart")
     src, root = f"{base}/incoming", f"{base}/warehouse"
     raw = tm.raw_transactions(spark, sf_dir)
     share = F.pmod(F.xxhash64("order_id"), F.lit(4))
-    masters.write_transactions_csv(raw.where(share < 3), src, files=3)
+    parts = _parts(spark, sf_dir, 4)
+    masters.write_transactions_csv(raw.where(share < 3), src, files=3 * parts, by=("order_id", "line_number"))
     schema = masters.transaction_schema(spark, src)
     sup = lambda: tm.supplier_master(spark, sf_dir).withColumn(
         "supplier_id", F.col("supplier_id").cast("int"))
@@ -430,10 +444,10 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def stream(checkpoint: str, files: int) -> None:
         loader.start(spark, src, schema, root, f"{base}/{checkpoint}", customers=customers, products=products,
-                     suppliers=sup, max_files_per_trigger=files).awaitTermination()
+                     suppliers=sup, max_files_per_trigger=files * parts).awaitTermination()
 
     stream("one", 1)
-    masters.write_transactions_csv(raw.where(share == 3), src, files=1, mode="append")
+    masters.write_transactions_csv(raw.where(share == 3), src, files=parts, mode="append", by=("order_id", "line_number"))
     stream("two", 3)
     load.load_batch(spark, masters.read_transactions(spark, src, schema), customers(), products(), root, suppliers=sup(),
                     source="folder")

@@ -130,6 +130,11 @@ def laid_out(df: DataFrame, parts: tuple[str, ...] = (), cluster_by: tuple[str,
     return writer.partitionBy(*parts) if parts else writer
 
 
+def _known(name: str) -> str:
+    """The column of a member's key in the published dimension, null for a new member."""
+    return f"_known_{name}"
+
+
 def _with_dim_attrs(rows: DataFrame) -> DataFrame:
     if "age_group" in rows.columns and "age_numeric" not in rows.columns:
         rows = rows.withColumn("age_numeric",
@@ -211,19 +216,33 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
     batch = commits.begin(spark, root, source, str(offset), wanted=batch_id)
     number, attempt = batch.batch_id, batch.attempt
 
+    # a batch of more rows than members gains nothing from a cut of the masters and dimensions
+    small = micro_batch
+    if micro_batch and files is not None:
+        small = files.agg(F.sum("rows")).first()[0] < customers.count() + products.count()
+    masters = {}
+    for name, master in (("customer", customers), ("product", products)):
+        bk, sk, _ = DIM_SPECS[name]
+        master = cleanse.referenced(master, raw, bk) if small else master
+        known = snap.rows(f"dim_{name}").select(bk, F.col(sk).alias(_known(name)))
+        masters[name] = cleanse.unique(master, bk, keys.members_in(known, master, bk) if small else known)
+
     seen = Observation()
     raw = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
-    classified = cleanse.classify(raw, customers, products, reduce_masters=micro_batch)
+    classified = cleanse.classify(raw, masters["customer"], masters["product"], unique_masters=False)
+    # members' attributes are the masters': they are neither staged nor shuffled with every sale
+    idle = [a for name in masters for a in DIM_SPECS[name][2] if a != "price" and a in masters[name].columns]
     staging = scratch_path(spark, "staging")
     # fixes each row's number and cuts lineage: no lost executor changes what was classified
-    classified.withColumn("_row", F.monotonically_increasing_id()).write.parquet(staging)
+    classified.drop(*idle).withColumn("_row", F.monotonically_increasing_id()).write.parquet(staging)
     staged = spark.read.parquet(staging)
     rows = int(seen.get["rows"])
 
-    good = _with_dim_attrs(cleanse.accepted(staged))
+    good = cleanse.accepted(staged)
     for key in ("store_id", "supplier_id"):
         if key in good.columns:
             good = good.withColumn(key, F.expr(f"try_cast({key} AS INT)"))
+    sold = good
     if suppliers is not None and "supplier_name" not in good.columns:
         good = good.join(suppliers, "supplier_id", "left")
 
@@ -231,12 +250,18 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
     # batch and write separate tables, so they are submitted as concurrent Spark jobs.
     def build_dim(name: str, bk: str, sk: str, attrs: list[str]) -> None:
         table = f"dim_{name}"
-        present = [a for a in attrs if a in good.columns]
-        fresh = keys.new_members(good, snap.rows(table), bk, sk, present, reduce=micro_batch)
+        if name in masters:  # a sale tells only that its member is new
+            new = sold.where(F.col(_known(name)).isNull()).select(bk).distinct()
+            arrivals = _with_dim_attrs(masters[name]).join(new, bk, "left_semi")
+            present = [a for a in attrs if a in arrivals.columns]
+            fresh = keys.new_members(arrivals, None, bk, sk, present, base=keys.max_key(snap.rows(table), sk))
+        else:
+            present = [a for a in attrs if a in good.columns]
+            fresh = keys.new_members(good, snap.rows(table), bk, sk, present, reduce=small)
         _write(conform(fresh, table), f"{root}/{table}", number, attempt=attempt)
 
     def build_time() -> None:
-        dates = good.select("transaction_date").distinct()
+        dates = sold.select("transaction_date").distinct()
         known = keys.members_in(snap.rows("dim_time").select("transaction_date"), dates,
                                 "transaction_date")
         fresh = time_members(dates.join(known, "transaction_date", "left_anti"), holidays)
@@ -261,9 +286,14 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
 
     # facts: business keys -> surrogate keys, with this attempt's own members
     own = snap.with_own(batch)
-    lookups = [(own.rows(f"dim_{name}"), bk, sk)
-               for name, (bk, sk, _) in DIM_SPECS.items() if bk in good.columns]
-    fact = keys.lookup_keys(good, lookups, reduce=micro_batch)
+    fact = good
+    for name in masters:
+        bk, sk, _ = DIM_SPECS[name]
+        fresh = read_attempt(spark, root, f"dim_{name}", batch).select(bk, sk)
+        fact = keys.fill_keys(fact, fresh, bk, sk, _known(name), some_known=bool(snap.members))
+    lookups = [(own.rows(f"dim_{name}"), bk, sk) for name, (bk, sk, _) in DIM_SPECS.items()
+               if name not in masters and bk in good.columns]
+    fact = keys.lookup_keys(fact, lookups, reduce=small)
     fact = (fact.withColumn("_pid", F.shiftright("_row", 33))
             .join(_sales_keys(staged, number), "_pid")
             .withColumn("sales_sk", F.col("_first") + 1

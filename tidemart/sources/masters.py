@@ -217,8 +217,11 @@ def write_product_master_csv(df: DataFrame, path: str) -> None:
     df.select(*cols).write.mode("overwrite").option("header", "true").csv(path)
 
 
-def write_transactions_csv(df: DataFrame, path: str, files: int, mode: str = "overwrite") -> None:
+def write_transactions_csv(df: DataFrame, path: str, files: int, mode: str = "overwrite",
+                           by: Sequence[str] = ()) -> None:
+    """Transaction files in the source layout; rows are dealt to ``files`` files in turn, or by the
+    columns ``by``, which sorts nothing."""
     inv = {v: k for k, v in TRANSACTION_FIELDS.items()}
     cols = [F.col(c).alias(inv.get(c, c)) for c in df.columns]
-    (df.select(*cols).repartition(files).write.mode(mode)
+    (df.repartition(files, *by).select(*cols).write.mode(mode)
      .option("header", "true").csv(path))

@@ -6,10 +6,10 @@ are merged with OR, their bits counted on read; sums and counts are added up bes
 cell is one combination of the attributes of a *cube* (``CUBES``); members never change, so
 the cell of a sale never does either.
 
-Plan of ``partials``: the fact is summed per customer, category and season first; a row for each
-cube is then exchanged by cell and bucket, and the bitmaps are built behind that exchange. A
-group holds at most 32,768 customers however many sales they have, and no bitmap of a few bits
-is shuffled. A read merges one bitmap a batch, cell and bucket; compaction merges them for good.
+Plan of ``partials``: the fact is summed per customer, category and season first; these sums are
+exchanged by bucket, become a row for each cube behind that exchange, and the bitmaps are built
+there, too. A task holds 32,768 customers a bucket however many sales they have, and neither the
+rows of five cubes nor a bitmap of a few bits is shuffled. A read merges one bitmap a batch, cell and bucket; compaction merges them for good.
 """
 
 from __future__ import annotations
@@ -40,8 +40,11 @@ def partials(fact: DataFrame, customers: DataFrame, products: DataFrame) -> Data
     """Bitmaps and sums of all cubes for fact rows (``customer_sk``, ``product_sk``,
     ``transaction_date`` and measures) and their members."""
     of_customer = [a for a in ATTRS if a not in OF_SALE]
+    # one exchange by customer serves the sums and the join behind them
     per = (fact.join(products.select("product_sk", "product_category"), "product_sk")
-           .groupBy("customer_sk", "product_category", cal.season("transaction_date").alias("season"))
+           .select("customer_sk", "product_category", cal.season("transaction_date").alias("season"),
+                   "total_amount", "quantity")
+           .repartition("customer_sk").groupBy("customer_sk", "product_category", "season")
            .agg(F.sum("total_amount").alias("_s"), F.sum("quantity").alias("_q"), F.count(F.lit(1)).alias("_n"))
            .join(customers.select("customer_sk", *of_customer), "customer_sk"))
     types = {f.name: f.dataType for f in schema.CUSTOMER_BITMAPS.fields}
@@ -49,10 +52,10 @@ def partials(fact: DataFrame, customers: DataFrame, products: DataFrame) -> Data
         (F.col(a) if a in keys else F.lit(None)).cast(types[a]).alias(a) for a in ATTRS])
         for cube, keys in CUBES.items()]
     keys = ["cube", *ATTRS, "bucket"]
-    return (per.withColumn("_cell", F.explode(F.array(*cells)))
-            .select("_cell.*", F.bitmap_bucket_number("customer_sk").alias("bucket"),
-                    F.bitmap_bit_position("customer_sk").alias("_bit"), "_s", "_q", "_n")
-            .repartition(*keys).groupBy(*keys)
+    dealt = per.withColumn("bucket", F.bitmap_bucket_number("customer_sk")).repartition("bucket")
+    return (dealt.withColumn("_cell", F.explode(F.array(*cells)))
+            .select("_cell.*", "bucket", F.bitmap_bit_position("customer_sk").alias("_bit"), "_s", "_q", "_n")
+            .groupBy(*keys)
             .agg(F.bitmap_construct_agg("_bit").alias("bits"), *_sums("_s", "_q", "_n")))
 
 

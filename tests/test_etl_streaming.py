@@ -292,3 +292,22 @@ def test_header_with_byte_order_mark(spark, tmp_dir):
     raw = masters.read_transactions(spark, src)
     got = {r["order_id"]: r["reject_reason"] for r in cleanse.classify(raw, cust, prod).collect()}
     assert got == {"O1": "ok"}
+
+
+def test_only_new_members_are_joined_for_their_keys(spark):
+    """Sales of published members bring their key along; no new member, no join."""
+    from tidemart.operators import keys
+    rows = spark.createDataFrame([("a", 1), ("b", None), ("b", None), ("c", 3)], "customer_id string, _known long")
+    new = spark.createDataFrame([("b", 9)], "customer_id string, customer_sk long")
+    got = keys.fill_keys(rows, new, "customer_id", "customer_sk", "_known")
+    assert sorted(map(tuple, got.select("customer_id", "customer_sk").collect())) == [("a", 1), ("b", 9), ("b", 9), ("c", 3)]
+    none = keys.fill_keys(rows, new.where("false"), "customer_id", "customer_sk", "_known")
+    assert "Join" not in none._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_long_transaction_file_is_several(spark):
+    """A task writes about so many rows at most, whatever the number of micro-batches."""
+    from tidemart.plans import etl
+    n = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").count()
+    assert etl._parts(spark, "/root/testdata/sf0.001", 4, n) == 1
+    assert etl._parts(spark, "/root/testdata/sf0.001", 4, 100) == -(-n // 400)

@@ -60,13 +60,36 @@ def _per_product(star: Star, keys: list[str], attrs: list[str], period=None) ->
     return per.join(star.dim("product").select("product_sk", *attrs), "product_sk")
 
 
+#: Rows that a task is to sum at once, about, where sums are nearly as many as rows.
+TASK_ROWS = 1_000_000
+
+
+def _dealt(star: Star, df: DataFrame, *by: str) -> DataFrame:
+    """``df`` dealt to tasks by its group keys, more of them the more sales there are, where the
+    session's shuffle partitions would get over ``TASK_ROWS`` each: behind it a task's sums are
+    bounded, and the task before it, which may sort for a join, holds none."""
+    tasks = _tasks(star, df)
+    return df.repartition(tasks, *by) if tasks else df
+
+
+def _ordered(star: Star, df: DataFrame, *by: F.Column) -> DataFrame:
+    """``df`` in a total order, by more tasks where ``_dealt`` takes more."""
+    tasks = _tasks(star, df)
+    return df.repartitionByRange(tasks, *by).sortWithinPartitions(*by) if tasks else df.orderBy(*by)
+
+
+def _tasks(star: Star, df: DataFrame) -> int:
+    tasks = -(-star.sales() // TASK_ROWS)
+    return tasks if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else 0
+
+
 def _per_keys(star: Star, keys: list[str]) -> DataFrame:
     """The fact summed to its surrogate keys (and the sale year if asked for), before any
     dimension joins it."""
     fact = star.fact()
     if "year" in keys:
         fact = fact.withColumn("year", F.year("transaction_date"))
-    return fact.groupBy(*keys).agg(
+    return _dealt(star, fact, *keys).groupBy(*keys).agg(
         F.sum("total_amount").alias("_s"), F.sum("quantity").alias("_q"),
         F.count(F.lit(1)).alias("_n"))
 
@@ -253,10 +276,11 @@ def q13_supplier_contribution(star: Star) -> DataFrame:
                   "product_sk")
          .join(star.dim("supplier").select("supplier_sk", "supplier_name"), "supplier_sk")
          .join(star.dim("store").select("store_sk", "store_name"), "store_sk"))
-    out = _merge(j, ["store_name", "supplier_name", "product_id", "product_category"],
+    names = ["store_name", "supplier_name", "product_id", "product_category"]
+    out = _merge(_dealt(star, j, *names), names,
                  qty="total_quantity", total="total_sales", avg="avg_sale_value",
                  count="transaction_count")
-    return out.orderBy("store_name", "supplier_name", "product_id", "product_category")
+    return _ordered(star, out, *[F.col(n) for n in names])
 
 
 # ---------------------------------------------------------------- Q14

@@ -163,6 +163,9 @@ class TestTableStar(Star):
         df = self._lines(self._orders(period, None, store=True), with_category=False)
         return df.withColumn("date_sk", cal.date_sk("transaction_date")).select(*FACT_COLS)
 
+    def sales(self) -> int:
+        return self.t("lineitem").count()
+
     def joined(self, *dims: str, period: Period | None = None) -> DataFrame:
         want = set(dims)
         unknown = want - {"customer", "product", "store", "supplier", "time"}

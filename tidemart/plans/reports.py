@@ -68,19 +68,19 @@ def _dealt(star: Star, df: DataFrame, *by: str) -> DataFrame:
     """``df`` dealt to tasks by its group keys, more of them the more sales there are, where the
     session's shuffle partitions would get over ``TASK_ROWS`` each: behind it a task's sums are
     bounded, and the task before it, which may sort for a join, holds none."""
-    tasks = _tasks(star, df)
+    tasks = _tasks(star)
     return df.repartition(tasks, *by) if tasks else df
 
 
 def _ordered(star: Star, df: DataFrame, *by: F.Column) -> DataFrame:
     """``df`` in a total order, by more tasks where ``_dealt`` takes more."""
-    tasks = _tasks(star, df)
+    tasks = _tasks(star)
     return df.repartitionByRange(tasks, *by).sortWithinPartitions(*by) if tasks else df.orderBy(*by)
 
 
-def _tasks(star: Star, df: DataFrame) -> int:
+def _tasks(star: Star) -> int:
     tasks = -(-star.sales() // TASK_ROWS)
-    return tasks if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else 0
+    return tasks if tasks > int(star.spark.conf.get("spark.sql.shuffle.partitions")) else 0
 
 
 def _per_keys(star: Star, keys: list[str]) -> DataFrame:
@@ -341,20 +341,21 @@ def q16_product_affinity(star: Star, k: int = DEFAULT_K) -> DataFrame:
 def q17_revenue_rollup(star: Star) -> DataFrame:
     """The category is looked up first (a sale has its own product nearly always, so sums by
     product would hardly shrink the fact), then one sum by (store, supplier, category, year);
-    names are joined to those sums, and each level of the rollup comes from the one below."""
-    fact = star.fact().select("store_sk", "supplier_sk", "product_sk", F.year("transaction_date").alias("year"), "total_amount")
-    fine = (fact.join(star.dim("product").select("product_sk", "product_category"), "product_sk")
-            .groupBy("store_sk", "supplier_sk", "product_category", "year")
-            .agg(F.sum("total_amount").alias("_s"), F.count(F.lit(1)).alias("_n")))
+    names are joined to those sums, and each level of the rollup comes from the one below. Joins
+    and sums are dealt to more tasks as sales grow: no task sorts and sums more than a share."""
+    fact = star.fact(tasks=_tasks(star)).select("store_sk", "supplier_sk", "product_sk",
+                                                F.year("transaction_date").alias("year"), "total_amount")
+    keys = ["store_sk", "supplier_sk", "product_category", "year"]
+    sales = _dealt(star, fact, "product_sk").join(
+        _dealt(star, star.dim("product").select("product_sk", "product_category"), "product_sk"), "product_sk")
+    fine = _dealt(star, sales, *keys).groupBy(*keys).agg(F.sum("total_amount").alias("_s"), F.count(F.lit(1)).alias("_n"))
     named = (fine.join(star.dim("supplier").select("supplier_sk", "supplier_name"), "supplier_sk")
              .join(star.dim("store").select("store_sk", "store_name"), "store_sk"))
-    out = olap.rollup_report(named, ["store_name", "supplier_name", "product_category", "year"],
+    names = ["store_name", "supplier_name", "product_category", "year"]
+    out = olap.rollup_report(_dealt(star, named, *names), names,
                              {"total_revenue": ("_s", "sum_money"),
                               "transaction_count": ("_n", "sum")})
-    return out.orderBy(F.col("store_name").asc_nulls_first(),
-                       F.col("supplier_name").asc_nulls_first(),
-                       F.col("product_category").asc_nulls_first(),
-                       F.col("year").asc_nulls_first())
+    return _ordered(star, out, *[F.col(n).asc_nulls_first() for n in names])
 
 
 # ---------------------------------------------------------------- Q18

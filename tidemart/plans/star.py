@@ -60,7 +60,8 @@ def time_attributes(df: DataFrame, date_col: str = "transaction_date") -> DataFr
 class Star:
     spark: SparkSession
 
-    def fact(self, period: Period | None = None) -> DataFrame:
+    def fact(self, period: Period | None = None, tasks: int = 0) -> DataFrame:
+        """All facts. ``tasks``: where they come from a join, it deals them to that many tasks."""
         raise NotImplementedError
 
     def dim(self, name: str) -> DataFrame:
@@ -126,7 +127,7 @@ class WarehouseStar(Star):
     def _read(self, name: str) -> DataFrame:
         return self.snapshot().rows(name)
 
-    def fact(self, period: Period | None = None) -> DataFrame:
+    def fact(self, period: Period | None = None, tasks: int = 0) -> DataFrame:
         f = self._read("sales_fact")
         if period is not None:
             start, end = period

@@ -135,8 +135,10 @@ class TestTableStar(Star):
             cust = cust.join(s, cust.c_nationkey == s.n_nationkey).drop("n_nationkey")
         return o.join(cust.drop("c_nationkey"), "customer_sk")
 
-    def _lines(self, orders: DataFrame, with_category: bool) -> DataFrame:
+    def _lines(self, orders: DataFrame, with_category: bool, tasks: int = 0) -> DataFrame:
         li = self.t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+        if tasks:
+            li, orders = li.repartition(tasks, "l_orderkey"), orders.repartition(tasks, "o_orderkey")
         p_cols = ["p_partkey", "p_retailprice"] + (["p_type"] if with_category else [])
         p = self.t("part").select(*p_cols)
         j = (li.join(orders, li.l_orderkey == orders.o_orderkey)
@@ -159,8 +161,8 @@ class TestTableStar(Star):
                      unit.alias("price")]
         return j.select(*cols)
 
-    def fact(self, period: Period | None = None) -> DataFrame:
-        df = self._lines(self._orders(period, None, store=True), with_category=False)
+    def fact(self, period: Period | None = None, tasks: int = 0) -> DataFrame:
+        df = self._lines(self._orders(period, None, store=True), with_category=False, tasks=tasks)
         return df.withColumn("date_sk", cal.date_sk("transaction_date")).select(*FACT_COLS)
 
     def sales(self) -> int:
@@ -183,13 +185,20 @@ class TestTableStar(Star):
         return df
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_transactions(spark: SparkSession, sf_dir: str, tasks: int | None = None) -> DataFrame:
     """Sales transactions as the source system would send them: text keys, one row per
-    line (order_id, customer_id, product_id, supplier_id, quantity, date)."""
+    line (order_id, customer_id, product_id, supplier_id, quantity, date). ``tasks``: lines are
+    dealt to that many tasks by their order, in the exchange of the join with the orders (which
+    has the session's shuffle partitions at least, so several of them may be one task's)."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
                                                    "l_linenumber", "l_quantity")
     o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    return li.join(o, li.l_orderkey == o.o_orderkey).select(
+    if tasks:
+        li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
+    lines = li.join(o, li.l_orderkey == o.o_orderkey)
+    if tasks:
+        lines = lines.coalesce(tasks)
+    return lines.select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
         F.col("o_custkey").cast("string").alias("customer_id"),

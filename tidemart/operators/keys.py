@@ -49,9 +49,10 @@ def dense_keys(df: DataFrame, key: str, sk: str, base: int = 0,
 
 
 def first_writer(rows: DataFrame, key: str, attrs: Sequence[str],
-                 order: str | None = None) -> DataFrame:
+                 order: str | None = None, master: bool = False) -> DataFrame:
     """One attribute set per business key: the earliest by ``order`` (first writer wins),
-    or the smallest attribute tuple when no arrival order exists (deterministic)."""
+    or the smallest attribute tuple when no arrival order exists (deterministic). ``master``:
+    a key has one row nearly always, so there is one exchange, by the key."""
     if not attrs:
         return rows.select(key).where(F.col(key).isNotNull()).distinct()
     packed = F.struct(*[F.col(a) for a in attrs])
@@ -62,7 +63,8 @@ def first_writer(rows: DataFrame, key: str, attrs: Sequence[str],
         # hash-based distinct first (partial aggregation on the map side collapses the
         # fact-sized input to its distinct attribute sets); only that small set meets the
         # sort-based min over a struct
-        rows = rows.select(key, *attrs).distinct()
+        if not master:
+            rows = rows.select(key, *attrs).distinct()
         agg = F.min(packed).alias("_a")
     return (rows.groupBy(key).agg(agg)
             .select(key, *[F.col(f"_a.{a}").alias(a) for a in attrs]))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..operators import cleanse, keys, quality, scd2
-from ..session import scratch_path
+from ..session import TASK_ROWS, scratch_path
 from ..sources import masters
 from ..sources import testmap as tm
 from ..streaming import distincts, loader, preagg
@@ -213,10 +213,20 @@ def fact_sales_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def business_fact(spark: SparkSession, root: str) -> DataFrame:
-    """The written star's fact with business keys in place of surrogate keys."""
-    fact = load.read(spark, root, "sales_fact")
-    for name, (bk, sk, attrs) in load.DIM_SPECS.items():
-        fact = fact.join(load.read(spark, root, f"dim_{name}").select(sk, bk, *attrs), sk)
+    """The written star's fact with business keys in place of surrogate keys. Where the session's
+    shuffle partitions would get over ``TASK_ROWS`` sales each, the fact is dealt to more tasks for
+    the two large dimensions: sorts that don't fit in memory are spilled."""
+    snap = commits.snapshot(spark, root)
+    fact = snap.rows("sales_fact")
+    tasks = -(-(commits.published_facts(snap) or 0) // TASK_ROWS)
+    dealt = tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # products first: the load leaves the sales of one near each other
+    for name in ("product", "customer", "store", "supplier"):
+        bk, sk, attrs = load.DIM_SPECS[name]
+        dim = snap.rows(f"dim_{name}").select(sk, bk, *attrs)
+        if dealt and name in ("customer", "product"):
+            fact, dim = fact.repartition(tasks, sk), dim.repartition(tasks, sk)
+        fact = fact.join(dim, sk)
     return fact
 
 
@@ -284,7 +294,8 @@ def load_failed_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = tm.supplier_master(spark, sf_dir).withColumn("supplier_id", F.col("supplier_id").cast("int"))
     raw = tm.raw_transactions(spark, sf_dir)
     order = F.col("order_id").cast("long")
-    args = dict(customers=customers, products=products, root=root, suppliers=sup, source="s")
+    args = dict(customers=customers, products=products, root=root, suppliers=sup, source="s",
+                rows=tm.read_table(spark, sf_dir, "lineitem").count() // 2)
     load.load_batch(spark, raw.where(order % 2 == 0), offset="0", **args)
     load.write_batch(spark, raw.where(order % 2 == 1), offset="1", **args)  # and no publish
     failed = _state(spark, root, "failed")
@@ -402,8 +413,7 @@ def streamed_warehouse(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
     base = scratch_path(spark, "stream")
     src = f"{base}/incoming"
     parts = _parts(spark, sf_dir, files)
-    masters.write_transactions_csv(tm.raw_transactions(spark, sf_dir), src, files=files * parts,
-                                   by=("order_id", "line_number"))
+    masters.write_transactions_csv(tm.raw_transactions(spark, sf_dir, tasks=files * parts), src)
     schema = masters.transaction_schema(spark, src)
     sup = lambda: tm.supplier_master(spark, sf_dir).withColumn(
         "supplier_id", F.col("supplier_id").cast("int"))
@@ -433,10 +443,9 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     by business keys: each file once. A file too long for a task is several, taken together."""
     base = scratch_path(spark, "stream-restart")
     src, root = f"{base}/incoming", f"{base}/warehouse"
-    raw = tm.raw_transactions(spark, sf_dir)
     share = F.pmod(F.xxhash64("order_id"), F.lit(4))
     parts = _parts(spark, sf_dir, 4)
-    masters.write_transactions_csv(raw.where(share < 3), src, files=3 * parts, by=("order_id", "line_number"))
+    masters.write_transactions_csv(tm.raw_transactions(spark, sf_dir, tasks=3 * parts).where(share < 3), src)
     schema = masters.transaction_schema(spark, src)
     sup = lambda: tm.supplier_master(spark, sf_dir).withColumn(
         "supplier_id", F.col("supplier_id").cast("int"))
@@ -447,7 +456,7 @@ def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
                      suppliers=sup, max_files_per_trigger=files * parts).awaitTermination()
 
     stream("one", 1)
-    masters.write_transactions_csv(raw.where(share == 3), src, files=parts, mode="append", by=("order_id", "line_number"))
+    masters.write_transactions_csv(tm.raw_transactions(spark, sf_dir, tasks=parts).where(share == 3), src, mode="append")
     stream("two", 3)
     load.load_batch(spark, masters.read_transactions(spark, src, schema), customers(), products(), root, suppliers=sup(),
                     source="folder")

@@ -43,7 +43,7 @@ from .. import schema
 from ..functions import calendar as cal
 from ..operators import cleanse, keys
 from ..operators import scd2 as history
-from ..session import drop_path, read_or_empty, scratch_path, stored
+from ..session import drop_path, read_or_empty, scratch_path, sized_exchanges, stored
 from ..streaming import distincts as bitmaps
 from ..streaming import preagg
 from . import commits
@@ -63,6 +63,9 @@ SALES_SK_SPAN = 1 << 40
 
 
 FILE_KEY = ["path", "size", "modified"]
+# From so many sales on a batch's facts are written by the tasks that have them, each into every
+# year: an exchange by year would then cost more than it saves in files.
+UNDEALT_ROWS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -100,7 +103,7 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...] = (),
            cluster_by: tuple[str, ...] = (), attempt: int | None = None,
-           bloom: tuple[str, ...] = ()) -> None:
+           bloom: tuple[str, ...] = (), deal: bool = True) -> None:
     """Write the folder of batch ``batch_id``, or of an attempt of it, as a whole. ``cluster_by``
     sorts rows inside each task after the partition columns - the writer needs that
     order anyway - so Parquet row groups get tight min/max statistics on those columns.
@@ -108,18 +111,19 @@ def _write(df: DataFrame, path: str, batch_id: int, extra_parts: tuple[str, ...]
     With partition columns (the fact's ``sale_year``) the rows are rebalanced on them
     first: each task then writes one partition folder instead of every task writing
     into every year (tasks x years small files), and AQE sizes the output tasks to the
-    advisory partition size, splitting a hot year over several tasks."""
-    laid_out(df, extra_parts, cluster_by, bloom).parquet(
+    advisory partition size, splitting a hot year over several tasks. Without ``deal`` each
+    task writes the rows that it has."""
+    laid_out(df, extra_parts, cluster_by, bloom, deal).parquet(
         f"{path}/batch_id={batch_id}" + ("" if attempt is None else f"/attempt={attempt}"))
 
 
 def laid_out(df: DataFrame, parts: tuple[str, ...] = (), cluster_by: tuple[str, ...] = (),
-             bloom: tuple[str, ...] = ()) -> DataFrameWriter:
+             bloom: tuple[str, ...] = (), deal: bool = True) -> DataFrameWriter:
     """A writer of ``df`` in folders of ``parts``, files sorted by ``cluster_by``, with Parquet Bloom
     filters on ``bloom``. A filter is as large as its row group's distinct values need (the
     adaptive form keeps the smallest that fits); a row group whose values are all in a
     dictionary has none, and the dictionary serves the same end."""
-    if parts:
+    if parts and deal:
         df = df.hint("rebalance", *parts)
     if cluster_by:
         df = df.sortWithinPartitions(*parts, *cluster_by)
@@ -127,7 +131,7 @@ def laid_out(df: DataFrame, parts: tuple[str, ...] = (), cluster_by: tuple[str,
     for name in bloom:
         writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true") \
             .option(f"parquet.bloom.filter.adaptive.enabled#{name}", "true")
-    return writer.partitionBy(*parts) if parts else writer
+    return writer.partitionBy(*parts).option("compression", "zstd") if parts else writer
 
 
 def _known(name: str) -> str:
@@ -184,7 +188,7 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
                 micro_batch: bool = False, source: str | None = None,
                 offset: str | None = None, replay: bool = False,
                 scd2: dict[str, list[str]] | None = None, effective: _dt.date | None = None,
-                point_keys: tuple[str, ...] = (), distincts: bool = False) -> Pending:
+                point_keys: tuple[str, ...] = (), distincts: bool = False, rows: int | None = None) -> Pending:
     """Write all tables of a batch as a new attempt that no reader sees yet; the parameters
     are those of ``load_batch``."""
     root = root.rstrip("/")
@@ -208,6 +212,7 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
             return Pending(None, {"rows": 0, "facts": 0, "rejects": 0})
         offset = digest if offset is None else offset
         raw = raw.drop("_file")
+        rows = files.agg(F.sum("rows")).first()[0]
     if source is None:
         source, offset = "manual", str(uuid.uuid4() if batch_id is None else batch_id)
         if batch_id is not None and not replay and not commits.log(spark, root).where(
@@ -219,7 +224,7 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
     # a batch of more rows than members gains nothing from a cut of the masters and dimensions
     small = micro_batch
     if micro_batch and files is not None:
-        small = files.agg(F.sum("rows")).first()[0] < customers.count() + products.count()
+        small = rows < customers.count() + products.count()
     masters = {}
     for name, master in (("customer", customers), ("product", products)):
         bk, sk, _ = DIM_SPECS[name]
@@ -234,7 +239,9 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
     idle = [a for name in masters for a in DIM_SPECS[name][2] if a != "price" and a in masters[name].columns]
     staging = scratch_path(spark, "staging")
     # fixes each row's number and cuts lineage: no lost executor changes what was classified
-    classified.drop(*idle).withColumn("_row", F.monotonically_increasing_id()).write.parquet(staging)
+    numbered = classified.drop(*idle).withColumn("_row", F.monotonically_increasing_id())
+    with sized_exchanges(spark, rows):
+        numbered.write.option("compression", "zstd").parquet(staging)
     staged = spark.read.parquet(staging)
     rows = int(seen.get["rows"])
 
@@ -252,7 +259,7 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
         table = f"dim_{name}"
         if name in masters:  # a sale tells only that its member is new
             new = sold.where(F.col(_known(name)).isNull()).select(bk).distinct()
-            arrivals = _with_dim_attrs(masters[name]).join(new, bk, "left_semi")
+            arrivals = stored(spark, _with_dim_attrs(masters[name]).join(new, bk, "left_semi"), "arrivals")
             present = [a for a in attrs if a in arrivals.columns]
             fresh = keys.new_members(arrivals, None, bk, sk, present, base=keys.max_key(snap.rows(table), sk))
         else:
@@ -280,14 +287,14 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
     tasks = [(build_dim, (name, bk, sk, attrs)) for name, (bk, sk, attrs) in DIM_SPECS.items()
              if bk in good.columns] + [(build_time, ())]
     tasks += [(build_history, (name, tracked)) for name, tracked in (scd2 or {}).items()]
-    with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+    with sized_exchanges(spark, rows), ThreadPoolExecutor(max_workers=len(tasks)) as pool:
         for fut in [pool.submit(fn, *args) for fn, args in tasks]:
             fut.result()
 
     # facts: business keys -> surrogate keys, with this attempt's own members
     own = snap.with_own(batch)
     fact = good
-    for name in masters:
+    for name in ("product", "customer"):  # the staged sales of a product are near each other
         bk, sk, _ = DIM_SPECS[name]
         fresh = read_attempt(spark, root, f"dim_{name}", batch).select(bk, sk)
         fact = keys.fill_keys(fact, fresh, bk, sk, _known(name), some_known=bool(snap.members))
@@ -295,16 +302,16 @@ def write_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produ
                if name not in masters and bk in good.columns]
     fact = keys.lookup_keys(fact, lookups, reduce=small)
     fact = (fact.withColumn("_pid", F.shiftright("_row", 33))
-            .join(_sales_keys(staged, number), "_pid")
+            .join(F.broadcast(_sales_keys(staged, number)), "_pid")  # a row per staging task
             .withColumn("sales_sk", F.col("_first") + 1
                         + F.col("_row").bitwiseAND(F.lit((1 << 33) - 1)))
             .withColumn("date_sk", cal.date_sk("transaction_date"))
             .withColumn("sale_year", F.year("transaction_date")))
     # the fact and the quarantine read only the staged batch: two concurrent jobs
-    with ThreadPoolExecutor(max_workers=2) as pool:
+    with sized_exchanges(spark, rows), ThreadPoolExecutor(max_workers=2) as pool:
         jobs = [pool.submit(_write, conform(fact, "sales_fact"), f"{root}/sales_fact", number,
                             ("sale_year",), ("transaction_date",) if cluster_fact_by_date else point_keys[:1],
-                            attempt, point_keys),
+                            attempt, point_keys, rows < UNDEALT_ROWS),
                 pool.submit(_write, conform(cleanse.rejected(staged, raw.columns), "quarantine"),
                             f"{root}/quarantine", number, (), (), attempt)]
         for job in jobs:
@@ -339,7 +346,7 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
                micro_batch: bool = False, source: str | None = None,
                offset: str | None = None, replay: bool = False,
                scd2: dict[str, list[str]] | None = None, effective: _dt.date | None = None,
-               point_keys: tuple[str, ...] = (), distincts: bool = False) -> dict[str, int]:
+               point_keys: tuple[str, ...] = (), distincts: bool = False, rows: int | None = None) -> dict[str, int]:
     """Load one batch of raw transactions into the star at ``root`` and publish it. Returns
     counters: rows in, facts and rejects written. ``source`` and ``offset`` identify the batch
     (see ``plans.commits``); without them it is a new one, or ``batch_id``, which must be new
@@ -364,7 +371,10 @@ def load_batch(spark: SparkSession, raw: DataFrame, customers: DataFrame, produc
 
     ``distincts`` keeps the customers of the cells of five reports as bitmaps
     (``streaming.distincts``). Reports read them once every published batch has them
-    (``compact --distincts`` makes those of batches loaded without)."""
+    (``compact --distincts`` makes those of batches loaded without).
+
+    ``rows``: transactions, about, if the caller knows; exchanges are sized by it (transactions
+    with their file are counted)."""
     return publish(spark, root, write_batch(
         spark, raw, customers, products, root, batch_id, suppliers, holidays, cluster_fact_by_date,
-        micro_batch, source, offset, replay, scd2, effective, point_keys, distincts))
+        micro_batch, source, offset, replay, scd2, effective, point_keys, distincts, rows))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +80,27 @@ def sized_conf(input_bytes: int, executor_cores_total: int,
     }
 
 
+#: Rows of one task of an exchange, about.
+TASK_ROWS = 1_000_000
+
+
+@contextmanager
+def sized_exchanges(spark: SparkSession, rows: int | None) -> Iterator[None]:
+    """Within it, the session's exchanges have a task per ``TASK_ROWS`` of ``rows`` where its shuffle
+    partitions would get more each (and sort more than fits in memory). Adaptive execution still
+    coalesces and splits them, which a fixed ``repartition`` would prevent."""
+    name = "spark.sql.shuffle.partitions"
+    before, tasks = spark.conf.get(name), -(-(rows or 0) // TASK_ROWS)
+    if tasks <= int(before):
+        yield
+        return
+    spark.conf.set(name, str(tasks))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The Parquet table at ``path`` in ``schema``; without rows if nothing was written."""
     if not path_exists(spark, path):
@@ -90,11 +113,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def stored(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
+def stored(spark: SparkSession, df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read again: a join then has a plain exchange
     on this side, which lets adaptive execution split a skewed key."""
     path = scratch_path(spark, tag)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -172,7 +172,7 @@ def resolved(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Transactions of files that were read with their headers: rows are written once to the
     shared folder; each file's first line (the first row of the block that starts at 0) is
     dropped and tells ``_bad_header`` for all rows of the file; ``_file`` names the file."""
-    staged = stored(spark, rows, "transactions")
+    staged = stored(spark, rows, "transactions", "zstd")
     heads = staged.where("_block = 0").groupBy("_path").agg(F.min("_row").alias("_first"),
                                                            F.min_by("_head", "_row").alias("_good"))
     heads = stored(spark, heads, "headers")  # a row per file
@@ -217,11 +217,12 @@ def write_product_master_csv(df: DataFrame, path: str) -> None:
     df.select(*cols).write.mode("overwrite").option("header", "true").csv(path)
 
 
-def write_transactions_csv(df: DataFrame, path: str, files: int, mode: str = "overwrite",
+def write_transactions_csv(df: DataFrame, path: str, files: int | None = None, mode: str = "overwrite",
                            by: Sequence[str] = ()) -> None:
-    """Transaction files in the source layout; rows are dealt to ``files`` files in turn, or by the
-    columns ``by``, which sorts nothing."""
+    """Transaction files in the source layout, gzipped (a file is read by one task); rows are dealt
+    to ``files`` files in turn, or by the columns ``by``, which sorts nothing. Without ``files``
+    each of the rows' tasks writes its own."""
     inv = {v: k for k, v in TRANSACTION_FIELDS.items()}
     cols = [F.col(c).alias(inv.get(c, c)) for c in df.columns]
-    (df.repartition(files, *by).select(*cols).write.mode(mode)
-     .option("header", "true").csv(path))
+    dealt = df if files is None else df.repartition(files, *by)
+    dealt.select(*cols).write.mode(mode).option("header", "true").option("compression", "gzip").csv(path)

@@ -193,8 +193,9 @@ def slice_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = load_test_warehouse(spark, sf_dir, point_keys=("customer_sk", "product_sk"))
     star = WarehouseStar(spark, root)
     first = star.dim("customer").agg(F.min(F.col("customer_id").cast("long")).cast("string")).first()[0]
-    return reports.slice_dice(star, {"customer_id": first}, ["gender", "product_category", "year"],
-                              ("customer", "product", "time"))
+    out = reports.slice_dice(star, {"customer_id": first}, ["gender", "product_category", "year"],
+                             ("customer", "product", "time"))
+    return out.withColumn("year", F.col("year").cast("long"))
 
 
 def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
